@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ipaddress
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,32 +30,38 @@ def domain_of(url: Column, literal: bool = False) -> Column:
     return F.nullif(bare, F.lit(""))
 
 
+HOST = r"^[^:/?#]+://(?:[^/?#]*@)?(?:\[([^\]/?#]*)\]|([^/?#:\[\]]*))"
+OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+
+
 def host_name(url: Column) -> Column:
     """Lower-cased host without user, port and brackets; empty when there is none."""
-    plain = F.regexp_replace(F.lower(authority(url)), r"^.*@", "")
-    bracketed = F.regexp_extract(plain, r"^\[([^\]]*)\]", 1)
-    return F.when(F.startswith(plain, F.lit("[")), bracketed).otherwise(F.substring_index(plain, ":", 1))
+    return F.lower(F.concat(F.regexp_extract(url, HOST, 1), F.regexp_extract(url, HOST, 2)))
+
 
+def network_pattern(network: str) -> str:
+    """Pattern of the dotted addresses of an IPv4 network."""
+    net = ipaddress.ip_network(network)
+    pairs = zip(net.network_address.packed, net.broadcast_address.packed)
+    octets = [
+        OCTET if (low, high) == (0, 255) else "(?:" + "|".join(str(n) for n in range(low, high + 1)) + ")"
+        for low, high in pairs
+    ]
+    return r"\.".join(octets)
 
-def ipv4_number(host: Column) -> Column:
-    octet = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-    shaped = host.rlike(rf"^{octet}(\.{octet}){{3}}$")
-    parts = F.split(host, r"\.")
-    number = reduce(lambda total, i: total * 256 + F.get(parts, i).try_cast("long"), range(4), F.lit(0).cast("long"))
-    return F.when(shaped, number)
+
+INTERNAL_HOST = (
+    "^(?:|"
+    + "|".join([host.replace(".", r"\.") for host in LOCAL_HOSTS])
+    + "|"
+    + "|".join(network_pattern(n) for n in PRIVATE_NETWORKS)
+    + r"|(?:f[cd][0-9a-f]{2}|fe[89ab][0-9a-f]):[0-9a-f:.]*|(?:0{1,4}:){7}0{0,3}1)$"
+)
 
 
 def is_internal_url(url: Column) -> Column:
     """No host, a local host, or an address in a private network."""
-    host = host_name(url)
-    number = ipv4_number(host)
-    ranges = [ipaddress.ip_network(n) for n in PRIVATE_NETWORKS]
-    private4 = reduce(
-        lambda a, b: a | b,
-        [number.between(int(n.network_address), int(n.broadcast_address)) for n in ranges],
-    )
-    private6 = host.rlike(r"^(f[cd][0-9a-f]{2}|fe[89ab][0-9a-f]):[0-9a-f:.]*$|^(0{1,4}:){7}0{0,3}1$")
-    return F.coalesce((host == "") | host.isin(*LOCAL_HOSTS) | F.coalesce(private4, F.lit(False)) | private6, F.lit(True))
+    return F.coalesce(host_name(url).rlike(INTERNAL_HOST), F.lit(True))
 
 
 def clean_website(value: Column) -> Column:

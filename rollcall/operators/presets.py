@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +50,9 @@ def apply_preset(companies: DataFrame, filters: str | None, literal: bool = Fals
         if literal and not any(re.match(shape, condition, re.IGNORECASE) for shape in LITERAL_CONDITIONS):
             log.warning("preset condition skipped: %s", condition)
             continue
-        try:
-            view = view.where(_as_spark(condition))
-            view.columns
-        except AnalysisException as error:
-            if error.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
-                raise
+        named = re.match(r"(?:NOT\s+)?(\w+)", _as_spark(condition), re.IGNORECASE)
+        if named and named.group(1).lower() not in {c.lower() for c in view.columns}:
             log.warning("preset condition on a missing column skipped: %s", condition)
+            continue
+        view = view.where(_as_spark(condition))
     return view.select(*companies.columns)

@@ -93,19 +93,19 @@ def _(spark, folder):
     )
 
 
-@register(
-    "variant_labels",
-    """
-SELECT c_custkey AS id,
-       CASE WHEN c_custkey < 26 THEN chr((65 + c_custkey)::INTEGER)
-            WHEN c_custkey < 702 THEN chr((65 + (c_custkey - 26) // 26)::INTEGER) || chr((65 + (c_custkey - 26) % 26)::INTEGER)
-            WHEN c_custkey < 18278 THEN chr((65 + (c_custkey - 702) // 676)::INTEGER)
-                 || chr((65 + ((c_custkey - 702) // 26) % 26)::INTEGER) || chr((65 + (c_custkey - 702) % 26)::INTEGER) END AS label
-FROM customer WHERE c_custkey < 18278""",
-)
+def _label_sql(letters: int) -> str:
+    """Labels of one to ``letters`` letters, each length starting where the shorter ones end."""
+    cases, start = [], 0
+    for size in range(1, letters + 1):
+        parts = [f"chr((65 + ((c_custkey - {start}) // {26**place}) % 26)::INTEGER)" for place in range(size - 1, -1, -1)]
+        start += 26**size
+        cases.append(f"WHEN c_custkey < {start} THEN {' || '.join(parts)}")
+    return f"CASE {' '.join(cases)} END"
+
+
+@register("variant_labels", f"SELECT c_custkey AS id, {_label_sql(8)} AS label FROM customer")
 def _(spark, folder):
-    keys = table(spark, folder, "customer").where("c_custkey < 18278")
-    return keys.select(F.col("c_custkey").alias("id"), variant_label(F.col("c_custkey")).alias("label"))
+    return table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), variant_label(F.col("c_custkey")).alias("label"))
 
 
 @register(
