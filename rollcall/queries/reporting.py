@@ -1 +1,195 @@
-"""."""
+"""Export rows, report lines, snapshots and the whole run."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rollcall.operators.scoring import segment_histogram
+from rollcall.plans.full_run import finish, refill, run
+from rollcall.queries import register
+from rollcall.queries.base import listing_sql, with_joined_lists
+from rollcall.queries.enriching import FILL
+from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
+from rollcall.scratch import scratch_path
+from rollcall.sinks.reports import csv_rows, export_all, markdown_lines
+from rollcall.sinks.tables import Snapshots, upsert, without_scopes
+from rollcall.sources import derived_pages
+from rollcall.sources.driver_tables import enriched_listings, listings, sites
+from rollcall.sources.search import search_results
+
+
+@register(
+    "csv_rows",
+    listing_sql(
+        """
+SELECT city, id, name, replace(phone_text, ';', '; ') AS phones, address_raw AS address, coalesce(website, '') AS website,
+       replace(email_text, ';', '; ') AS emails, segment, crm_score, CASE WHEN is_network THEN 'Yes' ELSE 'No' END AS is_network, cms,
+       CASE WHEN has_marquiz THEN 'Yes' ELSE 'No' END AS has_marquiz, coalesce(telegram, '') AS telegram, coalesce(vk, '') AS vk,
+       coalesce(whatsapp, '') AS whatsapp FROM scored""",
+        NETWORK,
+        SCORED,
+    ),
+)
+def _(spark, folder):
+    return csv_rows(scored_listings(spark, folder))
+
+
+MARKDOWN = r"""
+line AS (
+    SELECT city, 0 AS section, -1099511627776 AS rank, unnest(range(0, 6)) AS id,
+           unnest(['# База мастерских: ' || upper(city[1]) || lower(substr(city, 2)) || ' — all', '', '**Фильтр:** every company', '',
+                   '**Всего компаний:** ' || count(*), '']) AS line
+    FROM scored GROUP BY city
+    UNION ALL
+    SELECT city, ascii(segment) - 64, -1099511627776, unnest(range(0, 4)),
+           unnest(['## Сегмент ' || segment || ' (' || count(*) || ' шт.)', '', '| Название | Телефон | Сайт | Telegram | CMS | Score |',
+                   '|----------|---------|------|----------|-----|-------|'])
+    FROM scored GROUP BY city, segment
+    UNION ALL SELECT DISTINCT city, ascii(segment) - 64, 1099511627776, 0, '' FROM scored
+    UNION ALL
+    SELECT city, ascii(segment) - 64, -crm_score, id,
+           '| **' || name || '** | ' || replace(phone_text, ';', '<br>') || ' | ' || CASE WHEN website IS NULL THEN '-' ELSE '[Сайт](' || website || ')' END
+           || ' | ' || CASE WHEN telegram IS NULL THEN '-' ELSE '[TG](' || telegram || ')' END || ' | ' || cms || ' | ' || crm_score || ' |'
+    FROM scored
+)
+SELECT city, section, rank, id, line FROM line"""
+
+
+@register("markdown_lines", listing_sql("", NETWORK, SCORED, MARKDOWN))
+def _(spark, folder):
+    return markdown_lines(scored_listings(spark, folder), preset="all", description="every company")
+
+
+@register(
+    "exported_files",
+    listing_sql(
+        """
+, doubled AS (SELECT * FROM scored)
+SELECT 'enriched' AS export, count(*) AS rows_written FROM scored
+UNION ALL SELECT 'hot_leads', count(*) FROM scored WHERE telegram IS NOT NULL AND crm_score >= 50
+UNION ALL SELECT 'high_score', count(*) FROM scored WHERE segment = 'A'
+UNION ALL SELECT 'with_telegram', count(*) FROM scored WHERE telegram IS NOT NULL
+UNION ALL SELECT 'cold_email', count(*) FROM scored WHERE telegram IS NULL AND whatsapp IS NULL AND n_emails > 0
+UNION ALL SELECT 'manual_search', count(*) FROM scored WHERE telegram IS NULL AND whatsapp IS NULL
+UNION ALL SELECT 'full_dump', count(*) FROM scored""",
+        NETWORK,
+        SCORED,
+    ),
+)
+def _(spark, folder):
+    """Writes every export and counts the companies in the files."""
+    target = scratch_path(spark, "export")
+    paths = export_all(scored_listings(spark, folder), target)
+    counts = None
+    for name, path in paths.items():
+        if name == "manual_search":
+            found = spark.read.text(path).where("value like '| **%'")
+        elif name == "full_dump":
+            found = spark.read.schema("id long").json(path)
+        else:
+            found = spark.read.option("header", True).schema("id string").csv(path)
+        counted = found.agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("rows_written"))
+        counts = counted if counts is None else counts.unionByName(counted)
+    return counts
+
+
+@register(
+    "upserted_snapshot",
+    listing_sql(
+        """
+SELECT coalesce(a.id, b.id) AS id, coalesce(b.city, a.city) AS city, coalesce(b.website, a.website) AS website, coalesce(b.cms, a.cms) AS cms
+FROM (SELECT id, city, website, cms FROM listings WHERE id % 4 <> 0) a
+FULL JOIN (SELECT id, city, CASE WHEN id % 2 = 0 THEN 'https://new' || id END AS website, 'new' AS cms FROM listings WHERE id % 3 <> 0) b ON a.id = b.id"""
+    ),
+)
+def _(spark, folder):
+    rows = listings(spark, folder).select("id", "city", "website", "cms")
+    changes = rows.where("id % 3 <> 0").select(
+        "id", "city", F.when(F.col("id") % 2 == 0, F.concat(F.lit("https://new"), F.col("id").cast("string"))).alias("website"), F.lit("new").alias("cms")
+    )
+    return upsert(rows.where("id % 4 <> 0"), changes)
+
+
+@register(
+    "stored_snapshots",
+    listing_sql("SELECT id, city, CASE WHEN id % 2 = 0 THEN 'second' ELSE 'first' END AS status FROM listings WHERE city <> 'NATION_3'"),
+)
+def _(spark, folder):
+    """Three versions of a table: written, upserted, one city deleted."""
+    rows = listings(spark, folder).select("id", "city", F.lit("first").alias("status"))
+    snapshots = Snapshots(spark, scratch_path(spark, "snapshots"))
+    snapshots.upsert(rows)
+    snapshots.upsert(rows.where("id % 2 = 0").withColumn("status", F.lit("second")))
+    return snapshots.delete_scopes(["NATION_3"]).select("id", "city", "status")
+
+
+@register("without_scopes", listing_sql("SELECT id, city FROM listings WHERE city NOT IN ('NATION_1', 'NATION_2')"))
+def _(spark, folder):
+    return without_scopes(listings(spark, folder).select("id", "city"), ["NATION_1", "NATION_2"])
+
+
+REFILLED = """
+value AS (SELECT id, city, kind, e.value, late, pos FROM every e JOIN listings USING (id)),
+site AS (SELECT id, city, CASE WHEN site_new THEN 'found' || id || '.example.ru' ELSE (SELECT max(domain) FROM domain d WHERE d.id = done.id) END AS host FROM done),
+shared AS (
+    SELECT id FROM value SEMI JOIN (SELECT city, value FROM value WHERE kind = 'phone' GROUP BY ALL HAVING count(DISTINCT id) > 1) USING (city, value) WHERE kind = 'phone'
+    UNION SELECT id FROM site SEMI JOIN (SELECT city, host FROM site WHERE host IS NOT NULL GROUP BY ALL HAVING count(*) > 1) USING (city, host)
+),
+sized AS (
+    SELECT d.id, d.city, (SELECT count(*) FROM every e WHERE e.id = d.id AND kind = 'phone') AS n_phones,
+           (SELECT count(*) FROM every e WHERE e.id = d.id AND kind = 'email') AS n_emails, trust_score, l.has_marquiz,
+           site_new OR old_site IS NOT NULL AS has_site, tg_new OR old_tg IS NOT NULL AS has_tg, d.whatsapp IS NOT NULL AS has_wa,
+           CASE WHEN cms_new THEN 'tilda' ELSE old_cms END AS builder
+    FROM done d JOIN listings l USING (id)
+),
+rescored AS (
+    SELECT id, city, n_phones::INTEGER AS n_phones, n_emails::INTEGER AS n_emails, id IN (SELECT id FROM shared) AS is_network,
+           (CASE WHEN has_site THEN 5 + (CASE WHEN builder = 'bitrix' THEN 10 WHEN builder IN ('wordpress', 'tilda', 'flexbe') THEN 3 ELSE 0 END)
+                 + (CASE WHEN has_marquiz THEN 8 ELSE 0 END) ELSE 0 END + CASE WHEN has_tg THEN 15 + 2 * trust_score ELSE 0 END
+            + CASE WHEN has_wa THEN 10 ELSE 0 END + CASE WHEN n_phones > 1 THEN 5 ELSE 0 END + CASE WHEN n_emails > 0 THEN 5 ELSE 0 END
+            + CASE WHEN id IN (SELECT id FROM shared) THEN 5 ELSE 0 END)::INTEGER AS crm_score
+    FROM sized
+)
+"""
+
+
+@register(
+    "refilled_companies",
+    listing_sql(
+        "SELECT *, CASE WHEN crm_score >= 50 THEN 'A' WHEN crm_score >= 30 THEN 'B' WHEN crm_score >= 15 THEN 'C' ELSE 'D' END AS segment FROM rescored",
+        FILL,
+        REFILLED,
+    ),
+)
+def _(spark, folder):
+    """Enriched companies whose gaps are filled from their found site, flagged and scored again."""
+    rows = enriched_listings(spark, folder)
+    found = sites(spark, folder)
+    hits = found.select("id", F.lit(0).alias("pos"), F.col("website").alias("url"), F.lit("").alias("title"))
+    details = found.drop("id").withColumnRenamed("website", "url")
+    return refill(rows, hits, details).select("id", "city", "n_phones", "n_emails", "is_network", "crm_score", "segment")
+
+
+@register("full_run")
+def _(spark, folder):
+    """Listings to scored companies: grouping, site scan, profiles, search hits, gap filling, networks, scores."""
+    base = listings(spark, folder)
+    shop = F.concat(derived_pages.shop_site(F.col("id")), F.lit("/"))
+    rows = base.withColumn("website", F.when(F.col("id") % 3 == 1, shop).otherwise(F.col("website")))
+    hits = search_results(derived_pages.search_answers(rows), 3).withColumnRenamed("name", "query_name")
+    ranked = hits.groupBy("city", "query_name", "pos").agg(F.min_by(F.struct("url", "title"), "id").alias("hit"))
+    details = sites(spark, folder).drop("id").withColumnRenamed("website", "url")
+    companies = run(
+        rows,
+        derived_pages.shop_pages(base),
+        derived_pages.profiles(base),
+        ranked.select("city", "query_name", "pos", "hit.url", "hit.title"),
+        details,
+    )
+    texts = with_joined_lists(companies.withColumn("merged_from", F.col("merged_from").cast("array<string>")), "phones", "emails", "merged_from")
+    return texts.select(
+        "id", "city", "name", "website", "phones", "emails", "merged_from", "n_phones", "n_emails", "cms", "is_network", "needs_review", "crm_score", "segment"
+    )
+
+
+__all__ = ["finish", "segment_histogram"]
