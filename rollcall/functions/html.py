@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.functions.texts import contains_any, strip
 from rollcall.functions.urls import authority, resolve_link
 from rollcall.schema import MESSENGERS, no_messengers, no_strings
@@ -71,9 +72,11 @@ def social_links(html: Column, literal: bool = False) -> Column:
 
 def add_missing_keys(known: Column, found: Column) -> Column:
     """``known`` plus the entries of ``found`` under keys that ``known`` lacks."""
-    left = F.coalesce(known, no_messengers())
     right = F.coalesce(found, no_messengers())
-    return F.map_concat(left, F.map_filter(right, lambda k, v: ~F.map_contains_key(left, k)))
+    return let(
+        F.coalesce(known, no_messengers()),
+        lambda left: F.map_concat(left, F.map_filter(right, lambda k, v: ~F.map_contains_key(left, k))),
+    )
 
 
 def contact_link(html: Column, base: Column) -> Column:
@@ -94,16 +97,18 @@ def relevant_links(
 
     Targets that differ only in case count once; the first spelling is kept.
     """
-    fits = F.filter(
-        every(html, ANCHOR_OPEN),
-        lambda h: ~h.rlike(UNFOLLOWED)
-        & contains_any(F.lower(h), words)
-        & (authority(resolve_link(F.concat(base, F.lit("/")), h)) == authority(base)),
+    named = F.filter(every(html, ANCHOR_OPEN), lambda h: ~h.rlike(UNFOLLOWED) & contains_any(F.lower(h), words))
+    targets = F.transform(
+        named, lambda h: F.struct(F.lower(h).alias("low"), resolve_link(F.concat(base, F.lit("/")), h).alias("url"))
     )
-    lowered = F.transform(fits, lambda h: F.lower(h))
-    firsts = F.filter(fits, lambda h, i: F.array_position(lowered, F.lower(h)) == i + 1)
-    links = F.transform(firsts, lambda h: resolve_link(F.concat(base, F.lit("/")), h))
-    return F.slice(links, 1, most) if most is not None else links
+    same_site = F.filter(targets, lambda t: authority(t["url"]) == authority(base))
+
+    def firsts(links: Column) -> Column:
+        once = F.filter(links, lambda t, i: F.array_position(links["low"], t["low"]) == i + 1)
+        kept = F.slice(once, 1, most) if most is not None else once
+        return kept["url"]
+
+    return let(same_site, firsts)
 
 
 def page_links(html: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.schema import no_strings
 
 
@@ -29,7 +30,7 @@ def _from_digits(number: Column, country: str, trunk: str, national: int) -> Col
 
 def normalize_phone(value: Column, country: str = "7", trunk: str = "8", national: int = 10) -> Column:
     """Country code and national number without ``+``, or null."""
-    return _from_digits(digits(value), country, trunk, national)
+    return let(digits(value), lambda number: _from_digits(number, country, trunk, national))
 
 
 def normalize_phones(values: Column, country: str = "7", trunk: str = "8", national: int = 10) -> Column:

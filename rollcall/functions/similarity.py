@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.functions.texts import strip
 
 # Longest text whose matching positions fit one long with room for a carry.
@@ -29,38 +30,46 @@ def _letters(text: Column) -> Column:
 
 
 def _lcs_by_bits(a: Column, b: Column) -> Column:
-    letters = _letters(a)
-    size = F.length(a)
-    one = F.lit(1).cast("long")
-    bit = lambda i: F.call_function("shiftleft", one, i)
+    """Bit-parallel: one long holds the open places of ``a``, one step per letter of ``b``."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
-    def places(letter: Column) -> Column:
-        bits = F.transform(letters, lambda c, i: F.when(c == letter, bit(i)).otherwise(F.lit(0).cast("long")))
-        return F.aggregate(bits, F.lit(0).cast("long"), lambda total, x: total + x)
+    def bit(place: Column) -> Column:
+        return F.call_function("shiftleft", one, place)
 
-    masks = F.map_from_entries(F.transform(F.array_distinct(letters), lambda c: F.struct(c, places(c))))
-    whole = bit(size) - one
+    def masks_of(letters: Column) -> Column:
+        def places(letter: Column) -> Column:
+            bits = F.transform(letters, lambda c, i: F.when(c == letter, bit(i)).otherwise(zero))
+            return F.aggregate(bits, zero, lambda total, x: total + x)
 
-    def step(open_bits: Column, letter: Column) -> Column:
-        hit = open_bits.bitwiseAND(F.coalesce(F.try_element_at(masks, letter), F.lit(0).cast("long")))
-        return (open_bits + hit).bitwiseOR(open_bits - hit).bitwiseAND(whole)
+        return F.map_from_entries(F.transform(F.array_distinct(letters), lambda c: F.struct(c, places(c))))
 
-    return size - F.bit_count(F.aggregate(_letters(b), whole, step))
+    def open_places(masks: Column, whole: Column) -> Column:
+        def step(open_bits: Column, letter: Column) -> Column:
+            hit = open_bits.bitwiseAND(F.coalesce(F.try_element_at(masks, letter), zero))
+            return (open_bits + hit).bitwiseOR(open_bits - hit).bitwiseAND(whole)
+
+        return F.aggregate(_letters(b), whole, step)
+
+    masks = let(_letters(a), masks_of)
+    rest = let(masks, lambda m: let(bit(F.length(a)) - one, lambda whole: open_places(m, whole)))
+    return F.length(a) - F.bit_count(rest)
 
 
 def _lcs_by_rows(a: Column, b: Column) -> Column:
-    others = _letters(b)
-    start = F.array_repeat(F.lit(0), F.length(b) + 1)
+    """Row by row, for texts of any length."""
+
+    def last_row(others: Column) -> Column:
+        def next_row(row: Column, letter: Column) -> Column:
+            def extend(done: Column, j: Column) -> Column:
+                same = F.when(F.get(others, j) == letter, 1).otherwise(0)
+                best = F.greatest(F.get(row, j + 1), F.element_at(done, -1), F.get(row, j) + same)
+                return F.concat(done, F.array(best))
 
-    def next_row(row: Column, letter: Column) -> Column:
-        def extend(done: Column, j: Column) -> Column:
-            same = F.when(F.get(others, j) == letter, 1).otherwise(0)
-            best = F.greatest(F.get(row, j + 1), F.element_at(done, -1), F.get(row, j) + same)
-            return F.concat(done, F.array(best))
+            return F.aggregate(F.sequence(F.lit(0), F.size(others) - 1), F.array(F.lit(0)), extend)
 
-        return F.aggregate(F.sequence(F.lit(0), F.length(b) - 1), F.array(F.lit(0)), extend)
+        return F.aggregate(_letters(a), F.array_repeat(F.lit(0), F.size(others) + 1), next_row)
 
-    return F.element_at(F.aggregate(_letters(a), start, next_row), -1)
+    return F.element_at(let(_letters(b), last_row), -1)
 
 
 def common_length(a: Column, b: Column) -> Column:
@@ -75,7 +84,11 @@ def indel_distance(a: Column, b: Column) -> Column:
 
 def names_match(a: Column, b: Column, threshold: int = 88) -> Column:
     """Whether two names are at least ``threshold`` percent alike, whatever the order of their words."""
-    left, right = sorted_tokens(a), sorted_tokens(b)
-    total = F.length(left) + F.length(right)
-    alike = indel_distance(left, right) * 100 <= (100 - threshold) * total
-    return F.coalesce((left != "") & (right != "") & ((left == right) | alike), F.lit(False))
+
+    def alike(left: Column, right: Column) -> Column:
+        total = F.length(left) + F.length(right)
+        near = indel_distance(left, right) * 100 <= (100 - threshold) * total
+        return (left != "") & (right != "") & ((left == right) | near)
+
+    found = let(sorted_tokens(a), lambda left: let(sorted_tokens(b), lambda right: alike(left, right)))
+    return F.coalesce(found, F.lit(False))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
+
 # Whitespace that is cut from both ends of a value.
 BLANKS = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -59,18 +61,23 @@ def directory_subdomain(city: Column) -> Column:
 
 def street_of(address: Column) -> Column:
     """Lower-cased street name; without a street word, the text before the first comma."""
-    lowered = F.lower(F.coalesce(address, F.lit("")))
-    first, second = (F.instr(lowered, mark) for mark in CITY_MARKS)
-    rest = (
-        F.when(first > 0, F.substring(lowered, first + len(CITY_MARKS[0]), F.length(lowered)))
-        .when(second > 0, F.substring(lowered, second + len(CITY_MARKS[1]), F.length(lowered)))
-        .otherwise(lowered)
-    )
-    return (
-        F.when(F.regexp_extract(rest, STREET, 0) != "", strip(F.regexp_extract(rest, STREET, 1)))
-        .when(F.instr(rest, ",") > 0, strip(F.substring_index(rest, ",", 1)))
-        .otherwise(rest)
-    )
+
+    def behind_city(lowered: Column) -> Column:
+        first, second = (F.instr(lowered, mark) for mark in CITY_MARKS)
+        return (
+            F.when(first > 0, F.substring(lowered, first + len(CITY_MARKS[0]), F.length(lowered)))
+            .when(second > 0, F.substring(lowered, second + len(CITY_MARKS[1]), F.length(lowered)))
+            .otherwise(lowered)
+        )
+
+    def street(rest: Column) -> Column:
+        return (
+            F.when(rest.rlike(STREET), strip(F.regexp_extract(rest, STREET, 1)))
+            .when(F.instr(rest, ",") > 0, strip(F.substring_index(rest, ",", 1)))
+            .otherwise(rest)
+        )
+
+    return let(let(F.lower(F.coalesce(address, F.lit(""))), behind_city), street)
 
 
 def file_name(value: Column) -> Column:

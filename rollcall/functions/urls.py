@@ -7,6 +7,7 @@ import ipaddress
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.functions.texts import strip
 from rollcall.settings import LOCAL_HOSTS, PRIVATE_NETWORKS
 
@@ -66,10 +67,13 @@ def is_internal_url(url: Column) -> Column:
 
 def clean_website(value: Column) -> Column:
     """Usable address of a site, or null for placeholders and internal hosts."""
-    text = strip(value)
-    full = F.when(F.startswith(text, F.lit("http")), text).otherwise(F.concat(F.lit("https://"), text))
-    first = F.regexp_extract(full, r"^\S+", 0)
-    return F.when((text != "") & ~text.isin("-", "N/A") & ~is_internal_url(full), first)
+
+    def cleaned(text: Column) -> Column:
+        full = F.when(F.startswith(text, F.lit("http")), text).otherwise(F.concat(F.lit("https://"), text))
+        usable = (text != "") & ~text.isin("-", "N/A")
+        return F.when(usable, let(full, lambda u: F.when(~is_internal_url(u), F.regexp_extract(u, r"^\S+", 0))))
+
+    return let(strip(value), cleaned)
 
 
 def site_root(url: Column) -> Column:
@@ -79,7 +83,10 @@ def site_root(url: Column) -> Column:
 
 def _without_dots(path: Column) -> Column:
     """Resolves ``.`` and ``..`` segments of an absolute path."""
-    parts = F.split(path, "/")
+    return let(F.split(path, "/"), _joined_segments)
+
+
+def _joined_segments(parts: Column) -> Column:
     closing = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     kept = F.aggregate(
         F.slice(parts, 2, F.size(parts)),
@@ -93,6 +100,10 @@ def _without_dots(path: Column) -> Column:
 
 def resolve_link(base: Column, href: Column) -> Column:
     """Absolute form of a link found on a page: absolute, ``//host``, ``/path``, ``?query``, ``#mark``, relative."""
+    return let(base, lambda b: let(href, lambda h: _resolved(b, h)))
+
+
+def _resolved(base: Column, href: Column) -> Column:
     root = F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0)
     scheme = F.regexp_extract(base, r"^[^:/?#]+:", 0)
     no_mark = F.substring_index(base, "#", 1)
@@ -100,10 +111,13 @@ def resolve_link(base: Column, href: Column) -> Column:
     base_path = F.substring(no_query, F.length(root) + 1, F.length(no_query))
     folder = F.coalesce(F.nullif(F.regexp_extract(base_path, r"^.*/", 0), F.lit("")), F.lit("/"))
     raw = F.when(F.startswith(href, F.lit("/")), href).otherwise(F.concat(folder, href))
-    path = F.regexp_extract(raw, r"^[^?#]*", 0)
-    tail = F.substring(raw, F.length(path) + 1, F.length(raw))
-    dotted = path.rlike(r"/\.\.?(/|$)")
-    joined = F.concat(root, F.when(dotted, _without_dots(path)).otherwise(path), tail)
+
+    def joined_path(full: Column) -> Column:
+        path = F.regexp_extract(full, r"^[^?#]*", 0)
+        tail = F.substring(full, F.length(path) + 1, F.length(full))
+        return F.when(full.rlike(r"^[^?#]*/\.\.?([/?#]|$)"), F.concat(_without_dots(path), tail)).otherwise(full)
+
+    joined = F.concat(root, let(raw, joined_path))
     return (
         F.when(href == "", base)
         .when(href.rlike(SCHEME), href)

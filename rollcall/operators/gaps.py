@@ -12,6 +12,7 @@ from rollcall.functions.phones import normalize_phone, strip_separators
 from rollcall.operators.merge import EMAIL, PHONE
 from rollcall.operators.picking import first_per_key
 from rollcall.schema import no_messengers
+from rollcall.scratch import keep
 
 
 def lacks_contacts(df: DataFrame) -> Column:
@@ -64,7 +65,7 @@ def fill_gaps(companies: DataFrame, facts: DataFrame, details: DataFrame, litera
     ``details`` holds one row per company: (id, url, emails, phones, messengers, cms). A website fills only a
     gap, e-mails and phones are added, messengers fill missing kinds, a builder only an unknown one. Contacts
     are compared in long form on (id, kind, value), so a company with many of them is spread over all tasks.
-    ``literal`` keeps the leading ``+`` of added phones.
+    The added contacts are written to scratch once. ``literal`` keeps the leading ``+`` of added phones.
     """
     open_companies = companies.where(lacks_contacts(companies))
     found = open_companies.select("id").join(details, "id")
@@ -80,9 +81,12 @@ def fill_gaps(companies: DataFrame, facts: DataFrame, details: DataFrame, litera
         .groupBy("id", "kind", "value")
         .agg(F.min("pos").alias("pos"))
     )
-    fresh = offered.join(facts.select("id", "kind", "value"), ["id", "kind", "value"], "left_anti").select(
-        "id", "kind", "value", F.lit(2**62).alias("first_id"), "pos"
-    )
+    fresh = keep(
+        offered.join(facts.select("id", "kind", "value"), ["id", "kind", "value"], "left_anti").select(
+            "id", "kind", "value", F.lit(2**62).alias("first_id"), "pos"
+        ),
+        "fresh",
+    ).df
     grown = fresh.groupBy("id").agg(
         F.count_if(F.col("kind") == PHONE).cast("int").alias("more_phones"),
         F.count_if(F.col("kind") == EMAIL).cast("int").alias("more_emails"),

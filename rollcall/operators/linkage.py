@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import rows_with
 from rollcall.functions.emails import valid_emails
 from rollcall.functions.phones import normalize_phones
 from rollcall.functions.urls import domain_of
@@ -34,8 +35,7 @@ def site_links(
     shared_hosts: tuple[str, ...] = (),
 ) -> DataFrame:
     """(scope, key, id) for every listing with a website. ``shared_hosts`` names portals that prove nothing."""
-    domain = domain_of(F.col("website"), literal)
-    keyed = listings.select(*scope, "id", domain.alias("domain")).where(F.col("domain").isNotNull())
+    keyed = listings.select(*scope, "id", rows_with(domain_of(F.col("website"), literal)).alias("domain"))
     if shared_hosts:
         keyed = keyed.where(~F.col("domain").isin(*shared_hosts))
     return keyed.select(*scope, F.concat(F.lit("s:"), "domain").alias("key"), "id")
@@ -121,7 +121,7 @@ def clusters_by_key(listings: DataFrame, links: DataFrame, scope: tuple[str, ...
 
 def shared_domains(listings: DataFrame, scope: tuple[str, ...] = SCOPE, literal: bool = False) -> DataFrame:
     """(scope, domain, cluster, id): listings of each domain that two or more share, not chained further."""
-    keyed = listings.select(*scope, "id", domain_of(F.col("website"), literal).alias("domain")).where("domain is not null")
+    keyed = listings.select(*scope, "id", rows_with(domain_of(F.col("website"), literal)).alias("domain"))
     keys = [*scope, "domain"]
     shared = (
         keyed.groupBy(*keys)

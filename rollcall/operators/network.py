@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import rows_with
 from rollcall.functions.phones import normalize_phone
 from rollcall.functions.urls import domain_of
 from rollcall.operators.linkage import SCOPE
@@ -12,14 +13,14 @@ from rollcall.settings import NETWORK_SIZE
 
 
 def domain_counts(companies: DataFrame, scope: tuple[str, ...] = SCOPE, threshold: int = NETWORK_SIZE) -> DataFrame:
-    keyed = companies.select(*scope, domain_of(F.col("website")).alias("domain")).where("domain is not null")
+    keyed = companies.select(*scope, rows_with(domain_of(F.col("website"))).alias("domain"))
     return keyed.groupBy(*scope, "domain").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= threshold)
 
 
 def phone_rows(companies: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
     """(scope, id, phone) per listed phone, normalised, repeats of one company included."""
-    listed = companies.select(*scope, "id", F.explode("phones").alias("raw"))
-    return listed.select(*scope, "id", normalize_phone(F.col("raw")).alias("phone")).where("phone is not null")
+    numbers = F.array_compact(F.transform("phones", normalize_phone))
+    return companies.select(*scope, "id", F.explode(numbers).alias("phone"))
 
 
 def phone_counts(
@@ -59,9 +60,8 @@ def flag_networks(
     by_phone = (listed if occurrences else listed.distinct()).select(
         *scope, F.concat(F.lit("p:"), "phone").alias("key"), "id"
     )
-    by_domain = companies.select(
-        *scope, F.concat(F.lit("s:"), domain_of(F.col("website"))).alias("key"), "id"
-    ).where("key is not null")
+    host = rows_with(F.concat(F.lit("s:"), domain_of(F.col("website"))))
+    by_domain = companies.select(*scope, host.alias("key"), "id")
     flagged = network_ids(by_domain.unionByName(by_phone), scope, threshold).withColumn("flag", F.lit(True))
     return (
         companies.drop("is_network")

@@ -7,13 +7,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, only_new
 from rollcall.operators.merge import PHONE, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.scoring import score_companies
 from rollcall.operators.site_scan import handle_candidates, profile_table, scan_sites, verified_handles
-from rollcall.schema import no_messengers
 from rollcall.scratch import keep
 from rollcall.settings import LEVELS, NETWORK_SIZE, WEIGHTS
 from rollcall.sinks.reports import export_all
@@ -36,11 +36,7 @@ def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame
     cleaned = companies.withColumn("website", clean_website(F.col("website"))).withColumn("site", site_root(F.col("website")))
     scanned = scan_sites(cleaned.where("site is not null").select("site"), pages).withColumnRenamed("messengers", "found")
     on_site = cleaned.join(scanned, "site", "left")
-    merged = F.coalesce("messengers", no_messengers())
-    found = F.coalesce("found", no_messengers())
-    seen = on_site.withColumn(
-        "messengers", F.map_concat(merged, F.map_filter(found, lambda k, v: ~F.map_contains_key(merged, k)))
-    ).drop("found", "site")
+    seen = on_site.withColumn("messengers", add_missing_keys(F.col("messengers"), F.col("found"))).drop("found", "site")
     silent = seen.where(~F.map_contains_key("messengers", "telegram")).select("id", F.col("name_best").alias("name"), "phone")
     handles = verified_handles(handle_candidates(silent), profiles).select("id", F.col("url").alias("handle"))
     addressed = seen.join(handles, "id", "left").withColumn(
@@ -101,7 +97,7 @@ def run(
     if already is not None:
         companies = only_new(companies, already)
     enriched = keep(enrich_companies(companies, pages, profiles), "enriched").df
-    facts = resolved.facts
+    facts = keep(resolved.facts, "facts").df
     open_companies = missing_contacts(enriched)
     own_hits = hits.withColumnRenamed("query_name", "name").join(open_companies.select("id", "name", "city"), ["name", "city"])
     chosen = best_hits(open_companies, own_hits.select("id", "pos", "url", "title"), rules.rank_titles)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.operators.scoring import segment_histogram
-from rollcall.plans.full_run import finish, refill, run
+from rollcall.plans.full_run import publish, refill, run
 from rollcall.queries import register
 from rollcall.queries.base import listing_sql, with_joined_lists
 from rollcall.queries.enriching import FILL
 from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
 from rollcall.scratch import scratch_path
-from rollcall.sinks.reports import csv_rows, export_all, markdown_lines
+from rollcall.sinks.reports import csv_rows, markdown_lines
 from rollcall.sinks.tables import Snapshots, upsert, without_scopes
 from rollcall.sources import derived_pages
 from rollcall.sources.driver_tables import enriched_listings, listings, sites
@@ -79,7 +78,7 @@ UNION ALL SELECT 'full_dump', count(*) FROM scored""",
 def _(spark, folder):
     """Writes every export and counts the companies in the files."""
     target = scratch_path(spark, "export")
-    paths = export_all(scored_listings(spark, folder), target)
+    paths = publish(scored_listings(spark, folder), target)
     counts = None
     for name, path in paths.items():
         if name == "manual_search":
@@ -190,6 +189,3 @@ def _(spark, folder):
     return texts.select(
         "id", "city", "name", "website", "phones", "emails", "merged_from", "n_phones", "n_emails", "cms", "is_network", "needs_review", "crm_score", "segment"
     )
-
-
-__all__ = ["finish", "segment_histogram"]

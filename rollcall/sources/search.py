@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let, rows_with
 from rollcall.functions.emails import emails_in_text
 from rollcall.functions.html import every, first
 from rollcall.functions.phones import normalize_phones, phones_in_text
@@ -30,10 +31,12 @@ SHORTEST_TEXT = 50
 
 def recover_json(output: Column) -> Column:
     """The text when it is JSON, else its first object when that is JSON, else null."""
-    whole = F.trim(output)
-    inner = F.regexp_extract(output, FIRST_OBJECT, 0)
-    return F.when(F.try_parse_json(whole).isNotNull(), F.nullif(whole, F.lit(""))).otherwise(
-        F.when(F.try_parse_json(inner).isNotNull(), F.nullif(inner, F.lit("")))
+
+    def if_json(text: Column) -> Column:
+        return F.when((text != "") & F.try_parse_json(text).isNotNull(), text)
+
+    return F.coalesce(
+        let(F.trim(output), if_json), let(F.regexp_extract(output, FIRST_OBJECT, 0), if_json)
     )
 
 
@@ -70,16 +73,20 @@ def search_queries(regions: DataFrame, phrases: tuple[str, ...] = SEARCH_PHRASES
 
 def page_body(output: Column) -> Column:
     """Text of a fetched page: markdown or html inside JSON, else the plain output when it is long enough."""
-    json = recover_json(output)
-    inside = F.coalesce(
-        F.nullif(F.get_json_object(json, "$.data.markdown"), F.lit("")),
-        F.nullif(F.get_json_object(json, "$.data.html"), F.lit("")),
-    )
-    data = F.get_json_object(json, "$.data")
-    as_text = F.when(~F.startswith(data, F.lit("{")) & ~F.startswith(data, F.lit("[")), F.nullif(data, F.lit("")))
-    return F.when(json.isNotNull(), F.coalesce(inside, as_text)).otherwise(
-        F.when(F.length(F.trim(output)) > SHORTEST_TEXT, F.trim(output))
-    )
+
+    def plain(data: Column) -> Column:
+        return F.when(~F.startswith(data, F.lit("{")) & ~F.startswith(data, F.lit("[")), F.nullif(data, F.lit("")))
+
+    def body(json: Column) -> Column:
+        inside = F.coalesce(
+            F.nullif(F.get_json_object(json, "$.data.markdown"), F.lit("")),
+            F.nullif(F.get_json_object(json, "$.data.html"), F.lit("")),
+            let(F.get_json_object(json, "$.data"), plain),
+        )
+        text = F.trim(output)
+        return F.when(json.isNotNull(), inside).when(F.length(text) > SHORTEST_TEXT, text)
+
+    return let(recover_json(output), body)
 
 
 def text_details(text: Column, country: str = "7", plus_optional: bool = True) -> dict[str, Column]:
@@ -93,14 +100,15 @@ def text_details(text: Column, country: str = "7", plus_optional: bool = True) -
 
 def detail_rows(pages: DataFrame) -> DataFrame:
     """(url, phones, emails, addresses) of stored pages with a text."""
-    bodies = pages.select("url", page_body(F.col("output")).alias("text")).where("text is not null")
+    bodies = pages.select("url", rows_with(page_body(F.col("output"))).alias("text"))
     return bodies.select("url", *[column.alias(name) for name, column in text_details(F.col("text")).items()])
 
 
 def with_details(listings: DataFrame, details: DataFrame, order: str = "pos") -> DataFrame:
     """Gives the details of its page to the first listing of every domain; the others stay without."""
     keyed = listings.withColumn("domain", domain_of(F.col("website")))
-    firsts = first_per_key(keyed.where("domain is not null").select("domain", order, F.col("website").alias("url")), ["domain"], order)
+    sited = listings.select(rows_with(domain_of(F.col("website"))).alias("domain"), order, F.col("website").alias("url"))
+    firsts = first_per_key(sited, ["domain"], order)
     found = firsts.join(details, "url").select(
         "domain", F.col(order).alias("first"), "phones", "emails", "addresses"
     )
