@@ -19,7 +19,7 @@ def domain_counts(companies: DataFrame, scope: tuple[str, ...] = SCOPE, threshol
 
 def phone_rows(companies: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
     """(scope, id, phone) per listed phone, normalised, repeats of one company included."""
-    numbers = F.array_compact(F.transform("phones", normalize_phone))
+    numbers = F.array_compact(F.transform("phones", lambda p: normalize_phone(p)))
     return companies.select(*scope, "id", F.explode(numbers).alias("phone"))
 
 
