@@ -68,7 +68,7 @@ def _is_settled(edges: DataFrame) -> bool:
     parents = _parents(edges)
     branching = parents.where("degree > 1").select("node")
     chained = edges.join(parents, F.col("lo") == F.col("node"), "left_semi").select("lo")
-    return branching.union(chained).isEmpty()
+    return branching.union(chained).agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def _contract(edges: DataFrame) -> DataFrame:

@@ -217,15 +217,21 @@ def nest(companies: DataFrame, facts: DataFrame, limit: int = 10_000) -> DataFra
 
 
 def unnest(rows: DataFrame) -> DataFrame:
-    """Facts of rows that carry ``phones`` and ``emails`` lists."""
+    """Facts of rows that carry ``phones`` and ``emails`` lists, and ``merged_from`` where there is one."""
 
     def values(kind: str, column: str) -> DataFrame:
         distinct = F.array_distinct(F.col(column))
         return rows.select("id", F.lit(kind).alias("kind"), F.posexplode(distinct).alias("pos", "value"))
 
-    return (
+    contacts = (
         values(PHONE, "phones")
         .unionByName(values(EMAIL, "emails"))
         .where("value != ''")
         .select("id", "kind", "value", F.col("id").alias("first_id"), "pos")
     )
+    if "merged_from" not in rows.columns:
+        return contacts
+    listed = rows.select("id", F.explode("merged_from").alias("first_id"))
+    return contacts.unionByName(
+        listed.select("id", F.lit(LISTING).alias("kind"), F.col("first_id").cast("string").alias("value"), "first_id", F.lit(0).alias("pos"))
+    )

@@ -16,10 +16,11 @@ from rollcall.functions.html import (
     relevant_links,
     social_links,
 )
-from rollcall.functions.urls import site_root
+from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.picking import first_per_key
 from rollcall.schema import MESSENGERS, no_messengers
 from rollcall.settings import RELEVANT_WORDS
+from rollcall.sources.search import detail_rows
 
 
 def _address(url: Column) -> Column:
@@ -93,6 +94,15 @@ def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> Dat
     )
 
 
+def visit_details(fetched: DataFrame, pages: DataFrame) -> DataFrame:
+    """(url, emails, phones, messengers, cms) of fetched texts (url, output) and the stored pages of their sites."""
+    texts = detail_rows(fetched).select("url", "emails", "phones", site_root(clean_website(F.col("url"))).alias("site"))
+    scanned = scan_sites(texts.select("site").where("site is not null"), pages).select("site", "messengers", "cms")
+    return texts.join(scanned, "site", "left").select(
+        "url", "emails", "phones", F.coalesce("messengers", no_messengers()).alias("messengers"), F.coalesce("cms", F.lit("unknown")).alias("cms")
+    )
+
+
 def handle_candidates(companies: DataFrame) -> DataFrame:
     """(id, pos, handle): candidate profile names in order of preference; needs ``name`` and ``phone``."""
     options = candidate_handles(F.col("name"), F.col("phone"))

@@ -10,25 +10,26 @@ from pyspark.sql import functions as F
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, only_new
-from rollcall.operators.merge import PHONE, fact_counts, nest, resolve_entities, unnest
+from rollcall.operators.merge import LISTING, PHONE, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
+from rollcall.operators.picking import first_per_key
 from rollcall.operators.scoring import score_companies
 from rollcall.operators.site_scan import handle_candidates, profile_table, scan_sites, verified_handles
 from rollcall.scratch import keep
 from rollcall.settings import LEVELS, NETWORK_SIZE, WEIGHTS
 from rollcall.sinks.reports import export_all
-from rollcall.sinks.tables import upsert, without_scopes
+from rollcall.sinks.tables import without_scopes
 
 
 @dataclass(frozen=True)
 class Rules:
-    """What a run may vary."""
+    """What a run may vary. ``rank_titles`` prefers search hits whose title names the company to the first hit."""
 
     scope: tuple[str, ...] = ("city",)
     weights: dict = field(default_factory=lambda: dict(WEIGHTS))
     levels: dict = field(default_factory=lambda: dict(LEVELS))
     network_size: int = NETWORK_SIZE
-    rank_titles: bool = True
+    rank_titles: bool = False
 
 
 def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -77,6 +78,32 @@ def finish(enriched: DataFrame, facts: DataFrame, rules: Rules = Rules()) -> Dat
     return score_companies(flagged, rules.weights, rules.levels)
 
 
+def _known_companies(companies: DataFrame, prior: DataFrame) -> DataFrame:
+    """Companies that were enriched before: merged values are new, what a visit found is kept."""
+    kept = ["tg_trust", "cms", "has_marquiz"]
+    stored = prior.select("id", F.col("website").alias("had_site"), F.col("messengers").alias("had_links"), *kept)
+    return companies.join(stored, "id").select(
+        "id",
+        "city",
+        F.col("name_best").alias("name"),
+        F.col("address").alias("address_raw"),
+        F.coalesce(clean_website(F.col("website")), "had_site").alias("website"),
+        "n_phones",
+        "n_emails",
+        "phone",
+        add_missing_keys(F.col("messengers"), F.col("had_links")).alias("messengers"),
+        *kept,
+        F.lit(False).alias("is_network"),
+        "needs_review",
+        "review_reason",
+    )
+
+
+def _with_counts(companies: DataFrame, facts: DataFrame) -> DataFrame:
+    plain = companies.drop("n_phones", "n_emails", "phone")
+    return plain.join(fact_counts(facts), "id", "left").na.fill(0, ["n_phones", "n_emails"])
+
+
 def run(
     listings: DataFrame,
     pages: DataFrame,
@@ -89,37 +116,48 @@ def run(
     """Scored companies of all listings, in list form.
 
     ``hits`` is (city, query_name, pos, url, title): search answers per company name and city. ``details`` is
-    (url, emails, phones, messengers, cms). ``already`` holds enriched companies that need no new visit;
-    only the others are enriched and they are added to it.
+    (url, emails, phones, messengers, cms). ``already`` holds companies of an earlier run: they get the merged
+    values of new listings and keep what was found for them, and only the others are visited and searched for.
+    A company of an earlier run that has become part of another one passes its findings on.
     """
     resolved = resolve_entities(listings, rules.scope)
     companies = resolved.companies
+    facts = resolved.facts
+    prior = None
     if already is not None:
-        companies = only_new(companies, already)
-    enriched = keep(enrich_companies(companies, pages, profiles), "enriched").df
-    facts = keep(resolved.facts, "facts").df
+        roots = resolved.labelled.select("id", "entity")
+        mapped = already.join(roots, "id")
+        prior = first_per_key(mapped.where("part = 0"), ["entity"], "id").drop("id").withColumnRenamed("entity", "id")
+        found = unnest(mapped).where(F.col("kind") != LISTING).join(roots, "id")
+        extra = found.select(F.col("entity").alias("id"), "kind", "value").distinct().join(facts, ["id", "kind", "value"], "left_anti")
+        facts = facts.unionByName(
+            extra.select("id", "kind", "value", F.lit(2**62).alias("first_id"), F.lit(0).alias("pos"))
+        )
+    facts = keep(facts, "facts").df
+    new = companies if prior is None else only_new(companies, prior)
+    enriched = keep(enrich_companies(new, pages, profiles), "enriched").df
     open_companies = missing_contacts(enriched)
     own_hits = hits.withColumnRenamed("query_name", "name").join(open_companies.select("id", "name", "city"), ["name", "city"])
     chosen = best_hits(open_companies, own_hits.select("id", "pos", "url", "title"), rules.rank_titles)
     filled = fill_gaps(enriched, facts, chosen.join(details, "url"))
-    scored = finish(filled.companies, filled.facts, rules)
-    kept = keep(scored, "scored").df
-    nested = nest(kept, filled.facts)
-    if already is None:
-        return nested
-    return already.unionByName(nested, allowMissingColumns=True)
+    together = filled.companies
+    if prior is not None:
+        known = _with_counts(_known_companies(companies, prior), facts)
+        together = together.unionByName(known)
+    scored = keep(finish(together, filled.facts, rules), "scored").df
+    return nest(scored, filled.facts)
 
 
 def refill(enriched: DataFrame, hits: DataFrame, details: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Fills the gaps of companies that are enriched already and scores them again."""
     facts = unnest(enriched)
-    counted = enriched.drop("phones", "emails", "n_phones", "n_emails", "phone").join(fact_counts(facts), "id", "left")
-    counted = counted.na.fill(0, ["n_phones", "n_emails"])
+    plain = enriched.where("part = 0").drop("part") if "part" in enriched.columns else enriched
+    counted = _with_counts(plain.drop("phones", "emails", "merged_from"), facts)
     open_companies = missing_contacts(counted)
     chosen = best_hits(open_companies, hits, rank_titles=True)
     filled = fill_gaps(counted, facts, chosen.join(details, "url"))
-    scored = finish(filled.companies, filled.facts, rules)
-    return nest(keep(scored, "scored").df, filled.facts)
+    scored = keep(finish(filled.companies, filled.facts, rules), "scored").df
+    return nest(scored, filled.facts)
 
 
 def restart(tables: dict[str, DataFrame], cities: list[str]) -> dict[str, DataFrame]:
@@ -130,6 +168,3 @@ def restart(tables: dict[str, DataFrame], cities: list[str]) -> dict[str, DataFr
 def publish(scored: DataFrame, folder: str, presets: dict | None = None) -> dict[str, str]:
     stored = keep(scored, "export").df
     return export_all(stored, folder) if presets is None else export_all(stored, folder, presets)
-
-
-__all__ = ["Rules", "enrich_companies", "finish", "publish", "refill", "restart", "run", "upsert"]

@@ -20,7 +20,7 @@ from rollcall.functions.urls import clean_website, domain_of, resolve_link, site
 from rollcall.operators.gaps import best_hits, fill_gaps, fill_statistics, missing_contacts, only_new
 from rollcall.operators.merge import fact_counts, nest, unnest
 from rollcall.operators.picking import first_per_key
-from rollcall.operators.site_scan import handle_candidates, scan_sites, verified_handles
+from rollcall.operators.site_scan import handle_candidates, scan_sites, verified_handles, visit_details
 from rollcall.queries import register
 from rollcall.queries.base import listing_sql, messenger_text, with_joined_lists
 from rollcall.settings import RELEVANT_WORDS
@@ -174,6 +174,26 @@ def _(spark, folder):
     return scanned.withColumn("messengers", messenger_text())
 
 
+@register(
+    "visit_details",
+    listing_sql(
+        """
+, text AS (SELECT id, id // 2 AS s, 'https://shop' || (id // 2) || '.example.ru' AS url FROM listings WHERE id % 6 < 4 AND id % 2 = 0)
+SELECT url, '+7 (495) 123-45-' || lpad((id % 100)::VARCHAR, 2, '0') AS phones, 'box' || id || '@example.ru' AS emails,
+       CASE WHEN s % 13 = 0 THEN 'unknown'
+            ELSE (['unknown', 'wordpress', 'bitrix', 'tilda', 'flexbe', 'lpmotor', 'joomla', 'opencart'])[(s % 8) + 1] END AS cms,
+       s % 13 <> 0 AND s % 3 = 0 AS home_telegram
+FROM text"""
+    ),
+)
+def _(spark, folder):
+    rows = listings(spark, folder)
+    fetched = derived_pages.noisy_outputs(rows).where("id % 2 = 0").withColumn("url", derived_pages.shop_site(F.col("id")))
+    found = with_joined_lists(visit_details(fetched, derived_pages.shop_pages(rows)), "phones", "emails")
+    home = F.try_element_at("messengers", F.lit("telegram")).like("https://t.me/shop%")
+    return found.select("url", "phones", "emails", "cms", F.coalesce(home, F.lit(False)).alias("home_telegram"))
+
+
 @register(
     "first_page_per_domain",
     r"""

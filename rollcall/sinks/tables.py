@@ -1,16 +1,19 @@
-"""Tables as versioned snapshots: append, upsert, scope delete.
+"""Stored tables: append, upsert and scope delete.
 
-A snapshot is written to a new folder and named in a small pointer table, so a job
-never overwrites what it reads, and a job that dies leaves the old snapshot current.
+``ScopedTable`` rewrites only the cities a change touches. ``Snapshots`` writes whole
+versions, for tables that must change all at once.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from rollcall.operators.linkage import SCOPE
+from rollcall.scratch import keep
 
 
 def append_listings(listings: DataFrame, path: str, scope: tuple[str, ...] = SCOPE) -> None:
@@ -40,6 +43,64 @@ def without_scopes(df: DataFrame, cities: list[str], scope: str = "city") -> Dat
     return df.where(~F.col(scope).isin(*cities)) if cities else df
 
 
+class ScopedTable:
+    """A Parquet table with one folder per city under ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str, scope: str = "city"):
+        self.spark, self.path, self.scope = spark, path.rstrip("/"), scope
+
+    def _files(self):
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+    def _folders(self) -> dict[str, object]:
+        """Folder of each city that has rows."""
+        files, root = self._files()
+        if not files.exists(root):
+            return {}
+        mark = f"{self.scope}="
+        names = [(unquote(s.getPath().getName()), s.getPath()) for s in files.listStatus(root) if s.isDirectory()]
+        return {name[len(mark) :]: path for name, path in names if name.startswith(mark)}
+
+    def scopes(self) -> list[str]:
+        return sorted(self._folders())
+
+    def read(self, cities: list[str] | None = None) -> DataFrame | None:
+        """The table, or the named cities of it; null when nothing is stored yet."""
+        if not self._folders():
+            return None
+        df = self.spark.read.parquet(self.path)
+        return df if cities is None else df.where(F.col(self.scope).isin(*cities))
+
+    def append(self, rows: DataFrame) -> None:
+        append_listings(rows, self.path, (self.scope,))
+
+    def replace(self, rows: DataFrame) -> None:
+        """Replaces the cities that occur in ``rows`` and leaves all others as they are.
+
+        ``rows`` is written to scratch first, so it may be computed from this table.
+        """
+        ready = keep(rows, "replace")
+        ready.df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.scope).parquet(self.path)
+        ready.drop()
+
+    def upsert(self, changes: DataFrame, key: str = "id") -> None:
+        """Upserts by key inside the touched cities; a row must not move to another city."""
+        current = self.read()
+        if current is None:
+            return self.append(changes)
+        touched = current.join(changes.select(self.scope).distinct(), self.scope, "left_semi")
+        self.replace(upsert(touched, changes, key))
+
+    def delete_scopes(self, cities: list[str]) -> None:
+        """Removes the folders of the named cities."""
+        files, _ = self._files()
+        for city, folder in self._folders().items():
+            if city in cities:
+                files.delete(folder, True)
+        self.spark.catalog.refreshByPath(self.path)
+
+
 class Snapshots:
     """A table kept as numbered snapshot folders under ``root``."""
 
