@@ -22,10 +22,12 @@ def clean_contacts(listings: DataFrame, country: str = "7", trunk: str = "8") ->
 
 
 def phone_links(listings: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
-    """(scope, key, id) for every phone of every listing; phones are taken as they are."""
-    return listings.select(*scope, "id", F.explode("phones").alias("phone")).select(
-        *scope, F.concat(F.lit("p:"), "phone").alias("key"), "id"
-    )
+    """(scope, key, id) for every phone of every listing; phones are taken as they are.
+
+    The outer form keeps Spark from adding a size test below, which would clean every list twice.
+    """
+    listed = listings.select(*scope, "id", F.explode_outer("phones").alias("phone")).where("phone is not null")
+    return listed.select(*scope, F.concat(F.lit("p:"), "phone").alias("key"), "id")
 
 
 def site_links(
@@ -80,10 +82,10 @@ def _contract(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     lowest = _parents(lifted).drop("degree")
-    side = lifted.join(lowest, F.col("hi") == F.col("node")).where("lo > parent")
+    moved = F.when(F.col("lo") == F.col("parent"), F.col("hi")).otherwise(F.col("lo"))
     return (
-        side.select(F.col("lo").alias("hi"), F.col("parent").alias("lo"))
-        .unionByName(lowest.select(F.col("node").alias("hi"), F.col("parent").alias("lo")))
+        lifted.join(lowest, F.col("hi") == F.col("node"))
+        .select(moved.alias("hi"), F.col("parent").alias("lo"))
         .distinct()
     )
 
@@ -113,7 +115,9 @@ def with_component(listings: DataFrame, roots: DataFrame, name: str = "entity")
 
 def clusters_by_key(listings: DataFrame, links: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
     """(scope, cluster, id) of all groups of two and more that hang together by the links."""
-    roots = connected_components(star_edges(links, scope)).df
+    stored = keep(links, "links")
+    roots = connected_components(star_edges(stored.df, scope)).df
+    stored.drop()
     members = roots.select(F.col("root").alias("cluster"), "id")
     lowest = members.select("cluster", F.col("cluster").alias("id")).distinct()
     return members.unionByName(lowest).join(listings.select("id", *scope), "id").select(*scope, "cluster", "id")

@@ -9,6 +9,7 @@ the list form for reports and lists.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +41,14 @@ class Resolved:
     labelled: DataFrame
     scope: tuple[str, ...] = SCOPE
 
-    @property
+    @cached_property
     def facts(self) -> DataFrame:
-        """(id, kind, value, first_id, pos): each phone, e-mail and listing id of a company, once."""
-        return company_facts(self.labelled)
+        """(id, kind, value, first_id, pos): each phone, e-mail and listing id of a company, once. Stored."""
+        return keep(company_facts(self.labelled), "facts").df
 
     @property
     def companies(self) -> DataFrame:
-        return merge_companies(self.labelled, self.scope)
+        return merge_companies(self.labelled, self.facts, self.scope)
 
     @property
     def members(self) -> DataFrame:
@@ -55,8 +56,8 @@ class Resolved:
 
 
 def _longest(name: str) -> Column:
-    """Longest stripped value of a group, of the lowest id on ties, null when all are blank."""
-    value = blank_to_null(F.col(name))
+    """Longest value of a group, of the lowest id on ties, null when all are null."""
+    value = F.col(name)
     return F.max_by(value, F.when(value.isNotNull(), F.struct(F.length(value).alias("n"), (-F.col("id")).alias("i"))))
 
 
@@ -110,19 +111,25 @@ def fact_counts(facts: DataFrame) -> DataFrame:
     )
 
 
-def merge_companies(labelled: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
+def merge_companies(labelled: DataFrame, facts: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
     """One row per group: longest name, address and website, counts, messengers, conflict flag."""
-    street = F.nullif(street_of(F.col("address_raw")), F.lit(""))
-    plain = labelled.groupBy(F.col("entity").alias("id")).agg(
+    values = labelled.select(
+        "entity",
+        "id",
+        *scope,
+        *[blank_to_null(F.col(c)).alias(c) for c in ("name", "address_raw", "website")],
+        F.nullif(street_of(F.col("address_raw")), F.lit("")).alias("street"),
+    )
+    plain = values.groupBy(F.col("entity").alias("id")).agg(
         *[F.min_by(c, "id").alias(c) for c in scope],
         F.coalesce(_longest("name"), F.lit("")).alias("name_best"),
         F.coalesce(_longest("address_raw"), F.lit("")).alias("address"),
         _longest("website").alias("website"),
         F.count(F.lit(1)).alias("n_listings"),
-        (F.coalesce(F.min(street) != F.max(street), F.lit(False))).alias("needs_review"),
+        F.coalesce(F.min("street") != F.max("street"), F.lit(False)).alias("needs_review"),
     )
     return (
-        plain.join(fact_counts(company_facts(labelled)), "id", "left")
+        plain.join(fact_counts(facts), "id", "left")
         .join(company_messengers(labelled), "id", "left")
         .select(
             "id",
@@ -155,7 +162,7 @@ def resolve_entities(
     """Groups listings that share a phone or a website host, transitively, within each scope.
 
     ``extra_edges`` (hi, lo), for example of similar names, join the same grouping.
-    The labelled listings are written to scratch once; the tables of the result read them.
+    Links and labelled listings are written to scratch once each; what follows reads them from there.
     """
     cleaned = clean_contacts(listings, country, trunk)
     links = []
@@ -163,11 +170,10 @@ def resolve_entities(
         links.append(phone_links(cleaned, scope))
     if "site" in keys:
         links.append(site_links(cleaned, scope, literal, shared_hosts))
-    edges = extra_edges
-    for link in [links[0].unionByName(links[1])] if len(links) == 2 else links:
-        stars = star_edges(link, scope)
-        edges = stars if edges is None else edges.unionByName(stars)
-    roots = connected_components(edges)
+    stored = keep(reduce(DataFrame.unionByName, links), "links")
+    stars = star_edges(stored.df, scope)
+    roots = connected_components(stars if extra_edges is None else stars.unionByName(extra_edges))
+    stored.drop()
     labelled = with_component(cleaned, roots.df).select(
         "entity",
         "id",

@@ -130,10 +130,8 @@ def run(
         prior = first_per_key(mapped.where("part = 0"), ["entity"], "id").drop("id").withColumnRenamed("entity", "id")
         found = unnest(mapped).where(F.col("kind") != LISTING).join(roots, "id")
         extra = found.select(F.col("entity").alias("id"), "kind", "value").distinct().join(facts, ["id", "kind", "value"], "left_anti")
-        facts = facts.unionByName(
-            extra.select("id", "kind", "value", F.lit(2**62).alias("first_id"), F.lit(0).alias("pos"))
-        )
-    facts = keep(facts, "facts").df
+        late = extra.select("id", "kind", "value", F.lit(2**62).alias("first_id"), F.lit(0).alias("pos"))
+        facts = keep(facts.unionByName(late), "facts").df
     new = companies if prior is None else only_new(companies, prior)
     enriched = keep(enrich_companies(new, pages, profiles), "enriched").df
     open_companies = missing_contacts(enriched)
