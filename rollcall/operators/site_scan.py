@@ -119,8 +119,8 @@ def verified_handles(
 
 
 def profile_table(profiles: DataFrame) -> DataFrame:
-    """(url, tg_trust) per stored profile."""
-    return profiles.dropDuplicates(["url"]).select("url", profile_trust(F.col("html")).alias("tg_trust"))
+    """(url, tg_trust) per stored profile; of several copies the one with the most marks."""
+    return profiles.select("url", profile_trust(F.col("html")).alias("tg_trust")).groupBy("url").agg(F.max("tg_trust").alias("tg_trust"))
 
 
 def add_messengers(companies: DataFrame, found: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.places import relabel_scope
 from rollcall.operators.stages import stage_by_city
 from rollcall.plans.full_run import Rules, refill, run
+from rollcall.scratch import scratch_dropped_after
 from rollcall.settings import PRESETS
 from rollcall.sinks.reports import export_all, export_preset, markdown_lines, write_csv, write_lines
 from rollcall.sinks.tables import ScopedTable
@@ -41,6 +42,11 @@ class Workspace:
     def cities(self, city: str = "all") -> list[str]:
         return self.raw.scopes() if city.lower() == "all" else [city]
 
+    @staticmethod
+    def _wanted(city: str) -> list[str] | None:
+        """Filter for reading a table: none for all cities."""
+        return None if city.lower() == "all" else [city]
+
     def stages(self) -> DataFrame:
         raw, companies = self.raw.read(), self.companies.read()
         empty = self.spark.createDataFrame([], "city string")
@@ -69,19 +75,16 @@ class Workspace:
         cities = self.cities(city)
         if force:
             self.companies.delete_scopes(cities)
-        known = self.companies.read(cities)
-        if re_enrich:
-            if known is not None:
-                hits = self.input("hits").join(
-                    known.where("part = 0").select("id", F.col("name").alias("query_name"), "city"), ["query_name", "city"]
-                )
-                self.companies.replace(refill(known, hits.select("id", "pos", "url", "title"), self.input("details"), self.rules))
-            return cities
-        listings = self.raw.read(cities)
-        if listings is None:
-            return cities
+        known = self.companies.read(self._wanted(city))
+        listings = self.raw.read(self._wanted(city))
         inputs = {name: self.input(name) for name in INPUTS}
-        self.companies.replace(run(listings, **inputs, already=known, rules=self.rules))
+        with scratch_dropped_after():
+            if re_enrich and known is not None:
+                named = known.where("part = 0").select("id", F.col("name").alias("query_name"), "city")
+                hits = inputs["hits"].join(named, ["query_name", "city"]).select("id", "pos", "url", "title")
+                self.companies.replace(refill(known, hits, inputs["details"], self.rules))
+            elif not re_enrich and listings is not None:
+                self.companies.replace(run(listings, **inputs, already=known, rules=self.rules))
         return cities
 
     def clear(self, city: str) -> None:
@@ -91,7 +94,7 @@ class Workspace:
 
     def export(self, city: str = "all", format: str = "csv") -> str | None:
         """Writes the companies of the cities as ``csv`` or ``md`` and returns the folder."""
-        rows = self.companies.read(self.cities(city))
+        rows = self.companies.read(self._wanted(city))
         if rows is None:
             return None
         path = f"{self.root}/export/{'report' if format == 'md' else 'enriched'}"
@@ -104,9 +107,9 @@ class Workspace:
     def export_preset(self, preset: str, city: str = "all", presets: dict[str, dict] = PRESETS) -> str | None:
         if preset not in presets:
             raise KeyError(f"no preset {preset}; there are {', '.join(presets)}")
-        rows = self.companies.read(self.cities(city))
+        rows = self.companies.read(self._wanted(city))
         return None if rows is None else export_preset(rows, preset, presets[preset], f"{self.root}/export")
 
     def export_everything(self, city: str = "all", presets: dict[str, dict] = PRESETS) -> dict[str, str]:
-        rows = self.companies.read(self.cities(city))
+        rows = self.companies.read(self._wanted(city))
         return {} if rows is None else export_all(rows, f"{self.root}/export", presets)

@@ -37,7 +37,8 @@ def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame
     cleaned = companies.withColumn("website", clean_website(F.col("website"))).withColumn("site", site_root(F.col("website")))
     scanned = scan_sites(cleaned.where("site is not null").select("site"), pages).withColumnRenamed("messengers", "found")
     on_site = cleaned.join(scanned, "site", "left")
-    seen = on_site.withColumn("messengers", add_missing_keys(F.col("messengers"), F.col("found"))).drop("found", "site")
+    linked = on_site.withColumn("messengers", add_missing_keys(F.col("messengers"), F.col("found"))).drop("found", "site")
+    seen = keep(linked, "linked").df
     silent = seen.where(~F.map_contains_key("messengers", "telegram")).select("id", F.col("name_best").alias("name"), "phone")
     handles = verified_handles(handle_candidates(silent), profiles).select("id", F.col("url").alias("handle"))
     addressed = seen.join(handles, "id", "left").withColumn(
@@ -121,7 +122,7 @@ def run(
     A company of an earlier run that has become part of another one passes its findings on.
     """
     resolved = resolve_entities(listings, rules.scope)
-    companies = resolved.companies
+    companies = keep(resolved.companies, "companies").df
     facts = resolved.facts
     prior = None
     if already is not None:

@@ -292,12 +292,10 @@ def _(spark, folder):
 
 @register(
     "search_queries",
-    "SELECT n_name AS city, phrase || ' ' || r_name AS query FROM nation JOIN region ON n_regionkey = r_regionkey, (SELECT unnest(['monuments', 'stone works']) AS phrase)",
+    listing_sql("SELECT DISTINCT city, phrase || ' ' || region AS query FROM listings, (SELECT unnest(['monuments', 'stone works']) AS phrase)"),
 )
 def _(spark, folder):
-    nations = table(spark, folder, "nation").join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    regions = nations.select(F.col("n_name").alias("city"), F.col("r_name").alias("region"))
-    return search_queries(regions, ("monuments", "stone works"))
+    return search_queries(listings(spark, folder).select("city", "region").distinct(), ("monuments", "stone works"))
 
 
 @register(

@@ -178,7 +178,7 @@ def _(spark, folder):
     "visit_details",
     listing_sql(
         """
-, text AS (SELECT id, id // 2 AS s, 'https://shop' || (id // 2) || '.example.ru' AS url FROM listings WHERE id % 6 < 4 AND id % 2 = 0)
+, text AS (SELECT id, id // 2 AS s, 'https://shop' || (id // 2) || '.example.ru' AS url FROM listings WHERE id % 6 < 4)
 SELECT url, '+7 (495) 123-45-' || lpad((id % 100)::VARCHAR, 2, '0') AS phones, 'box' || id || '@example.ru' AS emails,
        CASE WHEN s % 13 = 0 THEN 'unknown'
             ELSE (['unknown', 'wordpress', 'bitrix', 'tilda', 'flexbe', 'lpmotor', 'joomla', 'opencart'])[(s % 8) + 1] END AS cms,
@@ -188,7 +188,7 @@ FROM text"""
 )
 def _(spark, folder):
     rows = listings(spark, folder)
-    fetched = derived_pages.noisy_outputs(rows).where("id % 2 = 0").withColumn("url", derived_pages.shop_site(F.col("id")))
+    fetched = derived_pages.noisy_outputs(rows).withColumn("url", derived_pages.shop_site(F.col("id")))
     found = with_joined_lists(visit_details(fetched, derived_pages.shop_pages(rows)), "phones", "emails")
     home = F.try_element_at("messengers", F.lit("telegram")).like("https://t.me/shop%")
     return found.select("url", "phones", "emails", "cms", F.coalesce(home, F.lit(False)).alias("home_telegram"))

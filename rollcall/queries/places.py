@@ -141,14 +141,14 @@ def _(spark, folder):
     "subdomains",
     listing_sql(
         """
-SELECT id::VARCHAR AS city, CASE WHEN id % 7 = 0 THEN 'known' || id ELSE coalesce('sub' || id || '-' || (SELECT max(pos) FROM best b WHERE b.city = listings.id::VARCHAR), id::VARCHAR) END AS subdomain
+SELECT id::VARCHAR AS city, CASE WHEN source = 'src0' THEN 'known' || id ELSE coalesce('sub' || id || '-' || (SELECT max(pos) FROM best b WHERE b.city = listings.id::VARCHAR), id::VARCHAR) END AS subdomain
 FROM listings""",
         CANDIDATES,
     ),
 )
 def _(spark, folder):
-    cities = listings(spark, folder).select(F.col("id").cast("string").alias("city"), "id")
-    known = cities.where("id % 7 = 0").select("city", F.concat(F.lit("known"), "city").alias("subdomain"))
+    cities = listings(spark, folder).select(F.col("id").cast("string").alias("city"), "source")
+    known = cities.where("source = 'src0'").select("city", F.concat(F.lit("known"), "city").alias("subdomain"))
     return resolve_subdomains(cities, known, best_localities(candidates(spark, folder)), "dir.example.ru")
 
 
@@ -180,12 +180,12 @@ def _(spark, folder):
 
 @register(
     "cities_to_look_up",
-    "SELECT DISTINCT n_name AS city FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 5 = 0)",
+    "SELECT DISTINCT n_name AS city FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 1000)",
 )
 def _(spark, folder):
     nations = nation_region(spark, folder)
     wanted = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n")).select(F.col("name").alias("city"))
-    cached = table(spark, folder, "supplier").where("s_suppkey % 5 = 0").join(nations, F.col("s_nationkey") == F.col("n"))
+    cached = table(spark, folder, "supplier").where("s_acctbal < 1000").join(nations, F.col("s_nationkey") == F.col("n"))
     return still_unknown(wanted, cached.select(F.col("name").alias("city")).distinct())
 
 
@@ -238,8 +238,8 @@ def _(spark, folder):
     "stage_by_city",
     listing_sql(
         """
-, c AS (SELECT city, count(*) FILTER (region <> 'ASIA') AS n_raw, count(*) FILTER (region IN ('AFRICA', 'AMERICA') AND id % 2 = 0) AS n_companies,
-              count(*) FILTER (region = 'AFRICA' AND id % 3 = 0) AS n_enriched FROM listings GROUP BY city)
+, c AS (SELECT city, count(*) FILTER (region <> 'ASIA') AS n_raw, count(*) FILTER (region IN ('AFRICA', 'AMERICA')) AS n_companies,
+              count(*) FILTER (region = 'AFRICA' AND website IS NOT NULL) AS n_enriched FROM listings GROUP BY city)
 SELECT city, CASE WHEN n_enriched > 0 THEN 'enriched' WHEN n_companies > 0 THEN 'deduped' WHEN n_raw > 0 THEN 'scraped' ELSE 'start' END AS stage,
        n_raw, n_companies, n_enriched FROM c"""
     ),
@@ -249,8 +249,8 @@ def _(spark, folder):
     return stage_by_city(
         rows.select("city"),
         rows.where("region <> 'ASIA'"),
-        rows.where("region in ('AFRICA', 'AMERICA') and id % 2 = 0"),
-        rows.where("region = 'AFRICA' and id % 3 = 0"),
+        rows.where("region in ('AFRICA', 'AMERICA')"),
+        rows.where("region = 'AFRICA' and website is not null"),
     )
 
 

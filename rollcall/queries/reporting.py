@@ -11,7 +11,7 @@ from rollcall.queries.enriching import FILL
 from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
 from rollcall.scratch import scratch_path
 from rollcall.sinks.reports import csv_rows, markdown_lines
-from rollcall.sinks.tables import Snapshots, upsert, without_scopes
+from rollcall.sinks.tables import ScopedTable, Snapshots, upsert, without_scopes
 from rollcall.sources import derived_pages
 from rollcall.sources.driver_tables import enriched_listings, listings, sites
 from rollcall.sources.search import search_results
@@ -97,31 +97,48 @@ def _(spark, folder):
     listing_sql(
         """
 SELECT coalesce(a.id, b.id) AS id, coalesce(b.city, a.city) AS city, coalesce(b.website, a.website) AS website, coalesce(b.cms, a.cms) AS cms
-FROM (SELECT id, city, website, cms FROM listings WHERE id % 4 <> 0) a
-FULL JOIN (SELECT id, city, CASE WHEN id % 2 = 0 THEN 'https://new' || id END AS website, 'new' AS cms FROM listings WHERE id % 3 <> 0) b ON a.id = b.id"""
+FROM (SELECT id, city, website, cms FROM listings WHERE cms <> 'tilda') a
+FULL JOIN (SELECT id, city, CASE WHEN id % 2 = 0 THEN 'https://new' || id END AS website, 'new' AS cms FROM listings WHERE cms <> 'bitrix') b ON a.id = b.id"""
     ),
 )
 def _(spark, folder):
     rows = listings(spark, folder).select("id", "city", "website", "cms")
-    changes = rows.where("id % 3 <> 0").select(
+    changes = rows.where("cms <> 'bitrix'").select(
         "id", "city", F.when(F.col("id") % 2 == 0, F.concat(F.lit("https://new"), F.col("id").cast("string"))).alias("website"), F.lit("new").alias("cms")
     )
-    return upsert(rows.where("id % 4 <> 0"), changes)
+    return upsert(rows.where("cms <> 'tilda'"), changes)
 
 
 @register(
     "stored_snapshots",
-    listing_sql("SELECT id, city, CASE WHEN id % 2 = 0 THEN 'second' ELSE 'first' END AS status FROM listings WHERE city <> 'NATION_3'"),
+    listing_sql("SELECT id, city, CASE WHEN website IS NOT NULL THEN 'second' ELSE 'first' END AS status FROM listings WHERE city <> 'NATION_3'"),
 )
 def _(spark, folder):
     """Three versions of a table: written, upserted, one city deleted."""
-    rows = listings(spark, folder).select("id", "city", F.lit("first").alias("status"))
+    shops = listings(spark, folder)
+    rows = shops.select("id", "city", F.lit("first").alias("status"))
     snapshots = Snapshots(spark, scratch_path(spark, "snapshots"))
     snapshots.upsert(rows)
-    snapshots.upsert(rows.where("id % 2 = 0").withColumn("status", F.lit("second")))
+    snapshots.upsert(shops.where("website is not null").select("id", "city", F.lit("second").alias("status")))
     return snapshots.delete_scopes(["NATION_3"]).select("id", "city", "status")
 
 
+@register(
+    "upserted_cities",
+    listing_sql(
+        "SELECT id, city, CASE WHEN region = 'ASIA' AND website IS NOT NULL THEN 'second' ELSE 'first' END AS status FROM listings WHERE city <> 'NATION_3'"
+    ),
+)
+def _(spark, folder):
+    """A table kept by city: appended, one region upserted in place, one city deleted."""
+    shops = listings(spark, folder)
+    stored = ScopedTable(spark, scratch_path(spark, "cities"))
+    stored.append(shops.select("id", "city", F.lit("first").alias("status")))
+    stored.upsert(shops.where("region = 'ASIA' and website is not null").select("id", "city", F.lit("second").alias("status")))
+    stored.delete_scopes(["NATION_3"])
+    return stored.read().select("id", "city", "status")
+
+
 @register("without_scopes", listing_sql("SELECT id, city FROM listings WHERE city NOT IN ('NATION_1', 'NATION_2')"))
 def _(spark, folder):
     return without_scopes(listings(spark, folder).select("id", "city"), ["NATION_1", "NATION_2"])

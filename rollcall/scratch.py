@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +46,25 @@ class Kept:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_kept: list[Kept] = []
+
+
 def keep(df: DataFrame, label: str) -> Kept:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return Kept(spark.read.schema(df.schema).parquet(path), path)
+    kept = Kept(spark.read.schema(df.schema).parquet(path), path)
+    _kept.append(kept)
+    return kept
+
+
+@contextmanager
+def scratch_dropped_after() -> Iterator[None]:
+    """Removes the intermediate tables written inside the block when it ends, whatever its outcome."""
+    start = len(_kept)
+    try:
+        yield
+    finally:
+        for kept in _kept[start:]:
+            kept.drop()
+        del _kept[start:]

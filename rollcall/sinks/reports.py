@@ -76,7 +76,7 @@ def markdown_lines(
     Section 0 is the head of a report, 1 to 4 are the segments A to D; any other segment goes to D.
     """
     place = F.col(scope)
-    capital = F.concat(F.upper(F.substring(place, 1, 1)), F.lower(F.substring(place, 2, 10_000)))
+    capital = F.concat(F.upper(F.substring(place, 1, 1)), F.lower(F.substring(place, F.lit(2), F.length(place))))
     segment = F.when(F.col("segment").isin("A", "B", "C"), F.col("segment")).otherwise("D")
     tagged = scored.withColumns({"letter": segment, "section": F.ascii(segment) - 64})
     site = F.coalesce("website", F.lit(""))
@@ -208,7 +208,8 @@ def write_lines(lines: DataFrame, path: str, scope: str = "city") -> None:
 
 
 def write_json(scored: DataFrame, path: str, scope: str = "city") -> None:
-    scored.withColumn("folder", slugify(F.col(scope))).write.mode("overwrite").partitionBy("folder").json(path)
+    foldered = scored.withColumn("folder", slugify(F.col(scope)))
+    foldered.hint("rebalance", "folder").write.mode("overwrite").partitionBy("folder").json(path)
 
 
 def conflicts_report(labelled: DataFrame, companies: DataFrame, path: str, scope: str = "city") -> None:

@@ -17,7 +17,8 @@ from rollcall.scratch import keep
 
 
 def append_listings(listings: DataFrame, path: str, scope: tuple[str, ...] = SCOPE) -> None:
-    listings.write.mode("append").partitionBy(*scope).parquet(path)
+    """Appends by city. The rebalance puts a city's rows together and splits large cities into several files."""
+    listings.hint("rebalance", *scope).write.mode("append").partitionBy(*scope).parquet(path)
 
 
 def read_scope(spark: SparkSession, path: str, city: str | None = None) -> DataFrame:
@@ -81,16 +82,22 @@ class ScopedTable:
         ``rows`` is written to scratch first, so it may be computed from this table.
         """
         ready = keep(rows, "replace")
-        ready.df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.scope).parquet(self.path)
+        ready.df.hint("rebalance", self.scope).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.scope).parquet(self.path)
         ready.drop()
 
     def upsert(self, changes: DataFrame, key: str = "id") -> None:
-        """Upserts by key inside the touched cities; a row must not move to another city."""
-        current = self.read()
+        """Upserts by key inside the touched cities; a row must not move to another city.
+
+        The touched cities are named to the reader, so only their folders are read and rewritten.
+        """
+        ready = keep(changes, "changes")
+        touched = [row[0] for row in ready.df.select(self.scope).distinct().collect()]
+        current = self.read(touched)
         if current is None:
-            return self.append(changes)
-        touched = current.join(changes.select(self.scope).distinct(), self.scope, "left_semi")
-        self.replace(upsert(touched, changes, key))
+            self.append(ready.df)
+        else:
+            self.replace(upsert(current, ready.df, key))
+        ready.drop()
 
     def delete_scopes(self, cities: list[str]) -> None:
         """Removes the folders of the named cities."""
@@ -122,7 +129,7 @@ class Snapshots:
 
     def write(self, df: DataFrame) -> DataFrame:
         number = self.version() + 1
-        df.write.mode("overwrite").partitionBy(*self.scope).parquet(f"{self.root}/v{number}")
+        df.hint("rebalance", *self.scope).write.mode("overwrite").partitionBy(*self.scope).parquet(f"{self.root}/v{number}")
         self.spark.range(1).select(F.lit(number).alias("version")).write.mode("append").parquet(f"{self.root}/versions")
         return self.spark.read.parquet(f"{self.root}/v{number}")
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let, rows_with
 from rollcall.functions.emails import emails_in_text
 from rollcall.functions.html import every, first, messenger_map, without_tags
 from rollcall.functions.phones import normalize_phones
@@ -155,20 +156,20 @@ def cards_of(pages: DataFrame, rules: CardRules) -> DataFrame:
     if rules.link:
         found = F.nullif(F.regexp_extract(card, _flags(rules.link), 1), F.lit(""))
         source_url = F.coalesce(resolve_link(F.col("url"), found), F.lit(""))
-    rows = cards.select(
+    named = let(_first_content(card, rules.names), lambda name: F.when(F.length(name) >= rules.shortest_name, name))
+    return cards.select(
         "city",
         F.lit(rules.source).alias("source"),
         "url",
         "pos",
         source_url.alias("source_url"),
-        _first_content(card, rules.names).alias("name"),
+        rows_with(named).alias("name"),
         normalize_phones(numbers).alias("phones"),
         F.coalesce(_first_content(card, rules.addresses), F.lit("")).alias("address_raw"),
         website.alias("website"),
         (emails_in_text(card) if rules.emails else no_strings()).alias("emails"),
         messenger_map(**{kind: _last_link(hrefs, kind, rules.messengers) for kind in rules.messengers}).alias("messengers"),
     )
-    return rows.where(F.length("name") >= rules.shortest_name)
 
 
 def company_page_links(pages: DataFrame, category: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.functions.html import every, without_tags
 from rollcall.functions.phones import normalize_phones
 from rollcall.functions.places import geo_point, is_local
@@ -31,12 +32,9 @@ def listed_businesses(pages: DataFrame) -> DataFrame:
     bodies = pages.select(
         "category", "city", "page", F.col("url").alias("source_url"), F.posexplode(every(F.col("html"), SCRIPT)).alias("block", "body")
     )
-    parsed = bodies.where(F.startswith(F.ltrim("body"), F.lit("{"))).select(
-        "category", "city", "page", "source_url", "block", F.from_json("body", ITEM_LIST).alias("list")
-    )
-    items = parsed.where(F.col("list.`@type`") == "ItemList").select(
-        "category", "city", "page", "source_url", "block", F.posexplode("list.itemListElement").alias("pos", "element")
-    )
+    parsed = F.from_json(F.when(F.startswith(F.ltrim("body"), F.lit("{")), F.col("body")), ITEM_LIST)
+    elements = let(parsed, lambda found: F.when(found["@type"] == "ItemList", found["itemListElement"]))
+    items = bodies.select("category", "city", "page", "source_url", "block", F.posexplode(elements).alias("pos", "element"))
     item = F.col("element.item")
     street = F.coalesce(item["address"]["streetAddress"], F.lit(""))
     locality = F.coalesce(item["address"]["addressLocality"], F.lit(""))
@@ -66,9 +64,9 @@ def local_listings(pages: DataFrame) -> DataFrame:
     Foreign rows are dropped first, so they do not use up an address; rows without an address all stay.
     """
     local = listed_businesses(pages).where(is_local(F.col("locality"), F.col("city")))
-    anonymous = local.where("org_url is null")
-    named = first_per_key(local.where("org_url is not null"), ["category", "city", "org_url"], "page", "block", "pos")
-    return named.select(*local.columns).unionByName(anonymous)
+    own_key = F.concat_ws("#", F.lit(""), "source_url", "page", "block", "pos")
+    keyed = local.withColumn("listing_key", F.coalesce("org_url", own_key))
+    return first_per_key(keyed, ["category", "city", "listing_key"], "page", "block", "pos").select(*local.columns)
 
 
 def declared_total(html: Column) -> Column:

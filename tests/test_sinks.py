@@ -1,10 +1,12 @@
 import glob
+import os
 
 from pyspark.sql import functions as F
 
 from rollcall.operators.merge import resolve_entities
 from rollcall.sinks.reports import conflict_lines, conflicts_report, export_all, write_csv
-from rollcall.sinks.tables import Snapshots, append_listings, read_scope, upsert
+from rollcall.scratch import keep, scratch_dropped_after, scratch_path
+from rollcall.sinks.tables import ScopedTable, Snapshots, append_listings, read_scope, upsert
 from rollcall.streaming.ingest import distinct_listings, ingest, listing_stream
 from tests.test_companies import company, table
 from tests.test_grouping import listing
@@ -128,3 +130,26 @@ def test_stream_takes_each_address_once(spark, tmp_path):
     got = spark.read.parquet(target)
     assert got.where("source_url = 'https://u/1'").count() == 1 and got.where("source_url = 'https://u/2'").count() == 1
     assert {r.id for r in got.where("source_url = ''").collect()} == {3, 13}
+
+
+def test_scoped_table_rewrites_only_touched_cities(spark, tmp_path):
+    store = ScopedTable(spark, str(tmp_path / "scoped"))
+    assert store.read() is None and store.scopes() == []
+    rows = [(1, "T", "a"), (2, "U", "b"), (3, "Орёл / 1", "c")]
+    store.upsert(spark.createDataFrame(rows, "id long, city string, v string"))
+    assert store.scopes() == ["T", "U", "Орёл / 1"]
+    untouched = sorted(glob.glob(str(tmp_path / "scoped/city=U/*.parquet")))
+    store.upsert(spark.createDataFrame([(1, "T", "z"), (4, "T", "n"), (3, "Орёл / 1", None)], "id long, city string, v string"))
+    assert sorted((r.id, r.v) for r in store.read().collect()) == [(1, "z"), (2, "b"), (3, "c"), (4, "n")]
+    assert sorted(glob.glob(str(tmp_path / "scoped/city=U/*.parquet"))) == untouched
+    store.delete_scopes(["Орёл / 1", "T"])
+    assert [r.id for r in store.read().collect()] == [2] and store.read(["T"]).count() == 0
+
+
+def test_scratch_is_dropped_and_stands_in_the_checkpoint_folder(spark, tmp_path):
+    with scratch_dropped_after():
+        kept = keep(spark.range(5), "probe")
+        assert kept.df.count() == 5 and os.path.isdir(kept.path.removeprefix("file:"))
+    assert not os.path.isdir(kept.path.removeprefix("file:"))
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert scratch_path(spark, "x").startswith(configured or spark.sparkContext.getCheckpointDir())
