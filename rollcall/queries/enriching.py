@@ -136,35 +136,41 @@ def _(spark, folder):
     return table(spark, folder, "pages").select("page_id", cms_of(html, PAGE_MARKS).alias("builder"), has_quiz(html, "<nav>").alias("has_widget"))
 
 
-@register(
-    "site_scan",
-    listing_sql(
-        """
-, home AS (
+# Messengers, builder and widget of every shop site, from what its pages are known to hold.
+SCANNED = """
+home AS (
     SELECT s, CASE WHEN s % 3 = 0 THEN 'https://t.me/shop' || s END AS tg, CASE WHEN s % 5 = 0 THEN 'https://www.vk.com/shop' || s END AS vk
     FROM shops WHERE s % 13 <> 0
-), contact AS (
+),
+further AS (
     SELECT *, tg IS NULL AND s % 7 <> 0 AS visited,
-           CASE WHEN s % 6 = 2 THEN 'https://telegram.me/late' || s END AS tg2, CASE WHEN s % 6 = 1 THEN 'https://wa.me/7900' || s END AS wa2
+           CASE WHEN s % 6 = 2 THEN 'https://telegram.me/late' || s WHEN s % 10 = 3 THEN 'https://t.me/about' || s END AS tg2,
+           CASE WHEN s % 6 = 1 THEN 'https://wa.me/7900' || s WHEN s % 10 = 5 THEN 'https://api.whatsapp.com/send?phone=7' || s END AS wa2,
+           CASE WHEN s % 2 = 1 THEN 'http://vk.com/offer' || s END AS vk2
     FROM home
-), more AS (
-    SELECT *, visited AS v3, CASE WHEN s % 10 = 3 THEN 'https://t.me/about' || s END AS tg3,
-           CASE WHEN s % 10 = 5 THEN 'https://api.whatsapp.com/send?phone=7' || s END AS wa4,
-           CASE WHEN s % 2 = 1 THEN 'http://vk.com/offer' || s END AS vk5
-    FROM contact
-), step AS (
-    SELECT *, CASE WHEN visited THEN coalesce(tg, tg2, tg3) ELSE tg END AS telegram FROM more
-), found AS (
-    SELECT *, CASE WHEN visited THEN coalesce(wa2, wa4) END AS whatsapp FROM step
+),
+linked AS (
+    SELECT *, CASE WHEN visited THEN coalesce(tg, tg2) ELSE tg END AS telegram, CASE WHEN visited THEN wa2 END AS whatsapp FROM further
+),
+scanned AS (
+    SELECT s, telegram, whatsapp,
+           CASE WHEN visited AND NOT (telegram IS NOT NULL AND whatsapp IS NOT NULL) THEN coalesce(vk, vk2) ELSE vk END AS vk,
+           (['unknown', 'wordpress', 'bitrix', 'tilda', 'flexbe', 'lpmotor', 'joomla', 'opencart'])[(s % 8) + 1] AS cms,
+           s % 9 = 0 AS has_marquiz
+    FROM linked
 )
-SELECT 'https://shop' || s || '.example.ru' AS site,
-       concat_ws(';', 'telegram=' || telegram,
-                 'vk=' || (CASE WHEN visited AND NOT (telegram IS NOT NULL AND whatsapp IS NOT NULL) THEN coalesce(vk, vk5) ELSE vk END),
-                 'whatsapp=' || whatsapp) AS messengers,
-       (['unknown', 'wordpress', 'bitrix', 'tilda', 'flexbe', 'lpmotor', 'joomla', 'opencart'])[(s % 8) + 1] AS cms,
-       s % 9 = 0 AS has_marquiz
-FROM found""",
+"""
+
+
+@register(
+    "site_scan",
+    listing_sql(
+        """
+SELECT 'https://shop' || s || '.example.ru' AS site, cms, has_marquiz,
+       concat_ws(';', 'telegram=' || telegram, 'vk=' || vk, 'whatsapp=' || whatsapp) AS messengers
+FROM scanned""",
         SHOPS,
+        SCANNED,
     ),
 )
 def _(spark, folder):

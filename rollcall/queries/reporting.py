@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.plans.full_run import publish, refill, run
+from rollcall.plans.full_run import Rules, publish, refill, run
 from rollcall.queries import register
-from rollcall.queries.base import listing_sql, with_joined_lists
-from rollcall.queries.enriching import FILL
+from rollcall.queries.base import COMPONENTS, listing_sql, with_joined_lists
+from rollcall.queries.enriching import FILL, SCANNED, SHOPS
+from rollcall.queries.grouping import MERGED
 from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
 from rollcall.scratch import scratch_path
 from rollcall.sinks.reports import csv_rows, markdown_lines
@@ -186,7 +187,83 @@ def _(spark, folder):
     return refill(rows, hits, details).select("id", "city", "n_phones", "n_emails", "is_network", "crm_score", "segment")
 
 
-@register("full_run")
+WHOLE_RUN = r"""
+visited AS (
+    SELECT *, CASE WHEN website IS NULL OR starts_with(website, 'http') THEN website ELSE 'https://' || website END AS clean FROM company
+),
+keyed AS (SELECT *, try_cast(regexp_extract(clean, '^https://shop([0-9]+)\.example\.ru/$', 1) AS BIGINT) AS shop FROM visited),
+seen AS (
+    SELECT k.id, k.city, name_best, clean, phones, emails, merged_from, n_emails, needs_review, coalesce(k.telegram, f.telegram) AS tg,
+           coalesce(k.vk, f.vk) AS vk, coalesce(k.whatsapp, f.whatsapp) AS wa, coalesce(f.cms, 'unknown') AS cms,
+           coalesce(f.has_marquiz, false) AS quiz
+    FROM keyed k LEFT JOIN scanned f ON f.s = k.shop
+),
+trusted AS (
+    SELECT *, (p % 2 = 0)::INTEGER + (p % 3 = 0)::INTEGER - (p % 5 = 0)::INTEGER - (p % 7 = 0)::INTEGER AS trust
+    FROM (SELECT *, (SELECT max(l.id) FROM listings l WHERE 'https://t.me/shop' || l.id = tg) AS p FROM seen)
+),
+answered AS (SELECT city, name, min(id) AS m FROM listings WHERE id % 8 NOT IN (0, 1) GROUP BY ALL),
+chosen AS (
+    SELECT t.id, m FROM trusted t JOIN answered a ON a.city = t.city AND a.name = t.name_best
+    WHERE (clean IS NULL OR n_emails = 0) AND m % 3 = 0 AND m % 2 = 1 AND m % 11 <> 0
+),
+offered AS (
+    SELECT c.id, 'phone' AS kind, 0 AS pos, p AS value FROM chosen c JOIN phone_values v ON v.id = m AND v.pos = 1 WHERE length(p) = 11 AND p[1] = '7'
+    UNION ALL SELECT id, 'phone', 1, '7955' || lpad((m % 10000000)::VARCHAR, 7, '0') FROM chosen
+    UNION ALL SELECT id, 'email', 0, 'found' || m || '@example.ru' FROM chosen
+),
+had AS (
+    SELECT entity AS id, 'phone' AS kind, phone AS value, first_id, pos FROM company_phone
+    UNION ALL SELECT entity, 'email', email, first_id, pos FROM company_email
+),
+everything AS (
+    SELECT * FROM had UNION ALL SELECT id, kind, value, 4611686018427387904, pos FROM offered ANTI JOIN had USING (id, kind, value)
+),
+listed AS (
+    SELECT id, coalesce(string_agg(value, ';' ORDER BY first_id, pos) FILTER (kind = 'phone'), '') AS phones,
+           coalesce(string_agg(value, ';' ORDER BY first_id, pos) FILTER (kind = 'email'), '') AS emails,
+           count(*) FILTER (kind = 'phone') AS n_phones, count(*) FILTER (kind = 'email') AS n_emails
+    FROM everything GROUP BY id
+),
+final AS (
+    SELECT t.id, t.city, name_best AS name, CASE WHEN clean IS NULL AND m IS NOT NULL THEN 'https://found' || m || '.example.ru' ELSE clean END AS website,
+           merged_from, cms, quiz, tg, wa, trust, needs_review, coalesce(l.phones, '') AS phones, coalesce(l.emails, '') AS emails,
+           coalesce(l.n_phones, 0) AS n_phones, coalesce(l.n_emails, 0) AS n_emails
+    FROM trusted t LEFT JOIN chosen c USING (id) LEFT JOIN listed l USING (id)
+),
+held AS (
+    SELECT f.id, f.city, 'p:' || value AS key FROM everything JOIN final f USING (id) WHERE kind = 'phone'
+    UNION ALL SELECT id, city, 's:' || regexp_replace(regexp_extract(website, '^https://([^/]*)', 1), '^www\.', '') FROM final WHERE website IS NOT NULL
+),
+branch AS (SELECT DISTINCT id FROM held JOIN (SELECT city, key FROM held GROUP BY ALL HAVING count(DISTINCT id) > 1) USING (city, key)),
+valued AS (
+    SELECT *, id IN (SELECT id FROM branch) AS is_network,
+           (CASE WHEN website IS NOT NULL THEN 5 + (CASE WHEN cms = 'bitrix' THEN 10 WHEN cms IN ('wordpress', 'tilda', 'flexbe') THEN 3 ELSE 0 END)
+                 + (CASE WHEN quiz THEN 8 ELSE 0 END) ELSE 0 END + CASE WHEN tg IS NOT NULL THEN 15 + 2 * coalesce(trust, 0) ELSE 0 END
+            + CASE WHEN wa IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN n_phones > 1 THEN 5 ELSE 0 END + CASE WHEN n_emails > 0 THEN 5 ELSE 0 END
+            + CASE WHEN id IN (SELECT id FROM branch) THEN 5 ELSE 0 END)::INTEGER AS crm_score
+    FROM final
+)
+"""
+
+# The listings of the whole run: every third one has a shop site with stored pages.
+SHOP_LISTINGS = ("CASE WHEN k % 3 = 0 THEN (CASE WHEN k % 9", "CASE WHEN k % 3 = 1 THEN 'https://shop' || (k // 2) || '.example.ru/' WHEN k % 3 = 0 THEN (CASE WHEN k % 9")
+
+
+@register(
+    "full_run",
+    listing_sql(
+        """
+SELECT id, city, name, website, phones, emails, merged_from, n_phones::INTEGER AS n_phones, n_emails::INTEGER AS n_emails, cms, is_network,
+       needs_review, crm_score, CASE WHEN crm_score >= 50 THEN 'A' WHEN crm_score >= 30 THEN 'B' WHEN crm_score >= 15 THEN 'C' ELSE 'D' END AS segment
+FROM valued""",
+        COMPONENTS,
+        MERGED,
+        SHOPS,
+        SCANNED,
+        WHOLE_RUN,
+    ).replace(*SHOP_LISTINGS),
+)
 def _(spark, folder):
     """Listings to scored companies: grouping, site scan, profiles, search hits, gap filling, networks, scores."""
     base = listings(spark, folder)
@@ -201,6 +278,7 @@ def _(spark, folder):
         derived_pages.profiles(base),
         ranked.select("city", "query_name", "pos", "hit.url", "hit.title"),
         details,
+        rules=Rules(rank_titles=True),
     )
     texts = with_joined_lists(companies.withColumn("merged_from", F.col("merged_from").cast("array<string>")), "phones", "emails", "merged_from")
     return texts.select(
