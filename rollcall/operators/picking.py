@@ -45,3 +45,25 @@ def numbered(df: DataFrame, keys: list[str], order: str, name: str, buckets: int
         .join(offsets, [*keys, "bucket"])
         .select(*df.columns, (F.col("offset") + F.col("within")).cast("long").alias(name))
     )
+
+
+def with_dense_ids(df: DataFrame, name: str = "id", start: int = 0, buckets: int = 65536) -> DataFrame:
+    """Adds ids ``start``, ``start`` + 1, .. that depend on the rows only, not on their order or partitions.
+
+    Rows are dealt by a hash of all their columns into buckets, numbered inside a bucket by two
+    further hashes, and offset by the counts of the buckets before. Equal rows are interchangeable.
+    """
+    text = F.to_json(F.struct(*df.columns))
+    hashed = df.withColumns({"h1": F.xxhash64(text), "h2": F.md5(text)}).withColumn("bucket", F.pmod("h1", F.lit(buckets)))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        hashed.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    )
+    inside = Window.partitionBy("bucket").orderBy("h1", "h2")
+    return (
+        hashed.withColumn("within", F.row_number().over(inside))
+        .join(offsets, "bucket")
+        .select((F.col("offset") + F.col("within") + (start - 1)).cast("long").alias(name), *df.columns)
+    )

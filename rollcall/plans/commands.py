@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from rollcall.operators.picking import with_dense_ids
 from rollcall.operators.places import relabel_scope
 from rollcall.operators.stages import stage_by_city
 from rollcall.plans.full_run import Rules, refill, run
+from rollcall.schema import LISTING
 from rollcall.scratch import scratch_dropped_after
 from rollcall.settings import PRESETS
 from rollcall.sinks.reports import export_all, export_preset, markdown_lines, write_csv, write_lines
-from rollcall.sinks.tables import ScopedTable
+from rollcall.sinks.tables import ScopedTable, write_batch
 from rollcall.streaming.ingest import distinct_listings, ingest, listing_stream
 
 INPUTS = {
@@ -27,7 +30,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, root: str, rules: Rules = Rules()):
         self.spark, self.root, self.rules = spark, root.rstrip("/"), rules
-        self.raw = ScopedTable(spark, f"{self.root}/raw")
+        self.raw = ScopedTable(spark, f"{self.root}/raw", schema=StructType([*LISTING.fields, StructField("batch", StringType())]))
         self.companies = ScopedTable(spark, f"{self.root}/companies")
 
     def input(self, name: str) -> DataFrame:
@@ -61,6 +64,13 @@ class Workspace:
             stream = relabel_scope(stream, towns)
         ingest(stream, self.raw.path, f"{self.root}/state")
 
+    def add(self, rows: DataFrame) -> None:
+        """Appends collected listings without ids, numbered after the highest stored id."""
+        stored = self.raw.read()
+        highest = None if stored is None else stored.agg(F.max("id")).first()[0]
+        start = 0 if highest is None else highest + 1
+        write_batch(with_dense_ids(rows, start=start), self.raw.path, f"a{start}")
+
     def run(
         self, city: str = "all", force: bool = False, no_scrape: bool = False, re_enrich: bool = False, towns: DataFrame | None = None
     ) -> list[str]:

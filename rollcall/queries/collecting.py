@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollcall.functions.urls import next_page_url, page_number
+from rollcall.operators.picking import with_dense_ids
 from rollcall.operators.stages import collection_counts, collection_gaps
 from rollcall.queries import register
 from rollcall.queries.base import joined, listing_sql, messenger_text, with_joined_lists
+from rollcall.schema import with_null_defaults
 from rollcall.scratch import keep, scratch_path
 from rollcall.sinks.tables import append_listings
 from rollcall.sources import derived_pages
 from rollcall.sources.cards import COMPANY_PAGE, DIRECTORY_FIRMS, DIRECTORY_MAP, DIRECTORY_PAGES, cards_of, company_page_links, union_sources
 from rollcall.sources.driver_tables import listings, shape_listings, table
 from rollcall.sources.jsonld import declared_totals, listed_businesses, local_listings
+from rollcall.sources.registry import collect_sources
 from rollcall.sources.search import detail_rows, recover_json, search_listings, search_queries, with_details
 from rollcall.streaming.ingest import distinct_listings, ingest
 
@@ -290,6 +293,68 @@ def _(spark, folder):
     return collection_counts(union_sources(*tables, local_listings(derived_pages.directory_pages(rows))))
 
 
+@register(
+    "collected_sources",
+    listing_sql(
+        """
+, row AS (
+    SELECT city, '2gis' AS source, name FROM card WHERE length(name) >= 3 UNION ALL SELECT city, 'firmsru', name FROM card WHERE length(name) >= 3
+    UNION ALL SELECT city, 'jsprav', name FROM local SEMI JOIN once USING (id, block)
+    UNION ALL SELECT city, 'firecrawl', unnest(['Portal', CASE WHEN id % 11 <> 0 AND id % 3 <> 2 THEN CASE id % 3 WHEN 0 THEN 'About ' || lower(split_part(name, ' ', 1)) ELSE 'Other' END END,
+                                                lower(split_part(name, ' ', 1)) || ' LLC']) FROM listings WHERE id % 8 NOT IN (0, 1))
+SELECT city, source, count(*) AS listings, count(DISTINCT name) AS names, 'jsprav_playwright' AS failed FROM row WHERE name IS NOT NULL GROUP BY ALL""",
+        CARD,
+        JSONLD,
+    ),
+)
+def _(spark, folder):
+    """All sources but one that is off and one whose input is missing."""
+    rows = listings(spark, folder)
+    inputs = {
+        "jsprav": derived_pages.directory_pages(rows),
+        "dgis": derived_pages.card_pages(rows, "map"),
+        "firmsru": derived_pages.card_pages(rows, "firms"),
+        "firecrawl": derived_pages.search_answers(rows).select("city", F.col("id").cast("string").alias("query"), "body"),
+        "fetched": derived_pages.noisy_outputs(rows),
+    }
+    united, errors = collect_sources(inputs, {"yell": {"enabled": False}})
+    return united.groupBy("city", "source").agg(
+        F.count(F.lit(1)).alias("listings"), F.countDistinct("name").alias("names"), F.lit(";".join(sorted(errors))).alias("failed")
+    )
+
+
+@register(
+    "listing_ids",
+    listing_sql("SELECT city, count(*) AS listings, count(*) AS ids, true AS inside FROM listings GROUP BY city"),
+)
+def _(spark, folder):
+    """Listings without ids get dense ones; every id from 0 to the count is given once."""
+    rows = keep(with_dense_ids(listings(spark, folder).drop("id")), "numbered").df
+    last = rows.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"), F.countDistinct("id").alias("distinct")).first()
+    whole = last["top"] == last["n"] - 1 and last["distinct"] == last["n"]
+    return rows.groupBy("city").agg(
+        F.count(F.lit(1)).alias("listings"), F.countDistinct("id").alias("ids"), F.lit(whole).alias("inside")
+    )
+
+
+@register(
+    "null_defaults",
+    listing_sql(
+        "SELECT id, CASE WHEN website IS NULL THEN 0 ELSE len(phones) END AS phones, len(emails) AS emails, (telegram IS NOT NULL)::INTEGER + (vk IS NOT NULL)::INTEGER + (whatsapp IS NOT NULL)::INTEGER AS links FROM listings"
+    ),
+)
+def _(spark, folder):
+    rows = listings(spark, folder).withColumns(
+        {
+            "phones": F.when(F.col("website").isNotNull(), F.col("phones")),
+            "emails": F.when(F.size("emails") > 0, F.col("emails")),
+            "messengers": F.when(F.size("messengers") > 0, F.col("messengers")),
+        }
+    )
+    filled = with_null_defaults(rows)
+    return filled.select("id", F.size("phones").alias("phones"), F.size("emails").alias("emails"), F.size("messengers").alias("links"))
+
+
 @register(
     "search_queries",
     listing_sql("SELECT DISTINCT city, phrase || ' ' || region AS query FROM listings, (SELECT unnest(['monuments', 'stone works']) AS phrase)"),

@@ -10,6 +10,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from rollcall.operators.linkage import SCOPE
@@ -21,6 +22,12 @@ def append_listings(listings: DataFrame, path: str, scope: tuple[str, ...] = SCO
     listings.hint("rebalance", *scope).write.mode("append").partitionBy(*scope).parquet(path)
 
 
+def write_batch(rows: DataFrame, path: str, batch: str, scope: str = "city") -> None:
+    """Writes a batch into its own folder below each city. Writing the same batch again replaces it."""
+    labelled = rows.withColumn("batch", F.lit(batch))
+    labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope, "batch").parquet(path)
+
+
 def read_scope(spark: SparkSession, path: str, city: str | None = None) -> DataFrame:
     """A table partitioned by city; with ``city`` only that partition's folder is read."""
     df = spark.read.parquet(path)
@@ -45,10 +52,13 @@ def without_scopes(df: DataFrame, cities: list[str], scope: str = "city") -> Dat
 
 
 class ScopedTable:
-    """A Parquet table with one folder per city under ``path``."""
+    """A Parquet table with one folder per city under ``path``.
+
+    With a ``schema`` the columns are read as it says, else as the files and folder names suggest.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, scope: str = "city"):
-        self.spark, self.path, self.scope = spark, path.rstrip("/"), scope
+    def __init__(self, spark: SparkSession, path: str, scope: str = "city", schema: StructType | None = None):
+        self.spark, self.path, self.scope, self.schema = spark, path.rstrip("/"), scope, schema
 
     def _files(self):
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -70,7 +80,8 @@ class ScopedTable:
         """The table, or the named cities of it; null when nothing is stored yet."""
         if not self._folders():
             return None
-        df = self.spark.read.parquet(self.path)
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        df = reader.parquet(self.path)
         return df if cities is None else df.where(F.col(self.scope).isin(*cities))
 
     def append(self, rows: DataFrame) -> None:

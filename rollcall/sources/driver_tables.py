@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.html import messenger_map
-from rollcall.schema import GEO, STRINGS
+from rollcall.schema import GEO
 
 STREETS = ("Sadovaya", "Lesnaya", "Polevaya", "Rechnaya", "Zelenaya", "Dachnaya", "Novaya")
 
@@ -15,80 +14,58 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _present(*values: Column) -> Column:
-    return F.array_compact(F.array(*values)).cast(STRINGS)
+_STREETS = ", ".join(f"'{name}'" for name in STREETS)
+
+
+def _links(**links: str) -> str:
+    """SQL of a map with the links that are not null."""
+    entries = ", ".join(f"struct('{kind}' AS key, {link} AS value)" for kind, link in links.items())
+    return f"map_from_entries(filter(array({entries}), e -> e.value IS NOT NULL))"
 
 
 def shape_listings(customers: DataFrame, nations: DataFrame, regions: DataFrame) -> DataFrame:
     """One listing per customer; every column is plain arithmetic on the key and the nation."""
-    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("long")
-    number = (F.lit(9000000000) + n * 100000 + F.expr("c_custkey div 60")).cast("string")
-    bridge = (F.lit(9000000000) + n * 100000 + F.expr("(c_custkey + 30) div 60")).cast("string")
-    spaced = F.format_string(
-        "+7 (%s) %s-%s-%s",
-        F.substring(number, 1, 3),
-        F.substring(number, 4, 3),
-        F.substring(number, 7, 2),
-        F.substring(number, 9, 2),
-    )
-    name = F.concat(F.col("c_mktsegment"), F.lit(" workshop "), F.expr("c_custkey div 60").cast("string"))
-    site = F.concat(
-        F.when(k % 9 == 0, F.lit("")).otherwise(F.lit("https://")),
-        F.when(k % 2 == 0, F.lit("www.")).otherwise(F.lit("")),
-        F.lit("site"),
-        n.cast("string"),
-        F.lit("-"),
-        F.expr("c_custkey div 90").cast("string"),
-        F.lit(".example.ru"),
-        F.when(k % 6 == 0, F.lit("/contacts")).otherwise(F.lit("")),
-    )
-    key = k.cast("string")
     base = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).join(
         regions, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return base.select(
-        k.alias("id"),
-        F.concat(F.lit("src"), (k % 5).cast("string")).alias("source"),
-        F.concat(F.lit("https://listing.example.ru/"), n.cast("string"), F.lit("/"), F.expr("c_custkey div 2").cast("string")).alias(
-            "source_url"
-        ),
-        F.when(k % 3 == 1, F.concat(name, F.lit(" LLC"))).when(k % 4 == 2, F.upper(name)).otherwise(name).alias("name"),
-        _present(
-            F.when(k % 4 == 1, spaced).when(k % 4 == 2, F.concat(F.lit("8"), number)).when(k % 4 == 3, number),
-            F.when(k % 5 == 0, F.concat(F.lit("7"), bridge)),
-            F.when(k % 17 == 0, F.lit("12345")),
-        ).alias("phones"),
-        F.concat(
-            F.lit("г. "),
-            F.col("n_name"),
-            F.lit(", ул. "),
-            F.element_at(F.array(*[F.lit(name) for name in STREETS]), (k % 7 + 1).cast("int")),
-            F.lit(", "),
-            (k % 50).cast("string"),
-        ).alias("address_raw"),
-        F.when(k % 3 == 0, site).alias("website"),
-        _present(
-            F.when(
-                k % 2 == 0,
-                F.concat(F.lit("info"), F.expr("c_custkey div 60").cast("string"), F.lit("@site"), n.cast("string"), F.lit(".example.ru")),
-            ),
-            F.when((k % 2 == 0) & (k % 11 == 0), F.lit("notanemail")),
-        ).alias("emails"),
-        F.lit(None).cast(GEO).alias("geo"),
-        messenger_map(
-            telegram=F.when(k % 3 == 1, F.concat(F.lit("https://t.me/shop"), key)),
-            whatsapp=F.when(k % 4 == 2, F.concat(F.lit("https://wa.me/7"), number)),
-            vk=F.when(k % 5 == 3, F.concat(F.lit("https://vk.com/shop"), key)),
-        ).alias("messengers"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("region"),
-        F.element_at(
-            F.array(*[F.lit(c) for c in ("unknown", "bitrix", "wordpress", "tilda", "flexbe", "joomla")]),
-            (k % 6 + 1).cast("int"),
-        ).alias("cms"),
-        (k % 9 == 0).alias("has_marquiz"),
-        ((k % 4) - 1).cast("int").alias("trust_score"),
-        number.alias("number"),
+    numbered = base.selectExpr(
+        "c_custkey AS k",
+        "CAST(c_nationkey AS BIGINT) AS n",
+        "n_name",
+        "r_name",
+        "CAST(9000000000 + c_nationkey * 100000L + c_custkey div 60 AS STRING) AS number",
+        "CAST(9000000000 + c_nationkey * 100000L + (c_custkey + 30) div 60 AS STRING) AS bridge",
+        "concat(c_mktsegment, ' workshop ', c_custkey div 60) AS title",
+    )
+    return numbered.selectExpr(
+        "k AS id",
+        "concat('src', k % 5) AS source",
+        "concat('https://listing.example.ru/', n, '/', k div 2) AS source_url",
+        "CASE WHEN k % 3 = 1 THEN concat(title, ' LLC') WHEN k % 4 = 2 THEN upper(title) ELSE title END AS name",
+        """array_compact(array(
+            CASE k % 4 WHEN 1 THEN concat('+7 (', substr(number, 1, 3), ') ', substr(number, 4, 3), '-',
+                                          substr(number, 7, 2), '-', substr(number, 9, 2))
+                       WHEN 2 THEN concat('8', number) WHEN 3 THEN number END,
+            CASE WHEN k % 5 = 0 THEN concat('7', bridge) END,
+            CASE WHEN k % 17 = 0 THEN '12345' END)) AS phones""",
+        f"concat('г. ', n_name, ', ул. ', element_at(array({_STREETS}), CAST(k % 7 + 1 AS INT)), ', ', k % 50) AS address_raw",
+        """CASE WHEN k % 3 = 0 THEN concat(IF(k % 9 = 0, '', 'https://'), IF(k % 2 = 0, 'www.', ''), 'site', n, '-', k div 90,
+                                           '.example.ru', IF(k % 6 = 0, '/contacts', '')) END AS website""",
+        """array_compact(array(CASE WHEN k % 2 = 0 THEN concat('info', k div 60, '@site', n, '.example.ru') END,
+                               CASE WHEN k % 22 = 0 THEN 'notanemail' END)) AS emails""",
+        f"CAST(NULL AS {GEO.simpleString()}) AS geo",
+        _links(
+            telegram="CASE WHEN k % 3 = 1 THEN concat('https://t.me/shop', k) END",
+            whatsapp="CASE WHEN k % 4 = 2 THEN concat('https://wa.me/7', number) END",
+            vk="CASE WHEN k % 5 = 3 THEN concat('https://vk.com/shop', k) END",
+        )
+        + " AS messengers",
+        "n_name AS city",
+        "r_name AS region",
+        "element_at(array('unknown', 'bitrix', 'wordpress', 'tilda', 'flexbe', 'joomla'), CAST(k % 6 + 1 AS INT)) AS cms",
+        "k % 9 = 0 AS has_marquiz",
+        "CAST(k % 4 - 1 AS INT) AS trust_score",
+        "number",
     )
 
 
@@ -98,19 +75,17 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 
 def shape_sites(rows: DataFrame) -> DataFrame:
     """What a visit to the found site of a listing returns."""
-    k, key = F.col("id"), F.col("id").cast("string")
-    return rows.where((k % 3 != 0) | (k % 2 == 1)).select(
+    return rows.where("id % 3 <> 0 OR id % 2 = 1").selectExpr(
         "id",
-        F.concat(F.lit("https://found"), key, F.lit(".example.ru")).alias("website"),
-        F.array(F.concat(F.lit("found"), key, F.lit("@example.ru"))).alias("emails"),
-        F.array_append(
-            F.slice("phones", 1, 1), F.concat(F.lit("+7 (955) "), F.lpad((k % 10000000).cast("string"), 7, "0"))
-        ).alias("phones"),
-        messenger_map(
-            telegram=F.when(k % 2 == 0, F.concat(F.lit("https://t.me/found"), key)),
-            vk=F.when(k % 7 == 0, F.concat(F.lit("https://vk.com/found"), key)),
-        ).alias("messengers"),
-        F.when(k % 3 == 1, "tilda").otherwise("unknown").alias("cms"),
+        "concat('https://found', id, '.example.ru') AS website",
+        "array(concat('found', id, '@example.ru')) AS emails",
+        "array_append(slice(phones, 1, 1), concat('+7 (955) ', lpad(CAST(id % 10000000 AS STRING), 7, '0'))) AS phones",
+        _links(
+            telegram="CASE WHEN id % 2 = 0 THEN concat('https://t.me/found', id) END",
+            vk="CASE WHEN id % 7 = 0 THEN concat('https://vk.com/found', id) END",
+        )
+        + " AS messengers",
+        "IF(id % 3 = 1, 'tilda', 'unknown') AS cms",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.schema import LISTING
+from rollcall.sinks.tables import write_batch
 
 
 def listing_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -23,12 +24,14 @@ def distinct_listings(stream: DataFrame, lateness: str = "7 days", key: str = "s
     return named.withWatermark(time, lateness).dropDuplicatesWithinWatermark(["listing_key"]).drop("listing_key")
 
 
-def ingest(stream: DataFrame, path: str, checkpoint: str, scope: tuple[str, ...] = ("city",)) -> None:
-    """Takes in all files that arrived since the last run and returns when they are written."""
+def ingest(stream: DataFrame, path: str, checkpoint: str, scope: str = "city") -> None:
+    """Takes in all files that arrived since the last run and returns when they are written.
+
+    A micro-batch that is repeated after a failure replaces its own folders, so every row is stored once.
+    The folders hold plain Parquet files: other jobs may add and remove cities beside the stream.
+    """
     query = (
-        stream.writeStream.format("parquet")
-        .partitionBy(*scope)
-        .option("path", path)
+        stream.writeStream.foreachBatch(lambda rows, number: write_batch(rows, path, f"s{number}", scope))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from rollcall.plans.commands import INPUTS, Workspace
 from rollcall.plans.full_run import Rules, run
 from rollcall.settings import LEVELS, WEIGHTS
+from rollcall.sources.registry import collect_sources
 from tests.test_grouping import listing, roots_by_union_find
 from tests.test_grouping import table as listing_table
 
+PAGE = '<script type="application/ld+json">{"@type": "ItemList", "itemListElement": [{"item": {"@type": "LocalBusiness", "name": "Новая"}}]}</script>'
 TELEGRAM_PAGE = '<div class="tgme_page_title">Памятники</div><img class="tgme_page_photo_image">'
 
 
@@ -216,5 +218,10 @@ def test_workspace(spark, tmp_path):
     assert spark.read.csv(path, header=True).count() == len(wanted)
     assert set(work.export_everything("c0")) >= {"enriched", "full_dump"}
 
+    collected, errors = collect_sources({"jsprav": spark.createDataFrame([("c", "c9", 1, "u", PAGE)], "category string, city string, page int, url string, html string")})
+    assert set(errors) == {"firecrawl", "dgis", "yell", "firmsru", "jsprav_playwright"}
+    work.add(collected)
+    assert [(r.id, r["name"]) for r in work.raw.read(["c9"]).collect()] == [(60, "Новая")]
+
     work.clear("c0")
-    assert work.companies.scopes() == ["c1", "c2"] and work.raw.scopes() == ["c1", "c2"]
+    assert work.companies.scopes() == ["c1", "c2"] and work.raw.scopes() == ["c1", "c2", "c9"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.linkage import clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
 from rollcall.operators.merge import EMAIL, LISTING, PHONE, nest, resolve_entities
 from rollcall.operators.name_pairs import name_edges, similar_name_pairs
-from rollcall.operators.picking import first_per_key, numbered
+from rollcall.operators.picking import first_per_key, numbered, with_dense_ids
 from rollcall.schema import LISTING as LISTING_SCHEMA
 
 
@@ -196,3 +196,12 @@ def test_first_row_and_numbering_within_a_key(spark):
     got = numbered(df, ["k"], "o", "n", buckets=16).collect()
     assert {(r.k, r.o): r.n for r in got} == expected_number
     assert numbered(df.where(F.lit(False)), ["k"], "o", "n").count() == 0
+
+
+def test_dense_ids_depend_on_the_rows_only(spark):
+    rows = [(f"n{i % 90}", [f"p{i}"], {"k": f"v{i}"}) for i in range(300)] + [("same", ["p"], {})] * 50
+    df = spark.createDataFrame(rows, "name string, phones array<string>, links map<string,string>")
+    one = with_dense_ids(df, start=7, buckets=16).collect()
+    two = with_dense_ids(spark.createDataFrame(random.sample(rows, len(rows)), df.schema).repartition(5), start=7, buckets=16).collect()
+    assert sorted(r.id for r in one) == list(range(7, 357))
+    assert {(r.id, r.name, str(r.phones)) for r in one} == {(r.id, r.name, str(r.phones)) for r in two}
