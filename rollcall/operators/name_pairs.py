@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import first_letter_block, indel_distance, sorted_tokens
 from rollcall.operators.linkage import SCOPE
+from rollcall.scratch import keep
 from rollcall.settings import NAME_SIMILARITY
 
 
@@ -72,11 +73,9 @@ def _probes(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     low = F.greatest(F.lit(0), F.col("start") - F.floor((F.col("allowed") + F.col("gap")) / 2).cast("int"))
     high = F.least(own - F.col("width"), F.col("start") + F.floor((F.col("allowed") - F.col("gap")) / 2).cast("int"))
     shifted = placed.withColumns({"low": low, "high": high}).where("low <= high")
-    return (
-        shifted.withColumn("at", F.explode(F.sequence("low", "high")))
-        .select(*keys, "size", "number", F.substring("text", F.col("at") + 1, F.col("width")).alias("piece"), "text", "id")
-        .distinct()
-    )
+    each_place = shifted.withColumn("at", F.explode(F.sequence("low", "high")))
+    piece = F.substring("text", F.col("at") + 1, F.col("width"))
+    return each_place.select(*keys, "size", "number", piece.alias("piece"), "text", "id")
 
 
 def similar_name_pairs(
@@ -93,7 +92,8 @@ def similar_name_pairs(
     ``same_name_edges`` they connect the same listings as all pairs would.
     ``metric`` is ``indel`` (deletions and insertions) or ``levenshtein``, both
     relative to the summed lengths. A piece that more than ``hot`` texts of a block
-    share is dealt out over several groups.
+    share is dealt out over several groups. The few such pieces are written out first: their size is known
+    then, and Spark joins them without moving the many substrings where they are small.
     """
     if not 50 < threshold <= 100:
         raise ValueError("threshold must be above 50 and at most 100")
@@ -101,11 +101,10 @@ def similar_name_pairs(
     names = distinct_names(listings, scope, block)
     join_keys = [*keys, "size", "number", "piece"]
     pieces = _pieces(names, keys, threshold)
-    crowded = (
-        pieces.groupBy(*join_keys)
-        .agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("deals"))
-        .where("deals > 1")
-    )
+    crowded = keep(
+        pieces.groupBy(*join_keys).agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("deals")).where("deals > 1"),
+        "crowded",
+    ).df
     deals = F.coalesce(F.col("deals"), F.lit(1))
     longer = (
         pieces.join(crowded, join_keys, "left")
