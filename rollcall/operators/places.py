@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.places import name_rank
 from rollcall.functions.texts import directory_subdomain, slugify
-from rollcall.functions.urls import authority
 from rollcall.operators.picking import first_per_key
 from rollcall.settings import DIRECTORY_CATEGORY, STANDARD_SOURCES
 
@@ -129,7 +128,3 @@ def search_urls(cities: DataFrame, site: str, phrase: str) -> DataFrame:
     """(city, url) of a directory search for a phrase in each city."""
     path = F.concat(F.lit(site + "/"), slugify(F.col("city")), F.lit("/search/"), F.replace(F.url_encode(F.lit(phrase)), F.lit("+"), F.lit("%20")))
     return cities.select("city").distinct().select("city", path.alias("url"))
-
-
-def same_host(url: Column, other: Column) -> Column:
-    return authority(url) == authority(other)

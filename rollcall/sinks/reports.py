@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.texts import escape_markdown, slugify, variant_label
 from rollcall.operators.linkage import SCOPE
-from rollcall.operators.merge import STREET_CONFLICT
 from rollcall.operators.picking import numbered
 from rollcall.operators.presets import apply_preset
 from rollcall.settings import PRESETS
@@ -100,7 +99,7 @@ def markdown_lines(
         scope, "section", (-F.coalesce("crm_score", F.lit(0))).cast("long").alias("rank"), "id", row.alias("line")
     )
 
-    def lines(df: DataFrame, section: Column, *texts: Column, closing: Column | None = None) -> DataFrame:
+    def lines(df: DataFrame, section: Column, *texts: Column) -> DataFrame:
         """Lines in front of the rows of a section: ranked below every score, numbered by ``id``."""
         entries = F.array(*texts)
         return df.select(scope, section.cast("int").alias("section"), F.posexplode(entries).alias("id", "line")).select(
@@ -251,17 +250,3 @@ def export_all(scored: DataFrame, folder: str, presets: dict[str, dict] = PRESET
             log.exception("export %s failed", name)
             done[name] = f"error: {error}"
     return done
-
-
-__all__ = [
-    "STREET_CONFLICT",
-    "conflict_lines",
-    "conflicts_report",
-    "csv_rows",
-    "export_all",
-    "export_preset",
-    "markdown_lines",
-    "write_csv",
-    "write_json",
-    "write_lines",
-]
