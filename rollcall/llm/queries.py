@@ -11,6 +11,7 @@ from rollcall.llm.mixing import mix, mixing_sql
 from rollcall.llm.packing import pack
 from rollcall.llm.sharding import sharding_sql, shards
 from rollcall.llm.simhash import simhash_components
+from rollcall.llm.tokenids import token_digests
 from rollcall.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": lambda spark, folder: shards(table(spark, folder, "documents")),
     "op5_simhash": lambda spark, folder: simhash_components(table(spark, folder, "documents")),
     "op7_packing": lambda spark, folder: pack(table(spark, folder, "documents")),
+    "op9_token_ids": lambda spark, folder: token_digests(table(spark, folder, "documents")),
 }
 
 SQL: dict[str, str] = {
