@@ -12,10 +12,12 @@ from rollcall.llm.packing import pack
 from rollcall.llm.sharding import sharding_sql, shards
 from rollcall.llm.simhash import simhash_components
 from rollcall.llm.tokenids import token_digests
+from rollcall.llm.topk import top_k, topk_sql
 from rollcall.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": lambda spark, folder: toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")),
+    "op2_topk": lambda spark, folder: top_k(embeddings := table(spark, folder, "embeddings"), embeddings.where("vec_id % 50 = 0")),
     "op3_mixing": lambda spark, folder: mix(table(spark, folder, "documents")),
     "op4_sharding": lambda spark, folder: shards(table(spark, folder, "documents")),
     "op5_simhash": lambda spark, folder: simhash_components(table(spark, folder, "documents")),
@@ -24,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_topk": topk_sql(),
     "op3_mixing": mixing_sql(),
     "op4_sharding": sharding_sql(),
 }
