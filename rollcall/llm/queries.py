@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall.llm.common import table
 from rollcall.llm.mixing import mix, mixing_sql
 from rollcall.llm.packing import pack
+from rollcall.llm.pivots import near_duplicates
 from rollcall.llm.sharding import sharding_sql, shards
 from rollcall.llm.simhash import simhash_components
 from rollcall.llm.tokenids import token_digests
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": lambda spark, folder: mix(table(spark, folder, "documents")),
     "op4_sharding": lambda spark, folder: shards(table(spark, folder, "documents")),
     "op5_simhash": lambda spark, folder: simhash_components(table(spark, folder, "documents")),
+    "op6_pivots": lambda spark, folder: near_duplicates(table(spark, folder, "embeddings")),
     "op7_packing": lambda spark, folder: pack(table(spark, folder, "documents")),
     "op9_token_ids": lambda spark, folder: token_digests(table(spark, folder, "documents")),
 }
