@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.llm.common import table
+from rollcall.llm.licenses import license_matches, licenses_sql
 from rollcall.llm.mixing import mix, mixing_sql
 from rollcall.llm.packing import pack
 from rollcall.llm.pivots import near_duplicates
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": lambda spark, folder: simhash_components(table(spark, folder, "documents")),
     "op6_pivots": lambda spark, folder: near_duplicates(table(spark, folder, "embeddings")),
     "op7_packing": lambda spark, folder: pack(table(spark, folder, "documents")),
+    "op8_licenses": lambda spark, folder: license_matches(table(spark, folder, "documents")),
     "op9_token_ids": lambda spark, folder: token_digests(table(spark, folder, "documents")),
 }
 
@@ -31,4 +33,5 @@ SQL: dict[str, str] = {
     "op2_topk": topk_sql(),
     "op3_mixing": mixing_sql(),
     "op4_sharding": sharding_sql(),
+    "op8_licenses": licenses_sql(),
 }
