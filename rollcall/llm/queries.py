@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.llm.common import table
 from rollcall.llm.licenses import license_matches, licenses_sql
+from rollcall.llm.mainhtml import main_text
 from rollcall.llm.mixing import mix, mixing_sql
 from rollcall.llm.packing import pack
 from rollcall.llm.pivots import near_duplicates
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": lambda spark, folder: pack(table(spark, folder, "documents")),
     "op8_licenses": lambda spark, folder: license_matches(table(spark, folder, "documents")),
     "op9_token_ids": lambda spark, folder: token_digests(table(spark, folder, "documents")),
+    "op10_html": lambda spark, folder: main_text(table(spark, folder, "pages")),
 }
 
 SQL: dict[str, str] = {
