@@ -10,7 +10,7 @@ a task holds one block of each. A cell sends on the bins from the top down to it
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows without an id take no part; of rows with
 equal ids the least vector counts; vectors meet only vectors of their length; components beyond the range of a long stand at its
-end, and so do scores; a query with fewer than k candidates gets them all; an empty table gives no rows.
+end, and scores beyond 2^62 - 1 at that; a query with fewer than k candidates gets them all; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ VECTOR_BLOCK = 8192
 QUERY_BLOCK = 1024
 BINS = 512
 _BATCH = 2048
-_FAR = float(2**62)
+#: Scores further from 0 stand at this end; an interval between both ends is still a long.
+_FAR = 2**62 - 1
 
 
 def usable(vector: str) -> Column:
@@ -58,7 +59,7 @@ def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     if most < 2**62:
         return queries @ vectors.T
     exact = queries.astype(object) @ vectors.astype(object).T
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(exact, -_FAR, _FAR).astype(np.int64)
 
 
 def _blocks(left: pa.Table, queries: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -78,7 +79,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE
     n, longest = pool.agg(F.count(F.lit(1)), F.max(norm)).first()
     rows, columns = max(1, math.ceil(n / VECTOR_BLOCK)), max(1, math.ceil(asked.count() / QUERY_BLOCK))
     grid = pool.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(rows)).alias("r"), F.explode(F.expr(f"sequence(0, {columns - 1})")).alias("c"))
-    reach = F.least(F.ceil(norm * F.lit(longest or 0.0)).cast("double") + 1, F.lit(_FAR)).cast("long")
+    bound = norm * F.lit(longest or 0.0) + 1
+    reach = F.when(bound < float(2**61), F.ceil(bound)).otherwise(F.lit(_FAR))
     state = stored(
         asked.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(columns)).alias("c"), (-reach).alias("low"), reach.alias("high"), F.lit(k).cast("long").alias("need")),
         "topk-state",
@@ -93,7 +95,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE
         low, high, need = (right[c].to_numpy() for c in ("low", "high", "need"))
         width = (high - low) // bins + 1
         counts = np.zeros((len(low), bins), np.int64)
-        if len(left):
+        if len(left) and len(right):
             for _, scores, other in _blocks(left, right):
                 inside = other & (scores >= low[:, None]) & (scores <= high[:, None])
                 at, _ = np.nonzero(inside)
@@ -120,7 +122,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE
         kth, own = right["low"].to_numpy(), right["query_id"].to_numpy()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ties: list[tuple[np.ndarray, np.ndarray]] = []
-        if len(left):
+        if len(left) and len(right):
             for ids, scores, other in _blocks(left.sort_by("vec_id"), right):
                 at, j = np.nonzero(other & (scores > kth[:, None]))
                 found.append((own[at], ids[j], scores[at, j].astype(np.int64)))
