@@ -22,6 +22,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most bytes of one Arrow batch of texts. A worker and its executor each hold a few copies of a batch.
+BATCH_BYTES = 4 << 20
+
+
+def to_python(df: DataFrame) -> DataFrame:
+    """``df``, whose texts go to Python next: bounds the Arrow batches of its session."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if bound > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def words_in(text: str | Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

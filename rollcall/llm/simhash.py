@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import stored
+from rollcall.llm.common import stored, to_python
 from rollcall.operators.linkage import connected_components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "bits"])
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, bits long")
+    return to_python(rows).mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, bits long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:

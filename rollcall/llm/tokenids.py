@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from rollcall.llm.common import stored
+from rollcall.llm.common import stored, to_python
 from rollcall.scratch import scratch_path
 
 END = 1
@@ -261,7 +261,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None
 
     kind = docs.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("copy", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("file", T.StringType()), T.StructField("at", T.LongType()), T.StructField("n", T.LongType())]
-    ranges.mapInArrow(write, T.StructType(fields)).write.parquet(f"{path}/keys")
+    to_python(ranges).mapInArrow(write, T.StructType(fields)).write.parquet(f"{path}/keys")
     keys = spark.read.schema(T.StructType(fields)).parquet(f"{path}/keys")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     table = keys.groupBy("shard", "file").agg(F.sum("n").alias("ids"), F.count(F.lit(1)).alias("docs")).withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))

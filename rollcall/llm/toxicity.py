@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import stored
+from rollcall.llm.common import stored, to_python
 
 #: Most labelled rows a model is trained on: those with the lowest hashes of their id.
 SAMPLE_ROWS = 20_000
@@ -147,7 +147,8 @@ def _descend(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, swaps: list[tupl
 
 def held_out(doc_id: str | Column) -> Column:
     """Rows that no model may learn from."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")), F.lit(4)) == 2
+    key = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.pmod(F.crc32(F.coalesce(key, F.lit(""))), F.lit(4)) == 2
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES, l2: float = 1e-4, swap_weight: float = 10.0, rounds: int = 300) -> Model:
@@ -190,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
         yield out()
 
     counts = stored(
-        sample.mapInArrow(counted, "feature string, lost string, gained string, ones long, zeros long")
+        to_python(sample).mapInArrow(counted, "feature string, lost string, gained string, ones long, zeros long")
         .groupBy("feature", "lost", "gained")
         .agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")),
         "toxicity-counts",
@@ -233,7 +234,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(0).field("text").to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([score(t) for t in texts], pa.float64())], names=["doc", "score"])
 
-    return rows.mapInArrow(run, schema)
+    return to_python(rows).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
