@@ -11,6 +11,7 @@ from rollcall.functions.urls import authority, resolve_link
 from rollcall.schema import MESSENGERS, no_messengers, no_strings
 from rollcall.settings import CMS_MARKS, CONTACT_HREF_WORDS, CONTACT_TEXT_WORDS, EXTRA_PAGE_WORDS, QUIZ_MARK
 
+# How links of each kind are written in a page.
 ANCHOR = r"""(?is)<a\s[^>]*href=["']([^"']+)["'][^>]*>(.*?)</a>"""
 ANCHOR_OPEN = r"""(?i)<a\s[^>]*href=["']([^"']+)["']"""
 UNFOLLOWED = r"^(#|javascript:|tel:|mailto:)"
@@ -21,7 +22,6 @@ WHATSAPP = r"""href=["'](https?://(?:wa\.me/[^"'\s]+|api\.whatsapp\.com/send\?ph
 WHATSAPP_LITERAL = r"""href=["'](https?://(?:wa\.me|api\.whatsapp\.com/send\?phone=[^"'\s]+))["']"""
 VK = r"""href=["'](https?://(?:www\.)?vk\.com/[^"'\s]+)["']"""
 
-NETWORK_LINKS = ("telegram", "vk", "instagram")
 
 
 def every(text: Column, pattern: str, group: int = 1) -> Column:
@@ -79,27 +79,38 @@ def add_missing_keys(known: Column, found: Column) -> Column:
     )
 
 
-def contact_link(html: Column, base: Column) -> Column:
-    """First link to a contact page, by its text or its target, as an absolute URL."""
+def contact_href(html: Column) -> Column:
+    """First link to a contact page, by its text or its target, as it stands."""
     fits = F.filter(
         anchors(html),
         lambda a: ~a["href"].rlike(UNFOLLOWED)
         & (contains_any(a["text"], CONTACT_TEXT_WORDS) | contains_any(F.lower(a["href"]), CONTACT_HREF_WORDS)),
     )
-    href = first(F.transform(fits, lambda a: a["href"]))
-    return resolve_link(F.concat(base, F.lit("/")), href)
+    return first(F.transform(fits, lambda a: a["href"]))
+
+
+def contact_link(html: Column, base: Column) -> Column:
+    """The same as an absolute URL."""
+    return resolve_link(F.concat(base, F.lit("/")), contact_href(html))
+
+
+def relevant_hrefs(html: Column, words: tuple[str, ...] = EXTRA_PAGE_WORDS) -> Column:
+    """Links whose target holds one of the words, as they stand."""
+    return F.filter(every(html, ANCHOR_OPEN), lambda h: ~h.rlike(UNFOLLOWED) & contains_any(F.lower(h), words))
+
+
+def relevant_links(html: Column, base: Column, words: tuple[str, ...] = EXTRA_PAGE_WORDS, most: int | None = 3) -> Column:
+    """Links on the same host whose target holds one of the words, each once, the first ``most`` of them."""
+    return links_on_site(relevant_hrefs(html, words), base, most)
 
 
-def relevant_links(
-    html: Column, base: Column, words: tuple[str, ...] = EXTRA_PAGE_WORDS, most: int | None = 3
-) -> Column:
-    """Links on the same host whose target holds one of the words, each once, the first ``most`` of them.
+def links_on_site(hrefs: Column, base: Column, most: int | None = 3) -> Column:
+    """Absolute form of the links on the same host, each once, the first ``most`` of them.
 
     Targets that differ only in case count once; the first spelling is kept.
     """
-    named = F.filter(every(html, ANCHOR_OPEN), lambda h: ~h.rlike(UNFOLLOWED) & contains_any(F.lower(h), words))
     targets = F.transform(
-        named, lambda h: F.struct(F.lower(h).alias("low"), resolve_link(F.concat(base, F.lit("/")), h).alias("url"))
+        hrefs, lambda h: F.struct(F.lower(h).alias("low"), resolve_link(F.concat(base, F.lit("/")), h).alias("url"))
     )
     same_site = F.filter(targets, lambda t: authority(t["url"]) == authority(base))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.binding import let
 from rollcall.functions.texts import strip
+from rollcall.settings import NAME_SIMILARITY
 
 # Longest text whose matching positions fit one long with room for a carry.
 WORD = 62
@@ -55,26 +56,60 @@ def _lcs_by_bits(a: Column, b: Column) -> Column:
     return F.length(a) - F.bit_count(rest)
 
 
-def _lcs_by_rows(a: Column, b: Column) -> Column:
-    """Row by row, for texts of any length."""
+def _lcs_by_words(a: Column, b: Column) -> Column:
+    """The same for an ``a`` of any length: its places fill several longs, and each step carries from one to the next."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    full = F.lit((1 << WORD) - 1)
+
+    def words_of(letters: Column) -> Column:
+        return F.sequence(F.lit(0), F.ceil(F.size(letters) / F.lit(WORD)).cast("int") - 1)
 
-    def last_row(others: Column) -> Column:
-        def next_row(row: Column, letter: Column) -> Column:
-            def extend(done: Column, j: Column) -> Column:
-                same = F.when(F.get(others, j) == letter, 1).otherwise(0)
-                best = F.greatest(F.get(row, j + 1), F.element_at(done, -1), F.get(row, j) + same)
-                return F.concat(done, F.array(best))
+    def sums(letters: Column, counts) -> Column:
+        """Per word the bits of the places that count."""
+
+        def word(w: Column) -> Column:
+            part = F.slice(letters, w * WORD + 1, F.lit(WORD))
+            bits = F.transform(part, lambda c, i: F.when(counts(c), F.call_function("shiftleft", one, i)).otherwise(zero))
+            return F.aggregate(bits, zero, lambda total, x: total + x)
+
+        return F.transform(words_of(letters), word)
+
+    def masks_of(letters: Column) -> Column:
+        return F.map_from_entries(F.transform(F.array_distinct(letters), lambda c: F.struct(c, sums(letters, lambda x: x == c))))
 
-            return F.aggregate(F.sequence(F.lit(0), F.size(others) - 1), F.array(F.lit(0)), extend)
+    def open_places(letters: Column, masks: Column) -> Column:
+        whole = sums(letters, lambda x: F.lit(True))
 
-        return F.aggregate(_letters(a), F.array_repeat(F.lit(0), F.size(others) + 1), next_row)
+        def step(words: Column, letter: Column) -> Column:
+            own = F.try_element_at(masks, letter)
 
-    return F.element_at(let(_letters(b), last_row), -1)
+            def word(state: Column, w: Column) -> Column:
+                value = F.get(words, w)
+                hit = value.bitwiseAND(F.get(own, w))
+                total = value + hit + state["carry"]
+                rest = total.bitwiseAND(full).bitwiseOR(value - hit).bitwiseAND(F.get(whole, w))
+                return F.struct(F.concat(state["done"], F.array(rest)).alias("done"), F.call_function("shiftright", total, F.lit(WORD)).alias("carry"))
+
+            start = F.struct(F.array().cast("array<bigint>").alias("done"), zero.alias("carry"))
+            moved = F.aggregate(words_of(letters), start, word, lambda state: state["done"])
+            return F.when(own.isNull(), words).otherwise(moved)
+
+        return F.aggregate(_letters(b), whole, step)
+
+    rest = let(_letters(a), lambda letters: let(masks_of(letters), lambda masks: open_places(letters, masks)))
+    return F.length(a) - F.aggregate(rest, F.lit(0), lambda total, x: total + F.bit_count(x))
 
 
 def common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts that are not empty."""
-    return F.when(F.length(a) <= WORD, _lcs_by_bits(a, b)).otherwise(_lcs_by_rows(a, b))
+    """Length of the longest common subsequence of two texts that are not empty. The shorter one is the one kept in bits."""
+    a_first = F.length(a) <= F.length(b)
+    short, long = F.when(a_first, a).otherwise(b), F.when(a_first, b).otherwise(a)
+
+    def measured(pair: Column) -> Column:
+        fits = F.length(pair["short"]) <= WORD
+        return F.when(fits, _lcs_by_bits(pair["short"], pair["long"])).otherwise(_lcs_by_words(pair["short"], pair["long"]))
+
+    return let(F.struct(short.alias("short"), long.alias("long")), measured)
 
 
 def indel_distance(a: Column, b: Column) -> Column:
@@ -82,7 +117,7 @@ def indel_distance(a: Column, b: Column) -> Column:
     return F.length(a) + F.length(b) - 2 * common_length(a, b)
 
 
-def names_match(a: Column, b: Column, threshold: int = 88) -> Column:
+def names_match(a: Column, b: Column, threshold: int = NAME_SIMILARITY) -> Column:
     """Whether two names are at least ``threshold`` percent alike, whatever the order of their words."""
 
     def alike(left: Column, right: Column) -> Column:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.phones import normalize_phone, strip_separators
@@ -50,6 +52,13 @@ def best_hits(companies: DataFrame, hits: DataFrame, rank_titles: bool = True) -
     return first_per_key(ranked, ["id"], "rank", "pos").where("url != ''").select("id", "url")
 
 
+def one_per_page(details: DataFrame) -> DataFrame:
+    """One row of details per address, for pages that were fetched again: the one with most values, then the first as text."""
+    values = [F.coalesce(F.size(f.name), F.lit(0)) for f in details.schema.fields if isinstance(f.dataType, T.ArrayType | T.MapType)]
+    shown = [F.sort_array(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in details.schema.fields]
+    return first_per_key(details.where("url IS NOT NULL"), ["url"], -reduce(Column.__add__, values, F.lit(0)), F.to_json(F.struct(*shown)))
+
+
 @dataclass(frozen=True)
 class Filled:
     """Companies after the fill, their contacts, and one row per added value."""

@@ -3,7 +3,7 @@
 A group may hold any share of the data (every shop on one portal host), so a company
 is kept as a row of plain values plus long tables of its phones, e-mails and listing
 ids. Plain values come from aggregates with constant-size buffers. ``nest`` builds
-the list form for reports and lists.
+one row per company for reports, with lists of bounded size.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from rollcall.operators.linkage import (
     star_edges,
     with_component,
 )
+from rollcall.operators.picking import numbered
 from rollcall.schema import MESSENGERS, STRINGS, no_messengers, no_strings
 from rollcall.scratch import keep
 
@@ -33,6 +34,9 @@ STREET_CONFLICT = "same_name_diff_address"
 
 PHONE, EMAIL, LISTING = "phone", "email", "listing"
 
+#: Most values of a kind in the row of a company; all of them are in its facts.
+LISTED = 10_000
+
 
 @dataclass(frozen=True)
 class Resolved:
@@ -191,34 +195,39 @@ def resolve_entities(
     return Resolved(kept.df, scope)
 
 
-def nest(companies: DataFrame, facts: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Companies with lists: ``phones``, ``emails`` and ``merged_from`` in first-seen order.
+def first_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
+    """The facts that fit into the lists of a company's row: the first ``limit`` of each kind.
 
-    A company with more than ``limit`` values of a kind continues on further rows
-    (``part`` 1, 2, ..) with the same plain columns, so every value is there and no
-    row or task holds an unbounded list.
+    Only kinds of a company with more values are put in order; the others are taken as they are.
+    """
+    sizes = facts.groupBy("id", "kind").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id", "kind")
+    large = numbered(facts.join(sizes, ["id", "kind"], "left_semi"), ["id", "kind"], ["first_id", "pos", "value"], "place")
+    return facts.join(sizes, ["id", "kind"], "left_anti").unionByName(large.where(F.col("place") <= limit).drop("place"))
+
+
+def further_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
+    """The facts that do not: values of a kind after the first ``limit`` of a company."""
+    return facts.join(first_values(facts, limit).select("id", "kind", "value"), ["id", "kind", "value"], "left_anti").select(*facts.columns)
+
+
+def nest(companies: DataFrame, facts: DataFrame, limit: int = LISTED) -> DataFrame:
+    """Companies with lists: ``phones``, ``emails`` and ``merged_from`` in first-seen order, one row per company.
+
+    The counts ``n_phones``, ``n_emails`` and ``n_listings`` are those of all values. The lists hold the first ``limit`` of each
+    kind, so that no row is unbounded; ``further_values`` has the rest, and ``facts`` all of them.
     """
-    sizes = facts.groupBy("id", "kind").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    share = F.pmod(F.xxhash64("value"), F.ceil(F.col("n") / limit))
-    parted = facts.join(sizes, ["id", "kind"], "left").select(
-        facts["*"], F.coalesce(share, F.lit(0)).cast("int").alias("part")
-    )
 
     def listed(kind: str) -> Column:
         entry = F.when(F.col("kind") == kind, F.struct("first_id", "pos", "value"))
         return F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["value"])
 
-    lists = parted.groupBy("id", "part").agg(
+    lists = first_values(facts, limit).groupBy("id").agg(
         listed(PHONE).alias("phones"),
         listed(EMAIL).alias("emails"),
         F.transform(listed(LISTING), lambda v: v.cast("long")).alias("merged_from"),
     )
     return companies.join(lists, "id", "left").withColumns(
-        {
-            "part": F.coalesce("part", F.lit(0)),
-            "phones": F.coalesce("phones", no_strings()).cast(STRINGS),
-            "emails": F.coalesce("emails", no_strings()).cast(STRINGS),
-        }
+        {"phones": F.coalesce("phones", no_strings()).cast(STRINGS), "emails": F.coalesce("emails", no_strings()).cast(STRINGS)}
     )
 
 

@@ -1,10 +1,11 @@
 """Listings with similar names, found without comparing all names of a block.
 
-Names are compared as distinct token-sorted texts. If the longer text is cut into one
-piece more than the edits allowed, at least one piece stands unchanged in the other
-text, shifted by no more than those edits (Pass-Join, Li et al., VLDB 2011). So texts
-meet in an equi-join on (scope, block, length, piece number, piece). The filter loses
-no pair; what it lets through is checked exactly.
+Names are compared as distinct token-sorted texts, taken apart into pairs of neighbouring letters. A deletion spoils at most
+two such pairs and an insertion one, so two texts as alike as asked have most pairs in common, and then one of
+the rarest pairs of each is a rare one of the other: as many of the rarest, and one more, as edits could spoil (prefix
+filtering, Chaudhuri et al., ICDE 2006). Texts meet in an equi-join on (scope, block, lengths, letter pair). What nearly all names
+of a block share is never a join key unless the rest of a name is shorter than the edits allowed. The filter
+loses no pair; what it lets through is checked by a bounded Levenshtein test and then exactly.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.binding import let
 from rollcall.functions.similarity import first_letter_block, indel_distance, sorted_tokens
 from rollcall.operators.linkage import SCOPE
 from rollcall.scratch import keep
@@ -43,93 +45,63 @@ def _edits(total: Column, threshold: int) -> Column:
     return F.floor(total * (100 - threshold) / 100).cast("int")
 
 
-def _piece_start(number: Column, size: Column, pieces: Column) -> Column:
-    """Start (from 0) of a piece when ``size`` letters are cut into ``pieces`` nearly equal ones."""
-    return F.floor(number * size / pieces).cast("int")
+def _marked_pairs(text: Column) -> Column:
+    """Pairs of neighbouring letters with their running number among equal ones; the first letter has a mark before it."""
+    marked = F.concat(F.lit("^"), text)
+    pairs = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(marked, i, F.lit(2)))
 
+    def numbered(all_pairs: Column) -> Column:
+        return F.transform(all_pairs, lambda g, i: F.concat(g, F.size(F.filter(F.slice(all_pairs, F.lit(1), i), lambda x: x == g)).cast("string")))
 
-def _pieces(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
+    return let(pairs, numbered)
+
+
+def _rare_pairs(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
+    """(keys, long, short, pair, text, id): the join keys of a name for every length a similar name may have."""
     size = F.length("text")
-    cut = names.withColumns({"size": size, "pieces": _edits(2 * size, threshold) + 1})
-    each = cut.withColumn("number", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    start = _piece_start(F.col("number"), F.col("size"), F.col("pieces"))
-    end = _piece_start(F.col("number") + 1, F.col("size"), F.col("pieces"))
-    return each.select(*keys, "size", "number", F.substring("text", start + 1, end - start).alias("piece"), "text", "id")
-
-
-def _probes(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Substrings of a text that may equal a piece of a text as long or longer."""
-    own = F.length("text")
-    longest = F.floor(own * (200 - threshold) / threshold).cast("int")
-    sized = names.withColumn("size", F.explode(F.sequence(own, longest)))
-    allowed = _edits(F.col("size") + own, threshold)
-    gap = F.col("size") - own
-    fits = sized.withColumns({"allowed": allowed, "gap": gap}).where("gap <= allowed")
-    pieces = fits.withColumn("pieces", _edits(2 * F.col("size"), threshold) + 1)
-    each = pieces.withColumn("number", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    start = _piece_start(F.col("number"), F.col("size"), F.col("pieces"))
-    end = _piece_start(F.col("number") + 1, F.col("size"), F.col("pieces"))
-    placed = each.withColumns({"start": start, "width": end - start})
-    low = F.greatest(F.lit(0), F.col("start") - F.floor((F.col("allowed") + F.col("gap")) / 2).cast("int"))
-    high = F.least(own - F.col("width"), F.col("start") + F.floor((F.col("allowed") - F.col("gap")) / 2).cast("int"))
-    shifted = placed.withColumns({"low": low, "high": high}).where("low <= high")
-    each_place = shifted.withColumn("at", F.explode(F.sequence("low", "high")))
-    piece = F.substring("text", F.col("at") + 1, F.col("width"))
-    return each_place.select(*keys, "size", "number", piece.alias("piece"), "text", "id")
+    pairs = names.select(*keys, "text", "id", F.explode(_marked_pairs(F.col("text"))).alias("pair"))
+    counts = pairs.groupBy(*keys, "pair").agg(F.count(F.lit(1)).alias("n"))
+    ranked = (
+        pairs.join(counts, [*keys, "pair"])
+        .groupBy(*keys, "text", "id")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "pair"))), lambda e: e["pair"]).alias("ranked"))
+    )
+    other = F.explode(F.sequence(F.ceil(size * threshold / (200 - threshold)).cast("int"), F.floor(size * (200 - threshold) / threshold).cast("int")))
+    allowed = _edits(size + F.col("other"), threshold)
+    deleted = F.floor((allowed + size - F.col("other")) / 2).cast("int")
+    inserted = F.floor((allowed - size + F.col("other")) / 2).cast("int")
+    spoilt = 2 * deleted + inserted
+    each = ranked.withColumn("other", other).where(F.abs(size - F.col("other")) <= allowed).withColumn("rare", F.slice("ranked", F.lit(1), spoilt + 1))
+    return each.select(*keys, F.greatest(size, "other").alias("long"), F.least(size, "other").alias("short"), F.explode("rare").alias("pair"), "text", "id")
+
+
+def candidate_pairs(listings: DataFrame, threshold: int, scope: tuple[str, ...] = SCOPE, block: str = "first") -> DataFrame:
+    """(scope, text_a, id_a, text_b, id_b): the pairs of names that are looked at, each once, the longer one first."""
+    if not 67 <= threshold <= 100:
+        raise ValueError("threshold must be at least 67, or alike names need have no letter pair in common, and at most 100")
+    keys = [*scope, "block"]
+    rare = keep(_rare_pairs(distinct_names(listings, scope, block), keys, threshold), "rare-pairs").df
+    join_keys = [*keys, "long", "short", "pair"]
+    longer = rare.where(F.length("text") == F.col("long")).select(*join_keys, F.col("text").alias("text_a"), F.col("id").alias("id_a"))
+    shorter = rare.where(F.length("text") == F.col("short")).select(*join_keys, F.col("text").alias("text_b"), F.col("id").alias("id_b"))
+    met = longer.join(shorter, join_keys).where((F.col("long") > F.col("short")) | (F.col("text_a") > F.col("text_b")))
+    return met.select(*scope, "text_a", "id_a", "text_b", "id_b").distinct()
 
 
 def similar_name_pairs(
-    listings: DataFrame,
-    threshold: int = NAME_SIMILARITY,
-    scope: tuple[str, ...] = SCOPE,
-    block: str = "first",
-    metric: str = "indel",
-    hot: int = 2000,
+    listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
 ) -> DataFrame:
     """(scope, lo, hi, text_lo, text_hi, distance) of different names at least ``threshold`` percent alike.
 
     ``lo`` and ``hi`` are the lowest listing ids of the two names; together with
-    ``same_name_edges`` they connect the same listings as all pairs would.
-    ``metric`` is ``indel`` (deletions and insertions) or ``levenshtein``, both
-    relative to the summed lengths. A piece that more than ``hot`` texts of a block
-    share is dealt out over several groups. The few such pieces are written out first: their size is known
-    then, and Spark joins them without moving the many substrings where they are small.
+    ``same_name_edges`` they connect the same listings as all pairs would. The distance counts deletions and
+    insertions, relative to the summed lengths.
     """
-    if not 50 < threshold <= 100:
-        raise ValueError("threshold must be above 50 and at most 100")
-    keys = [*scope, "block"]
-    names = distinct_names(listings, scope, block)
-    join_keys = [*keys, "size", "number", "piece"]
-    pieces = _pieces(names, keys, threshold)
-    crowded = keep(
-        pieces.groupBy(*join_keys).agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("deals")).where("deals > 1"),
-        "crowded",
-    ).df
-    deals = F.coalesce(F.col("deals"), F.lit(1))
-    longer = (
-        pieces.join(crowded, join_keys, "left")
-        .withColumn("deal", F.pmod(F.xxhash64("text"), deals).cast("int"))
-        .select(*join_keys, "deal", F.col("text").alias("text_a"), F.col("id").alias("id_a"))
-    )
-    shorter = (
-        _probes(names, keys, threshold)
-        .join(crowded, join_keys, "left")
-        .withColumn("deal", F.explode(F.sequence(F.lit(0), deals - 1)))
-        .select(*join_keys, "deal", F.col("text").alias("text_b"), F.col("id").alias("id_b"))
-    )
     total = F.length("text_a") + F.length("text_b")
     allowed = _edits(total, threshold)
-    ordered = (F.length("text_a") > F.length("text_b")) | (
-        (F.length("text_a") == F.length("text_b")) & (F.col("text_a") > F.col("text_b"))
-    )
-    near = F.levenshtein("text_a", "text_b")
-    pairs = (
-        longer.join(shorter, [*join_keys, "deal"])
-        .where(ordered & (near <= allowed))
-        .select(*scope, "text_a", "id_a", "text_b", "id_b")
-        .distinct()
-    )
-    distance = indel_distance(F.col("text_a"), F.col("text_b")) if metric == "indel" else near
+    near = F.call_function("levenshtein", F.col("text_a"), F.col("text_b"), allowed)
+    pairs = candidate_pairs(listings, threshold, scope, block).where(near >= 0)
+    distance = indel_distance(F.col("text_a"), F.col("text_b"))
     a_first = F.col("id_a") < F.col("id_b")
     return (
         pairs.withColumn("distance", distance.cast("int"))

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rollcall.functions.places import name_rank
 from rollcall.functions.texts import directory_subdomain, slugify
 from rollcall.operators.picking import first_per_key
-from rollcall.settings import DIRECTORY_CATEGORY, STANDARD_SOURCES
+from rollcall.settings import DIRECTORY_CATEGORY, STANDARD_SOURCES, SUBDOMAINS
 
 
 def region_cities(wanted: DataFrame, cities: DataFrame, region_city: DataFrame) -> DataFrame:
@@ -41,11 +42,21 @@ def region_cities(wanted: DataFrame, cities: DataFrame, region_city: DataFrame)
     )
 
 
+#: Ids of collected listings are below this.
+COPY_IDS = 1 << 50
+
+
 def relabel_scope(listings: DataFrame, town_city: DataFrame) -> DataFrame:
-    """Puts every listing of a town under the city it was collected for; other towns stay."""
-    renamed = town_city.select(F.col("town").alias("city"), F.col("city").alias("scope_city"))
-    joined = listings.join(renamed, "city", "left")
-    return joined.withColumn("city", F.coalesce("scope_city", "city")).select(*listings.columns)
+    """Puts every listing of a town under the city it was collected for; other towns stay.
+
+    A town of several wanted cities gives a listing for each. The first city by name keeps the id, the n-th one gets
+    ids n * 2^50 higher, so that no id stands for two listings.
+    """
+    pairs = town_city.select("town", F.col("city").alias("scope_city")).distinct()
+    turns = pairs.withColumn("turn", F.row_number().over(Window.partitionBy("town").orderBy("scope_city")) - 1)
+    joined = listings.join(turns.withColumnRenamed("town", "city"), "city", "left")
+    changed = {"city": F.coalesce("scope_city", "city"), "id": F.col("id") + F.coalesce("turn", F.lit(0)) * F.lit(COPY_IDS)}
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in listings.columns])
 
 
 def region_totals(region_city: DataFrame) -> DataFrame:
@@ -76,15 +87,16 @@ def subdomain_in(url: Column, site: str) -> Column:
     return F.nullif(F.regexp_extract(url, pattern, 1), F.lit(""))
 
 
-def resolve_subdomains(cities: DataFrame, known: DataFrame, found: DataFrame, site: str) -> DataFrame:
+def resolve_subdomains(cities: DataFrame, known: DataFrame, found: DataFrame, site: str, manual: dict[str, str] = SUBDOMAINS) -> DataFrame:
     """(city, subdomain): the stored or manual one, else the one looked up, else the slug of the city.
 
-    ``known`` is (city, subdomain), ``found`` the result of ``best_localities``.
+    ``known`` is (city, subdomain), ``found`` the result of ``best_localities``, ``manual`` goes by lower-case names.
     """
+    by_hand = F.create_map(*[F.lit(x) for pair in manual.items() for x in pair]) if manual else F.create_map().cast("map<string,string>")
     stored = known.select("city", F.col("subdomain").alias("stored"))
     looked_up = found.select("city", subdomain_in(F.col("url"), site).alias("looked_up"))
     joined = cities.select("city").distinct().join(stored, "city", "left").join(looked_up, "city", "left")
-    return joined.select("city", F.coalesce("stored", "looked_up", directory_subdomain(F.col("city"))).alias("subdomain"))
+    return joined.select("city", F.coalesce("stored", F.try_element_at(by_hand, F.lower("city")), "looked_up", directory_subdomain(F.col("city"))).alias("subdomain"))
 
 
 def known_categories(resolved: DataFrame, pages: DataFrame, site: str, category: str = DIRECTORY_CATEGORY) -> DataFrame:

@@ -9,16 +9,19 @@ from rollcall.functions.handles import candidate_handles
 from rollcall.functions.html import (
     add_missing_keys,
     cms_of,
-    contact_link,
+    contact_href,
     has_quiz,
+    links_on_site,
+    profile_exists,
     profile_is_relevant,
     profile_trust,
-    relevant_links,
+    relevant_hrefs,
     social_links,
 )
-from rollcall.functions.urls import clean_website, site_root
+from rollcall.functions.urls import clean_website, resolve_link, site_root
 from rollcall.operators.picking import first_per_key
 from rollcall.schema import MESSENGERS, no_messengers
+from rollcall.scratch import keep
 from rollcall.settings import RELEVANT_WORDS
 from rollcall.sources.search import detail_rows
 
@@ -28,10 +31,23 @@ def _address(url: Column) -> Column:
     return site_root(F.substring_index(url, "#", 1))
 
 
-def stored_pages(pages: DataFrame) -> DataFrame:
-    """(address, url, html) of the pages that answered with status 200."""
+def page_findings(pages: DataFrame, literal: bool = False) -> DataFrame:
+    """(address, url, found, cms, has_marquiz, contact, relevant): what is read from each page that answered with status 200.
+
+    One pass over the pages, written once: what is joined afterwards are these few values, never the pages.
+    """
+    html = F.col("html")
     reached = pages.where("status = 200") if "status" in pages.columns else pages
-    return reached.select(_address(F.col("url")).alias("address"), "url", "html")
+    read = reached.select(
+        _address(F.col("url")).alias("address"),
+        "url",
+        social_links(html, literal).alias("found"),
+        cms_of(html).alias("cms"),
+        has_quiz(html).alias("has_marquiz"),
+        contact_href(html).alias("contact"),
+        relevant_hrefs(html).alias("relevant"),
+    )
+    return keep(read, "findings").df
 
 
 def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> DataFrame:
@@ -39,9 +55,9 @@ def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> Dat
 
     Home page first. Without a Telegram link there, the contact page, and then up to three more pages linked
     from it until both Telegram and WhatsApp are known. Each site is scanned once however many companies share
-    it, each step is one join on the page address, and only the extracted links travel further.
+    it, and each step is one join of the findings on the page address.
     """
-    store = stored_pages(pages)
+    store = page_findings(pages, literal)
     home = first_per_key(
         sites.select("site")
         .distinct()
@@ -49,10 +65,10 @@ def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> Dat
         .select(
             "site",
             "url",
-            social_links(F.col("html"), literal).alias("home_found"),
-            contact_link(F.col("html"), F.col("site")).alias("contact_url"),
-            cms_of(F.col("html")).alias("cms"),
-            has_quiz(F.col("html")).alias("has_marquiz"),
+            F.col("found").alias("home_found"),
+            resolve_link(F.concat("site", F.lit("/")), F.col("contact")).alias("contact_url"),
+            "cms",
+            "has_marquiz",
         ),
         ["site"],
         "url",
@@ -60,13 +76,13 @@ def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> Dat
     contacts = first_per_key(
         home.where(~F.map_contains_key("home_found", "telegram") & F.col("contact_url").isNotNull())
         .select("site", "home_found", "contact_url", _address(F.col("contact_url")).alias("address"))
-        .join(store, "address")
+        .join(store.drop("cms", "has_marquiz", "contact"), "address")
         .select(
             "site",
             "url",
             "contact_url",
-            add_missing_keys(F.col("home_found"), social_links(F.col("html"), literal)).alias("known"),
-            relevant_links(F.col("html"), F.col("site")).alias("links"),
+            add_missing_keys(F.col("home_found"), F.col("found")).alias("known"),
+            links_on_site(F.col("relevant"), F.col("site")).alias("links"),
         ),
         ["site"],
         "url",
@@ -75,8 +91,8 @@ def scan_sites(sites: DataFrame, pages: DataFrame, literal: bool = False) -> Dat
         contacts.select("site", "contact_url", F.posexplode("links").alias("pos", "link"))
         .where("link != contact_url")
         .select("site", "pos", _address(F.col("link")).alias("address"))
-        .join(store, "address")
-        .select("site", "pos", "url", social_links(F.col("html"), literal).alias("found")),
+        .join(store.select("address", "url", "found"), "address")
+        .select("site", "pos", "url", "found"),
         ["site", "pos"],
         "url",
     )
@@ -118,6 +134,20 @@ def verified_handles(
     return first_per_key(addressed.join(relevant, "url").select("id", "pos", "url"), ["id"], "pos").select("id", "url")
 
 
+def phone_handles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(id, url) of companies whose first phone has a stored profile that exists; needs ``phone``."""
+    existing = profiles.where(profile_exists(F.col("html"))).select("url").distinct()
+    dialled = companies.where(F.length("phone") == 11).select("id", F.concat(F.lit("https://t.me/+"), "phone").alias("url"))
+    return dialled.join(existing, "url", "left_semi")
+
+
+def found_handles(companies: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(id, url): the profile of the phone, else the first relevant one of the names; needs ``name`` and ``phone``."""
+    by_phone = phone_handles(companies, profiles)
+    by_name = verified_handles(handle_candidates(companies), profiles)
+    return by_phone.select("id", "url").unionByName(by_name.join(by_phone, "id", "left_anti").select("id", "url"))
+
+
 def profile_table(profiles: DataFrame) -> DataFrame:
     """(url, tg_trust) per stored profile; of several copies the one with the most marks."""
     return profiles.select("url", profile_trust(F.col("html")).alias("tg_trust")).groupBy("url").agg(F.max("tg_trust").alias("tg_trust"))

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
-from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, only_new
+from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, one_per_page, only_new
 from rollcall.operators.merge import LISTING, PHONE, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.picking import first_per_key
 from rollcall.operators.scoring import score_companies
-from rollcall.operators.site_scan import handle_candidates, profile_table, scan_sites, verified_handles
+from rollcall.operators.site_scan import found_handles, profile_table, scan_sites, visit_details
 from rollcall.scratch import keep
 from rollcall.settings import LEVELS, NETWORK_SIZE, WEIGHTS
 from rollcall.sinks.reports import export_all
-from rollcall.sinks.tables import without_scopes
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,18 @@ class Rules:
     rank_titles: bool = False
 
 
+@dataclass(frozen=True)
+class Finished:
+    """What a run ends with: plain company rows, all their phones, e-mails and listing ids, and the list form of both."""
+
+    scored: DataFrame
+    facts: DataFrame
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return nest(self.scored, self.facts)
+
+
 def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame) -> DataFrame:
     """Companies with clean website, messengers, builder and profile trust from stored pages and profiles."""
     cleaned = companies.withColumn("website", clean_website(F.col("website"))).withColumn("site", site_root(F.col("website")))
@@ -40,7 +53,7 @@ def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame
     linked = on_site.withColumn("messengers", add_missing_keys(F.col("messengers"), F.col("found"))).drop("found", "site")
     seen = keep(linked, "linked").df
     silent = seen.where(~F.map_contains_key("messengers", "telegram")).select("id", F.col("name_best").alias("name"), "phone")
-    handles = verified_handles(handle_candidates(silent), profiles).select("id", F.col("url").alias("handle"))
+    handles = found_handles(silent, profiles).select("id", F.col("url").alias("handle"))
     addressed = seen.join(handles, "id", "left").withColumn(
         "messengers",
         F.when(F.col("handle").isNull(), F.col("messengers")).otherwise(
@@ -113,23 +126,34 @@ def run(
     details: DataFrame,
     already: DataFrame | None = None,
     rules: Rules = Rules(),
-) -> DataFrame:
-    """Scored companies of all listings, in list form.
+    already_facts: DataFrame | None = None,
+    fetched: DataFrame | None = None,
+    on_resolved: Callable[[DataFrame, DataFrame], None] | None = None,
+) -> Finished:
+    """Scored companies of all listings with their facts.
 
     ``hits`` is (city, query_name, pos, url, title): search answers per company name and city. ``details`` is
     (url, emails, phones, messengers, cms). ``already`` holds companies of an earlier run: they get the merged
-    values of new listings and keep what was found for them, and only the others are visited and searched for.
+    values of new listings and keep what was found for them, and only the others are visited and searched for. Their
+    contacts are ``already_facts``, by default those of their lists. ``fetched`` (url, output) are texts of found pages,
+    whose sites are visited among ``pages`` as well. ``on_resolved`` is called with the labelled listings and the
+    companies before anything is visited.
     A company of an earlier run that has become part of another one passes its findings on.
     """
     resolved = resolve_entities(listings, rules.scope)
     companies = keep(resolved.companies, "companies").df
     facts = resolved.facts
+    if on_resolved is not None:
+        on_resolved(resolved.labelled, companies)
+    if fetched is not None:
+        details = details.unionByName(visit_details(fetched, pages))
     prior = None
     if already is not None:
         roots = resolved.labelled.select("id", "entity")
         mapped = already.join(roots, "id")
-        prior = first_per_key(mapped.where("part = 0"), ["entity"], "id").drop("id").withColumnRenamed("entity", "id")
-        found = unnest(mapped).where(F.col("kind") != LISTING).join(roots, "id")
+        prior = first_per_key(mapped, ["entity"], "id").drop("id").withColumnRenamed("entity", "id")
+        known = unnest(already) if already_facts is None else already_facts.join(already.select("id"), "id", "left_semi")
+        found = known.where(F.col("kind") != LISTING).select("id", "kind", "value").join(roots, "id")
         extra = found.select(F.col("entity").alias("id"), "kind", "value").distinct().join(facts, ["id", "kind", "value"], "left_anti")
         late = extra.select("id", "kind", "value", F.lit(2**62).alias("first_id"), F.lit(0).alias("pos"))
         facts = keep(facts.unionByName(late), "facts").df
@@ -138,30 +162,25 @@ def run(
     open_companies = missing_contacts(enriched)
     own_hits = hits.withColumnRenamed("query_name", "name").join(open_companies.select("id", "name", "city"), ["name", "city"])
     chosen = best_hits(open_companies, own_hits.select("id", "pos", "url", "title"), rules.rank_titles)
-    filled = fill_gaps(enriched, facts, chosen.join(details, "url"))
+    filled = fill_gaps(enriched, facts, chosen.join(one_per_page(details), "url"))
     together = filled.companies
     if prior is not None:
         known = _with_counts(_known_companies(companies, prior), facts)
         together = together.unionByName(known)
-    scored = keep(finish(together, filled.facts, rules), "scored").df
-    return nest(scored, filled.facts)
+    return Finished(keep(finish(together, filled.facts, rules), "scored").df, filled.facts)
 
 
-def refill(enriched: DataFrame, hits: DataFrame, details: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Fills the gaps of companies that are enriched already and scores them again."""
-    facts = unnest(enriched)
-    plain = enriched.where("part = 0").drop("part") if "part" in enriched.columns else enriched
-    counted = _with_counts(plain.drop("phones", "emails", "merged_from"), facts)
+def refill(enriched: DataFrame, hits: DataFrame, details: DataFrame, rules: Rules = Rules(), facts: DataFrame | None = None) -> Finished:
+    """Fills the gaps of companies that are enriched already and scores them again.
+
+    Their contacts are ``facts``, by default those of their lists.
+    """
+    facts = keep(unnest(enriched), "known-facts").df if facts is None else facts
+    counted = _with_counts(enriched.drop("phones", "emails", "merged_from"), facts)
     open_companies = missing_contacts(counted)
     chosen = best_hits(open_companies, hits, rank_titles=True)
-    filled = fill_gaps(counted, facts, chosen.join(details, "url"))
-    scored = keep(finish(filled.companies, filled.facts, rules), "scored").df
-    return nest(scored, filled.facts)
-
-
-def restart(tables: dict[str, DataFrame], cities: list[str]) -> dict[str, DataFrame]:
-    """All tables without the rows of the cities to collect again."""
-    return {name: without_scopes(df, cities) for name, df in tables.items()}
+    filled = fill_gaps(counted, facts, chosen.join(one_per_page(details), "url"))
+    return Finished(keep(finish(filled.companies, filled.facts, rules), "scored").df, filled.facts)
 
 
 def publish(scored: DataFrame, folder: str, presets: dict | None = None) -> dict[str, str]:

@@ -25,4 +25,4 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from rollcall.queries import collecting, contacts, enriching, grouping, places, reporting, scoring, texts  # noqa: F401
+    from rollcall.queries import collecting, contacts, enriching, grouping, places, reporting, scoring, stored, texts  # noqa: F401

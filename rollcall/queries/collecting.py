@@ -18,7 +18,7 @@ from rollcall.sources.driver_tables import listings, shape_listings, table
 from rollcall.sources.jsonld import declared_totals, listed_businesses, local_listings
 from rollcall.sources.registry import collect_sources
 from rollcall.sources.search import detail_rows, recover_json, search_listings, search_queries, with_details
-from rollcall.streaming.ingest import distinct_listings, ingest
+from rollcall.streaming.ingest import ingest
 
 PHONE_TEXT = "coalesce((SELECT string_agg(phone, ';' ORDER BY pos) FROM phone p WHERE p.id = {0}), '')"
 
@@ -144,7 +144,8 @@ def _(spark, folder):
     answers = derived_pages.search_answers(rows).drop("name")
     found = search_listings(answers).withColumn("pos", F.col("id") * 10 + F.col("pos"))
     details = detail_rows(derived_pages.noisy_outputs(rows))
-    return with_joined_lists(with_details(found, details), "phones", "emails").select("pos", "website", "phones", "emails", "address_raw")
+    again = details.withColumn("emails", F.array().cast("array<string>"))
+    return with_joined_lists(with_details(found, details.unionByName(again)), "phones", "emails").select("pos", "website", "phones", "emails", "address_raw")
 
 
 @register(
@@ -277,11 +278,13 @@ def _(spark, folder):
     "united_sources",
     listing_sql(
         """
-SELECT city, source, count(*) AS listings FROM (
-    SELECT city, '2gis' AS source FROM card WHERE length(name) >= 3 UNION ALL SELECT city, 'firmsru' FROM card WHERE length(name) >= 3
-    UNION ALL SELECT city, 'jsprav_playwright' FROM card UNION ALL SELECT city, 'yell' FROM card WHERE length(name) >= 3
-    UNION ALL SELECT city, 'jsprav' FROM local SEMI JOIN once USING (id, block))
-GROUP BY ROLLUP (city, source)""",
+SELECT city, source, name, address_raw, count(*) AS listings FROM (
+    SELECT city, '2gis' AS source, name, address_raw FROM card WHERE length(name) >= 3
+    UNION ALL SELECT city, 'firmsru', name, address_raw FROM card WHERE length(name) >= 3
+    UNION ALL SELECT city, 'jsprav_playwright', name, address_raw FROM card
+    UNION ALL SELECT city, 'yell', name, address_raw FROM card WHERE length(name) >= 3
+    UNION ALL SELECT city, 'jsprav', name, 'Street ' || id || CASE WHEN locality <> '' THEN ', ' || locality ELSE '' END FROM local SEMI JOIN once USING (id, block))
+GROUP BY ALL""",
         CARD,
         JSONLD,
     ),
@@ -290,7 +293,8 @@ def _(spark, folder):
     rows = listings(spark, folder)
     kinds = (("map", DIRECTORY_MAP), ("pages", DIRECTORY_PAGES), ("firms", DIRECTORY_FIRMS), ("company", COMPANY_PAGE))
     tables = [cards_of(derived_pages.card_pages(rows, kind), rules) for kind, rules in kinds]
-    return collection_counts(union_sources(*tables, local_listings(derived_pages.directory_pages(rows))))
+    united = union_sources(*tables, local_listings(derived_pages.directory_pages(rows)))
+    return united.groupBy("city", "source", "name", "address_raw").agg(F.count(F.lit(1)).alias("listings"))
 
 
 @register(
@@ -302,25 +306,24 @@ def _(spark, folder):
     UNION ALL SELECT city, 'jsprav', name FROM local SEMI JOIN once USING (id, block)
     UNION ALL SELECT city, 'firecrawl', unnest(['Portal', CASE WHEN id % 11 <> 0 AND id % 3 <> 2 THEN CASE id % 3 WHEN 0 THEN 'About ' || lower(split_part(name, ' ', 1)) ELSE 'Other' END END,
                                                 lower(split_part(name, ' ', 1)) || ' LLC']) FROM listings WHERE id % 8 NOT IN (0, 1))
-SELECT city, source, count(*) AS listings, count(DISTINCT name) AS names, 'jsprav_playwright' AS failed FROM row WHERE name IS NOT NULL GROUP BY ALL""",
+SELECT city, source, name, count(*) AS listings, 'firmsru;jsprav_playwright' AS failed FROM row WHERE name IS NOT NULL AND source <> 'firmsru' GROUP BY ALL""",
         CARD,
         JSONLD,
     ),
 )
 def _(spark, folder):
-    """All sources but one that is off and one whose input is missing."""
+    """All sources but one that is off, one whose input is missing, and one that fails while it runs."""
     rows = listings(spark, folder)
+    broken = derived_pages.card_pages(rows, "firms").withColumn("html", F.when(F.raise_error(F.lit("page lost")).isNull(), F.col("html")))
     inputs = {
         "jsprav": derived_pages.directory_pages(rows),
         "dgis": derived_pages.card_pages(rows, "map"),
-        "firmsru": derived_pages.card_pages(rows, "firms"),
+        "firmsru": broken,
         "firecrawl": derived_pages.search_answers(rows).select("city", F.col("id").cast("string").alias("query"), "body"),
         "fetched": derived_pages.noisy_outputs(rows),
     }
     united, errors = collect_sources(inputs, {"yell": {"enabled": False}})
-    return united.groupBy("city", "source").agg(
-        F.count(F.lit(1)).alias("listings"), F.countDistinct("name").alias("names"), F.lit(";".join(sorted(errors))).alias("failed")
-    )
+    return united.groupBy("city", "source", "name").agg(F.count(F.lit(1)).alias("listings"), F.lit(";".join(sorted(errors))).alias("failed"))
 
 
 @register(
@@ -365,7 +368,7 @@ def _(spark, folder):
 
 @register(
     "ingested_listings",
-    listing_sql("SELECT city, count(*) AS listings, count(DISTINCT source_url) AS addresses FROM (SELECT DISTINCT city, source_url FROM listings) GROUP BY city"),
+    listing_sql("SELECT city, source_url, min(id) AS id FROM listings GROUP BY ALL"),
 )
 def _(spark, folder):
     """Customers arrive as a file stream, become listings, and each address is taken in once."""
@@ -375,15 +378,13 @@ def _(spark, folder):
     stream = shape_listings(customers, table(spark, folder, "nation"), table(spark, folder, "region"))
     timed = stream.withColumn("scraped_at", F.timestamp_seconds(F.lit(1_700_000_000)))
     target = scratch_path(spark, "ingested")
-    ingest(distinct_listings(timed), target, scratch_path(spark, "ingest-state"))
-    return spark.read.parquet(target).groupBy("city").agg(
-        F.count(F.lit(1)).alias("listings"), F.countDistinct("source_url").alias("addresses")
-    )
+    ingest(timed, target, scratch_path(spark, "ingest-state"))
+    return spark.read.parquet(target).select("city", "source_url", "id")
 
 
 @register(
     "appended_listings",
-    listing_sql("SELECT city, source, 2 * count(*) AS listings FROM listings GROUP BY ALL"),
+    listing_sql("SELECT id, city, source, name, unnest([1, 1]) AS copy FROM listings"),
 )
 def _(spark, folder):
     """The same listings appended twice to a table kept by city."""
@@ -391,4 +392,4 @@ def _(spark, folder):
     rows = keep(listings(spark, folder), "listings").df
     append_listings(rows, target)
     append_listings(rows, target)
-    return spark.read.parquet(target).groupBy("city", "source").agg(F.count(F.lit(1)).alias("listings"))
+    return spark.read.parquet(target).select("id", "city", "source", "name", F.lit(1).alias("copy"))

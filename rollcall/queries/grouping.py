@@ -89,7 +89,7 @@ def _(spark, folder):
         """
 SELECT id, city, name_best, address, website, n_listings, n_phones, n_emails, nullif(split_part(phones, ';', 1), '') AS phone, phones, emails, merged_from,
        concat_ws(';', 'telegram=' || telegram, 'vk=' || vk, 'whatsapp=' || whatsapp) AS messengers,
-       'raw' AS status, needs_review, CASE WHEN needs_review THEN 'same_name_diff_address' ELSE '' END AS review_reason, 0 AS part
+       'raw' AS status, needs_review, CASE WHEN needs_review THEN 'same_name_diff_address' ELSE '' END AS review_reason
 FROM company""",
         COMPONENTS,
         MERGED,

@@ -61,10 +61,19 @@ def _(spark, folder):
     return region_totals(customers.select("region", F.col("name").alias("town")))
 
 
-@register("relabelled_scopes", listing_sql("SELECT id, CASE WHEN region = 'ASIA' THEN city ELSE region END AS city FROM listings"))
+@register(
+    "relabelled_scopes",
+    listing_sql(
+        """
+SELECT id, CASE WHEN region = 'ASIA' THEN city WHEN region = 'EUROPE' THEN 'EAST' ELSE region END AS city FROM listings
+UNION ALL SELECT id + 1125899906842624, region FROM listings WHERE region = 'EUROPE'"""
+    ),
+)
 def _(spark, folder):
+    """Towns of one wanted city each, but those of one region, which count to two."""
     nations = nation_region(spark, folder).where("region <> 'ASIA'")
     towns = nations.select(F.col("name").alias("town"), F.col("region").alias("city"))
+    towns = towns.unionByName(towns.where("city = 'EUROPE'").withColumn("city", F.lit("EAST")))
     return relabel_scope(listings(spark, folder).select("id", "city"), towns)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.plans.full_run import Rules, publish, refill, run
@@ -11,7 +14,7 @@ from rollcall.queries.enriching import FILL, SCANNED, SHOPS
 from rollcall.queries.grouping import MERGED
 from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
 from rollcall.scratch import scratch_path
-from rollcall.sinks.reports import csv_rows, markdown_lines
+from rollcall.sinks.reports import csv_rows, markdown_lines, read_csv
 from rollcall.sinks.tables import ScopedTable, Snapshots, upsert, without_scopes
 from rollcall.sources import derived_pages
 from rollcall.sources.driver_tables import enriched_listings, listings, sites
@@ -64,33 +67,31 @@ def _(spark, folder):
     "exported_files",
     listing_sql(
         """
-, doubled AS (SELECT * FROM scored)
-SELECT 'enriched' AS export, count(*) AS rows_written FROM scored
-UNION ALL SELECT 'hot_leads', count(*) FROM scored WHERE telegram IS NOT NULL AND crm_score >= 50
-UNION ALL SELECT 'high_score', count(*) FROM scored WHERE segment = 'A'
-UNION ALL SELECT 'with_telegram', count(*) FROM scored WHERE telegram IS NOT NULL
-UNION ALL SELECT 'cold_email', count(*) FROM scored WHERE telegram IS NULL AND whatsapp IS NULL AND n_emails > 0
-UNION ALL SELECT 'manual_search', count(*) FROM scored WHERE telegram IS NULL AND whatsapp IS NULL
-UNION ALL SELECT 'full_dump', count(*) FROM scored""",
+SELECT 'enriched' AS export, city, id::VARCHAR AS entry FROM scored
+UNION ALL SELECT 'hot_leads', city, id::VARCHAR FROM scored WHERE telegram IS NOT NULL AND crm_score >= 50
+UNION ALL SELECT 'high_score', city, id::VARCHAR FROM scored WHERE segment = 'A'
+UNION ALL SELECT 'with_telegram', city, id::VARCHAR FROM scored WHERE telegram IS NOT NULL
+UNION ALL SELECT 'cold_email', city, id::VARCHAR FROM scored WHERE telegram IS NULL AND whatsapp IS NULL AND n_emails > 0
+UNION ALL SELECT 'manual_search', city, name FROM scored WHERE telegram IS NULL AND whatsapp IS NULL
+UNION ALL SELECT 'full_dump', city, id::VARCHAR FROM scored""",
         NETWORK,
         SCORED,
     ),
 )
 def _(spark, folder):
-    """Writes every export and counts the companies in the files."""
+    """Writes every export and reads the companies of each city back from the files."""
     target = scratch_path(spark, "export")
-    paths = publish(scored_listings(spark, folder), target)
-    counts = None
-    for name, path in paths.items():
+    entries = []
+    for name, path in publish(scored_listings(spark, folder), target).items():
         if name == "manual_search":
-            found = spark.read.text(path).where("value like '| **%'")
+            rows = spark.read.text(path).where("value like '| **%'")
+            found = rows.select("city", F.regexp_extract("value", r"^\| \*\*(.*?)\*\* \|", 1).alias("entry"))
         elif name == "full_dump":
-            found = spark.read.schema("id long").json(path)
+            found = spark.read.schema("id string, city string").json(path).select("city", F.col("id").alias("entry"))
         else:
-            found = spark.read.option("header", True).schema("id string").csv(path)
-        counted = found.agg(F.lit(name).alias("export"), F.count(F.lit(1)).alias("rows_written"))
-        counts = counted if counts is None else counts.unionByName(counted)
-    return counts
+            found = read_csv(spark, path).select("city", F.col("id").alias("entry"))
+        entries.append(found.select(F.lit(name).alias("export"), "city", "entry"))
+    return reduce(DataFrame.unionByName, entries)
 
 
 @register(
@@ -184,7 +185,8 @@ def _(spark, folder):
     found = sites(spark, folder)
     hits = found.select("id", F.lit(0).alias("pos"), F.col("website").alias("url"), F.lit("").alias("title"))
     details = found.drop("id").withColumnRenamed("website", "url")
-    return refill(rows, hits, details).select("id", "city", "n_phones", "n_emails", "is_network", "crm_score", "segment")
+    again = details.withColumn("emails", F.array().cast("array<string>"))
+    return refill(rows, hits, details.unionByName(again)).scored.select("id", "city", "n_phones", "n_emails", "is_network", "crm_score", "segment")
 
 
 WHOLE_RUN = r"""
@@ -279,7 +281,7 @@ def _(spark, folder):
         ranked.select("city", "query_name", "pos", "hit.url", "hit.title"),
         details,
         rules=Rules(rank_titles=True),
-    )
+    ).companies
     texts = with_joined_lists(companies.withColumn("merged_from", F.col("merged_from").cast("array<string>")), "phones", "emails", "merged_from")
     return texts.select(
         "id", "city", "name", "website", "phones", "emails", "merged_from", "n_phones", "n_emails", "cms", "is_network", "needs_review", "crm_score", "segment"

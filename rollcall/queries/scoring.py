@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.operators.network import domain_counts, flag_networks, phone_counts
@@ -9,6 +12,7 @@ from rollcall.operators.presets import apply_preset
 from rollcall.operators.scoring import score_companies, segment_histogram, top_scored
 from rollcall.queries import register
 from rollcall.queries.base import listing_sql, messenger_text, with_joined_lists
+from rollcall.scratch import keep
 from rollcall.settings import PRESETS, WEIGHTS
 from rollcall.sources.driver_tables import enriched_listings, table
 
@@ -170,3 +174,28 @@ def _(spark, folder):
     chosen = apply_preset(doubled_listings(spark, folder), filters)
     texts = chosen.withColumn("messengers", messenger_text()).select("id", "city", "crm_score", "segment", "emails", "messengers")
     return with_joined_lists(texts, "emails")
+
+
+@register(
+    "preset_expressions",
+    listing_sql(
+        """
+SELECT 'between' AS preset, id FROM scored WHERE crm_score BETWEEN 20 AND 40 AND (telegram IS NOT NULL OR lower(city) = 'nation_3')
+UNION ALL SELECT 'function', id FROM scored WHERE lower(substr(name, 1, 1)) = 'b' AND city IN ('NATION_1', 'NATION_2')
+UNION ALL SELECT 'not', id FROM scored WHERE NOT (segment = 'D' OR telegram IS NULL)""",
+        NETWORK,
+        SCORED,
+    ),
+)
+def _(spark, folder):
+    """Whole conditions: ranges, alternatives, functions, and one nothing meets."""
+    presets = {
+        "between": "crm_score BETWEEN 20 AND 40 AND (telegram IS NOT NULL OR lower(city) = 'nation_3')",
+        "function": "lower(substr(name, 1, 1)) = 'b' and city IN ('NATION_1', 'NATION_2') AND no_such_column > 1",
+        "not": "NOT (segment = 'D' OR telegram IS NULL)",
+        "nothing": "1=0",
+        "nobody": "lower(name) = 'nobody'",
+    }
+    rows = keep(scored_listings(spark, folder), "scored").df
+    found = [apply_preset(rows, text).select(F.lit(name).alias("preset"), "id") for name, text in presets.items()]
+    return reduce(DataFrame.unionByName, found)

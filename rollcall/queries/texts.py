@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from rollcall.functions import html as pages_html
 from rollcall.functions.handles import candidate_handles
 from rollcall.functions.phones import normalize_phones
-from rollcall.functions.similarity import first_letter_block, sorted_tokens
+from rollcall.functions.similarity import first_letter_block, names_match, sorted_tokens
 from rollcall.functions.texts import escape_markdown, file_name, longest, slugify, street_of, transliterate, variant_label
 from rollcall.operators.name_pairs import same_name_edges, similar_name_pairs
 from rollcall.queries import register
 from rollcall.queries.base import BLANK_SQL, joined, listing_sql
+from rollcall.settings import NAME_SIMILARITY
 from rollcall.sources.driver_tables import listings, table
 
 TRANSLIT_SQL = (
@@ -175,18 +176,39 @@ PART_NAMES = """
         pair_sql(
             LISTING_NAMES,
             "length(text_lo) + length(text_hi) - 2 * " + LCS_SQL.format(a="text_lo", b="text_hi"),
-            97,
+            NAME_SIMILARITY,
         ),
     ),
 )
 def _(spark, folder):
-    return similar_name_pairs(listings(spark, folder), threshold=97)
+    return similar_name_pairs(listings(spark, folder))
 
 
-@register("similar_part_names", "WITH " + pair_sql(PART_NAMES, "levenshtein(text_lo, text_hi)", 75))
+@register(
+    "similar_part_names",
+    "WITH " + pair_sql(PART_NAMES, "length(text_lo) + length(text_hi) - 2 * " + LCS_SQL.format(a="text_lo", b="text_hi"), 75),
+)
 def _(spark, folder):
     named = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.lit("all").alias("city"), F.col("p_name").alias("name"))
-    return similar_name_pairs(named, threshold=75, metric="levenshtein")
+    return similar_name_pairs(named, threshold=75)
+
+
+@register(
+    "matching_names",
+    listing_sql(
+        ", pair AS (SELECT city, id AS lo, id + 1 AS hi, lower(a.name) AS name_a, (SELECT lower(b.name) FROM listings b WHERE b.id = a.id + 1) AS name_b FROM listings a),"
+        " word AS (SELECT *, array_to_string(list_sort(string_split(name_a, ' ')), ' ') AS text_a,"
+        " array_to_string(list_sort(string_split(name_b, ' ')), ' ') AS text_b FROM pair WHERE name_b IS NOT NULL)"
+        " SELECT lo, hi, (length(text_a) + length(text_b) - 2 * "
+        + LCS_SQL.format(a="text_a", b="text_b")
+        + f") * 100 <= {100 - NAME_SIMILARITY} * (length(text_a) + length(text_b)) AS alike FROM word"
+    ),
+)
+def _(spark, folder):
+    """Whether the names of neighbouring listings match."""
+    rows = listings(spark, folder).select("id", "name")
+    following = rows.select((F.col("id") - 1).alias("id"), F.col("name").alias("other"))
+    return rows.join(following, "id").select(F.col("id").alias("lo"), (F.col("id") + 1).alias("hi"), names_match(F.col("name"), F.col("other")).alias("alike"))
 
 
 @register(

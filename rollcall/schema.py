@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 # Names of the collecting sources.
 SOURCES = ("firecrawl", "jsprav", "jsprav_playwright", "2gis", "yell", "firmsru", "google_maps", "avito")
 
-# Processing states of a company.
-STATUSES = ("raw", "validated", "enriched", "contacted")
-
 GEO = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
 
 TRUST = T.StructType(

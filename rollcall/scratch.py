@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,8 @@ class Kept:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-_kept: list[Kept] = []
+#: Tables of the run in progress. Each thread and task of a program has its own.
+_run: ContextVar[list[Kept] | None] = ContextVar("rollcall_run", default=None)
 
 
 def keep(df: DataFrame, label: str) -> Kept:
@@ -54,17 +56,20 @@ def keep(df: DataFrame, label: str) -> Kept:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     kept = Kept(spark.read.schema(df.schema).parquet(path), path)
-    _kept.append(kept)
+    own = _run.get()
+    if own is not None:
+        own.append(kept)
     return kept
 
 
 @contextmanager
 def scratch_dropped_after() -> Iterator[None]:
     """Removes the intermediate tables written inside the block when it ends, whatever its outcome."""
-    start = len(_kept)
+    own: list[Kept] = []
+    token = _run.set(own)
     try:
         yield
     finally:
-        for kept in _kept[start:]:
+        _run.reset(token)
+        for kept in own:
             kept.drop()
-        del _kept[start:]

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions.texts import escape_markdown, slugify, variant_label
+from rollcall.functions.texts import escape_markdown, variant_label
 from rollcall.operators.linkage import SCOPE
 from rollcall.operators.picking import numbered
 from rollcall.operators.presets import apply_preset
@@ -21,6 +21,11 @@ log = logging.getLogger(__name__)
 
 BYTE_ORDER_MARK = "\ufeff"
 
+# Columns of the CSV export.
+CSV_COLUMNS = (
+    "id", "name", "phones", "address", "website", "emails", "segment", "crm_score", "is_network", "cms", "has_marquiz", "telegram", "vk", "whatsapp",
+)
+
 # Words of the Markdown reports.
 REPORT_TITLE = "# База мастерских: "
 FILTER_LINE = "**Фильтр:** "
@@ -185,34 +190,48 @@ def conflict_lines(labelled: DataFrame, companies: DataFrame, scope: str = "city
     return head.unionByName(opening).unionByName(spread(variants, number, F.col("variant"), body)).unionByName(closing)
 
 
+def _by_city(rows: DataFrame, scope: str, order: list[str | Column]) -> DataFrameWriter:
+    """A writer of one folder per city, files in order, that replaces the cities it writes and no others.
+
+    Folders carry the city itself; Spark escapes what a file name can't hold.
+    """
+    ranged = rows.repartitionByRange(scope, *order).sortWithinPartitions(scope, *order)
+    return ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope)
+
+
 def write_csv(scored: DataFrame, path: str, scope: str = "city", literal_header: bool = True) -> None:
-    """One folder per city, best companies first. Each file opens with a byte order mark and a header."""
-    rows = csv_rows(scored, (scope,)).withColumn("folder", slugify(F.col(scope)))
-    ordered = rows.repartitionByRange(F.col("folder"), F.desc("crm_score"), F.col("id")).sortWithinPartitions(
-        "folder", F.desc("crm_score"), "id"
-    )
-    named = ordered.drop(scope)
-    if literal_header:
-        named = named.withColumnRenamed("id", BYTE_ORDER_MARK + "id")
-    named.write.mode("overwrite").partitionBy("folder").csv(path, header=True)
+    """One folder per city, best companies first. Each file opens with a byte order mark and a header.
+
+    Quotes are doubled and blanks kept, as RFC 4180 has it.
+    """
+    rows = csv_rows(scored, (scope,))
+    header = BYTE_ORDER_MARK + "id" if literal_header else "id"
+    named = rows.withColumnRenamed("id", header)
+    _by_city(named, scope, [F.desc("crm_score"), F.col(header)]).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path, header=True)
+
+
+def read_csv(spark: SparkSession, path: str, scope: str = "city") -> DataFrame:
+    """What ``write_csv`` wrote, all columns as text, with the city of the folder."""
+    names = [*CSV_COLUMNS, scope]
+    return spark.read.schema(", ".join(f"{n} string" for n in names)).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def write_lines(lines: DataFrame, path: str, scope: str = "city") -> None:
     """One folder of text files per city; read in file order they are the report."""
     order = [c for c in lines.columns if c not in (scope, "line")]
-    foldered = lines.withColumn("folder", slugify(F.col(scope)))
-    foldered.repartitionByRange("folder", *order).sortWithinPartitions("folder", *order).select("folder", "line").write.mode(
-        "overwrite"
-    ).partitionBy("folder").text(path)
+    ranged = lines.repartitionByRange(scope, *order).sortWithinPartitions(scope, *order).select(scope, "line")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).text(path)
 
 
 def write_json(scored: DataFrame, path: str, scope: str = "city") -> None:
-    foldered = scored.withColumn("folder", slugify(F.col(scope)))
-    foldered.hint("rebalance", "folder").write.mode("overwrite").partitionBy("folder").json(path)
+    scored.hint("rebalance", scope).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).json(path)
 
 
-def conflicts_report(labelled: DataFrame, companies: DataFrame, path: str, scope: str = "city") -> None:
+def conflicts_report(labelled: DataFrame, companies: DataFrame, path: str, scope: str = "city") -> str:
     write_lines(conflict_lines(labelled, companies, scope), path, scope)
+    return path
 
 
 def export_preset(scored: DataFrame, name: str, preset: dict, folder: str, literal: bool = False) -> str:

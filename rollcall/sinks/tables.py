@@ -28,6 +28,16 @@ def write_batch(rows: DataFrame, path: str, batch: str, scope: str = "city") ->
     labelled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope, "batch").parquet(path)
 
 
+def stored_columns(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The named columns of a table, null while nothing is stored at ``path``."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_scope(spark: SparkSession, path: str, city: str | None = None) -> DataFrame:
     """A table partitioned by city; with ``city`` only that partition's folder is read."""
     df = spark.read.parquet(path)
@@ -35,15 +45,14 @@ def read_scope(spark: SparkSession, path: str, city: str | None = None) -> DataF
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
-    """Inserts new keys and updates known ones. A null in ``changes`` keeps the stored value."""
+    """Inserts new keys and updates known ones. A null in ``changes`` keeps the stored value.
+
+    A column that only one side has is kept, null where its side has no row.
+    """
     fresh = changes.select(key, *[F.col(c).alias(f"new_{c}") for c in changes.columns if c != key])
     joined = current.join(fresh, key, "full")
-    return joined.select(
-        *[
-            F.col(c) if c == key or c not in changes.columns else F.coalesce(F.col(f"new_{c}"), F.col(c)).alias(c)
-            for c in current.columns
-        ]
-    )
+    shared = [F.col(c) if c == key or c not in changes.columns else F.coalesce(F.col(f"new_{c}"), F.col(c)).alias(c) for c in current.columns]
+    return joined.select(*shared, *[F.col(f"new_{c}").alias(c) for c in changes.columns if c not in current.columns])
 
 
 def without_scopes(df: DataFrame, cities: list[str], scope: str = "city") -> DataFrame:
@@ -80,7 +89,7 @@ class ScopedTable:
         """The table, or the named cities of it; null when nothing is stored yet."""
         if not self._folders():
             return None
-        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        reader = self.spark.read.option("mergeSchema", True) if self.schema is None else self.spark.read.schema(self.schema)
         df = reader.parquet(self.path)
         return df if cities is None else df.where(F.col(self.scope).isin(*cities))
 
@@ -99,15 +108,16 @@ class ScopedTable:
     def upsert(self, changes: DataFrame, key: str = "id") -> None:
         """Upserts by key inside the touched cities; a row must not move to another city.
 
-        The touched cities are named to the reader, so only their folders are read and rewritten.
+        The touched cities are joined to the stored ones, so Spark can leave the other folders unread; only touched
+        ones are rewritten.
         """
         ready = keep(changes, "changes")
-        touched = [row[0] for row in ready.df.select(self.scope).distinct().collect()]
-        current = self.read(touched)
+        current = self.read()
         if current is None:
             self.append(ready.df)
         else:
-            self.replace(upsert(current, ready.df, key))
+            touched = current.join(ready.df.select(self.scope).distinct(), self.scope, "left_semi")
+            self.replace(upsert(touched, ready.df, key))
         ready.drop()
 
     def delete_scopes(self, cities: list[str]) -> None:
@@ -119,6 +129,12 @@ class ScopedTable:
         self.spark.catalog.refreshByPath(self.path)
 
 
+def drop_other_scopes(spark: SparkSession, path: str, written: list[str], wanted: list[str] | None, scope: str = "city") -> None:
+    """Removes the folders of ``wanted`` cities (all when null) that a fresh write gave no rows."""
+    table = ScopedTable(spark, path, scope)
+    table.delete_scopes([c for c in table.scopes() if c not in written and (wanted is None or c in wanted)])
+
+
 class Snapshots:
     """A table kept as numbered snapshot folders under ``root``."""
 

@@ -1,7 +1,7 @@
 """Listing cards and company pages of directories, by a rule table per directory.
 
-A card runs from its opening tag to the opening tag of the next card, so nested
-markup inside a card does no harm.
+A card runs from its opening tag to the closing tag that belongs to it. Tags inside a card that would open a card
+elsewhere belong to the outer one, and what follows the last card of a page belongs to none.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ class CardRules:
     all_phones: bool
     own_host: str
     link: str | None = None
+    card_link: str | None = None
     website: bool = True
     site_class: str | None = None
     emails: bool = True
@@ -61,6 +62,7 @@ DIRECTORY_MAP = CardRules(
     all_phones=False,
     own_host="2gis",
     link=r"""<a\s[^>]*href=["']([^"']*/firm/[^"']*)["']""",
+    card_link="/firm/",
     website=False,
     emails=False,
     messengers=("telegram", "vk", "instagram"),
@@ -73,6 +75,7 @@ DIRECTORY_PAGES = CardRules(
     phones=(_tag("span|a|div", "phone"),),
     all_phones=False,
     own_host="yell",
+    card_link="/company/",
     site_class="website-link",
 )
 DIRECTORY_FIRMS = CardRules(
@@ -83,6 +86,7 @@ DIRECTORY_FIRMS = CardRules(
     phones=(_tag("span|div", "phone"), r"""<a\s[^>]*href=["']tel:[^"']*["'][^>]*>(.*?)</a>"""),
     all_phones=True,
     own_host="firmsru",
+    card_link="/firm/",
 )
 COMPANY_PAGE = CardRules(
     source="jsprav_playwright",
@@ -132,13 +136,46 @@ def _last_link(hrefs: Column, kind: str, kinds: tuple[str, ...]) -> Column:
     return F.try_element_at(F.filter(hrefs, fits), F.lit(-1))
 
 
+def cards_in(html: Column, rules: CardRules) -> Column:
+    """The cards of a page in order: contents of the outermost elements that open a card, or a link to a card's page.
+
+    The page is cut before every div and link tag, and one pass over the pieces counts how deep each stands.
+    """
+    pieces = F.split(html, r"(?i)(?=</?(?:div|a)\b)")
+    is_link = _flags(rf"""^<a\s[^>]*href=["'][^"']*{rules.card_link}""") if rules.card_link else None
+
+    def step(state: Column, piece: Column) -> Column:
+        div = piece.rlike(r"(?i)^<div\b")
+        end_div = piece.rlike(r"(?i)^</div\b")
+        end_link = piece.rlike(r"(?i)^</a\b")
+        inside = state["kind"] != ""
+        opens_div = ~inside & piece.rlike(_flags("^" + rules.card))
+        opens_link = ~inside & piece.rlike(is_link) if is_link else F.lit(False)
+        depth = F.when(opens_div, 1).when(~inside, 0).when(div, state["depth"] + 1).when(end_div, state["depth"] - 1).otherwise(state["depth"])
+        closes = inside & F.when(state["kind"] == "div", end_div & (state["depth"] == 1)).otherwise(end_link)
+        text = (
+            F.when(opens_div, F.regexp_replace(piece, _flags("^<div[^>]*>"), ""))
+            .when(opens_link, piece)
+            .when(inside & ~closes, F.concat(state["text"], piece))
+            .otherwise("")
+        )
+        kind = F.when(opens_div, "div").when(opens_link, "a").when(closes, "").otherwise(state["kind"])
+        found = F.when(closes, F.concat(state["cards"], F.array(state["text"]))).otherwise(state["cards"])
+        return F.struct(depth.cast("int").alias("depth"), kind.alias("kind"), text.alias("text"), found.alias("cards"))
+
+    def all_cards(state: Column) -> Column:
+        return F.when(state["kind"] != "", F.concat(state["cards"], F.array(state["text"]))).otherwise(state["cards"])
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kind"), F.lit("").alias("text"), no_strings().alias("cards"))
+    return F.aggregate(pieces, start, step, all_cards)
+
+
 def cards_of(pages: DataFrame, rules: CardRules) -> DataFrame:
     """Listing rows from stored pages (city, url, html)."""
     if rules.card is None:
         cards = pages.select("city", "url", F.lit(0).alias("pos"), F.col("html").alias("card"))
     else:
-        chunks = F.split("html", _flags(rules.card))
-        cards = pages.select("city", "url", F.posexplode(F.slice(chunks, 2, F.size(chunks))).alias("pos", "card"))
+        cards = pages.select("city", "url", F.posexplode(cards_in(F.col("html"), rules)).alias("pos", "card"))
     card = F.col("card")
     hrefs = every(card, r"""(?is)<a\s[^>]*href=["']([^"']+)["']""")
     numbers = _every_content(card, rules.phones) if rules.all_phones else F.array(_first_content(card, rules.phones))

@@ -155,8 +155,14 @@ def directory_pages(listings: DataFrame) -> DataFrame:
     )
 
 
+FOOTER = '<div class="foot"><a href="https://t.me/foot">t</a><a href="https://vk.com/foot">v</a><a href="https://instagram.com/foot">i</a>foot@example.ru</div>'
+
+
 def card_pages(listings: DataFrame, directory: str) -> DataFrame:
-    """(city, url, html): pages with two listing cards each, in the markup of a directory."""
+    """(city, url, html): pages with two listing cards each, in the markup of a directory.
+
+    Cards hold further elements that would open a card elsewhere, and pages end in a footer with links of its own.
+    """
     k, t = F.col("id"), F.col("id").cast("string")
     phone = F.coalesce(F.get("phones", 0), F.lit("no phone"))
     second = F.coalesce(F.get("phones", 1), F.lit("none"))
@@ -169,20 +175,20 @@ def card_pages(listings: DataFrame, directory: str) -> DataFrame:
     )
     if directory == "map":
         card = _text(
-            '<div class="_card_1"><a href="/firm/', t, '"><span class="title"><b>', name, "</b></span></a>",
+            '<div class="_card_1"><div class="card-head firm-head"><a href="/firm/', t, '"><span class="title"><b>', name, "</b></span></a></div>",
             '<span class="item_address">', F.col("address_raw"), '</span><span class="the-phone">', phone, "</span>", links,
             _if(k % 7 == 0, '<a href="https://instagram.com/shop', t, '">i</a>'), "</div>",
         )
     elif directory == "pages":
         card = _text(
-            '<div class="big company-card"><h3> <a href="/c/', t, '">', name, "</a></h3><address>", F.col("address_raw"),
+            '<div class="big company-card"><div class="listing-item"><h3> <a href="/company/', t, '">', name, "</a></h3></div><address>", F.col("address_raw"),
             '</address><span class="phone">', phone, '</span><a href="https://yell.example.ru/x">in</a>',
             _if(k % 2 == 0, '<a class="website-link" href="', site, '">site</a>'), links,
             "<p>mail: box", t, "@example.ru</p></div>",
         )
     elif directory == "firms":
         card = _text(
-            '<div class="firm-item"><span class="name">', name, '</span><div class="address">', F.col("address_raw"),
+            '<div class="firm-item"><div class="company"><span class="name">', name, '</span></div><div class="address">', F.col("address_raw"),
             '</div><span class="phone">', phone, '</span><a href="tel:1">', second, '</a><a href="http://firmsru.example/">in</a>',
             links, "<p>box", t, "@example.ru, box", t, "@example.ru</p></div>",
         )
@@ -201,7 +207,7 @@ def card_pages(listings: DataFrame, directory: str) -> DataFrame:
         .select(
             "city",
             _text("https://dir.example.ru/p/", F.col("shelf").cast("string")).alias("url"),
-            F.concat(F.lit("<html><body>"), "cards", F.lit("</body></html>")).alias("html"),
+            F.concat(F.lit("<html><body><div>"), "cards", F.lit(f"</div>{FOOTER}</body></html>")).alias("html"),
         )
     )
 

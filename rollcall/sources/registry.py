@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.schema import LISTING
+from rollcall.scratch import keep
 from rollcall.sources.cards import COMPANY_PAGE, DIRECTORY_FIRMS, DIRECTORY_MAP, DIRECTORY_PAGES, cards_of
 from rollcall.sources.jsonld import local_listings
 from rollcall.sources.search import detail_rows, search_listings, with_details
@@ -72,18 +74,16 @@ def collect_sources(
 ) -> tuple[DataFrame | None, dict[str, str]]:
     """Listings of all sources that are on, in one table, and the error of each source that failed.
 
-    A source is on unless its flag says otherwise. One without its input does not stop the others.
+    A source is on unless its flag says otherwise. Each is read and written to scratch on its own, so one that fails, while
+    it is planned or while it runs, does not stop the others.
     """
     tables, errors = [], {}
     for name in names or tuple(READERS):
         if not (flags or {}).get(name, {}).get("enabled", True):
             continue
         try:
-            tables.append(as_listings(READERS[name](inputs)))
+            tables.append(keep(as_listings(READERS[name](inputs)), f"source-{name}").df)
         except Exception as error:
             log.warning("source %s failed: %s", name, error)
             errors[name] = f"{type(error).__name__}: {error}"
-    united = tables[0] if tables else None
-    for other in tables[1:]:
-        united = united.unionByName(other)
-    return united, errors
+    return (reduce(DataFrame.unionByName, tables) if tables else None), errors

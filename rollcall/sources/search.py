@@ -10,6 +10,7 @@ from rollcall.functions.emails import emails_in_text
 from rollcall.functions.html import every, first
 from rollcall.functions.phones import normalize_phones, phones_in_text
 from rollcall.functions.urls import domain_of
+from rollcall.operators.gaps import one_per_page
 from rollcall.operators.picking import first_per_key
 from rollcall.schema import no_messengers, no_strings
 from rollcall.settings import SEARCH_PHRASES
@@ -49,8 +50,11 @@ def search_results(answers: DataFrame, limit: int | None = None) -> DataFrame:
     return answers.select(*carried, F.posexplode(hits).alias("pos", "hit")).select(*carried, "pos", "hit.*")
 
 
-def search_listings(answers: DataFrame, limit: int = 10) -> DataFrame:
-    """Hits with an address and a title as listings: the title is the name, the address the website."""
+def search_listings(answers: DataFrame, limit: int | None = None) -> DataFrame:
+    """Hits with an address and a title as listings: the title is the name, the address the website.
+
+    ``limit`` takes that many hits of each answer only, as a search with a limit would have returned.
+    """
     found = search_results(answers, limit).where("url != '' and title != ''")
     return found.select(
         *[c for c in answers.columns if c != "body"],
@@ -109,7 +113,7 @@ def with_details(listings: DataFrame, details: DataFrame, order: str = "pos") ->
     keyed = listings.withColumn("domain", domain_of(F.col("website")))
     sited = listings.select(rows_with(domain_of(F.col("website"))).alias("domain"), order, F.col("website").alias("url"))
     firsts = first_per_key(sited, ["domain"], order)
-    found = firsts.join(details, "url").select(
+    found = firsts.join(one_per_page(details), "url").select(
         "domain", F.col(order).alias("first"), "phones", "emails", "addresses"
     )
     is_first = (keyed["domain"] == found["domain"]) & (keyed[order] == found["first"])

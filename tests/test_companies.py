@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.gaps import best_hits, fill_gaps, fill_statistics, missing_contacts, only_new
+from rollcall.operators.gaps import best_hits, fill_gaps, fill_statistics, missing_contacts, one_per_page, only_new
 from rollcall.operators.merge import fact_counts, nest, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.places import (
@@ -14,7 +15,7 @@ from rollcall.operators.places import (
 )
 from rollcall.operators.presets import apply_preset
 from rollcall.operators.scoring import score_companies, segment_histogram, top_scored
-from rollcall.operators.site_scan import handle_candidates, scan_sites, verified_handles
+from rollcall.operators.site_scan import found_handles, handle_candidates, scan_sites, verified_handles
 from rollcall.operators.stages import collection_gaps, stage_by_city
 from rollcall.schema import ENRICHED, with_known_source, with_null_defaults
 
@@ -261,3 +262,40 @@ def test_stages_and_gaps(spark):
     declared = spark.createDataFrame([("x", 2, 9), ("x", 1, 5), ("y", 1, 3), ("z", 1, None)], "category string, page int, total int")
     gaps = {r.category: (r.collected, r.declared, r.missing) for r in collection_gaps(listed, declared).collect()}
     assert gaps == {"x": (2, 5, 3), "y": (0, 3, 3), "z": (1, None, 0)}
+
+
+def test_the_phone_is_the_first_handle(spark):
+    companies = spark.createDataFrame(
+        [(1, "Stone Works", "79001112233"), (2, "Stone Works", "79004445566"), (3, "Other Name", None)], "id long, name string, phone string"
+    )
+    relevant = '<div class="tgme_page_title">памятники</div>'
+    profiles = spark.createDataFrame(
+        [
+            ("https://t.me/+79001112233", "Telegram: Contact"),
+            ("https://t.me/+79004445566", "nothing"),
+            ("https://t.me/stoneworks", relevant),
+        ],
+        "url string, html string",
+    )
+    assert {(r.id, r.url) for r in found_handles(companies, profiles).collect()} == {(1, "https://t.me/+79001112233"), (2, "https://t.me/stoneworks")}
+
+
+def test_pages_are_read_once_and_never_shuffled(spark):
+    sites = spark.createDataFrame([("https://a.ru",)], "site string")
+    pages = spark.createDataFrame([("https://a.ru/", 200, "<p>bitrix</p>")], "url string, status int, html string")
+    plan = scan_sites(sites, pages)._jdf.queryExecution().toString()
+    assert "html" not in plan and plan.count("FileScan parquet") >= 3
+
+
+def test_one_row_of_details_per_page(spark):
+    schema = "url string, emails array<string>, phones array<string>, messengers map<string,string>, cms string"
+    rows = [("u", ["a@b.c"], [], {}, "unknown"), ("u", ["a@b.c"], ["1"], {"vk": "v"}, "tilda"), ("u", ["a@b.c"], ["1"], {"vk": "v"}, "tilda"), ("w", None, None, None, None)]
+    found = {r.url: r for r in one_per_page(spark.createDataFrame(rows, schema)).collect()}
+    assert len(found) == 2 and found["u"].cms == "tilda" and found["u"].phones == ["1"] and found["w"].emails is None
+
+
+def test_a_preset_that_cannot_be_read_is_an_error(spark):
+    rows = table(spark, company(1, "Один", [], None, [], "Т", {}))
+    with pytest.raises(Exception, match="PARSE|SYNTAX"):
+        apply_preset(rows, "crm_score >= ")
+    assert apply_preset(rows, "1=0").count() == 0 and apply_preset(rows, "no_such > 1").count() == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.plans.commands import INPUTS, Workspace
 from rollcall.plans.full_run import Rules, run
 from rollcall.settings import LEVELS, WEIGHTS
-from rollcall.sources.registry import collect_sources
+from rollcall.sinks.reports import read_csv
 from tests.test_grouping import listing, roots_by_union_find
 from tests.test_grouping import table as listing_table
 
@@ -173,7 +173,7 @@ def test_run_equals_plain_python(spark):
     parts = world()
     listings, inputs = frames(spark, parts)
     for rank_titles in (False, True):
-        got = as_dict(run(listings, **inputs, rules=Rules(rank_titles=rank_titles)).collect())
+        got = as_dict(run(listings, **inputs, rules=Rules(rank_titles=rank_titles)).companies.collect())
         expected = expected_companies(*parts, rank_titles=rank_titles)
         assert got.keys() == expected.keys()
         for id, company in expected.items():
@@ -196,6 +196,10 @@ def test_workspace(spark, tmp_path):
     first = as_dict(work.companies.read().collect())
     assert first == expected_companies(parts[0][:40], *parts[1:])
     assert {r.stage for r in work.stages().collect()} == {"enriched"}
+    work.companies.delete_scopes(["c2"])
+    assert {r.city: r.stage for r in work.stages().collect()} == {"c0": "enriched", "c1": "enriched", "c2": "deduped"}
+    work.run("c2", no_scrape=True)
+    assert as_dict(work.companies.read().collect()) == first
 
     stamped.where("id >= 40").write.mode("append").parquet(f"{root}/incoming")
     work.run("c1")
@@ -216,12 +220,20 @@ def test_workspace(spark, tmp_path):
     path = work.export_preset("with_telegram", "c2")
     wanted = [c for c in again.values() if c["city"] == "c2" and "telegram" in c["links"]]
     assert spark.read.csv(path, header=True).count() == len(wanted)
-    assert set(work.export_everything("c0")) >= {"enriched", "full_dump"}
-
-    collected, errors = collect_sources({"jsprav": spark.createDataFrame([("c", "c9", 1, "u", PAGE)], "category string, city string, page int, url string, html string")})
-    assert set(errors) == {"firecrawl", "dgis", "yell", "firmsru", "jsprav_playwright"}
-    work.add(collected)
-    assert [(r.id, r["name"]) for r in work.raw.read(["c9"]).collect()] == [(60, "Новая")]
+    done = work.export_everything("c0")
+    assert set(done) >= {"enriched", "full_dump", "conflicts"} and not any(p.startswith("error") for p in done.values())
+    assert {r.city for r in read_csv(spark, f"{root}/export/enriched").select("city").distinct().collect()} == {"c0", "c1", "c2"}
+    review = sum(c["city"] == "c0" for c in as_dict(work.companies.read().where("needs_review").collect()).values())
+    lines = [r.value for r in spark.read.text(done["conflicts"]).where("city = 'c0'").collect()]
+    assert f"**Найдено конфликтов:** {review}" in lines
+
+    source = spark.createDataFrame([("c", "c9", 1, "u", PAGE)], "category string, city string, page int, url string, html string")
+    source.write.parquet(f"{root}/sources/jsprav")
+    for _ in range(2):
+        assert work.collect() == {}
+        assert [(r.id, r["name"]) for r in work.raw.read(["c9"]).collect()] == [(60, "Новая")]
+    assert "Новая" in {r["name"] for r in work.companies.read(work.run("c9")).collect()}
+    work.clear("c9")
 
     work.clear("c0")
-    assert work.companies.scopes() == ["c1", "c2"] and work.raw.scopes() == ["c1", "c2", "c9"]
+    assert work.companies.scopes() == ["c1", "c2"] and work.raw.scopes() == ["c1", "c2"]

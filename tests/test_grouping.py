@@ -2,9 +2,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from rollcall.functions.similarity import common_length
 from rollcall.operators.linkage import clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
-from rollcall.operators.merge import EMAIL, LISTING, PHONE, nest, resolve_entities
-from rollcall.operators.name_pairs import name_edges, similar_name_pairs
+from rollcall.operators.merge import EMAIL, LISTING, PHONE, further_values, nest, resolve_entities
+from rollcall.operators.name_pairs import candidate_pairs, name_edges, similar_name_pairs
 from rollcall.operators.picking import first_per_key, numbered, with_dense_ids
 from rollcall.schema import LISTING as LISTING_SCHEMA
 
@@ -128,11 +129,12 @@ def test_row_order_does_not_matter_and_every_listing_is_in_one_group(spark):
 def test_a_group_that_holds_most_rows_is_kept_whole(spark):
     rows = [listing(i, f"n{i}", [f"8900{i:07d}"], "https://portal.ru/x") for i in range(700)] + [listing(1000 + i) for i in range(50)]
     resolved = resolve_entities(table(spark, rows))
-    nested = nest(resolved.companies, resolved.facts, limit=100).where("id = 0").collect()
-    assert len(nested) > 1 and {r.n_phones for r in nested} == {700}
-    assert sorted(p for r in nested for p in r.phones) == sorted(f"7900{i:07d}" for i in range(700))
-    assert sorted(m for r in nested for m in (r.merged_from or [])) == list(range(700))
-    assert max(len(r.phones) for r in nested) < 200
+    (row,) = nest(resolved.companies, resolved.facts, limit=100).where("id = 0").collect()
+    assert (row.n_phones, row.n_listings) == (700, 700)
+    assert row.phones == [f"7900{i:07d}" for i in range(100)] and row.merged_from == list(range(100))
+    more = further_values(resolved.facts, limit=100).where("id = 0").collect()
+    assert sorted(r.value for r in more if r.kind == PHONE) == [f"7900{i:07d}" for i in range(100, 700)]
+    assert len(more) == 1200
     kinds = {r.kind: r["count"] for r in resolved.facts.groupBy("kind").count().collect()}
     assert kinds == {PHONE: 700, LISTING: 750} and EMAIL not in kinds
 
@@ -151,6 +153,24 @@ def test_similar_names_join_the_grouping(spark):
     assert sorted(r.n_listings for r in groups) == [1, 3]
 
 
+def test_a_shared_phrase_is_no_join_key(spark):
+    """Names that differ in more than the edits allowed do not meet by what they share."""
+    random.seed(5)
+    rest = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(300)]
+    df = spark.createDataFrame([(i, "A", f"granite workshop {r}") for i, r in enumerate(rest)], "id long, city string, name string")
+    by_block = df.groupBy("city").count().first()["count"]
+    looked_at = candidate_pairs(df.selectExpr("id", "city", "concat('g', name) AS name"), 88, block="first").count()
+    assert by_block == 300 and looked_at < 300 * 299 / 2 / 5
+
+
+def test_long_names(spark):
+    random.seed(6)
+    texts = ["".join(random.choices("abc d", k=n)) for n in (1, 61, 62, 63, 124, 125, 200) for _ in range(3)]
+    rows = [(a, b) for a in texts for b in texts if a.strip() and b.strip()]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", common_length(F.col("a"), F.col("b")).alias("n")).collect()
+    assert all(r.n == common(r.a, r.b) for r in got) and len(got) == len(rows)
+
+
 def common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -181,7 +201,7 @@ def test_similar_pairs_equal_brute_force(spark):
                     distance = total - 2 * common(a[2], b[2])
                     if distance * 100 <= (100 - threshold) * total:
                         expected.add((*sorted((lowest[a], lowest[b])), distance))
-        got = similar_name_pairs(df, threshold, block=block, hot=4).collect()
+        got = similar_name_pairs(df, threshold, block=block).collect()
         assert {(r.lo, r.hi, r.distance) for r in got} == expected and len(got) == len(expected)
 
 
@@ -193,7 +213,7 @@ def test_first_row_and_numbering_within_a_key(spark):
         expected_first.setdefault(k, v)
         expected_number[(k, o)] = sum(1 for x in rows if x[0] == k and x[1] <= o)
     assert {r.k: r.v for r in first_per_key(df, ["k"], "o").collect()} == expected_first
-    got = numbered(df, ["k"], "o", "n", buckets=16).collect()
+    got = numbered(df, ["k"], "o", "n").collect()
     assert {(r.k, r.o): r.n for r in got} == expected_number
     assert numbered(df.where(F.lit(False)), ["k"], "o", "n").count() == 0
 

@@ -193,6 +193,22 @@ def test_cards_of_every_directory(spark):
     assert (row["name"], row.website, row.messengers, row.pos) == ("Я", "http://s.ru", {"telegram": "https://t.me/x"}, 0)
 
 
+def test_a_card_ends_where_its_element_ends(spark):
+    html = (
+        '<div class="list"><div class="card"><div class="card-name">Первая</div><div class="firm-phone phone">8 903 123 45 67</div></div>'
+        '<a class="row" href="/firm/2"><span class="title">Вторая</span></a><p>between <a href="https://vk.com/between">b</a></p>'
+        '<div class="card"><div class="card-name">Третья</div></div></div><div class="foot"><a href="https://t.me/foot">t</a></div>'
+    )
+    one, two, three = cards(spark, html, DIRECTORY_MAP)
+    assert (one["name"], one.phones, one.messengers) == ("Первая", ["79031234567"], {})
+    assert (two["name"], two.source_url, two.messengers) == ("Вторая", "https://dir.ru/firm/2", {})
+    assert (three["name"], three.messengers) == ("Третья", {})
+    cut = '<div class="company-card"><h3><a href="/company/1">Камень</a></h3><div>open <a href="https://t.me/own">t</a>'
+    (row,) = cards(spark, cut, DIRECTORY_PAGES)
+    assert (row["name"], row.messengers) == ("Камень", {"telegram": "https://t.me/own"})
+    assert cards(spark, "no tags", DIRECTORY_PAGES) == [] and cards(spark, None, DIRECTORY_PAGES) == []
+
+
 def test_company_page_links(spark):
     html = '<a href="/works/">all</a><a href="/works/a">a</a><a href="/works/a">a</a><a href="https://d.ru/works/b/">b</a><a href="/x">x</a>'
     df = spark.createDataFrame([("T", "https://d.ru/works/", html)], "city string, url string, html string")

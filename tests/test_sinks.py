@@ -4,17 +4,17 @@ import os
 from pyspark.sql import functions as F
 
 from rollcall.operators.merge import resolve_entities
-from rollcall.sinks.reports import conflict_lines, conflicts_report, export_all, write_csv
+from rollcall.sinks.reports import conflict_lines, conflicts_report, export_all, read_csv, write_csv
 from rollcall.scratch import keep, scratch_dropped_after, scratch_path
 from rollcall.sinks.tables import ScopedTable, Snapshots, append_listings, read_scope, upsert
-from rollcall.streaming.ingest import distinct_listings, ingest, listing_stream
+from rollcall.streaming.ingest import ingest, listing_stream
 from tests.test_companies import company, table
 from tests.test_grouping import listing
 from tests.test_grouping import table as listing_table
 
 
 def files(path):
-    return sorted(glob.glob(f"{path}/folder=*/part-*"))
+    return sorted(glob.glob(f"{path}/city=*/part-*"))
 
 
 def scored(spark):
@@ -29,7 +29,7 @@ def scored(spark):
 
 def test_csv(spark, tmp_path):
     write_csv(scored(spark).coalesce(1), str(tmp_path / "csv"))
-    texts = [open(f, encoding="utf-8").read() for f in files(tmp_path / "csv") if "folder=tver" in f]
+    texts = [open(f, encoding="utf-8").read() for f in files(tmp_path / "csv") if "city=Тверь" in f]
     lines = [line for text in texts for line in text.splitlines()]
     assert texts[0].startswith("﻿id,name,phones,address,website,emails,segment,crm_score,is_network,cms,has_marquiz,telegram,vk,whatsapp")
     data = [line for line in lines if not line.startswith("﻿")]
@@ -47,7 +47,7 @@ def test_exports(spark, tmp_path):
     }
     done = export_all(scored(spark), str(tmp_path), presets)
     assert done["broken"].startswith("error") and set(done) == {"enriched", *presets}
-    lines = [line for f in files(done["md"]) if "folder=tver" in f for line in open(f, encoding="utf-8").read().split("\n")[:-1]]
+    lines = [line for f in files(done["md"]) if "city=Тверь" in f for line in open(f, encoding="utf-8").read().split("\n")[:-1]]
     assert lines == [
         "# База мастерских: Тверь — md",
         "",
@@ -97,6 +97,8 @@ def test_upsert_and_snapshots(spark, tmp_path):
     old = spark.createDataFrame([(1, "T", "a"), (2, "U", "b")], "id long, city string, v string")
     new = spark.createDataFrame([(2, "U", None), (3, "T", "c")], "id long, city string, v string")
     assert {(r.id, r.v) for r in upsert(old, new).collect()} == {(1, "a"), (2, "b"), (3, "c")}
+    wider = spark.createDataFrame([(2, "U", "tilda"), (4, "T", None)], "id long, city string, cms string")
+    assert {tuple(r) for r in upsert(old, wider).collect()} == {(1, "T", "a", None), (2, "U", "b", "tilda"), (4, "T", None, None)}
     store = Snapshots(spark, str(tmp_path / "snap"))
     assert store.read() is None and store.delete_scopes(["T"]) is None
     store.upsert(old)
@@ -122,11 +124,11 @@ def test_stream_takes_each_address_once(spark, tmp_path):
         {"source_url": F.when(F.col("id") < 3, "https://u/1").otherwise(""), "scraped_at": F.timestamp_seconds(F.lit(1_700_000_000))}
     )
     first.coalesce(1).write.parquet(source)
-    ingest(distinct_listings(listing_stream(spark, source)), target, state)
+    ingest(listing_stream(spark, source), target, state)
     assert spark.read.parquet(target).count() == 2
     again = first.withColumn("id", F.col("id") + 10).withColumn("source_url", F.when(F.col("id") == 12, "https://u/2").otherwise(F.col("source_url")))
     again.coalesce(1).write.mode("append").parquet(source)
-    ingest(distinct_listings(listing_stream(spark, source)), target, state)
+    ingest(listing_stream(spark, source), target, state)
     got = spark.read.parquet(target)
     assert got.where("source_url = 'https://u/1'").count() == 1 and got.where("source_url = 'https://u/2'").count() == 1
     assert {r.id for r in got.where("source_url = ''").collect()} == {3, 13}
@@ -146,6 +148,24 @@ def test_scoped_table_rewrites_only_touched_cities(spark, tmp_path):
     assert [r.id for r in store.read().collect()] == [2] and store.read(["T"]).count() == 0
 
 
+def test_a_run_drops_its_own_tables_only(spark):
+    with scratch_dropped_after():
+        outer = keep(spark.range(3), "outer")
+        with scratch_dropped_after():
+            inner = keep(spark.range(4), "inner")
+        assert outer.df.count() == 3 and not os.path.isdir(inner.path.removeprefix("file:"))
+    assert not os.path.isdir(outer.path.removeprefix("file:"))
+
+
+def test_exporting_one_city_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    named = scored(spark).withColumn("name", F.concat(F.lit('ООО "'), "name", F.lit('", ')))
+    write_csv(named, path)
+    write_csv(named.where("city = 'Орёл'").withColumn("name", F.lit("  Lead ")), path)
+    rows = {r.id: (r["name"], r.city) for r in read_csv(spark, path).collect()}
+    assert rows == {"1": ('ООО "Один", ', "Тверь"), "2": ('ООО "Два|[x]", ', "Тверь"), "3": ('ООО "Три", ', "Тверь"), "4": ("  Lead ", "Орёл")}
+
+
 def test_scratch_is_dropped_and_stands_in_the_checkpoint_folder(spark, tmp_path):
     with scratch_dropped_after():
         kept = keep(spark.range(5), "probe")
