@@ -78,13 +78,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     n, longest = pool.agg(F.count(F.lit(1)), F.max(norm)).first()
     rows, columns = max(1, math.ceil(n / VECTOR_BLOCK)), max(1, math.ceil(asked.count() / QUERY_BLOCK))
-    grid = pool.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(rows)).alias("r"), F.explode(F.expr(f"sequence(0, {columns - 1})")).alias("c"))
+    grid = pool.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(rows)).cast("int").alias("r"), F.explode(F.expr(f"sequence(0, {columns - 1})")).alias("c"))
     bound = norm * F.lit(longest or 0.0) + 1
     reach = F.when(bound < float(2**61), F.ceil(bound)).otherwise(F.lit(_FAR))
     state = stored(
-        asked.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(columns)).alias("c"), (-reach).alias("low"), reach.alias("high"), F.lit(k).cast("long").alias("need")),
+        asked.select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(columns)).cast("int").alias("c"), (-reach).alias("low"), reach.alias("high"), F.lit(k).cast("long").alias("need")),
         "topk-state",
     )
+    # Both sides of the grid have these columns as int: equal numbers of other types hash to other tasks.
     cell = ["dim", "r", "c"]
 
     def met(function: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:

@@ -9,6 +9,9 @@ from rollcall.llm.topk import top_k
 SCHEMA = "vec_id long, embedding array<double>, score string, rank string"
 
 
+CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "17"}
+
+
 def plain(vectors, queries, k):
     ready = lambda rows: {i: [math.floor(256 * x) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     pool, out = ready(vectors), []
@@ -33,6 +36,10 @@ def vectors():
 
 @pytest.mark.parametrize("bins, block", [(512, 8192), (4, 50)])
 def test_equals_brute_force(spark, vectors, bins, block, monkeypatch):
+    # Each cell in a task of its own, as on large tables.
+    before = {k: spark.conf.get(k) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
     monkeypatch.setattr(topk, "VECTOR_BLOCK", block)
     monkeypatch.setattr(topk, "QUERY_BLOCK", block // 4)
     frame = spark.createDataFrame([(i, v, "", "") for i, v in vectors], SCHEMA)
@@ -40,6 +47,8 @@ def test_equals_brute_force(spark, vectors, bins, block, monkeypatch):
     queries = spark.createDataFrame([(i, v, "", "") for i, v in asked], SCHEMA)
     for k in (1, 5, 400):
         assert rows_of(top_k(frame, queries, k=k, bins=bins)) == plain(vectors, asked, k)
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
 def test_large_components(spark):
