@@ -5,7 +5,8 @@ many rows as the largest capacity, however many documents there are. Lengths go
 open bin it fills best; bins of one history move together as a group with a count. Where nothing fits, a bin opens. How
 large, is settled jointly for all lengths: the plan is made for each opening rule (the least permitted capacity of at
 least 1, 2, 4, .. times the item, up to the largest), every bin shrinks at the end to the least capacity that
-holds its contents, and the plan of the least total cost is taken. A bin costs its capacity and ``overhead``.
+holds its contents, and the plan of the least total cost is taken. A bin costs its capacity, a fixed ``overhead``, and what attention
+over it costs, which grows with the square of the capacity, so short documents are worth short bins.
 
 The plan is a list of runs: items of length L with ranks from a to b go to the bins from c on. Spark numbers the items of each
 length (in buckets of their ids, so that a common length is no single task) and looks the ranks up. A document longer
@@ -30,7 +31,9 @@ from pyspark.sql.window import Window
 from rollcall.llm.common import stored, words_in
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
-OVERHEAD = 32
+OVERHEAD = 16
+#: Capacity at which attention costs as much as all else.
+ATTENTION = 32_768
 NUMBER_BUCKETS = 256
 
 
@@ -48,7 +51,7 @@ class Plan:
     """Groups with their final capacities, and their cost."""
 
     groups: list[tuple[int, Group]]
-    cost: int
+    cost: float
 
     def runs(self) -> dict[int, np.ndarray]:
         """For each length, rows (first rank, first bin, bins, capacity, offset) in the order of ranks."""
@@ -104,7 +107,11 @@ def _fill(lengths: Sequence[tuple[int, int]], capacities: Sequence[int], stretch
     return [group for groups in by_rest.values() for group in groups]
 
 
-def plan_bins(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD) -> Plan:
+def bin_cost(capacity: int, overhead: int = OVERHEAD, attention: float = ATTENTION) -> float:
+    return capacity + overhead + capacity * capacity / attention
+
+
+def plan_bins(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, attention: float = ATTENTION) -> Plan:
     """The least costly plan for ``histogram`` (length to items); no length is above the largest capacity."""
     capacities = sorted(set(capacities))
     lengths = sorted(((k, v) for k, v in histogram.items() if k > 0 and v > 0), reverse=True)
@@ -112,7 +119,7 @@ def plan_bins(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES,
     stretch = 1.0
     while True:
         groups = [(next(c for c in capacities if c >= g.used), g) for g in _fill(lengths, capacities, stretch)]
-        cost = sum((c + overhead) * g.count for c, g in groups)
+        cost = sum(bin_cost(c, overhead, attention) * g.count for c, g in groups)
         if best is None or cost < best.cost:
             best = Plan(sorted(groups, key=lambda x: (x[0], x[1].contents)), cost)
         if stretch > capacities[-1] / min(capacities[0], lengths[-1][0] if lengths else capacities[0]):
@@ -129,7 +136,9 @@ def _numbered(items: DataFrame) -> DataFrame:
     return spread.withColumn("within", F.row_number().over(inside) - 1).join(offsets, ["length", "part"]).withColumn("rank", (F.col("before") + F.col("within")).cast("long"))
 
 
-def pack(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, length: Column | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD, attention: float = ATTENTION, length: Column | None = None
+) -> DataFrame:
     """(doc_id, piece, start, length, bin_id, capacity, offset): a row for every piece of every row of ``docs``.
 
     ``length`` is the size of a document, by default its number of words; ``start`` counts from the start of the
@@ -145,7 +154,7 @@ def pack(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: int
         "pack-items",
     )
     histogram = {r[0]: r[1] for r in items.where("length > 0").groupBy("length").agg(F.count(F.lit(1))).collect()}
-    runs = plan_bins(histogram, capacities, overhead).runs()
+    runs = plan_bins(histogram, capacities, overhead, attention).runs()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
