@@ -82,11 +82,11 @@ def _(spark, folder):
     path = scratch_path(spark, "large")
     write_csv(scored, path)
     written = read_csv(spark, path).groupBy(F.col("id").cast("long").alias("id")).agg(F.count(F.lit(1)).cast("int").alias("csv_rows"))
-    total = markdown_lines(scored).where(F.col("line").startswith(TOTAL_LINE)).select(F.regexp_extract("line", r"(\d+)$", 1).try_cast("long").alias("markdown_total"))
-    counted = segment_histogram(scored).agg(F.sum("companies").alias("segment_total"))
+    total = markdown_lines(scored).where(F.col("line").startswith(TOTAL_LINE)).first()["line"].removeprefix(TOTAL_LINE)
+    counted = segment_histogram(scored).agg(F.sum("companies")).first()[0]
     joined = companies.select("id", "n_listings", F.size("merged_from").alias("listed")).join(more, "id", "left").join(written, "id", "left")
-    both = total.select(F.lit(1).alias("one"), "markdown_total").join(counted.select(F.lit(1).alias("one"), "segment_total"), "one")
-    return joined.withColumn("one", F.lit(1)).join(both, "one").na.fill(0, ["further"]).drop("one")
+    totals = {"markdown_total": F.lit(int(total)).cast("long"), "segment_total": F.lit(counted).cast("long")}
+    return joined.na.fill(0, ["further"]).withColumns(totals)
 
 
 TITLES = """('  "' || name || '", ' || id || ' ') AS title, CASE WHEN id % 2 = 0 THEN '東京' ELSE '大阪' END AS town"""
@@ -154,7 +154,6 @@ def _(spark, folder):
         df.write.parquet(f"{root}/{name}")
     work = Workspace(spark, root, Rules(rank_titles=True))
     work.run(export=True)
-    work.run(force=True, no_scrape=True)
-    found = read_csv(spark, work.export())
+    found = read_csv(spark, f"{root}/export/enriched")
     texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("phones", "website", "emails")]
     return found.select(F.col("id").cast("long").alias("id"), "city", "name", *texts, "segment", "crm_score", "cms")
