@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import re
 import struct
 import sys
@@ -33,6 +34,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,10 @@ END = 1
 SHARD_TEXT_BYTES = 32 << 20
 SHARD_ROWS = 200_000
 INDEX_KEYS = 50_000
-CACHED = 300_000
+#: Pieces and chunks a worker keeps the ids of, each.
+CACHED = 500_000
+#: Characters that are taken apart at once.
+PART_CHARS = 1 << 20
 IDS_MAGIC, INDEX_MAGIC = b"rcids001", b"rcmph001"
 SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u8")])
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -84,6 +89,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.kind = np.dtype("<u2" if max([END, *vocabulary.values()]) < 1 << 16 else "<u4")
@@ -101,34 +107,72 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        split = {c: _PIECE.findall(c.lower()) for c in chunks if not _RARE.search(c)}
-        new = list({p for pieces in split.values() for p in pieces if p not in self.pieces})
+        plain, split, rare = {}, {}, []
+        for c in chunks:
+            if c.isascii() and c.isalpha():
+                plain[c] = c.lower()
+            elif _RARE.search(c):
+                rare.append(c)
+            else:
+                split[c] = _PIECE.findall(c.lower())
+        known = self.pieces
+        new = list({p for p in [*plain.values(), *chain.from_iterable(split.values())] if p not in known})
         if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, self.kind)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.kind)
             cuts = ((np.flatnonzero(self.last[ids]) + 1) * self.kind.itemsize).tolist()
             if len(cuts) != len(new):
                 raise ValueError("the vocabulary does not mark the ends of pieces")
             raw = ids.tobytes()
-            self.pieces.update(zip(new, (raw[a:b] for a, b in zip([0, *cuts], cuts)), strict=True))
-        for c in chunks:
-            self.chunks[c] = b"".join(map(self.pieces.__getitem__, split[c])) if c in split else self.whole(c)
+            known.update(zip(new, [raw[a:b] for a, b in zip([0, *cuts], cuts)], strict=True))
+        self.chunks.update((c, known[p]) for c, p in plain.items())
+        self.chunks.update((c, b"".join([known[p] for p in pieces])) for c, pieces in split.items())
+        self.chunks.update((c, self.whole(c)) for c in rare)
+
+    def _parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of bounded length; what is new in all of them is learnt at once."""
+        split = [None if not self.marked or _WHOLE.search(t) else t.split() for t in texts]
+        new = set().union(*(c for c in split if c)) - self.chunks.keys()
+        if len(self.chunks) + len(new) > CACHED:
+            self.chunks.clear()
+            new = set().union(*(c for c in split if c))
+        if len(self.pieces) > CACHED:
+            self.pieces.clear()
+        if new:
+            self._learn(list(new))
+        known = self.chunks
+        return [self.whole(t) if c is None else b"".join([known[x] for x in c]) for t, c in zip(texts, split, strict=True)]
+
+    def many(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text and the end id. Long texts are taken in parts that end at a blank."""
+        given, size = [], 0
+        for text in texts:
+            given.append(text or "")
+            size += len(given[-1])
+            if size > PART_CHARS:
+                yield from self._bounded(given)
+                given, size = [], 0
+        yield from self._bounded(given)
+
+    def _bounded(self, texts: list[str]) -> Iterator[bytes]:
+        if texts and len(texts[-1]) > PART_CHARS:
+            yield from self._bounded(texts[:-1])
+            yield b"".join(self._parts([part])[0] for part in _cut(texts[-1])) + self.end
+        else:
+            yield from (ids + self.end for ids in self._parts(texts))
 
     def __call__(self, text: str | None) -> bytes:
-        """The ids of a text and the end id."""
-        text = text or ""
-        if not self.marked or _WHOLE.search(text):
-            return self.whole(text) + self.end
-        chunks = text.split()
-        known = self.chunks
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            if len(known) + len(new) > CACHED:
-                known.clear()
-                new = list(set(chunks))
-            if len(self.pieces) > CACHED:
-                self.pieces.clear()
-            self._learn(new)
-        return b"".join(map(known.__getitem__, chunks)) + self.end
+        return next(self.many([text]))
+
+
+def _cut(text: str) -> Iterator[str]:
+    """Parts of at least PART_CHARS, each but the last ending before a blank or line feed; both always stand between chunks."""
+    low = 0
+    while low < len(text):
+        high = low + PART_CHARS
+        ends = [at for at in (text.find(" ", high), text.find("\n", high)) if at >= 0]
+        high = min(ends, default=len(text))
+        yield text[low:high]
+        low = high
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -242,8 +286,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None
                     out.write(IDS_MAGIC + struct.pack("<Q", encode.kind.itemsize))
                 ids = batch.column(0).to_pylist()
                 lengths, copies = [], []
-                for doc_id, text in zip(ids, batch.column(1).to_pylist(), strict=True):
-                    raw = encode(text)
+                for doc_id, raw in zip(ids, encode.many(batch.column(1).to_pylist()), strict=True):
                     out.write(raw)
                     lengths.append(len(raw) // encode.kind.itemsize)
                     copy = copy + 1 if (doc_id,) == last else 0

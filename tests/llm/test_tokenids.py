@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from rollcall.llm import tokenids
 from rollcall.llm.tokenids import END, Encoder, build_index, default_tokenizer, fetch_ids, find_slots, look_up, token_digests, write_tokens
 
 SCHEMA = "doc_id long, text string, shard string, at string"
@@ -42,6 +43,14 @@ def test_encoder_equals_the_library(library):
             assert ids == [*library.encode(text or "", add_special_tokens=False).ids, END]
 
 
+def test_long_texts_go_in_parts(library, monkeypatch):
+    monkeypatch.setattr(tokenids, "PART_CHARS", 16)
+    encode = Encoder(default_tokenizer())
+    texts = [*TEXTS, " ".join(t or "" for t in TEXTS) * 3, "x" * 50, "word " * 30 + "\n" * 40]
+    for text, raw in zip(texts, encode.many(texts), strict=True):
+        assert np.frombuffer(raw, encode.kind).tolist() == [*library.encode(text or "", add_special_tokens=False).ids, END]
+
+
 def test_round_trip(spark, library):
     rows = [(7 * i % 1000, f"{TEXTS[i % len(TEXTS)] or ''} {i}") for i in range(1000)] + [(2000, None), (2001, ""), (None, "no id"), (5, "again"), (5, "again")]
     docs = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA).repartition(5)
