@@ -82,8 +82,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
         .withColumn("upto", F.sum("words").over(along))
         .withColumn("before", F.col("upto") - F.col("words"))
     )
-    # One row per source: the bucket the sample ends in, or none where all are taken.
-    ends = sums.where("upto > wanted").groupBy("of").agg(F.min(F.struct("bucket", "before")).alias("end")).select("of", F.col("end.bucket").alias("last"), F.col("end.before").alias("before"))
+    # One row per source: the bucket the sample ends in, or none where all are taken. Written, so that Spark knows how small it is
+    # and leaves the documents where they are.
+    found = sums.where("upto > wanted").groupBy("of").agg(F.min(F.struct("bucket", "before")).alias("end"))
+    ends = stored(found.select("of", F.col("end.bucket").alias("last"), F.col("end.before").alias("before")), "mix-ends")
     placed = drawn.join(ends, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     inside = Window.partitionBy("source").orderBy("q", "u", "doc_id", "size", "row")
     split = placed.where("bucket = last").withColumn("upto", F.col("before") + F.sum("size").over(inside))
@@ -95,10 +97,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
         .select("row", "doc_id", "source", "size", "q", "u", "wanted", "sampled"),
         "mix-chosen",
     )
-    gaps = (
+    gaps = stored(
         chosen.groupBy(F.col("source").alias("of"))
         .agg((F.first("wanted") - F.sum(F.when(F.col("sampled"), F.col("size")).otherwise(0))).alias("gap"))
-        .where("gap > 0")
+        .where("gap > 0"),
+        "mix-gaps",
     )
     closing = (
         chosen.where("NOT sampled")
