@@ -14,6 +14,10 @@ a larger even radius r the points are those up to r / 2 bits away.
 
 Components of the links come from contraction over written tables.
 
+The pipeline's stage, ``without_near_copies``, goes by shingles of five words and a similarity of 0.8. SimHash cannot reach that: at 0.8
+the expected distance is near 10 of 64 bits (the angle of a cosine of 0.89), and masks that cover
+a radius of r number 2^(r + 1) - 1. Its candidates are sets that share a MinHash band, and all of them are verified exactly.
+
 Defined results: null and empty texts, and texts of white space, have fingerprint zero and are linked like any others; texts of
 fewer words than a shingle hash as a whole; rows of equal ids each get a row; a null id is never the smallest one
 unless its component has no other; an empty table gives no rows. Only ``doc_id`` and ``text`` are read.
@@ -34,6 +38,13 @@ from rollcall.operators.linkage import connected_components
 
 SHINGLE = 3
 RADIUS = 2
+#: What the pipeline's stage calls near copies: shingles of five words, a Jaccard similarity of 0.8 and more.
+STAGE_SHINGLE = 5
+SIMILARITY = 0.8
+#: MinHash bands of the stage. A pair of similarity 0.8 shares none with a probability of (1 - 0.8^6)^32 < 0.0001.
+BANDS, ROWS = 32, 6
+#: Rounds of one check a set, before all pairs that are left.
+ROUNDS = 4
 #: Buckets up to this size are paired directly.
 SMALL = 16
 _BLOCK = 1 << 14
@@ -131,12 +142,119 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     return marked.join(named, F.col("bits") == F.col("of")).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def without_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """One row of each component, with its own columns: the one with the smallest id, of equal ids the smallest text."""
-    kept = simhash_components(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    chosen = stored(rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("id"))), "simhash-kept")
-    texts = chosen.where("n > 1").groupBy("id").agg(F.min(F.struct("doc.text", F.to_json("doc"))).alias("least"), F.min_by("doc", F.struct("doc.text", F.to_json("doc"))).alias("doc"))
-    return chosen.where("n = 1").select("doc.*").unionByName(texts.select("doc.*"))
+def shingle_set(text: bytes | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, sorted; words as in ``fingerprint``."""
+    words = (text or b"").lower().split()
+    digest = xxhash.xxh64_intdigest
+    n = max(1, len(words) - shingle + 1) if words else 0
+    return np.unique(np.fromiter((digest(b" ".join(words[i : i + shingle]), 42) for i in range(n)), np.uint64, n))
+
+
+_DRAWN = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
+_SALT, _FACTOR = _DRAWN[0], _DRAWN[1] * np.uint64(2) + np.uint64(1)
+
+
+def bands(found: np.ndarray) -> list[int]:
+    """A signed hash for each band of the MinHash of a set; none for an empty set."""
+    if not len(found):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(found), 256):
+        np.minimum(least, ((found[low : low + 256, None] ^ _SALT) * _FACTOR).min(axis=0), out=least)
+    parts = least.reshape(BANDS, ROWS)
+    return [_long(xxhash.xxh64_intdigest(parts[b].tobytes(), b)) for b in range(BANDS)]
+
+
+def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
+    """(row, code, size, bands): ``code`` is equal for equal sets of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, sizes, keys = [], [], []
+            for text in batch.column(1).to_pylist():
+                found = shingle_set(text, shingle)
+                codes.append(_long(xxhash.xxh64_intdigest(found.tobytes(), 1)))
+                sizes.append(len(found))
+                keys.append(bands(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["row", "code", "size", "bands"])
 
+    given = rows.select("row", F.col("text").cast("binary").alias("text"))
+    return to_python(given).mapInArrow(run, "row long, code long, size long, bands array<long>")
 
+
+def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The (hi, lo) of ``pairs`` whose sets of shingles are at least that similar, exactly.
+
+    The lower text travels once for each of up to 64 parts of its partners, so one text with many partners is no single task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, None
+        for batch in batches:
+            his, los = [], []
+            for hi, lo, text, low_text in zip(*(batch.column(c).to_pylist() for c in ("hi", "lo", "text", "low_text")), strict=True):
+                if lo != last:
+                    last, known = lo, shingle_set(low_text, shingle)
+                found = shingle_set(text, shingle)
+                both = len(np.intersect1d(found, known, assume_unique=True))
+                if 1000 * both >= round(1000 * similarity) * (len(found) + len(known) - both):
+                    his.append(hi)
+                    los.append(lo)
+            yield pa.RecordBatch.from_arrays([pa.array(his, pa.int64()), pa.array(los, pa.int64())], names=["hi", "lo"])
+
+    parted = pairs.withColumn("part", F.pmod(F.xxhash64("hi"), F.lit(64)))
+    lows = parted.select("lo", "part").distinct().join(texts.select(F.col("node").alias("lo"), F.col("text").alias("low_text")), "lo")
+    given = parted.join(texts.withColumnRenamed("node", "hi"), "hi").join(lows, ["lo", "part"]).select("hi", "lo", "text", "low_text")
+    return stored(to_python(given).mapInArrow(run, "hi long, lo long"), "near-links")
+
+
+def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(row, root) for every row of (row, text): the components of all pairs at least that similar.
+
+    Equal sets count once. Sets that share a band are candidates. Rounds check each set with one other of its bands, by drawn
+    centres, and bands that lie in one component by then are settled; when a round links nothing more, all pairs across
+    components that still share a band are checked. So no candidate is passed over, and a large group costs a few checks a set.
+    """
+    sketches = stored(_sketches(rows, shingle), "near-sketches")
+    nodes = stored(sketches.groupBy("code").agg(F.min("row").alias("node")), "near-nodes")
+    placed = sketches.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", F.explode("bands").alias("key"))
+    crowds = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = stored(placed.join(crowds, "key"), "near-bands")
+    texts = rows.join(shared.select(F.col("node").alias("row")).distinct(), "row", "left_semi")
+    texts = stored(texts.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text")), "near-texts")
+    links = stored(rows.sparkSession.createDataFrame([], "hi long, lo long"), "near-links")
+    tried, roots = links, connected_components(links).df
+    for turn in range(ROUNDS + 1):
+        labels = shared.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = labels.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("node", "root", "size"), F.xxhash64("node", F.lit(turn))).alias("centre"))
+        unsettled = stored(labels.join(several.where("low < high").select("key", "centre"), "key"), "near-open")
+        if unsettled.isEmpty():
+            break
+        fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * round(1000 * similarity)
+        across = F.col("root") != F.col("other.root")
+        if turn < ROUNDS:
+            met = unsettled.withColumn("other", F.col("centre")).where(across & fits).groupBy("node").agg(F.min_by("other.node", F.xxhash64("key", F.lit(turn))).alias("other"))
+        else:
+            met = unsettled.join(unsettled.select("key", F.struct("node", "root", "size").alias("other")), "key").where(across & fits & (F.col("node") > F.col("other.node"))).select("node", F.col("other.node").alias("other"))
+        pairs = met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct()
+        pairs = stored(pairs.join(tried, ["hi", "lo"], "left_anti"), "near-pairs")
+        found = _similar(pairs, texts, shingle, similarity)
+        tried, links = tried.unionByName(pairs), links.unionByName(found)
+        roots = connected_components(links).df
+    named = nodes.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").select("code", F.coalesce("root", "node").alias("root"))
+    return sketches.select("row", "code").join(named, "code").select("row", "root")
+
+
+def without_near_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of each group of near copies, with its own columns: the one with the smallest id, of equal ids the smallest text.
+
+    Last the place in the stored input decides. Null ids come after all others.
+    """
+    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row")), "near-rows")
+    groups = near_copy_groups(rows.select("row", F.col("doc.text").alias("text")), shingle, similarity)
+    named = stored(groups.join(rows.select("row", F.col("doc.doc_id").alias("id")), "row"), "near-named")
+    lowest = named.groupBy("root").agg(F.min("id").alias("low"))
+    kept = named.join(lowest, "root").where(F.col("id").eqNullSafe(F.col("low"))).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    chosen = stored(rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("id"))), "near-kept")
+    texts = chosen.where("n > 1").groupBy("id").agg(F.min_by("doc", F.struct("doc.text", F.to_json("doc"))).alias("doc"))
+    return chosen.where("n = 1").select("doc.*").unionByName(texts.select("doc.*"))

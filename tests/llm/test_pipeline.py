@@ -76,3 +76,44 @@ def test_batches_to_python_are_bounded(spark):
         to_python(spark.range(1))
         assert spark.conf.get(key) == expected
     spark.conf.set(key, before)
+
+
+def test_planted_near_copies_go(spark):
+    """Copies with changed words, by brute force over the sets of five-word shingles."""
+    import random
+
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(60):
+        base = draw.choices(vocabulary, k=draw.randint(60, 300))
+        texts.append(base)
+        for _ in range(3):
+            copy = list(base)
+            for at in draw.sample(range(len(copy)), draw.randint(1, max(1, len(copy) // 50))):
+                copy[at] = draw.choice(vocabulary)
+            texts.append(copy)
+    hot = draw.choices(vocabulary, k=200)
+    for _ in range(80):
+        copy = list(hot)
+        for at in draw.sample(range(200), 3):
+            copy[at] = draw.choice(vocabulary)
+        texts.append(copy)
+    draw.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    expected = sorted({find(i) for i in range(len(texts))})
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == expected
+    assert len(expected) < len(texts) - 150
