@@ -254,7 +254,9 @@ def without_near_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarit
     groups = near_copy_groups(rows.select("row", F.col("doc.text").alias("text")), shingle, similarity)
     named = stored(groups.join(rows.select("row", F.col("doc.doc_id").alias("id")), "row"), "near-named")
     lowest = named.groupBy("root").agg(F.min("id").alias("low"))
-    kept = named.join(lowest, "root").where(F.col("id").eqNullSafe(F.col("low"))).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    chosen = stored(rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("id"))), "near-kept")
-    texts = chosen.where("n > 1").groupBy("id").agg(F.min_by("doc", F.struct("doc.text", F.to_json("doc"))).alias("doc"))
-    return chosen.where("n = 1").select("doc.*").unionByName(texts.select("doc.*"))
+    firsts = stored(named.join(lowest, "root").where(F.col("id").eqNullSafe(F.col("low"))).select("root", "row"), "near-firsts")
+    counted = firsts.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    several = firsts.join(counted.where("n > 1").select("root"), "root", "left_semi").join(rows, "row")
+    least = several.groupBy("root").agg(F.min_by("row", F.struct("doc.text", F.to_json("doc"), "row")).alias("row"))
+    kept = stored(counted.where("n = 1").select("row").union(least.select("row")), "near-kept")
+    return rows.join(kept, "row", "left_semi").select("doc.*")

@@ -106,3 +106,11 @@ def test_null_ids_repeats_and_empty_table(spark):
     got = sorted(((r["doc_id"], r["component_id"]) for r in simhash_components(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
     assert got == [(4, 4), (4, 4), (None, 4), (None, None)]
     assert simhash_components(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_row_is_chosen_per_group_not_per_id(spark):
+    """Different texts under null ids and under one id all stay; a null id goes where its group has another."""
+    texts = [" ".join(f"{c}{i}" for i in range(9)) for c in "abcdef"]
+    rows = [(None, texts[0], "n"), (None, texts[1], "n"), (None, texts[2], "n"), (5, texts[3], "x"), (5, texts[4], "x"), (None, texts[3], "copy"), (5, texts[3], "a"), (None, texts[0], "m")]
+    kept = without_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, texts[0], "m"), (None, texts[1], "n"), (None, texts[2], "n"), (5, texts[3], "a"), (5, texts[4], "x")]))
