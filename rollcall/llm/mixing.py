@@ -3,7 +3,9 @@
 Every document first gets the whole copies its source is certain of (target / size, rounded down). The rest
 of the target is a sample: documents rank by random odds over inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``, the
 lowest ranks are taken until the next one would pass the target, and the gap left is closed by the
-one document not taken whose size comes nearest to it.
+one document not taken whose size comes nearest to it. Where that ends more than ``NEAR`` off the target, as at a
+document of very many words, the sample goes on instead: documents that exceed the gap are passed over, the lowest ranks
+of the others are taken by the same sums, round by round, and one document closes what is left. The SQL has no such rounds.
 
 No task sees a whole source. Ranks are cut into buckets, bucket sums give the bucket where the sample
 ends, and only the documents of that bucket are put in order.
@@ -27,6 +29,9 @@ from rollcall.llm.common import stored, uniform, words_in
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BUCKETS = 4096
+#: A source that ends farther from its target than this share of it goes on down the ranks, in up to so many rounds.
+NEAR = 0.01
+ROUNDS = 16
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -52,29 +57,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
     return levels.select("source", "source_size", F.least("limit", F.col("level") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = "", buckets: int = BUCKETS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``; see the module."""
-    base = stored(
-        docs.select("doc_id", "source", words_in("text").alias("size"), uniform(F.col("doc_id"), seed).alias("u")).withColumn("row", F.monotonically_increasing_id()),
-        "mix-sizes",
-    )
-    targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = stored(
-        targets.withColumn("ratio", ratio)
-        .withColumns({"whole": F.floor("ratio"), "p": F.col("ratio") - F.floor("ratio")})
-        .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")),
-        "mix-targets",
-    ).select(F.col("source").alias("of"), "source_size", "target", "whole", "p", "wanted")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    ranked = stored(
-        base.join(plan, F.col("source").eqNullSafe(F.col("of")))
-        .drop("of", "source_size", "target")
-        .withColumn("q", F.when(F.col("p") > 0, odds))
-        .withColumn("bucket", F.floor(F.lit(buckets) * (F.col("q") / (1 + F.col("q"))))),
-        "mix-ranks",
-    )
-    drawn = ranked.where("p > 0")
+def _sampled(drawn: DataFrame) -> DataFrame:
+    """The rows of ``drawn`` with ``sampled``: those of the lowest ranks of a source, until the next would pass ``wanted``."""
     along = Window.partitionBy("of").orderBy("bucket")
     sums = (
         drawn.groupBy(F.col("source").alias("of"), "bucket")
@@ -89,30 +73,97 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
     placed = drawn.join(ends, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     inside = Window.partitionBy("source").orderBy("q", "u", "doc_id", "size", "row")
     split = placed.where("bucket = last").withColumn("upto", F.col("before") + F.sum("size").over(inside))
-    chosen = stored(
+    return stored(
         placed.where("last IS NULL OR bucket < last")
         .withColumn("sampled", F.lit(True))
         .unionByName(placed.where("bucket > last").withColumn("sampled", F.lit(False)))
         .unionByName(split.withColumn("sampled", F.col("upto") <= F.col("wanted")).drop("upto"))
-        .select("row", "doc_id", "source", "size", "q", "u", "wanted", "sampled"),
+        .select("row", "doc_id", "source", "size", "q", "u", "bucket", "wanted", "sampled"),
         "mix-chosen",
     )
-    gaps = stored(
+
+
+def _gaps(chosen: DataFrame) -> DataFrame:
+    """(of, gap): the words a source's sample leaves open."""
+    return stored(
         chosen.groupBy(F.col("source").alias("of"))
         .agg((F.first("wanted") - F.sum(F.when(F.col("sampled"), F.col("size")).otherwise(0))).alias("gap"))
         .where("gap > 0"),
         "mix-gaps",
     )
-    closing = (
+
+
+def _closing(chosen: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(of, row, miss): the document not sampled whose size comes nearest to the gap of its source, where it helps."""
+    return (
         chosen.where("NOT sampled")
         .join(gaps, F.col("source").eqNullSafe(F.col("of")))
         .withColumn("miss", F.abs(F.col("size") - F.col("gap")))
         .where("miss < gap")
         .groupBy("of")
         .agg(F.min(F.struct("miss", "q", "u", "doc_id", "row")).alias("best"))
-        .select(F.col("best.row").alias("row"))
+        .select("of", F.col("best.row").alias("row"), F.col("best.miss").alias("miss"))
+    )
+
+
+def mix(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = "", buckets: int = BUCKETS, near: float = NEAR, rounds: int = ROUNDS
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``; see the module."""
+    base = stored(
+        docs.select("doc_id", "source", words_in("text").alias("size"), uniform(F.col("doc_id"), seed).alias("u")).withColumn("row", F.monotonically_increasing_id()),
+        "mix-sizes",
+    )
+    targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    plan = stored(
+        targets.withColumn("ratio", ratio)
+        .withColumns({"whole": F.floor("ratio"), "p": F.col("ratio") - F.floor("ratio")})
+        .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")),
+        "mix-targets",
+    ).select(F.col("source").alias("of"), "source_size", "target", "whole", "p", "wanted")
+    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
+    ranked = stored(
+        base.join(plan, F.col("source").eqNullSafe(F.col("of")))
+        .drop("of", "source_size", "target")
+        .withColumn("q", F.when(F.col("p") > 0, odds))
+        .withColumn("bucket", F.floor(F.lit(buckets) * (F.col("q") / (1 + F.col("q"))))),
+        "mix-ranks",
+    )
+    chosen = _sampled(ranked.where("p > 0"))
+    simple = _closing(chosen, _gaps(chosen))
+    # The sources a document at the end leaves far from their target go on down the ranks.
+    far = stored(
+        _gaps(chosen).join(simple.select(F.col("of").alias("closed"), "miss"), F.col("of").eqNullSafe(F.col("closed")), "left")
+        .withColumn("miss", F.coalesce("miss", "gap"))
+        .join(plan.select(F.col("of").alias("planned"), "target"), F.col("of").eqNullSafe(F.col("planned")))
+        .where(F.col("miss") > near * F.col("target"))
+        .select("of", "gap", "miss"),
+        "mix-far",
     )
-    taken = chosen.where("sampled").select("row").union(closing).withColumn("extra", F.lit(1))
+    taken = chosen.where("sampled").select("row")
+    if far.isEmpty():
+        taken = taken.union(simple.select("row"))
+    else:
+        rest = chosen.where("NOT sampled").drop("sampled")
+        passed, gaps = rest.where("1 = 0").select("row", "source"), far.select("of", "gap")
+        for _ in range(rounds):
+            fitting = rest.drop("wanted").join(gaps.withColumnRenamed("gap", "wanted"), F.col("source").eqNullSafe(F.col("of"))).where("size > 0 AND size <= wanted").drop("of")
+            step = _sampled(fitting.join(passed.select("row"), "row", "left_anti"))
+            if step.isEmpty():
+                break
+            passed = stored(passed.union(step.where("sampled").select("row", "source")), "mix-passed")
+            left = step.groupBy(F.col("source").alias("at")).agg(F.sum(F.when(F.col("sampled"), F.col("size")).otherwise(0)).alias("more"))
+            gaps = stored(gaps.join(left, F.col("of").eqNullSafe(F.col("at")), "left").select("of", (F.col("gap") - F.coalesce("more", F.lit(0))).alias("gap")), "mix-left")
+        unused = rest.join(passed.select("row"), "row", "left_anti").withColumn("sampled", F.lit(False))
+        last = _closing(unused, gaps)
+        ends = gaps.join(last.select(F.col("of").alias("closed"), F.col("miss").alias("least")), F.col("of").eqNullSafe(F.col("closed")), "left").select("of", F.coalesce("least", "gap").alias("least"))
+        better = ends.join(far.select(F.col("of").alias("farther"), "miss"), F.col("of").eqNullSafe(F.col("farther"))).where("least < miss")
+        better = stored(better.select(F.col("of").alias("better")), "mix-better")
+        walked = passed.select("row", F.col("source").alias("of")).union(last.select("row", "of"))
+        same = F.col("of").eqNullSafe(F.col("better"))
+        taken = taken.union(walked.join(better, same, "left_semi").select("row")).union(simple.join(better, same, "left_anti").select("row"))
+    taken = taken.withColumn("extra", F.lit(1))
     copies = F.col("whole") + F.coalesce("extra", F.lit(0))
     return (
         base.join(taken, "row", "left")
@@ -124,8 +175,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed:
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as it is taken, with its own columns.
 
-    Rows of the same id, source and size draw the same number, so at most one such group of a source lies across
-    the end of its sample. In that group the first rows by text get the further copy.
+    Rows of the same id, source and size draw the same number, so few such groups of a source lie across
+    the end of its sample. In those groups the first rows by text get the further copy.
     """
     decided = (
         mix(docs, **options)

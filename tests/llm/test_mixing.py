@@ -83,3 +83,12 @@ def test_repeated_rows(spark):
 def test_empty_table(spark):
     assert mix(spark.createDataFrame([], SCHEMA)).collect() == []
     assert mixed_rows(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_very_long_document_does_not_end_the_sample(spark):
+    """One document holds a third of the words of its source; the short ones after it fill the target."""
+    rows = [(i, "w " * 20, "a", "") for i in range(400)] + [(1000 + i, "w " * 20, "b", "") for i in range(400)] + [(2000, "w " * 4000, "b", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for seed in ("", "1", "2", "3", "4", "5"):
+        got = [r for r in mix(docs, seed=seed).collect() if r["source"] == "b"]
+        assert sum(r["taken"] for r in got) == pytest.approx(got[0]["target"], rel=0.01)
