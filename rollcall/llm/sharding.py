@@ -53,14 +53,24 @@ def shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id") -> Da
 
     ``shard`` is the prefix as a string of bits. A row over the limit has all its bits after a plus sign.
     """
-    place = F.xxhash64("doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
-    code = F.shiftleft(digest_bits(F.col(f"`{key}`"), 8), 31).bitwiseOR(place.bitwiseAND((1 << 31) - 1))
-    rows = stored(
-        docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"), code.alias("code")), "shard-codes"
-    )
+    rows = stored(docs.select("doc_id", _text_bytes("text").alias("bytes"), _code("doc_id", "text", key).alias("code")), "shard-codes")
+    return _assigned(rows, "doc_id", limit)
+
+
+def _text_bytes(text: str) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def _code(doc_id: str, text: str, key: str) -> Column:
+    place = F.xxhash64(doc_id, F.xxhash64(text), F.monotonically_increasing_id())
+    return F.shiftleft(digest_bits(F.col(f"`{key}`"), 8), 31).bitwiseOR(place.bitwiseAND((1 << 31) - 1))
+
+
+def _assigned(rows: DataFrame, name: str, limit: int) -> DataFrame:
+    """(name, bytes, shard, depth, shard_bytes, shard_docs) for every row of stored (name, bytes, code)."""
     fitting = rows.where(F.col("bytes") <= limit)
     alone = rows.where(F.col("bytes") > limit).select(
-        "doc_id",
+        name,
         "bytes",
         F.concat(F.lit("+"), F.lpad(F.bin("code"), BITS, "0")).alias("shard"),
         F.lit(BITS).alias("depth"),
@@ -80,7 +90,7 @@ def shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id") -> Da
             "shard_docs",
         )
         entry = _prefix("code", depth).alias("entry")
-        placed.append(open_rows.withColumn("entry", entry).join(named, "entry").select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs"))
+        placed.append(open_rows.withColumn("entry", entry).join(named, "entry").select(name, "bytes", "shard", "depth", "shard_bytes", "shard_docs"))
         if leaves.where("level IS NULL").limit(1).count() == 0:
             break
         large = leaves.where("level IS NULL").select("entry")
@@ -94,12 +104,11 @@ def shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id") -> Da
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
     """The rows of ``docs`` as Parquet below ``path``, one folder per shard, each folder written by one task."""
-    names = docs.columns
-    assigned = shards(docs, limit).select(F.col("doc_id").alias("id"), F.col("shard").alias("in_shard"), "bytes").distinct()
-    # Equal rows have one id but may lie in several shards; the lowest takes them all where ids repeat.
-    lowest = assigned.groupBy("id").agg(F.min("in_shard").alias("in_shard"))
-    rows = docs.join(lowest, F.col("doc_id").eqNullSafe(F.col("id"))).select(*[F.col(f"`{c}`") for c in names], "in_shard")
-    rows.repartition("in_shard").write.partitionBy("in_shard").parquet(path)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = stored(docs.select(doc, _text_bytes("text").alias("bytes"), _code("doc_id", "text", "doc_id").alias("code"), F.monotonically_increasing_id().alias("row")), "shard-rows")
+    assigned = _assigned(rows.select("row", "bytes", "code"), "row", limit).select("row", F.col("shard").alias("in_shard"))
+    placed = rows.join(assigned, "row").select("doc.*", "in_shard")
+    placed.repartition("in_shard").write.partitionBy("in_shard").parquet(path)
 
 
 def sharding_sql(limit: int = SHARD_BYTES) -> str:

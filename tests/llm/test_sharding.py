@@ -54,3 +54,15 @@ def test_written_shards(spark, tmp_path):
     frame = docs(spark).where("doc_id < 300")
     write_shards(frame, f"{tmp_path}/out", 10_000)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 300
+
+
+def test_written_shards_of_one_key_fit(spark, tmp_path):
+    """Rows of one id and of null ids lie in the folders of the shards they were given."""
+    rows = [(7, "x" * 100, str(i)) for i in range(300)] + [(None, "y" * 90, str(i)) for i in range(200)] + [(i, "z" * 50, "") for i in range(100, 200)]
+    write_shards(spark.createDataFrame(rows, SCHEMA), f"{tmp_path}/out", 1000)
+    back = [(r["in_shard"], r) for r in spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(f"{tmp_path}/out").collect()]
+    sums = {}
+    for name, r in back:
+        sums[name] = sums.get(name, 0) + len(r["text"])
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["shard"]) for _, r in back))) == sorted(map(str, rows))
+    assert max(sums.values()) <= 1000 and len(sums) > 48
