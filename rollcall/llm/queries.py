@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.llm.collocations import collocations_sql, phrase_report
 from rollcall.llm.common import table
+from rollcall.llm.contamination import contamination_digest, contamination_sql
+from rollcall.llm.divergence import divergence_sql, source_divergence
 from rollcall.llm.licenses import license_matches, licenses_sql
 from rollcall.llm.mainhtml import main_text
 from rollcall.llm.mixing import mix, mixing_sql
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": lambda spark, folder: license_matches(table(spark, folder, "documents")),
     "op9_token_ids": lambda spark, folder: token_digests(table(spark, folder, "documents")),
     "op10_html": lambda spark, folder: main_text(table(spark, folder, "pages")),
+    "op11_divergence": lambda spark, folder: source_divergence(table(spark, folder, "documents")),
+    "op12_collocations": lambda spark, folder: phrase_report(table(spark, folder, "documents")),
+    "op13_contamination": lambda spark, folder: contamination_digest(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
 }
 
 SQL: dict[str, str] = {
@@ -36,4 +42,7 @@ SQL: dict[str, str] = {
     "op3_mixing": mixing_sql(),
     "op4_sharding": sharding_sql(),
     "op8_licenses": licenses_sql(),
+    "op11_divergence": divergence_sql(),
+    "op12_collocations": collocations_sql(),
+    "op13_contamination": contamination_sql(),
 }
