@@ -22,8 +22,6 @@ hits. Only ``doc_id``, ``text`` and ``item_id``, ``text`` are read, so further c
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,8 +30,8 @@ from rollcall.llm.common import stored
 
 WINDOW = 10
 SHINGLE = 3
-#: Bits that say which hashes of shingles the benchmark may have: 512 KiB.
-FILTER_BITS = 1 << 22
+#: Bits that say which hashes of shingles the benchmark may have: 128 KiB, a constant of the plan.
+FILTER_BITS = 1 << 20
 SALTS = 16
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -69,34 +67,41 @@ def _shingles(windows: DataFrame) -> DataFrame:
     return made.select("m", "length", "signature", "offset", "shingle", h.alias("h"))
 
 
-def _filter_bits(shingles: DataFrame, bits: int) -> DataFrame:
-    """One row (bits): the bits of all shingles as an array of ``bits`` / 64 longs."""
+def _filter_bits(shingles: DataFrame, bits: int) -> Column:
+    """The bits of all shingles as a constant array of ``bits`` / 64 longs. Lambdas take no subqueries, so the driver reads it."""
     spark, cells = shingles.sparkSession, bits // 64
     place = F.pmod("h", F.lit(bits))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
     filled = shingles.select(F.floor(place / 64).cast("long").alias("cell"), one.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("word"))
     dense = spark.range(cells).join(filled, F.col("id") == F.col("cell"), "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
-    return dense.agg(F.sort_array(F.collect_list(F.struct("id", "word"))).alias("all")).select(F.col("all.word").alias("bits"))
+    words = dense.agg(F.sort_array(F.collect_list(F.struct("id", "word"))).alias("all")).select(F.to_json("all.word")).first()[0]
+    return F.from_json(F.lit(words), "array<bigint>")
+
+
+def _found(words: Column, length: int, bits: Column, n_bits: int) -> Column:
+    """(pos, length, shingle, n_words) of the shingles of ``words`` that the bits let through."""
+
+    def marked(at: Column) -> Column:
+        place = F.pmod(_hash(words, at, length), F.lit(n_bits))
+        return F.getbit(F.get(bits, F.floor(place / 64).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
 
+    def taken(at: Column) -> Column:
+        return F.struct(at.alias("pos"), F.lit(length).alias("length"), F.array_join(F.slice(words, at + 1, length), " ").alias("shingle"), F.size(words).alias("n_words"))
 
-def _placed(length: int) -> Callable[[Column], Column]:
-    return lambda at: F.struct(at.alias("pos"), F.lit(length).alias("length"), _hash(F.col("words"), at, length).alias("h"))
+    starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
+    return F.transform(F.filter(starts, marked), taken)
 
 
-def seen_shingles(docs: DataFrame, known: DataFrame, lengths: list[int], bits: int = FILTER_BITS) -> DataFrame:
-    """(row, doc_id, n_words, pos, length, shingle): a row for each row of ``docs``, with null ``pos``, and one for each shingle the bits let through."""
+def seen_shingles(docs: DataFrame, known: Column, lengths: list[int], bits: int = FILTER_BITS) -> DataFrame:
+    """(row, doc_id, pos, length, shingle, n_words): one for each row of ``docs``, with null ``pos``, and one for each shingle the bits let through.
+
+    Words stay inside the row: what is exploded are the shingles found.
+    """
     worded = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of("text").alias("words"))
-    size = F.size("words")
-    found = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(0).alias("length"), F.lit(None).cast("long").alias("h")))
-    for length in lengths:
-        at = F.when(size >= length, F.sequence(F.lit(0), size - length)).otherwise(F.array().cast("array<int>"))
-        found = F.concat(found, F.transform(at, _placed(length)))
-    made = worded.select("row", "doc_id", "words", F.inline(found))
-    place = F.pmod("h", F.lit(bits))
-    cell = F.get(known.scalar(), F.floor(place / 64).cast("int"))
-    marked = F.getbit(cell, F.pmod(place, F.lit(64)).cast("int")) == 1
-    shingle = F.array_join(F.slice("words", F.col("pos") + 1, F.col("length")), " ")
-    return made.where(F.col("h").isNull() | marked).select("row", "doc_id", F.size("words").alias("n_words"), "pos", "length", F.when(F.col("pos").isNotNull(), shingle).alias("shingle"))
+    words = F.col("words")
+    whole = F.struct(F.lit(None).cast("int").alias("pos"), F.lit(0).alias("length"), F.lit(None).cast("string").alias("shingle"), F.size(words).alias("n_words"))
+    found = F.concat(F.array(whole), *[_found(words, length, known, bits) for length in lengths])
+    return worded.select("row", "doc_id", F.inline(found))
 
 
 def window_hits(seen: DataFrame, shingles: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, bits:
     windows = stored(item_windows(items, window), "leak-windows")
     shingles = stored(_shingles(windows), "leak-shingles")
     lengths = sorted({SHINGLE} | {r["length"] for r in windows.select("length").distinct().collect()})
-    marked = stored(_filter_bits(shingles, bits), "leak-bits")
+    marked = _filter_bits(shingles, bits)
     seen = stored(seen_shingles(docs, marked, lengths, bits), "leak-seen")
     hits = stored(window_hits(seen.where("pos IS NOT NULL"), shingles), "leak-hits")
     before = Window.partitionBy("row").orderBy("start", "m").rowsBetween(Window.unboundedPreceding, -1)
