@@ -1,14 +1,15 @@
 """Phrase collocations by an FM-index per shard over word ids.
 
 1. Tasks cut the texts they read into shards of one language and of about ``SHARD_WORDS`` words: a file of word ids, with 0 between pieces, and the
-   words of the shard with their counts. Counts add up to those of the language; words below ``min_count`` can be in no
+   words of the shard with their counts. What tasks have left at their ends is put together to such a size. Counts add up to those of the language; words below ``min_count`` can be in no
    candidate, so they end pieces from here on.
 2. Each shard gets the ids of its frequent words and builds a bidirectional FM-index: the Burrows-Wheeler transforms of its ids and of
    the reversed ids, with rows put in order by as many words as the longest phrase has. An interval of rows is a phrase, its length
    the count; a phrase keeps its interval in both transforms, so it can be extended to either side.
-3. Phrases grow by a word a round: words to the right, then pairs to the left, then triples to the right, and so on. Every shard
-   extends the intervals of its phrases by all words that follow there; a longer phrase can be frequent only if both its parts without
-   an end word are, and the interval it lies in tells whether the other part is. Counts of the shards are added up, those below ``min_count`` go.
+3. Phrases grow by a word a round: words to the right, then pairs to the left, then triples to the right. Every shard finds the
+   intervals of its frequent phrases by backward search and extends them by all words that stand there; a longer phrase can be frequent
+   only if both its parts without an end word are, and the interval it lies in tells whether the other part is. Counts of the shards
+   are added up, those below ``min_count`` go.
 4. Scores, and the best extension to the left and right of each candidate, are joins of the phrases found. A longer candidate that
    holds a phrase holds one a word longer than it that is at least as frequent, so extensions by one word decide what goes.
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,7 +44,7 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 COVERED = 80
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 3_000_000
 _HALF = 0xFFFFFFFF
 
 #: A-Z become a-z, ends of pieces line feeds, tabs blanks; all other bytes stay.
@@ -65,6 +66,15 @@ def _write(path: str, name: str, *arrays: np.ndarray) -> None:
         out.write(zstandard.ZstdCompressor(1).compress(head + b"".join(a.astype("<i4").tobytes() for a in arrays)))
 
 
+def _number() -> int:
+    """A number for a file of this attempt."""
+    return uuid.uuid4().int >> 66
+
+
+def _file(number: int) -> str:
+    return f"words-{number:x}"
+
+
 def _read(path: str, name: str) -> list[np.ndarray]:
     files, root = _filesystem(path)
     with files.open_input_file(f"{root}/{name}") as source:
@@ -75,27 +85,25 @@ def _read(path: str, name: str) -> list[np.ndarray]:
     return [np.frombuffer(raw, "<i4", int(k), int(end - 4 * k)) for k, end in zip(lengths, ends)]
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_shards(docs: DataFrame, path: str, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(shard, lang, file, words, counts): the words of each shard by local id less 1, with their counts. Ids lie in ``file`` below ``path``."""
+    """(shard, lang, size, words, counts): the words of each shard by local id less 1, with their counts. Ids lie in the shard's file below ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        first, made = TaskContext.get().partitionId() << 32, 0
         held: dict[str, tuple[dict, list[np.ndarray]]] = {}
         sizes: dict[str, int] = {}
 
         def close(lang: str) -> pa.RecordBatch:
-            nonlocal made
             known, parts = held.pop(lang)
-            del sizes[lang]
-            ids = np.concatenate(parts)
-            name = f"ids-{uuid.uuid4().hex}"
-            _write(path, name, ids)
-            made += 1
+            size, ids, shard = sizes.pop(lang), np.concatenate(parts), _number()
+            _write(path, _file(shard), ids)
             counts = np.bincount(ids, minlength=len(known))[1:].tolist()
-            columns = [pa.array([first + made]), pa.array([lang]), pa.array([name]), pa.array([list(known)[1:]], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "file", "words", "counts"])
+            columns = [pa.array([shard]), pa.array([lang]), pa.array([size]), pa.array([list(known)[1:]], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "size", "words", "counts"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -117,50 +125,57 @@ def write_shards(docs: DataFrame, path: str, shard_words: int = SHARD_WORDS) ->
             yield close(lang)
 
     given = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    return to_python(given).mapInArrow(run, "shard long, lang string, file string, words array<binary>, counts array<long>")
+    return to_python(given).mapInArrow(run, "shard long, lang string, size long, words array<binary>, counts array<long>")
 
 
-def _ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """The place in order of each rotation by its first ``depth`` symbols; equal ones share a place."""
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank, done = rank.astype(np.int64), 1
-    while done < depth:
+def _rotations(symbols: np.ndarray, depth: int) -> np.ndarray:
+    """The rotations in the order of their first ``depth`` symbols, by doubling. Equal ones come in any order."""
+    rank, done = symbols.astype(np.int64), 1
+    while True:
         step = min(done, depth - done)
         key = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
-        order = np.argsort(key, kind="stable")
-        rank = np.empty_like(rank)
-        ordered = key[order]
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        order = np.argsort(key)
         done += step
-    return rank
+        if done >= depth:
+            return order
+        key = key[order]
+        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
 
 
 class Transform:
-    """One Burrows-Wheeler transform: the symbol before each rotation, and the row each of them leads to."""
+    """One Burrows-Wheeler transform: the symbol before each rotation, and the places of each symbol in order for rank queries."""
 
     def __init__(self, before: np.ndarray):
-        self.before = before
-        self.to = np.empty(len(before), np.int64)
-        self.to[np.argsort(before, kind="stable")] = np.arange(len(before))
+        self.before = before.astype(np.int64)
+        self.places = np.sort(self.before * len(before) + np.arange(len(before)))
 
     @classmethod
     def of(cls, symbols: np.ndarray, depth: int) -> Transform:
-        order = np.argsort(_ranks(symbols, depth), kind="stable")
-        return cls(symbols[order - 1].astype(np.int32))
+        return cls(symbols[_rotations(symbols, depth) - 1])
+
+    def before_row(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """A step of backward search: the first row of ``symbol`` followed by what the rows from ``row`` on start with."""
+        return np.searchsorted(self.places, symbol * len(self.before) + row)
+
+    def find(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(low, n) of phrases, given as the symbols of their last words, of those before the last, and so on."""
+        low, high = np.zeros(len(words[0]), np.int64), np.full(len(words[0]), len(self.before))
+        for symbol in words:
+            low, high = self.before_row(symbol, low), self.before_row(symbol, high)
+        return low, high - low
 
     def extended(self, low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """All words before the rotations of disjoint intervals: (interval, symbol, low, n, words of the interval that are smaller)."""
         starts = np.concatenate([[0], np.cumsum(n)])
         owner = np.repeat(np.arange(len(n)), n)
-        rows = np.arange(starts[-1]) - starts[owner] + low[owner]
-        symbol = self.before[rows].astype(np.int64)
-        order = np.lexsort((symbol, owner))
-        owner, symbol, rows = owner[order], symbol[order], rows[order]
-        new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])])) if len(owner) else np.zeros(0, np.int64)
-        counts = np.diff(np.concatenate([new, [len(owner)]])).astype(np.int64)
-        o, s = owner[new], symbol[new]
-        word = s > 0
-        return o[word], s[word], self.to[rows[new]][word], counts[word], (new - starts[o])[word]
+        symbols = int(self.before.max()) + 1
+        pair = np.sort(owner * symbols + self.before[np.arange(starts[-1]) + (low - starts[:-1])[owner]])
+        new = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
+        counts = np.diff(np.concatenate([new, [len(pair)]]))
+        word = pair[new] % symbols > 0
+        new, counts = new[word], counts[word]
+        o, s = pair[new] // symbols, pair[new] % symbols
+        return o, s, self.before_row(s, low[o]), counts, new - starts[o]
 
 
 class WordIndex:
@@ -170,18 +185,22 @@ class WordIndex:
         self.forward, self.backward, self.ids = forward, backward, ids.astype(np.int64)
 
     @classmethod
-    def of(cls, ids: np.ndarray, depth: int = LONGEST) -> WordIndex:
-        """The index of word ids with 0 at the ends of pieces."""
-        ids = np.concatenate([[0], ids, [0]])
-        ids = np.concatenate([[0], ids[1:][(ids[1:] > 0) | (ids[:-1] > 0)]])  # runs of zeros as one
-        known, symbols = np.unique(ids, return_inverse=True)
-        return cls(Transform.of(symbols, depth), Transform.of(symbols[::-1], depth), known[1:])
+    def of(cls, symbols: np.ndarray, ids: np.ndarray, depth: int = LONGEST) -> WordIndex:
+        """The index of symbols, 0 at the ends of pieces and for words left out."""
+        symbols = np.concatenate([[0], symbols, [0]]).astype(np.int32)
+        symbols = np.concatenate([[0], symbols[1:][(symbols[1:] > 0) | (symbols[:-1] > 0)]])  # runs of zeros as one
+        return cls(Transform.of(symbols, depth), Transform.of(symbols[::-1], depth), ids)
 
     def words(self) -> tuple[np.ndarray, ...]:
-        """(symbol, low, back, n) of all single words. Both transforms order words alike, so the two intervals are one."""
-        counts = np.bincount(self.forward.before, minlength=len(self.ids) + 1)
-        low = np.cumsum(counts) - counts
-        return np.arange(1, len(counts)), low[1:], low[1:], counts[1:]
+        """(word id, low, back, n) of all single words. Both transforms order words alike, so the two intervals are one."""
+        low, n = self.forward.find([np.arange(1, len(self.ids) + 1)])
+        return self.ids, low, low, n
+
+    def find(self, words: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(low, back, n) of phrases, given as the ids of their first words, of their second words, and so on."""
+        symbols = [np.searchsorted(self.ids, w) + 1 for w in words]
+        low, n = self.forward.find(symbols[::-1])
+        return low, self.backward.find(symbols)[0], n
 
     def left(self, low: np.ndarray, back: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """(phrase, word id, low, back, n) of all phrases with one more word before."""
@@ -211,12 +230,12 @@ def _inside(at: np.ndarray, low: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 #: A phrase is two longs of two word ids each; what it lacks is 0.
-_PHRASES = "shard long, k1 long, k2 long, low long, back long, n long"
+_PHRASES = "shard long, k1 long, k2 long, n long"
 
 
 def _phrase_table(shard: int, *columns: np.ndarray) -> pa.RecordBatch:
     arrays = [pa.array(np.full(len(columns[0]), shard, np.int64)), *(pa.array(c.astype(np.int64)) for c in columns)]
-    return pa.RecordBatch.from_arrays(arrays, names=["shard", "k1", "k2", "low", "back", "n"])
+    return pa.RecordBatch.from_arrays(arrays, names=["shard", "k1", "k2", "n"])
 
 
 def _by_shard(df: DataFrame, shards: int) -> DataFrame:
@@ -224,43 +243,59 @@ def _by_shard(df: DataFrame, shards: int) -> DataFrame:
     return df.repartitionByRange(max(1, min(shards, max(4096, shards // 16))), "shard")
 
 
-def build_indexes(shards: DataFrame, words: DataFrame, path: str, depth: int = LONGEST) -> DataFrame:
-    """(shard, file): the index of each shard, from its ids and the ids of its frequent words."""
-    of_shard = shards.select("shard", "file", "lang", F.posexplode("words").alias("local", "word"))
-    named = of_shard.join(words.select("lang", "word", "id"), ["lang", "word"]).select("shard", "file", "local", F.col("id").cast("int").alias("id"))
+def frequent_words(shards: DataFrame, min_count: int, shard_words: int) -> DataFrame:
+    """(lang, word, f, of, shard, local): the frequent words of each shard. Shards of a task's end are put together, to up to twice ``shard_words``, under ``of``."""
+    along = Window.partitionBy("lang").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.call_function("div", F.coalesce(F.sum("size").over(along), F.lit(0)).cast("long"), F.lit(shard_words))
+    together = shards.select("shard", "lang", "size").withColumn("share", share).withColumn("of", F.min("shard").over(Window.partitionBy("lang", "share")))
+    listed = shards.select("shard", "lang", "words", "counts").join(stored(together.select("shard", "of"), "phrase-together"), "shard")
+    told = listed.select("lang", "of", "shard", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w"))
+    counted = told.select("lang", F.col("w.words").alias("word"), "of", "shard", "local", F.sum("w.counts").over(Window.partitionBy("lang", "w.words")).alias("f"))
+    return counted.where(F.col("f") >= min_count)
+
+
+def build_indexes(frequent: DataFrame, words: DataFrame, path: str, to: str, shards: int, depth: int = LONGEST) -> DataFrame:
+    """(shard): an index for each ``of``, from the ids of its shards and the ids of their frequent words, by a new number of its own."""
+    named = frequent.join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("of").alias("shard"), F.col("shard").alias("part"), "local", F.col("id").cast("int").alias("id"))
 
     def build(group: pa.Table) -> pa.Table:
-        (local,) = _read(path, group["file"][0].as_py())
-        own = np.zeros(int(local.max()) + 1, np.int64)
-        own[group["local"].to_numpy() + 1] = group["id"].to_numpy()
-        name = f"index-{uuid.uuid4().hex}"
-        WordIndex.of(own[local], depth).save(path, name)
-        return pa.table({"shard": group["shard"].slice(0, 1), "file": [name]})
+        part, local, word = (group[c].to_numpy() for c in ("part", "local", "id"))
+        symbols, known = [], np.unique(word)
+        for shard in np.unique(part):
+            (ids,) = _read(path, _file(int(shard)))
+            own = np.zeros(int(ids.max()) + 1, np.int32)
+            own[local[part == shard] + 1] = np.searchsorted(known, word[part == shard]) + 1
+            symbols.append(own[ids])
+        number = _number()
+        WordIndex.of(np.concatenate(symbols), known, depth).save(to, _file(number))
+        return pa.table({"shard": pa.array([number], pa.int64())})
 
-    return _by_shard(named, shards.count()).groupBy("shard").applyInArrow(build, "shard long, file string")
+    return _by_shard(named, shards).groupBy("shard").applyInArrow(build, "shard long")
 
 
 def first_pairs(indexes: DataFrame, path: str) -> DataFrame:
-    """Two-word phrases of every shard, each with its intervals."""
+    """Two-word phrases of every shard with their counts there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                index = WordIndex.load(path, file)
-                symbol, low, back, n = index.words()
-                of, after, low, back, n = index.right(low, back, n)
-                yield _phrase_table(shard, index.ids[symbol[of] - 1] << 32 | after, np.zeros(len(of)), low, back, n)
+            for shard in batch.column(0).to_pylist():
+                index = WordIndex.load(path, _file(shard))
+                first, low, back, n = index.words()
+                of, after, _, _, n = index.right(low, back, n)
+                yield _phrase_table(shard, first[of] << 32 | after, np.zeros(len(of)), n)
 
-    return _by_shard(indexes.select("shard", "file"), indexes.count()).mapInArrow(run, _PHRASES)
+    return _by_shard(indexes, indexes.count()).mapInArrow(run, _PHRASES)
 
 
-def longer_phrases(phrases: DataFrame, indexes: DataFrame, path: str, words: int) -> DataFrame:
+def longer_phrases(phrases: DataFrame, shards: int, path: str, words: int) -> DataFrame:
     """Phrases of ``words`` words of every shard, from its frequent phrases of one word less."""
     to_left = words % 2 == 1
 
     def run(group: pa.Table) -> pa.Table:
-        index = WordIndex.load(path, group["file"][0].as_py())
-        k1, k2, low, back, n = (group[c].to_numpy() for c in ("k1", "k2", "low", "back", "n"))
+        shard = group["shard"][0].as_py()
+        index = WordIndex.load(path, _file(shard))
+        k1, k2 = (group[c].to_numpy() for c in ("k1", "k2"))
+        low, back, n = index.find([k1 >> 32, k1 & _HALF, k2 >> 32][: words - 1])
         of, word, new_low, new_back, count = (index.left if to_left else index.right)(low, back, n)
         if to_left:
             fits = _inside(new_low, low, n)
@@ -268,10 +303,9 @@ def longer_phrases(phrases: DataFrame, indexes: DataFrame, path: str, words: int
         else:
             fits = _inside(new_back, back, n)
             a, b = k1[of], k2[of] | word
-        return pa.Table.from_batches([_phrase_table(group["shard"][0].as_py(), *(c[fits] for c in (a, b, new_low, new_back, count)))])
+        return pa.Table.from_batches([_phrase_table(shard, *(c[fits] for c in (a, b, count)))])
 
-    given = phrases.join(indexes, "shard").select("shard", "file", "k1", "k2", "low", "back", "n")
-    return _by_shard(given, indexes.count()).groupBy("shard").applyInArrow(run, _PHRASES)
+    return _by_shard(phrases.select("shard", "k1", "k2"), shards).groupBy("shard").applyInArrow(run, _PHRASES)
 
 
 def _frequent(phrases: DataFrame, min_count: int) -> DataFrame:
@@ -295,23 +329,25 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     """Frequent phrases (size, k1, k2, f) of 2 to ``longest`` words, frequent words (lang, word, f, id), and (lang, n) of all words."""
     if not 2 <= longest <= 4:
         raise ValueError("phrases have 2 to 4 words")
-    path = scratch_path(docs.sparkSession, "phrases")
-    shards = stored(write_shards(docs, path, shard_words), "phrase-shards")
-    told = shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counted = stored(told.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-counts")
-    words = stored(with_dense_ids(counted.where(F.col("f") >= min_count), start=1), "phrase-words")
+    spark = docs.sparkSession
+    ids, path = scratch_path(spark, "phrase-ids"), scratch_path(spark, "phrase-index")
+    shards = stored(write_shards(docs, ids, shard_words), "phrase-shards")
+    frequent = stored(frequent_words(shards, min_count, shard_words), "phrase-frequent")
+    words = stored(with_dense_ids(frequent.select("lang", "word", "f").distinct(), start=1), "phrase-words")
     if (words.agg(F.max("id")).first()[0] or 0) >= 1 << 31:
         raise ValueError("more frequent words than ids of 31 bits")
-    indexes = stored(build_indexes(shards, words, path, longest), "phrase-indexes")
+    indexes = stored(build_indexes(frequent, words, ids, path, shards.count(), longest), "phrase-indexes")
+    _drop(spark, ids)
     found = []
     for size in range(2, longest + 1):
-        grown = first_pairs(indexes, path) if size == 2 else longer_phrases(found[-1], indexes, path, size)
+        grown = first_pairs(indexes, path) if size == 2 else longer_phrases(found[-1], indexes.count(), path, size)
         found.append(stored(_frequent(grown, min_count), f"phrases-{size}"))
     summed = [p.groupBy("k1", "k2").agg(F.first("f").alias("f")).select(F.lit(size).alias("size"), "k1", "k2", "f") for size, p in enumerate(found, 2)]
     phrases = summed[0]
     for more in summed[1:]:
         phrases = phrases.unionByName(more)
-    return stored(phrases, "phrases"), words, counted.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = shards.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n)).alias("n"))
+    return stored(phrases, "phrases"), words, totals
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, shard_words: int = SHARD_WORDS) -> DataFrame:
