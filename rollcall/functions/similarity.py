@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,8 +102,41 @@ def _lcs_by_words(a: Column, b: Column) -> Column:
     return F.length(a) - F.aggregate(rest, F.lit(0), lambda total, x: total + F.bit_count(x))
 
 
+def _shared_start(a: Column, b: Column) -> Column:
+    """How many letters two lists have in common from the start."""
+    return let(
+        F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)),
+        lambda same: F.when(F.array_position(same, F.lit(False)) > 0, F.array_position(same, F.lit(False)).cast("int") - 1).otherwise(F.size(same)),
+    )
+
+
+def _without_ends(a: Column, b: Column, body: Callable[[Column, Column, Column], Column]) -> Column:
+    """``body`` of two texts without the letters they share at both ends, and of how many those are."""
+
+    def cut(letters: Column) -> Column:
+        a, b = letters["a"], letters["b"]
+
+        def inner(start: Column) -> Column:
+            rest = F.struct(F.slice(a, start + 1, F.size(a) - start).alias("a"), F.slice(b, start + 1, F.size(b) - start).alias("b"))
+
+            def whole(rest: Column) -> Column:
+                left = lambda side, end: F.array_join(F.slice(rest[side], F.lit(1), F.size(rest[side]) - end), "")
+                return let(_shared_start(F.reverse(rest["a"]), F.reverse(rest["b"])), lambda end: body(left("a", end), left("b", end), start + end))
+
+            return let(rest, whole)
+
+        return let(_shared_start(a, b), inner)
+
+    return let(F.struct(_letters(a).alias("a"), _letters(b).alias("b")), cut)
+
+
 def common_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts that are not empty. The shorter one is the one kept in bits."""
+    """Length of the longest common subsequence of two texts. Shared ends are part of it, so only what is between them is searched."""
+    return _without_ends(a, b, lambda x, y, ends: ends + F.when((x == "") | (y == ""), 0).otherwise(_common_length(x, y)))
+
+
+def _common_length(a: Column, b: Column) -> Column:
+    """The same for texts that are not empty. The shorter one is the one kept in bits."""
     a_first = F.length(a) <= F.length(b)
     short, long = F.when(a_first, a).otherwise(b), F.when(a_first, b).otherwise(a)
 
@@ -117,6 +152,36 @@ def indel_distance(a: Column, b: Column) -> Column:
     return F.length(a) + F.length(b) - 2 * common_length(a, b)
 
 
+#: Letters are counted in so many cells, up to four each, one bit per letter counted.
+_CELLS, _COUNTED = 64, 4
+
+
+def letter_bits(text: Column) -> Column:
+    """Four longs with a bit for each of the first four letters of a cell; a letter's cell is its code point modulo 64.
+
+    Where two texts differ in a bit, one of them has a letter more in that cell.
+    """
+    cells = F.transform(_letters(text), lambda c: F.pmod(F.ascii(c), F.lit(_CELLS)))
+
+    def slots(cells: Column) -> Column:
+        placed = F.transform(cells, lambda c, i: F.struct(c.alias("cell"), F.size(F.filter(F.slice(cells, F.lit(1), i), lambda x: x == c)).alias("nth")))
+        return F.transform(F.filter(placed, lambda p: p["nth"] < _COUNTED), lambda p: p["nth"] * _CELLS + p["cell"])
+
+    def words(slots: Column) -> Column:
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        bit = lambda s: F.call_function("shiftleft", one, F.pmod(s, F.lit(64)))
+        word = lambda w: F.aggregate(F.filter(slots, lambda s: (s >= 64 * w) & (s < 64 * w + 64)), zero, lambda total, s: total.bitwiseOR(bit(s)))
+        return F.struct(*[word(w).alias(f"w{w}") for w in range(_CELLS * _COUNTED // 64)])
+
+    return let(let(cells, slots), words)
+
+
+def least_distance(a: str, b: str) -> Column:
+    """Letters that have at least to be deleted and inserted, from the ``letter_bits`` columns of two texts."""
+    bits = [F.bit_count(F.col(f"{a}.w{w}").bitwiseXOR(F.col(f"{b}.w{w}"))) for w in range(_CELLS * _COUNTED // 64)]
+    return bits[0] + bits[1] + bits[2] + bits[3]
+
+
 def names_match(a: Column, b: Column, threshold: int = NAME_SIMILARITY) -> Column:
     """Whether two names are at least ``threshold`` percent alike, whatever the order of their words."""
 

@@ -5,7 +5,12 @@ two such pairs and an insertion one, so two texts as alike as asked have most pa
 the rarest pairs of each is a rare one of the other: as many of the rarest, and one more, as edits could spoil (prefix
 filtering, Chaudhuri et al., ICDE 2006). Texts meet in an equi-join on (scope, block, lengths, letter pair). What nearly all names
 of a block share is never a join key unless the rest of a name is shorter than the edits allowed. The filter
-loses no pair; what it lets through is checked by a bounded Levenshtein test and then exactly.
+loses no pair; what it lets through is checked by letter counts and a bounded Levenshtein test, both in machine words, which leave
+the distance between two bounds. Only where the bounds differ is it measured, between the ends the texts share.
+
+``name_groups`` gives the groups that similar names form without listing their pairs. Names that meet in a key are compared with
+one of them, links are contracted, and a key whose names are in one group by then is done with. Where that
+finds nothing more, names of different groups that still meet are compared, so the groups are those of all pairs.
 """
 
 from __future__ import annotations
@@ -13,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions.binding import let
-from rollcall.functions.similarity import first_letter_block, indel_distance, sorted_tokens
-from rollcall.operators.linkage import SCOPE
+from rollcall.functions.binding import let, rows_with
+from rollcall.functions.similarity import first_letter_block, indel_distance, least_distance, letter_bits, sorted_tokens
+from rollcall.operators.linkage import SCOPE, connected_components
 from rollcall.scratch import keep
 from rollcall.settings import NAME_SIMILARITY
 
@@ -57,7 +62,7 @@ def _marked_pairs(text: Column) -> Column:
 
 
 def _rare_pairs(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """(keys, long, short, pair, text, id): the join keys of a name for every length a similar name may have."""
+    """(keys, long, short, pair, text, id, bits): the join keys of a name for every length a similar name may have."""
     size = F.length("text")
     pairs = names.select(*keys, "text", "id", F.explode(_marked_pairs(F.col("text"))).alias("pair"))
     counts = pairs.groupBy(*keys, "pair").agg(F.count(F.lit(1)).alias("n"))
@@ -71,21 +76,53 @@ def _rare_pairs(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     deleted = F.floor((allowed + size - F.col("other")) / 2).cast("int")
     inserted = F.floor((allowed - size + F.col("other")) / 2).cast("int")
     spoilt = 2 * deleted + inserted
-    each = ranked.withColumn("other", other).where(F.abs(size - F.col("other")) <= allowed).withColumn("rare", F.slice("ranked", F.lit(1), spoilt + 1))
-    return each.select(*keys, F.greatest(size, "other").alias("long"), F.least(size, "other").alias("short"), F.explode("rare").alias("pair"), "text", "id")
+    counted = ranked.withColumn("bits", letter_bits(F.col("text")))
+    each = counted.withColumn("other", other).where(F.abs(size - F.col("other")) <= allowed).withColumn("rare", F.slice("ranked", F.lit(1), spoilt + 1))
+    return each.select(*keys, F.greatest(size, "other").alias("long"), F.least(size, "other").alias("short"), F.explode("rare").alias("pair"), "text", "id", "bits")
 
 
-def candidate_pairs(listings: DataFrame, threshold: int, scope: tuple[str, ...] = SCOPE, block: str = "first") -> DataFrame:
-    """(scope, text_a, id_a, text_b, id_b): the pairs of names that are looked at, each once, the longer one first."""
+def _sides(rare: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The names of each join key that may be the longer one of a pair, and those that may be the shorter one."""
+    of = lambda length, x: rare.where(F.length("text") == F.col(length)).select(*keys, F.col("text").alias(f"text_{x}"), F.col("id").alias(f"id_{x}"), F.col("bits").alias(f"bits_{x}"))
+    return of("long", "a"), of("short", "b")
+
+
+def _checked_threshold(threshold: int) -> int:
     if not 67 <= threshold <= 100:
         raise ValueError("threshold must be at least 67, or alike names need have no letter pair in common, and at most 100")
+    return threshold
+
+
+def candidate_pairs(listings: DataFrame, threshold: int, scope: tuple[str, ...] = SCOPE, block: str = "first") -> DataFrame:
+    """(scope, text_a, id_a, bits_a, text_b, id_b, bits_b): the pairs of names that are looked at, each once, the longer one first."""
     keys = [*scope, "block"]
-    rare = keep(_rare_pairs(distinct_names(listings, scope, block), keys, threshold), "rare-pairs").df
+    rare = keep(_rare_pairs(distinct_names(listings, scope, block), keys, _checked_threshold(threshold)), "rare-pairs").df
     join_keys = [*keys, "long", "short", "pair"]
-    longer = rare.where(F.length("text") == F.col("long")).select(*join_keys, F.col("text").alias("text_a"), F.col("id").alias("id_a"))
-    shorter = rare.where(F.length("text") == F.col("short")).select(*join_keys, F.col("text").alias("text_b"), F.col("id").alias("id_b"))
+    longer, shorter = _sides(rare, join_keys)
     met = longer.join(shorter, join_keys).where((F.col("long") > F.col("short")) | (F.col("text_a") > F.col("text_b")))
-    return met.select(*scope, "text_a", "id_a", "text_b", "id_b").distinct()
+    return met.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).select(*scope, "text_a", "id_a", "bits_a", "text_b", "id_b", "bits_b").distinct()
+
+
+def _allowed(threshold: int) -> Column:
+    return _edits(F.length("text_a") + F.length("text_b"), threshold)
+
+
+def _bounded_distance(threshold: int, exact: bool = True) -> Column:
+    """The distance of text_a and text_b, null beyond what is allowed. Without ``exact`` it may be an upper bound that is allowed.
+
+    Each substitution counts as a deletion and an insertion, so the Levenshtein distance bounds it from above, as letter counts
+    do from below.
+    """
+    allowed, apart = _allowed(threshold), F.abs(F.length("text_a") - F.length("text_b"))
+    least = F.greatest(least_distance("bits_a", "bits_b"), apart)
+
+    def within(edits: Column) -> Column:
+        most = 2 * edits - apart
+        known = (least >= most) if exact else (most <= allowed)
+        measured = let(indel_distance(F.col("text_a"), F.col("text_b")), lambda d: F.when(d <= allowed, d))
+        return F.when((edits < 0) | (least > allowed), None).when(known, F.when(most <= allowed, most)).otherwise(measured)
+
+    return let(F.call_function("levenshtein", F.col("text_a"), F.col("text_b"), allowed), within).cast("int")
 
 
 def similar_name_pairs(
@@ -97,15 +134,10 @@ def similar_name_pairs(
     ``same_name_edges`` they connect the same listings as all pairs would. The distance counts deletions and
     insertions, relative to the summed lengths.
     """
-    total = F.length("text_a") + F.length("text_b")
-    allowed = _edits(total, threshold)
-    near = F.call_function("levenshtein", F.col("text_a"), F.col("text_b"), allowed)
-    pairs = candidate_pairs(listings, threshold, scope, block).where(near >= 0)
-    distance = indel_distance(F.col("text_a"), F.col("text_b"))
+    pairs = candidate_pairs(listings, threshold, scope, block)
     a_first = F.col("id_a") < F.col("id_b")
     return (
-        pairs.withColumn("distance", distance.cast("int"))
-        .where(F.col("distance") <= allowed)
+        pairs.select("*", rows_with(_bounded_distance(threshold)).alias("distance"))
         .select(
             *scope,
             F.least("id_a", "id_b").alias("lo"),
@@ -123,3 +155,55 @@ def name_edges(
     """(hi, lo) edges that put listings with similar names into one group."""
     pairs = similar_name_pairs(listings, threshold, scope, block).select("hi", "lo")
     return same_name_edges(listings, scope, block).unionByName(pairs)
+
+
+def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
+    """(hi, lo): the groups, by their roots, that pairs of similar names put together."""
+    near = pairs.select("root_a", "root_b", rows_with(_bounded_distance(threshold, exact=False)).alias("distance"))
+    return near.select(F.greatest("root_a", "root_b").alias("hi"), F.least("root_a", "root_b").alias("lo")).distinct()
+
+
+def _regrouped(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (id, root) after links between roots."""
+    moved = connected_components(links).df.select(F.col("id").alias("root"), F.col("root").alias("to"))
+    return keep(roots.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "name-roots").df
+
+
+def name_groups(
+    listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
+) -> DataFrame:
+    """(id, root) for every listing with a name: the lowest listing id that similar names connect it with, as all pairs would.
+
+    A round compares each name with at most two others, so names that are all alike cost as many comparisons as there are names.
+    """
+    keys = [*scope, "block"]
+    names = keep(distinct_names(listings, scope, block), "names").df
+    rare = keep(_rare_pairs(names, keys, _checked_threshold(threshold)), "rare-pairs").df
+    join_keys = [*keys, "long", "short", "pair"]
+    roots = keep(names.select("id", F.col("id").alias("root")), "name-roots").df
+    turn = 0
+    while True:
+        order = F.xxhash64("id", F.lit(turn))
+        labelled = rare.join(roots, "id").withColumns({"order": order, "one": F.struct("id", "text", "bits", "root")})
+        first = lambda length: F.expr(f"min_by(one, order) FILTER (WHERE length(text) = {length})")
+        several = labelled.groupBy(*join_keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), first("long").alias("a"), first("short").alias("b"))
+        open_keys = several.where("low < high AND a IS NOT NULL AND b IS NOT NULL").select(*join_keys, "a", "b")
+        unsettled = keep(labelled.join(open_keys, join_keys), "name-open").df
+        if unsettled.isEmpty():
+            break
+        as_pair = lambda a, b: [F.col(f"{x}.{c}").alias(f"{c}_{side}") for x, side in ((a, "a"), (b, "b")) for c in ("id", "text", "bits", "root")]
+        longer = unsettled.where((F.length("text") == F.col("long")) & (F.col("root") != F.col("b.root")))
+        shorter = unsettled.where((F.length("text") == F.col("short")) & (F.col("root") != F.col("a.root")))
+        one_each = lambda rows, other: rows.groupBy("id").agg(F.first("one").alias("one"), F.min_by(other, F.xxhash64("pair", "long", "short", F.lit(turn))).alias("met"))
+        pairs = one_each(longer, "b").select(*as_pair("one", "met")).unionByName(one_each(shorter, "a").select(*as_pair("met", "one")))
+        links = keep(_linked(pairs, threshold), "name-links").df
+        if links.isEmpty():
+            sides = [unsettled.where(F.length("text") == F.col(length)).select(*join_keys, F.col("one").alias(x)) for length, x in (("long", "l"), ("short", "s"))]
+            rest = sides[0].join(sides[1], join_keys).where("l.root <> s.root").select(*as_pair("l", "s"))
+            rest = rest.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).distinct()
+            roots = _regrouped(roots, keep(_linked(rest, threshold), "name-links").df)
+            break
+        roots = _regrouped(roots, links)
+        turn += 1
+    again = same_name_edges(listings, scope, block).select(F.col("hi").alias("id"), "lo").join(roots.withColumnRenamed("id", "lo"), "lo")
+    return roots.unionByName(again.select("id", "root"))

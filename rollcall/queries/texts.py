@@ -9,7 +9,7 @@ from rollcall.functions.handles import candidate_handles
 from rollcall.functions.phones import normalize_phones
 from rollcall.functions.similarity import first_letter_block, names_match, sorted_tokens
 from rollcall.functions.texts import escape_markdown, file_name, longest, slugify, street_of, transliterate, variant_label
-from rollcall.operators.name_pairs import same_name_edges, similar_name_pairs
+from rollcall.operators.name_pairs import name_groups, same_name_edges, similar_name_pairs
 from rollcall.queries import register
 from rollcall.queries.base import BLANK_SQL, joined, listing_sql
 from rollcall.settings import NAME_SIMILARITY
@@ -184,6 +184,27 @@ def _(spark, folder):
     return similar_name_pairs(listings(spark, folder))
 
 
+@register(
+    "similar_name_groups",
+    listing_sql(
+        """
+SELECT id, min(other) AS root FROM reach GROUP BY id""",
+        pair_sql(
+            LISTING_NAMES,
+            "length(text_lo) + length(text_hi) - 2 * " + LCS_SQL.format(a="text_lo", b="text_hi"),
+            NAME_SIMILARITY,
+        ).replace("SELECT * FROM measured WHERE", ", alike AS (SELECT lo, hi FROM measured WHERE")
+        + """),
+own_name AS (SELECT l.id, n.id AS lowest FROM listings l JOIN name n ON n.city = l.city AND n.block = lower(l.name)[1]
+             AND n.text = array_to_string(list_sort(string_split(lower(l.name), ' ')), ' ')),
+edge AS (SELECT lo AS a, hi AS b FROM alike UNION SELECT hi, lo FROM alike UNION SELECT id, lowest FROM own_name UNION SELECT lowest, id FROM own_name),
+reach AS (SELECT id, id AS other FROM own_name UNION SELECT r.id, e.b FROM reach r JOIN edge e ON r.other = e.a)""",
+    ),
+)
+def _(spark, folder):
+    return name_groups(listings(spark, folder))
+
+
 @register(
     "similar_part_names",
     "WITH " + pair_sql(PART_NAMES, "length(text_lo) + length(text_hi) - 2 * " + LCS_SQL.format(a="text_lo", b="text_hi"), 75),

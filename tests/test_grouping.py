@@ -2,10 +2,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from rollcall.functions.similarity import common_length
+from rollcall.functions.similarity import common_length, least_distance, letter_bits
 from rollcall.operators.linkage import clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
 from rollcall.operators.merge import EMAIL, LISTING, PHONE, further_values, nest, resolve_entities
-from rollcall.operators.name_pairs import candidate_pairs, name_edges, similar_name_pairs
+from rollcall.operators import name_pairs
+from rollcall.operators.name_pairs import candidate_pairs, name_edges, name_groups, similar_name_pairs
 from rollcall.operators.picking import first_per_key, numbered, with_dense_ids
 from rollcall.schema import LISTING as LISTING_SCHEMA
 
@@ -205,6 +206,40 @@ def test_similar_pairs_equal_brute_force(spark):
         assert {(r.lo, r.hi, r.distance) for r in got} == expected and len(got) == len(expected)
 
 
+        low = {lowest[n]: lowest[n] for n in names}
+        for _ in names:
+            for lo, hi, _ in expected:
+                low[lo] = low[hi] = min(low[lo], low[hi])
+        of = {id: low[lowest[(city, (text if block == "sorted" else name)[0], text)]] for id, city, name in rows for text in [" ".join(sorted(name.split()))]}
+        found = name_groups(df, threshold, block=block).collect()
+        assert {r.id: r.root for r in found} == of and len(found) == len(rows)
+
+
+def test_alike_names_are_compared_in_proportion(spark, monkeypatch):
+    """Names that differ in three digits: all pairs grow with the square, what is compared does not."""
+    compared, linked = [], name_pairs._linked
+
+    def counted(pairs, threshold):
+        compared[-1] += pairs.count()
+        return linked(pairs, threshold)
+
+    monkeypatch.setattr(name_pairs, "_linked", counted)
+    for n in (100, 400):
+        compared.append(0)
+        df = spark.createDataFrame([(i, "A", f"granite workshop number {i * 7 % 1000:03d}") for i in range(n)], "id long, city string, name string")
+        assert {r.root for r in name_groups(df, 88).collect()} == {0}
+    assert compared[0] <= 400 and compared[1] <= 6 * compared[0]
+
+
+def test_letter_bits_are_a_lower_bound(spark):
+    random.seed(8)
+    texts = ["".join(random.choices("abcdeé 123Ж", k=random.randint(0, 30))) for _ in range(60)]
+    rows = spark.createDataFrame([(a, b) for a in texts for b in texts], "text_a string, text_b string")
+    bits = rows.select("text_a", "text_b", letter_bits(F.col("text_a")).alias("a"), letter_bits(F.col("text_b")).alias("b"))
+    for r in bits.select("text_a", "text_b", least_distance("a", "b").alias("least")).collect():
+        assert r.least <= len(r.text_a) + len(r.text_b) - 2 * common(r.text_a, r.text_b)
+
+
 def test_first_row_and_numbering_within_a_key(spark):
     rows = [("hot" if i % 4 else f"k{i}", i * 37 % 1009, f"v{i}") for i in range(1000)]
     df = spark.createDataFrame(rows, "k string, o long, v string")
