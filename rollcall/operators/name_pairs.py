@@ -149,14 +149,6 @@ def similar_name_pairs(
     )
 
 
-def name_edges(
-    listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
-) -> DataFrame:
-    """(hi, lo) edges that put listings with similar names into one group."""
-    pairs = similar_name_pairs(listings, threshold, scope, block).select("hi", "lo")
-    return same_name_edges(listings, scope, block).unionByName(pairs)
-
-
 def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
     """(hi, lo): the groups, by their roots, that pairs of similar names put together."""
     near = pairs.select("root_a", "root_b", rows_with(_bounded_distance(threshold, exact=False)).alias("distance"))
@@ -207,3 +199,10 @@ def name_groups(
         turn += 1
     again = same_name_edges(listings, scope, block).select(F.col("hi").alias("id"), "lo").join(roots.withColumnRenamed("id", "lo"), "lo")
     return roots.unionByName(again.select("id", "root"))
+
+
+def name_edges(
+    listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
+) -> DataFrame:
+    """(hi, lo) edges that put listings with similar names into one group: one for each listing but the lowest."""
+    return name_groups(listings, threshold, scope, block).where("id > root").select(F.col("id").alias("hi"), F.col("root").alias("lo"))
