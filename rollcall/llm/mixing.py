@@ -5,7 +5,8 @@ of the target is a sample: documents rank by random odds over inclusion odds, ``
 lowest ranks are taken until the next one would pass the target, and the gap left is closed by the
 one document not taken whose size comes nearest to it. Where that ends more than ``NEAR`` off the target, as at a
 document of very many words, the sample goes on instead: documents that exceed the gap are passed over, the lowest ranks
-of the others are taken by the same sums, round by round, and one document closes what is left. The SQL has no such rounds.
+of the others are taken by the same sums, round by round until none fits, and one document closes what is left. That is the walk down the
+ranks that takes whatever still fits.
 
 No task sees a whole source. Ranks are cut into buckets, bucket sums give the bucket where the sample
 ends, and only the documents of that bucket are put in order.
@@ -29,9 +30,8 @@ from rollcall.llm.common import stored, uniform, words_in
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BUCKETS = 4096
-#: A source that ends farther from its target than this share of it goes on down the ranks, in up to so many rounds.
+#: A source that ends farther from its target than this share of it goes on down the ranks.
 NEAR = 0.01
-ROUNDS = 16
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -107,7 +107,7 @@ def _closing(chosen: DataFrame, gaps: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = "", buckets: int = BUCKETS, near: float = NEAR, rounds: int = ROUNDS
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: str = "", buckets: int = BUCKETS, near: float = NEAR
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``; see the module."""
     base = stored(
@@ -147,7 +147,7 @@ def mix(
     else:
         rest = chosen.where("NOT sampled").drop("sampled")
         passed, gaps = rest.where("1 = 0").select("row", "source"), far.select("of", "gap")
-        for _ in range(rounds):
+        while True:
             fitting = rest.drop("wanted").join(gaps.withColumnRenamed("gap", "wanted"), F.col("source").eqNullSafe(F.col("of"))).where("size > 0 AND size <= wanted").drop("of")
             step = _sampled(fitting.join(passed.select("row"), "row", "left_anti"))
             if step.isEmpty():
@@ -172,33 +172,41 @@ def mix(
     )
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, seed: str = "", **options) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as it is taken, with its own columns.
 
-    Rows of the same id, source and size draw the same number, so few such groups of a source lie across
-    the end of its sample. In those groups the first rows by text get the further copy.
+    Within a source the sample is nearly all rows below one random number, so copies are decided where the text lies, by a
+    row for each source. Only the ids on the wrong side of it (closing documents, those of a walk, rows that draw equal numbers across the end)
+    are a table of their own, and only their texts are looked at again: rows of the same id, source and size draw the same number, and
+    the first of them by text get the further copies.
     """
-    decided = (
-        mix(docs, **options)
-        .groupBy(F.col("doc_id").alias("id"), F.col("source").alias("of"), "size")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("low"), F.sum("copies").alias("all"))
-        .withColumn("further", F.col("all") - F.col("low") * F.col("n"))
-        .where("all > 0")
-    )
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).withColumn("words", words_in("doc.text"))
-    same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & F.col("doc.source").eqNullSafe(F.col("of")) & (F.col("words") == F.col("size"))
-    joined = rows.join(decided, same).select("doc", "id", "of", "size", "low", "further")
-    first = Window.partitionBy("id", "of", "size").orderBy("doc.text")
-    across = joined.where("further > 0").withColumn("times", F.col("low") + (F.row_number().over(first) <= F.col("further")).cast("int"))
-    times = joined.where("further = 0").withColumn("times", F.col("low")).unionByName(across).where("times > 0")
+    mixed = stored(mix(docs, seed=seed, **options).withColumn("u", uniform(F.col("doc_id"), seed)), "mix-decided")
+    # Rows that only have their source's whole copies start at ``cut``; below it each has one more.
+    low = F.col("copies") == F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+    plan = mixed.groupBy(F.col("source").alias("of")).agg(F.min(F.when(low, F.col("u"))).alias("cut"), F.min("copies").alias("least"), F.max("copies").alias("most"))
+    plan = stored(plan.withColumn("whole", F.when(F.col("cut").isNull(), F.col("most") - 1).otherwise(F.col("least"))).select("of", "cut", "whole"), "mix-cuts")
+    above = mixed.join(plan, F.col("source").eqNullSafe(F.col("of"))).where("u >= cut AND copies > whole")
+    odd = stored(above.groupBy(F.col("doc_id").alias("id"), "of", F.col("size").alias("words")).agg(F.count(F.lit(1)).alias("further")), "mix-odd")
+    ids = odd.select("id", F.col("of").alias("at")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    own = F.col("doc.doc_id").eqNullSafe(F.col("id")) & F.col("doc.source").eqNullSafe(F.col("at"))
+    planned = lambda df: df.join(plan, F.col("doc.source").eqNullSafe(F.col("of")))
+    below = F.coalesce(uniform(F.col("doc.doc_id"), seed) < F.col("cut"), F.lit(True)).cast("int")
+    plain = planned(rows.join(ids, own, "left_anti")).select("doc", (F.col("whole") + below).alias("times"))
+    sized = planned(rows.join(ids, own, "left_semi")).withColumn("size", words_in("doc.text")).drop("of")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & F.col("doc.source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("words"))
+    matched = sized.join(odd, same, "left").withColumn("further", F.coalesce("further", F.lit(0)))
+    first = Window.partitionBy("doc.doc_id", "doc.source", "size").orderBy("doc.text")
+    across = matched.select("doc", (F.col("whole") + (F.row_number().over(first) <= F.col("further")).cast("int")).alias("times"))
+    times = plain.unionByName(across).where("times > 0")
     return times.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("turn")).select("doc.*")
 
 
-def mixing_sql(weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> str:
+def mixing_sql(weights: Sequence[int] = WEIGHTS, cap: int = CAP, near: float = NEAR) -> str:
     """The same mix in SQL, for unique ids."""
     turns = ", ".join(f"{w}::DOUBLE" for w in weights)
     return rf"""
-WITH base AS (
+WITH RECURSIVE base AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
            (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
     FROM documents),
@@ -224,12 +232,36 @@ ranked AS (
 running AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, u, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM ranked),
 chosen AS (SELECT *, upto <= wanted AS sampled FROM running),
 gap AS (
-    SELECT source, any_value(wanted) - sum(CASE WHEN sampled THEN size ELSE 0 END) AS gap FROM chosen GROUP BY source),
+    SELECT source, any_value(wanted) - sum(CASE WHEN sampled THEN size ELSE 0 END) AS gap FROM chosen GROUP BY source HAVING gap > 0),
 closing AS (
-    SELECT arg_min(doc_id, (abs(size - gap), q, u, doc_id)) AS doc_id
+    SELECT g.source, arg_min(doc_id, (abs(size - gap), q, u, doc_id)) AS doc_id, min(abs(size - gap)) AS miss
     FROM chosen c JOIN gap g ON c.source IS NOT DISTINCT FROM g.source
-    WHERE NOT sampled AND gap > 0 AND abs(size - gap) < gap GROUP BY g.source),
-extra AS (SELECT doc_id FROM chosen WHERE sampled UNION ALL SELECT doc_id FROM closing)
+    WHERE NOT sampled AND abs(size - gap) < gap GROUP BY g.source),
+far AS (
+    SELECT g.source, gap, coalesce(miss, gap) AS miss
+    FROM gap g JOIN plan t ON g.source IS NOT DISTINCT FROM t.source LEFT JOIN closing c ON g.source IS NOT DISTINCT FROM c.source
+    WHERE coalesce(miss, gap) > {near} * target),
+rest AS (
+    SELECT c.source, doc_id, size, q, u, row_number() OVER (PARTITION BY c.source ORDER BY q, u, doc_id, size) AS k
+    FROM chosen c JOIN far f ON c.source IS NOT DISTINCT FROM f.source WHERE NOT sampled),
+walk AS (
+    SELECT source, 0::BIGINT AS k, gap, NULL::BIGINT AS doc_id, false AS took FROM far
+    UNION ALL
+    SELECT w.source, r.k, CASE WHEN size > 0 AND size <= gap THEN gap - size ELSE gap END, r.doc_id, size > 0 AND size <= gap
+    FROM walk w JOIN rest r ON w.source IS NOT DISTINCT FROM r.source AND r.k = w.k + 1),
+walked AS (SELECT source, min(gap) AS gap FROM walk GROUP BY source),
+last AS (
+    SELECT w.source, arg_min(doc_id, (abs(size - gap), q, u, doc_id)) AS doc_id, min(abs(size - gap)) AS miss
+    FROM rest r JOIN walked w ON r.source IS NOT DISTINCT FROM w.source
+    WHERE abs(size - gap) < gap AND doc_id NOT IN (SELECT doc_id FROM walk WHERE took) GROUP BY w.source),
+better AS (
+    SELECT f.source FROM far f JOIN walked w ON f.source IS NOT DISTINCT FROM w.source LEFT JOIN last l ON l.source IS NOT DISTINCT FROM f.source
+    WHERE coalesce(l.miss, w.gap) < f.miss),
+extra AS (
+    SELECT doc_id FROM chosen WHERE sampled
+    UNION ALL SELECT doc_id FROM walk w JOIN better b ON w.source IS NOT DISTINCT FROM b.source WHERE took
+    UNION ALL SELECT doc_id FROM last l JOIN better b ON l.source IS NOT DISTINCT FROM b.source
+    UNION ALL SELECT doc_id FROM closing c WHERE NOT EXISTS (SELECT 1 FROM better b WHERE b.source IS NOT DISTINCT FROM c.source))
 SELECT b.doc_id, b.source, b.size, source_size, target, whole + (e.doc_id IS NOT NULL)::INT AS copies,
        (whole + (e.doc_id IS NOT NULL)::INT) * b.size AS taken
 FROM base b JOIN plan t ON b.source IS NOT DISTINCT FROM t.source LEFT JOIN extra e ON e.doc_id = b.doc_id

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -55,8 +57,11 @@ def test_inclusion_follows_the_ratio(spark):
     assert all(s == pytest.approx(20 * (2 / 7 * 400 / 200), abs=1) for s in seen)
 
 
-def test_equals_its_sql(spark, corpus, tmp_path):
-    unique = corpus.where("doc_id IS NOT NULL")
+@pytest.mark.parametrize("long", [0, 3])
+def test_equals_its_sql(spark, corpus, tmp_path, long):
+    """Also where documents of many words end the sample of a source."""
+    more = spark.createDataFrame([(5000 + i, "w " * (9000 - 700 * i), f"s{i}", "") for i in range(long)], SCHEMA)
+    unique = corpus.where("doc_id IS NOT NULL").unionByName(more)
     unique.coalesce(1).write.parquet(f"{tmp_path}/d")
     database = duckdb.connect()
     database.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
@@ -66,11 +71,24 @@ def test_equals_its_sql(spark, corpus, tmp_path):
     assert sorted(str(tuple(r)) for r in mix(unique).select(*names).collect()) == expected
 
 
-def test_rows_keep_their_columns_and_copies(corpus):
-    decided = {(r["doc_id"], r["size"]): r["copies"] for r in mix(corpus).collect()}
-    rows = mixed_rows(corpus).collect()
-    assert mixed_rows(corpus).columns == corpus.columns
-    assert len(rows) == sum(decided.values())
+def test_rows_keep_their_columns_and_copies(spark, corpus):
+    more = spark.createDataFrame([(5000 + i, "w " * (9000 - 700 * i), f"s{i}", "") for i in range(3)] + [(None, "null id", "s1", "y")] * 7, SCHEMA)
+    for docs in (corpus, corpus.unionByName(more)):
+        decided = Counter()
+        for r in mix(docs).collect():
+            decided[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        rows = mixed_rows(docs)
+        assert rows.columns == docs.columns
+        assert Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in rows.collect()) == +decided
+
+
+def test_texts_are_not_dealt(spark, tmp_path):
+    """Copies are decided where the text lies."""
+    spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', 20) AS text", "concat('s', id % 5) AS source", "'' AS size").write.parquet(f"{tmp_path}/d")
+    rows = mixed_rows(spark.read.parquet(f"{tmp_path}/d"))
+    assert rows.count() > 0
+    shuffled = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("hashpartitioning(id#" not in line for line in shuffled) <= 1  # the few rows of ids across the end
 
 
 def test_repeated_rows(spark):
