@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rollcall.llm.common import stored, to_python
 from rollcall.operators.linkage import connected_components
@@ -43,7 +44,7 @@ STAGE_SHINGLE = 5
 SIMILARITY = 0.8
 #: MinHash bands of the stage. A pair of similarity 0.8 shares none with a probability of (1 - 0.8^6)^32 < 0.0001.
 BANDS, ROWS = 32, 6
-#: Rounds of one check a set, before all pairs that are left.
+#: Rounds of one check a set, before rare shingles settle what is left.
 ROUNDS = 4
 #: Buckets up to this size are paired directly.
 SMALL = 16
@@ -208,12 +209,38 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return stored(to_python(given).mapInArrow(run, "hi long, lo long"), "near-links")
 
 
+def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(node, other) of (node, size, root): each node with those of other components that it shares one of its rarest shingles with.
+
+    Of n shingles a set as similar as asked lacks at most n less ``similarity`` times n, so the rarest of that number and one more hold one
+    that stands among the rarest of the other set too (prefix filtering, Chaudhuri et al., ICDE 2006). No pair is lost, and what many texts
+    share brings two together only where neither has enough of its own.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = shingle_set(text, shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node, np.int64)), pa.array(found)], names=["node", "h"])
+
+    open_texts = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
+    sets = stored(to_python(open_texts).mapInArrow(run, "node long, h long"), "near-shingles")
+    counts = sets.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    spare = F.col("size") - F.ceil(F.col("size") * F.lit(round(1000 * similarity)) / 1000) + 1
+    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "h"))
+    rare = sets.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", place).join(nodes, "node").where((F.col("place") <= spare) & (F.col("n") > 1))
+    rare = stored(rare.select("h", "node", "size", "root"), "near-rare")
+    other = rare.select("h", F.struct("node", "size", "root").alias("other"))
+    fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * round(1000 * similarity)
+    return rare.join(other, "h").where((F.col("root") != F.col("other.root")) & fits & (F.col("node") > F.col("other.node"))).select("node", F.col("other.node").alias("other")).distinct()
+
+
 def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(row, root) for every row of (row, text): the components of all pairs at least that similar.
 
     Equal sets count once. Sets that share a band are candidates. Rounds check each set with one other of its bands, by drawn
-    centres, and bands that lie in one component by then are settled; when a round links nothing more, all pairs across
-    components that still share a band are checked. So no candidate is passed over, and a large group costs a few checks a set.
+    centres, and bands that lie in one component by then are settled. Sets of the bands that are open after the rounds are checked where
+    they share a rare shingle across components. So no candidate is passed over, and a large group costs a few checks a set.
     """
     sketches = stored(_sketches(rows, shingle), "near-sketches")
     nodes = stored(sketches.groupBy("code").agg(F.min("row").alias("node")), "near-nodes")
@@ -235,7 +262,7 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
         if turn < ROUNDS:
             met = unsettled.withColumn("other", F.col("centre")).where(across & fits).groupBy("node").agg(F.min_by("other.node", F.xxhash64("key", F.lit(turn))).alias("other"))
         else:
-            met = unsettled.join(unsettled.select("key", F.struct("node", "root", "size").alias("other")), "key").where(across & fits & (F.col("node") > F.col("other.node"))).select("node", F.col("other.node").alias("other"))
+            met = _meeting_by_rare_shingles(unsettled.select("node", "size", "root").distinct(), texts, shingle, similarity)
         pairs = met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct()
         pairs = stored(pairs.join(tried, ["hi", "lo"], "left_anti"), "near-pairs")
         found = _similar(pairs, texts, shingle, similarity)

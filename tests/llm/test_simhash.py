@@ -114,3 +114,18 @@ def test_the_row_is_chosen_per_group_not_per_id(spark):
     rows = [(None, texts[0], "n"), (None, texts[1], "n"), (None, texts[2], "n"), (5, texts[3], "x"), (5, texts[4], "x"), (None, texts[3], "copy"), (5, texts[3], "a"), (None, texts[0], "m")]
     kept = without_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, texts[0], "m"), (None, texts[1], "n"), (None, texts[2], "n"), (5, texts[3], "a"), (5, texts[4], "x")]))
+
+
+def test_texts_that_share_much_are_not_paired(spark):
+    """Texts that share 70 % of their words meet by no rare shingle, those that share nearly all do."""
+    from rollcall.llm.simhash import _meeting_by_rare_shingles
+
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    shared = draw.choices(words, k=140)
+    texts = [shared + draw.choices(words, k=60) for _ in range(60)]
+    texts += [t[:-1] + ["other"] for t in texts[:5]]
+    rows = [(i, " ".join(t).encode(), len({tuple(t[k : k + 5]) for k in range(len(t) - 4)})) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "node long, text binary, size long")
+    met = _meeting_by_rare_shingles(frame.select("node", "size", frame.node.alias("root")), frame, 5, 0.8).collect()
+    assert {(r["node"], r["other"]) for r in met} >= {(60 + i, i) for i in range(5)} and len(met) < 60
