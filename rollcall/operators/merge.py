@@ -169,16 +169,26 @@ def resolve_entities(
     Links and labelled listings are written to scratch once each; what follows reads them from there.
     """
     cleaned = clean_contacts(listings, country, trunk)
-    links = []
-    if "phone" in keys:
-        links.append(phone_links(cleaned, scope))
-    if "site" in keys:
-        links.append(site_links(cleaned, scope, literal, shared_hosts))
-    stored = keep(reduce(DataFrame.unionByName, links), "links")
+    stored = keep(_links(cleaned, scope, keys, literal, shared_hosts), "links")
     stars = star_edges(stored.df, scope)
     roots = connected_components(stars if extra_edges is None else stars.unionByName(extra_edges))
     stored.drop()
-    labelled = with_component(cleaned, roots.df).select(
+    kept = keep(_labelled(cleaned, roots.df, scope), "labelled")
+    roots.drop()
+    return Resolved(kept.df, scope)
+
+
+def _links(listings: DataFrame, scope: tuple[str, ...], keys: tuple[str, ...], literal: bool, shared_hosts: tuple[str, ...]) -> DataFrame:
+    links = []
+    if "phone" in keys:
+        links.append(phone_links(listings, scope))
+    if "site" in keys:
+        links.append(site_links(listings, scope, literal, shared_hosts))
+    return reduce(DataFrame.unionByName, links)
+
+
+def _labelled(cleaned: DataFrame, roots: DataFrame, scope: tuple[str, ...]) -> DataFrame:
+    return with_component(cleaned, roots).select(
         "entity",
         "id",
         *scope,
@@ -190,8 +200,53 @@ def resolve_entities(
         "emails",
         F.coalesce("messengers", no_messengers()).alias("messengers"),
     )
-    kept = keep(labelled, "labelled")
-    roots.drop()
+
+
+def extended_links(
+    labelled: DataFrame,
+    cleaned: DataFrame,
+    scope: tuple[str, ...] = SCOPE,
+    keys: tuple[str, ...] = ("phone", "site"),
+    literal: bool = False,
+    shared_hosts: tuple[str, ...] = (),
+) -> DataFrame:
+    """(scope, key, id) of new listings, and of the companies that hold a key of theirs: a company is one node, its id.
+
+    All holders of a key are in one company already, so the companies add at most one row per key of the new listings.
+    """
+    fresh = _links(cleaned, scope, keys, literal, shared_hosts)
+    held = _links(labelled.withColumn("id", F.col("entity")), scope, keys, literal, shared_hosts)
+    asked = fresh.select(*scope, "key").distinct()
+    return fresh.unionByName(held.join(asked, [*scope, "key"], "left_semi").distinct())
+
+
+def extend_entities(
+    labelled: DataFrame,
+    listings: DataFrame,
+    scope: tuple[str, ...] = SCOPE,
+    keys: tuple[str, ...] = ("phone", "site"),
+    country: str = "7",
+    trunk: str = "8",
+    literal: bool = False,
+    shared_hosts: tuple[str, ...] = (),
+) -> Resolved:
+    """The grouping of an earlier run with further listings, equal to grouping all of them at once with the same settings.
+
+    ``labelled`` is what ``resolve_entities`` or this function gave before; those of ``listings`` whose id it holds are left
+    out. Stored listings are neither cleaned nor linked again: the graph has the new listings and the stored companies that
+    share a key with one, so its size is that of the new listings. Companies that a new listing joins become one. The
+    companies to relabel are few, so their ids travel to the stored rows and not the reverse.
+    """
+    cleaned = keep(clean_contacts(listings.join(labelled.select("id"), "id", "left_anti"), country, trunk), "fresh")
+    stored = keep(extended_links(labelled, cleaned.df, scope, keys, literal, shared_hosts), "links")
+    roots = connected_components(star_edges(stored.df, scope))
+    stored.drop()
+    moved = roots.df.select(F.col("id").alias("entity"), "root")
+    columns = _labelled(cleaned.df, roots.df, scope)
+    kept_as = labelled.join(moved, "entity", "left").withColumn("entity", F.coalesce("root", "entity")).select(*columns.columns)
+    kept = keep(kept_as.unionByName(columns), "labelled")
+    for table in (roots, cleaned):
+        table.drop()
     return Resolved(kept.df, scope)
 
 

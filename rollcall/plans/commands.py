@@ -130,7 +130,8 @@ class Workspace:
     ) -> list[str]:
         """Brings cities up to date in one job and returns them.
 
-        ``force`` rebuilds their companies from nothing; ``no_scrape`` takes in nothing new;
+        ``force`` groups their listings and rebuilds their companies from nothing, as is needed when the scope of the rules
+        changes; else listings join the stored groups. ``no_scrape`` takes in nothing new;
         ``re_enrich`` only fills gaps of companies that exist. Networks, scores and segments are always
         computed afresh, companies that exist are not visited again. ``towns`` says which towns count to which city, by default
         those of the stored regions; ``flags`` switches sources off; ``export`` writes all reports at the end.
@@ -159,12 +160,18 @@ class Workspace:
                     rules=self.rules,
                     already_facts=None if before is None else facts.drop("city"),
                     on_resolved=self._store_groups,
+                    grouped=None if force else self._groups(wanted),
                 )
                 self._store(finished, cities)
         if export:
             self.export_everything(city)
         return cities
 
+    def _groups(self, wanted: list[str] | None) -> DataFrame | None:
+        """The labelled listings of earlier runs, which say by themselves what is grouped already."""
+        stored = self.labelled.read(wanted)
+        return stored if stored is not None and set(self.rules.scope) <= set(stored.columns) else None
+
     def _store_groups(self, labelled: DataFrame, companies: DataFrame) -> None:
         self.labelled.replace(labelled)
         self.deduped.replace(companies)

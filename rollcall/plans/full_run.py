@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, one_per_page, only_new
-from rollcall.operators.merge import LISTING, PHONE, fact_counts, nest, resolve_entities, unnest
+from rollcall.operators.merge import LISTING, PHONE, extend_entities, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.picking import first_per_key
 from rollcall.operators.scoring import score_companies
@@ -129,6 +129,7 @@ def run(
     already_facts: DataFrame | None = None,
     fetched: DataFrame | None = None,
     on_resolved: Callable[[DataFrame, DataFrame], None] | None = None,
+    grouped: DataFrame | None = None,
 ) -> Finished:
     """Scored companies of all listings with their facts.
 
@@ -138,9 +139,10 @@ def run(
     contacts are ``already_facts``, by default those of their lists. ``fetched`` (url, output) are texts of found pages,
     whose sites are visited among ``pages`` as well. ``on_resolved`` is called with the labelled listings and the
     companies before anything is visited.
-    A company of an earlier run that has become part of another one passes its findings on.
+    A company of an earlier run that has become part of another one passes its findings on. ``grouped`` are labelled
+    listings of an earlier run by the same scope: only listings they lack are grouped, with the companies they touch.
     """
-    resolved = resolve_entities(listings, rules.scope)
+    resolved = resolve_entities(listings, rules.scope) if grouped is None else extend_entities(grouped, listings, rules.scope)
     companies = keep(resolved.companies, "companies").df
     facts = resolved.facts
     if on_resolved is not None:

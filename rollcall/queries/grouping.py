@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollcall.operators.linkage import clean_contacts, clusters_by_key, phone_links, shared_domains, site_links
-from rollcall.operators.merge import nest, resolve_entities
+from rollcall.operators.merge import extend_entities, nest, resolve_entities
 from rollcall.queries import register
 from rollcall.queries.base import COMPONENTS, listing_sql, messenger_text, with_joined_lists
 from rollcall.sinks.reports import conflict_lines
@@ -107,6 +107,14 @@ def _(spark, folder):
     return resolve_entities(listings(spark, folder)).members
 
 
+@register("extended_companies", listing_sql("SELECT entity AS id, id AS listing_id FROM component", COMPONENTS))
+def _(spark, folder):
+    """All listings, those that bridge two numbers after the others: stored companies join through late listings."""
+    rows = listings(spark, folder)
+    early = resolve_entities(rows.where(F.size("phones") < 2))
+    return extend_entities(early.labelled, rows).members
+
+
 @register(
     "company_contacts",
     listing_sql(

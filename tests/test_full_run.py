@@ -207,7 +207,12 @@ def test_workspace(spark, tmp_path):
     assert {i: c for i, c in second.items() if c["city"] != "c1"} == {i: c for i, c in first.items() if c["city"] != "c1"}
     assert sorted(i for c in second.values() if c["city"] == "c1" for i in c["ids"]) == [i for i in range(60) if i % 3 == 1]
 
+    work.run("all", no_scrape=True)
+    joined = {r.id: r.entity for r in work.labelled.read().collect()}
+    assert joined.keys() == set(range(60))
+
     work.run("all", force=True, no_scrape=True)
+    assert {r.id: r.entity for r in work.labelled.read().collect()} == joined
     whole = as_dict(work.companies.read().collect())
     assert whole == expected_companies(*parts)
 

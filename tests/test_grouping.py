@@ -3,8 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import common_length, least_distance, letter_bits
-from rollcall.operators.linkage import clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
-from rollcall.operators.merge import EMAIL, LISTING, PHONE, further_values, nest, resolve_entities
+from rollcall.operators.linkage import clean_contacts, clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
+from rollcall.operators.merge import EMAIL, LISTING, PHONE, extend_entities, extended_links, further_values, nest, resolve_entities
 from rollcall.operators import name_pairs
 from rollcall.operators.name_pairs import candidate_pairs, name_edges, name_groups, similar_name_pairs
 from rollcall.operators.picking import first_per_key, numbered, with_dense_ids
@@ -127,6 +127,42 @@ def test_row_order_does_not_matter_and_every_listing_is_in_one_group(spark):
     assert sorted(r.listing_id for r in first.members.collect()) == list(range(200))
 
 
+def labels(resolved):
+    return sorted((tuple(r) for r in resolved.labelled.select("id", "entity", "city", "name", "phones", "website").collect()), key=str)
+
+
+def test_further_listings_join_stored_companies(spark):
+    random.seed(5)
+    ids = random.sample(range(1000), 240)
+    rows = [
+        listing(i, f"n{i % 7}", [f"8900000{random.randrange(110):04d}" for _ in range(random.randrange(3))], f"s{random.randrange(90)}.ru" if i % 4 == 0 else None, city=f"c{i % 3}")
+        for i in ids
+    ]
+    resolved = resolve_entities(table(spark, rows[:100]))
+    for upto in (130, 240):
+        # Every batch holds the listings before it as well, some with lower ids than any of them.
+        resolved = extend_entities(resolved.labelled, table(spark, rows[:upto]))
+        assert labels(resolved) == labels(resolve_entities(table(spark, rows[:upto])))
+    assert labels(extend_entities(resolved.labelled, table(spark, []))) == labels(resolved)
+
+
+def test_a_late_listing_joins_two_companies_and_lowers_their_id(spark):
+    old = [listing(5, phones=["89031234567"]), listing(6, phones=["89031234567"]), listing(7, website="a.ru"), listing(8, website="a.ru"), listing(9, phones=["89031234567"], city="U")]
+    late = [listing(2, phones=["+7 903 123-45-67"], website="https://www.a.ru/x")]
+    resolved = extend_entities(resolve_entities(table(spark, old)).labelled, table(spark, late))
+    assert {r.id: r.entity for r in resolved.labelled.collect()} == {2: 2, 5: 2, 6: 2, 7: 2, 8: 2, 9: 9}
+    assert {r.id: r.n_listings for r in resolved.companies.collect()} == {2: 5, 9: 1}
+
+
+def test_only_companies_that_share_a_key_are_linked_anew(spark):
+    old = [listing(i, phones=["89031234567", f"8904{i:07d}"], website="portal.ru") for i in range(300)] + [listing(i, phones=[f"8905{i:07d}"]) for i in range(300, 900)]
+    late = clean_contacts(table(spark, [listing(1000, phones=["89031234567"], website="portal.ru"), listing(1001, phones=["89050000300"])]))
+    links = extended_links(resolve_entities(table(spark, old)).labelled, late)
+    assert sorted((r.key, r.id) for r in links.collect()) == [
+        ("p:79031234567", 0), ("p:79031234567", 1000), ("p:79050000300", 300), ("p:79050000300", 1001), ("s:portal.ru", 0), ("s:portal.ru", 1000),
+    ]
+
+
 def test_a_group_that_holds_most_rows_is_kept_whole(spark):
     rows = [listing(i, f"n{i}", [f"8900{i:07d}"], "https://portal.ru/x") for i in range(700)] + [listing(1000 + i) for i in range(50)]
     resolved = resolve_entities(table(spark, rows))
