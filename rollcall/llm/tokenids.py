@@ -18,7 +18,7 @@ Ids come from a ``tokenizers`` file. Text splits at white space, chunks into the
 chunks are kept; text of rarer characters goes through the library as it is.
 
 Defined results: null and empty texts have the end id only; null ids come first; rows of equal ids are told apart by
-``copy``, from 0 in the order of their texts; an empty table gives empty tables. Only ``doc_id`` and ``text`` are read.
+``copy``, from 0 in the order of a hash of their texts, and may lie in several shards; an empty table gives empty tables. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -261,50 +261,86 @@ def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
     return column.combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
+def _encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text_hash, size, width, ids): the ids of each text with the end id as bytes, made where the text lies."""
+    given = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("size"), "text")
+    fields = [*given.schema.fields[:3], T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType())]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _kept_in_worker(tokenizer, lambda: Encoder(tokenizer))
+        for batch in batches:
+            ids = pa.array(list(known.many(batch.column("text").to_pylist())), pa.binary())
+            width = pa.array([known.kind.itemsize] * batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], width, ids], names=[f.name for f in fields])
+
+    return to_python(given).mapInArrow(encode, T.StructType(fields))
+
+
+def _with_whole_copies(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``copy`` counted over all shards: rows of one id may end one shard, fill others and begin one more.
+
+    Only the first id of a shard can have rows before it, and they end the shard before, so one row a shard tells how many.
+    """
+    ends = placed.groupBy("shard").agg(F.min_by(F.struct("doc_id"), "line").alias("first"), F.max_by(F.struct("doc_id", "copy"), "line").alias("end"))
+    ends = ends.select("shard", F.col("first.doc_id").alias("first_id"), F.col("end.doc_id").alias("last_id"), (F.col("end.copy") + 1).alias("many"))
+    upto = F.sum("many").over(Window.partitionBy("last_id").orderBy("shard"))
+    previous = F.lag(F.struct("last_id", "upto")).over(Window.orderBy("shard"))
+    carried = ends.withColumn("upto", upto).withColumn("previous", previous)
+    same = F.col("previous").isNotNull() & F.col("previous.last_id").eqNullSafe(F.col("first_id"))
+    carried = carried.where(same).select("shard", "first_id", F.col("previous.upto").alias("carried"))
+    adds = F.when(F.col("carried").isNotNull() & F.col("doc_id").eqNullSafe(F.col("first_id")), F.col("carried")).otherwise(0)
+    return placed.join(carried, "shard", "left").withColumn("copy", F.col("copy") + adds)
+
+
 def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, shard_bytes: int = SHARD_TEXT_BYTES, index_keys: int = INDEX_KEYS) -> TokenSet:
     """Encodes ``docs`` and writes the set below ``path``, by default a folder in the shared scratch space."""
     spark = docs.sparkSession
     path, tokenizer = path or scratch_path(spark, "tokens"), tokenizer or default_tokenizer()
-    rows = docs.select("doc_id", "text")
-    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))).first()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType
+    encoded = stored(_encoded(rows, tokenizer), "token-ids")
+    n, size = encoded.agg(F.count(F.lit(1)), F.sum("size")).first()
     shards = max(1, math.ceil((size or 0) / shard_bytes), math.ceil(n / SHARD_ROWS))
-    ranges = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "text_hash", "row"]
+    numbered = encoded.drop("size").withColumn("row", F.monotonically_increasing_id())  # of files, so that a repeated task gives the same
+    ranges = numbered.repartitionByRange(shards, *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = _kept_in_worker(tokenizer, lambda: Encoder(tokenizer))
         shard, name = TaskContext.get().partitionId(), ""
-        out, at, last, copy = None, 0, None, 0
+        out, width, at, line, last, copy = None, 0, 0, 0, None, 0
         try:
             for batch in batches:
-                if out is None:
-                    name = f"ids-{shard}-{uuid.uuid4().hex}"
+                if out is None and batch.num_rows:
+                    name, width = f"ids-{shard}-{uuid.uuid4().hex}", batch.column("width")[0].as_py()
                     files, root = _filesystem(path)
                     files.create_dir(root, recursive=True)
                     out = files.open_output_stream(f"{root}/{name}")
-                    out.write(IDS_MAGIC + struct.pack("<Q", encode.kind.itemsize))
-                ids = batch.column(0).to_pylist()
+                    out.write(IDS_MAGIC + struct.pack("<Q", width))
+                ids = batch.column("doc_id").to_pylist()
                 lengths, copies = [], []
-                for doc_id, raw in zip(ids, encode.many(batch.column(1).to_pylist()), strict=True):
-                    out.write(raw)
-                    lengths.append(len(raw) // encode.kind.itemsize)
+                for doc_id, raw in zip(ids, batch.column("ids"), strict=True):
+                    held = raw.as_buffer()
+                    out.write(held)
+                    lengths.append(held.size // width)
                     copy = copy + 1 if (doc_id,) == last else 0
                     last = (doc_id,)
                     copies.append(copy)
                 places = at + np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-                at = int(places[-1])
+                lines = line + np.arange(len(ids), dtype=np.int64)
+                at, line = int(places[-1]), line + len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(copies, pa.int64()), pa.array([shard] * len(ids), pa.int32()), pa.array([name] * len(ids)), pa.array(places[:-1]), pa.array(lengths, pa.int64())],
-                    names=["doc_id", "copy", "shard", "file", "at", "n"],
+                    [batch.column("doc_id"), pa.array(copies, pa.int64()), pa.array([shard] * len(ids), pa.int32()), pa.array([name] * len(ids), pa.string()), pa.array(places[:-1]), pa.array(lengths, pa.int64()), pa.array(lines)],
+                    names=["doc_id", "copy", "shard", "file", "at", "n", "line"],
                 )
         finally:
             if out is not None:
                 out.close()
 
-    kind = docs.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("copy", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("file", T.StringType()), T.StructField("at", T.LongType()), T.StructField("n", T.LongType())]
-    to_python(ranges).mapInArrow(write, T.StructType(fields)).write.parquet(f"{path}/keys")
+    placed = stored(to_python(ranges).mapInArrow(write, T.StructType([*fields, T.StructField("line", T.LongType())])), "token-keys")
+    _with_whole_copies(placed).select(*[f.name for f in fields]).write.parquet(f"{path}/keys")
     keys = spark.read.schema(T.StructType(fields)).parquet(f"{path}/keys")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     table = keys.groupBy("shard", "file").agg(F.sum("n").alias("ids"), F.count(F.lit(1)).alias("docs")).withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))

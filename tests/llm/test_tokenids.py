@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from rollcall.llm import tokenids
@@ -28,7 +29,8 @@ def library():
 
 def expected(library, rows):
     out, start = [], 0
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    signed = lambda text: (xxhash.xxh64_intdigest((text or "").encode(), 42) + 2**63) % 2**64
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]))):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, END], "<u4")
         out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
@@ -58,6 +60,19 @@ def test_round_trip(spark, library):
     assert sorted(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect()), key=lambda r: r[1]) == expected(library, rows)
 
 
+def test_rows_without_id_are_spread_over_shards(spark, library):
+    rows = [(None if i % 3 else i, f"text number {i % 400}") for i in range(1500)] + [(9999, "last")] * 300
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], SCHEMA).repartition(4)
+    tokens = write_tokens(docs, shard_bytes=2000, index_keys=300)
+    sizes = [r["docs"] for r in tokens.shards.collect()]
+    assert len(sizes) > 5 and max(sizes) < 600
+    keys = [(r["doc_id"], r["copy"]) for r in tokens.keys.collect()]
+    assert sorted(c for i, c in keys if i is None) == list(range(1000)) and sorted(c for i, c in keys if i == 9999) == list(range(300))
+    places = look_up(tokens, tokens.keys.select("doc_id", "copy"))
+    got = tokenids.read_ids(tokens, places).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == expected(library, rows)
+
+
 def test_keyed_access(spark, library):
     docs = spark.createDataFrame([(i, f"document {i} of many", "", "") for i in range(500)], SCHEMA)
     tokens = write_tokens(docs, shard_bytes=1000, index_keys=64)
