@@ -18,7 +18,8 @@ Ids come from a ``tokenizers`` file. Text splits at white space, chunks into the
 chunks are kept; text of rarer characters goes through the library as it is.
 
 Defined results: null and empty texts have the end id only; null ids come first; rows of equal ids are told apart by
-``copy``, from 0 in the order of a hash of their texts, and may lie in several shards; an empty table gives empty tables. Only ``doc_id`` and ``text`` are read.
+``copy``, from 0 in the order of a hash of their texts, and may lie in several shards; an empty table gives empty tables. Only ``doc_id`` and ``text`` are read, of a
+table whose rows come in the same order whenever a task is repeated, as files do.
 """
 
 from __future__ import annotations
@@ -261,21 +262,6 @@ def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
     return column.combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
-def _encoded(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text_hash, size, width, ids): the ids of each text with the end id as bytes, made where the text lies."""
-    given = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("size"), "text")
-    fields = [*given.schema.fields[:3], T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType())]
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _kept_in_worker(tokenizer, lambda: Encoder(tokenizer))
-        for batch in batches:
-            ids = pa.array(list(known.many(batch.column("text").to_pylist())), pa.binary())
-            width = pa.array([known.kind.itemsize] * batch.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], width, ids], names=[f.name for f in fields])
-
-    return to_python(given).mapInArrow(encode, T.StructType(fields))
-
-
 def _with_whole_copies(placed: DataFrame) -> DataFrame:
     """``placed`` with ``copy`` counted over all shards: rows of one id may end one shard, fill others and begin one more.
 
@@ -296,34 +282,33 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None
     """Encodes ``docs`` and writes the set below ``path``, by default a folder in the shared scratch space."""
     spark = docs.sparkSession
     path, tokenizer = path or scratch_path(spark, "tokens"), tokenizer or default_tokenizer()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType
-    encoded = stored(_encoded(rows, tokenizer), "token-ids")
-    n, size = encoded.agg(F.count(F.lit(1)), F.sum("size")).first()
+    rows = docs.select("doc_id", "text")
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))).first()
     shards = max(1, math.ceil((size or 0) / shard_bytes), math.ceil(n / SHARD_ROWS))
-    order = ["doc_id", "text_hash", "row"]
-    numbered = encoded.drop("size").withColumn("row", F.monotonically_increasing_id())  # of files, so that a repeated task gives the same
-    ranges = numbered.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    # Rows of one id spread by their texts, and rows that are equal by their places in the table.
+    order = [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))), F.col("row")]
+    ranges = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard, name = TaskContext.get().partitionId(), ""
-        out, width, at, line, last, copy = None, 0, 0, 0, None, 0
+        encode = _kept_in_worker(tokenizer, lambda: Encoder(tokenizer))
+        width, shard, name = encode.kind.itemsize, TaskContext.get().partitionId(), ""
+        out, at, line, last, copy = None, 0, 0, None, 0
         try:
             for batch in batches:
                 if out is None and batch.num_rows:
-                    name, width = f"ids-{shard}-{uuid.uuid4().hex}", batch.column("width")[0].as_py()
+                    name = f"ids-{shard}-{uuid.uuid4().hex}"
                     files, root = _filesystem(path)
                     files.create_dir(root, recursive=True)
                     out = files.open_output_stream(f"{root}/{name}")
                     out.write(IDS_MAGIC + struct.pack("<Q", width))
                 ids = batch.column("doc_id").to_pylist()
                 lengths, copies = [], []
-                for doc_id, raw in zip(ids, batch.column("ids"), strict=True):
-                    held = raw.as_buffer()
-                    out.write(held)
-                    lengths.append(held.size // width)
+                for doc_id, raw in zip(ids, encode.many(batch.column("text").to_pylist()), strict=True):
+                    out.write(raw)
+                    lengths.append(len(raw) // width)
                     copy = copy + 1 if (doc_id,) == last else 0
                     last = (doc_id,)
                     copies.append(copy)
