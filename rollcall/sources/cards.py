@@ -136,38 +136,53 @@ def _last_link(hrefs: Column, kind: str, kinds: tuple[str, ...]) -> Column:
     return F.try_element_at(F.filter(hrefs, fits), F.lit(-1))
 
 
+#: What a piece of a page opens with: a div that opens a card, another div, the end of one, a link to a card's page, the end of a link.
+_CARD, _DIV, _END_DIV, _LINK, _END_LINK = 1, 2, 3, 4, 5
+
+
 def cards_in(html: Column, rules: CardRules) -> Column:
     """The cards of a page in order: contents of the outermost elements that open a card, or a link to a card's page.
 
-    The page is cut before every div and link tag, and one pass over the pieces counts how deep each stands.
+    The page is cut before every div and link tag. One pass over the marks of the pieces counts how deep each stands and notes
+    the places of cards, and each card is then cut out once, so the work grows with the length of the page.
     """
     pieces = F.split(html, r"(?i)(?=</?(?:div|a)\b)")
     is_link = _flags(rf"""^<a\s[^>]*href=["'][^"']*{rules.card_link}""") if rules.card_link else None
 
-    def step(state: Column, piece: Column) -> Column:
-        div = piece.rlike(r"(?i)^<div\b")
-        end_div = piece.rlike(r"(?i)^</div\b")
-        end_link = piece.rlike(r"(?i)^</a\b")
-        inside = state["kind"] != ""
-        opens_div = ~inside & piece.rlike(_flags("^" + rules.card))
-        opens_link = ~inside & piece.rlike(is_link) if is_link else F.lit(False)
-        depth = F.when(opens_div, 1).when(~inside, 0).when(div, state["depth"] + 1).when(end_div, state["depth"] - 1).otherwise(state["depth"])
-        closes = inside & F.when(state["kind"] == "div", end_div & (state["depth"] == 1)).otherwise(end_link)
-        text = (
-            F.when(opens_div, F.regexp_replace(piece, _flags("^<div[^>]*>"), ""))
-            .when(opens_link, piece)
-            .when(inside & ~closes, F.concat(state["text"], piece))
-            .otherwise("")
+    def mark(piece: Column) -> Column:
+        found = F.when(piece.rlike(r"(?i)^</div\b"), _END_DIV).when(piece.rlike(r"(?i)^</a\b"), _END_LINK)
+        if is_link:
+            found = found.when(piece.rlike(is_link), _LINK)
+        return found.when(piece.rlike(_flags("^" + rules.card)), _CARD).when(piece.rlike(r"(?i)^<div\b"), _DIV).otherwise(0)
+
+    def step(state: Column, found: Column) -> Column:
+        at, depth, opened = state["at"] + 1, state["depth"], state["opened"]
+        inside = opened != 0
+        opens = ~inside & found.isin(_CARD, _LINK)
+        closes = (opened == _CARD) & (found == _END_DIV) & (depth == 1) | (opened == _LINK) & (found == _END_LINK)
+        deeper = F.when(opens, 1).when(found.isin(_CARD, _DIV), depth + 1).when(found == _END_DIV, depth - 1).otherwise(depth)
+        return F.struct(
+            at.alias("at"),
+            F.when(opens | inside, deeper).otherwise(0).alias("depth"),
+            F.when(opens, found).when(closes, 0).otherwise(opened).alias("opened"),
+            F.when(opens, at).otherwise(state["start"]).alias("start"),
+            F.when(closes, F.concat(state["places"], F.array(F.struct(state["start"].alias("start"), at.alias("end"))))).otherwise(state["places"]).alias("places"),
         )
-        kind = F.when(opens_div, "div").when(opens_link, "a").when(closes, "").otherwise(state["kind"])
-        found = F.when(closes, F.concat(state["cards"], F.array(state["text"]))).otherwise(state["cards"])
-        return F.struct(depth.cast("int").alias("depth"), kind.alias("kind"), text.alias("text"), found.alias("cards"))
 
-    def all_cards(state: Column) -> Column:
-        return F.when(state["kind"] != "", F.concat(state["cards"], F.array(state["text"]))).otherwise(state["cards"])
+    def all_places(state: Column) -> Column:
+        return F.when(state["opened"] != 0, F.concat(state["places"], F.array(F.struct(state["start"].alias("start"), (state["at"] + 1).alias("end"))))).otherwise(state["places"])
+
+    nothing = F.array().cast("array<struct<start: int, end: int>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("opened"), F.lit(0).alias("start"), nothing.alias("places"))
+
+    def cut(parts: Column) -> Column:
+        def card(place: Column) -> Column:
+            opening = F.regexp_replace(F.element_at(parts, place["start"]), _flags("^<div[^>]*>"), "")
+            return F.concat(opening, F.array_join(F.slice(parts, place["start"] + 1, place["end"] - place["start"] - 1), ""))
+
+        return F.transform(F.aggregate(F.transform(parts, mark), start, step, all_places), card)
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kind"), F.lit("").alias("text"), no_strings().alias("cards"))
-    return F.aggregate(pieces, start, step, all_cards)
+    return let(pieces, cut)
 
 
 def cards_of(pages: DataFrame, rules: CardRules) -> DataFrame:

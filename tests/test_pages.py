@@ -17,7 +17,7 @@ from rollcall.functions.html import (
 )
 from rollcall.functions.urls import next_page_url
 from rollcall.settings import RELEVANT_WORDS, TAG_WORDS
-from rollcall.sources.cards import COMPANY_PAGE, DIRECTORY_FIRMS, DIRECTORY_MAP, DIRECTORY_PAGES, cards_of, company_page_links
+from rollcall.sources.cards import COMPANY_PAGE, DIRECTORY_FIRMS, DIRECTORY_MAP, DIRECTORY_PAGES, cards_in, cards_of, company_page_links
 from rollcall.sources.jsonld import declared_total, listed_businesses, local_listings
 from rollcall.sources.search import detail_rows, page_body, recover_json, search_listings, search_results, with_details
 
@@ -250,3 +250,14 @@ def test_search_to_listings_with_details(spark):
     assert set(rows) == {"A", "A2", "C"}
     assert rows["A"].phones == ["79031234567"] and rows["A"].emails == ["x@a.ru"] and rows["A"].address_raw == "г. Тверь, ул. Мира"
     assert rows["A2"].phones == [] and rows["A2"].emails == [] and rows["C"].address_raw == ""
+
+
+def test_cards_of_a_page_of_many_tags(spark):
+    """Cards are cut by positions: a hundred thousand tags in one card, and as many in cards of their own."""
+    inner = "".join(f"<div><a href='/x{i}'>t{i}</a></div>" for i in range(25_000))
+    one = f'<div class="company-card">{inner}</div><div class="foot"><a href="/z">z</a></div>'
+    many = "".join(f'<div class="company-card"><div>c{i}</div></div><p>' for i in range(5_000)) + '<a href="/company/9"><div class="company-card">in</div></a>'
+    df = spark.createDataFrame([(1, one), (2, many), (3, None), (4, "")], "id int, html string")
+    got = {r.id: r.cards for r in df.select("id", cards_in(F.col("html"), DIRECTORY_PAGES).alias("cards")).collect()}
+    assert got[1] == [inner] and got[3] is None and got[4] == []
+    assert got[2] == [f"<div>c{i}</div>" for i in range(5_000)] + ['<a href="/company/9"><div class="company-card">in</div>']
