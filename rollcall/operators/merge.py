@@ -250,19 +250,29 @@ def extend_entities(
     return Resolved(kept.df, scope)
 
 
+def _long_kinds(facts: DataFrame, limit: int) -> DataFrame:
+    """(id, kind): kinds of a company with more values than its lists hold."""
+    return facts.groupBy("id", "kind").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id", "kind")
+
+
+def _placed(facts: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The facts of some kinds with their ``place`` from 1 in first-seen order."""
+    return numbered(facts.join(kinds, ["id", "kind"], "left_semi"), ["id", "kind"], ["first_id", "pos", "value"], "place")
+
+
 def first_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
     """The facts that fit into the lists of a company's row: the first ``limit`` of each kind.
 
     Only kinds of a company with more values are put in order; the others are taken as they are.
     """
-    sizes = facts.groupBy("id", "kind").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("id", "kind")
-    large = numbered(facts.join(sizes, ["id", "kind"], "left_semi"), ["id", "kind"], ["first_id", "pos", "value"], "place")
+    sizes = _long_kinds(facts, limit)
+    large = _placed(facts, sizes)
     return facts.join(sizes, ["id", "kind"], "left_anti").unionByName(large.where(F.col("place") <= limit).drop("place"))
 
 
 def further_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
-    """The facts that do not: values of a kind after the first ``limit`` of a company."""
-    return facts.join(first_values(facts, limit).select("id", "kind", "value"), ["id", "kind", "value"], "left_anti").select(*facts.columns)
+    """The facts that do not, with their ``place``: values of a kind after the first ``limit`` of a company."""
+    return _placed(facts, _long_kinds(facts, limit)).where(F.col("place") > limit)
 
 
 def nest(companies: DataFrame, facts: DataFrame, limit: int = LISTED) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from rollcall.operators.merge import EMAIL, PHONE
 from rollcall.operators.picking import with_dense_ids
 from rollcall.operators.places import COPY_IDS, region_cities, relabel_scope
 from rollcall.operators.presets import apply_preset
@@ -15,7 +16,7 @@ from rollcall.plans.full_run import Finished, Rules, refill, run
 from rollcall.schema import LISTING
 from rollcall.scratch import keep, scratch_dropped_after
 from rollcall.settings import PRESETS
-from rollcall.sinks.reports import conflicts_report, export_all, export_preset, markdown_lines, write_csv, write_lines
+from rollcall.sinks.reports import FURTHER, conflicts_report, export_all, export_preset, further_rows, markdown_lines, write_csv, write_further, write_lines
 from rollcall.sinks.tables import ScopedTable, drop_other_scopes, stored_columns, write_batch
 from rollcall.sources.registry import READERS, collect_sources
 from rollcall.streaming.ingest import ingest, listing_stream, new_rows
@@ -187,8 +188,21 @@ class Workspace:
         drop_other_scopes(self.spark, path, present, self._wanted(city))
         return path
 
+    def _further(self, companies: DataFrame, city: str, *paths: str) -> DataFrame | None:
+        """The values that the lists of companies end before, from the stored facts, to be written beside the reports at ``paths``.
+
+        What earlier exports wrote there for these cities is removed first, as the lists of a city may all be whole now.
+        """
+        for path in paths:
+            drop_other_scopes(self.spark, path + FURTHER, [], self._wanted(city))
+        facts = self.facts.read(self._wanted(city))
+        return None if facts is None else further_rows(companies, facts, self.rules.listed)
+
     def export(self, city: str = "all", format: str = "csv") -> str | None:
-        """Writes the companies of the cities as ``csv`` or ``md`` and returns the folder. Other cities stay as they are."""
+        """Writes the companies of the cities as ``csv`` or ``md`` and returns the folder. Other cities stay as they are.
+
+        A row lists the first values of a company; those it does not hold stand in a folder beside the report.
+        """
         rows = self.companies.read(self._wanted(city))
         if rows is None:
             return None
@@ -197,6 +211,10 @@ class Workspace:
             write_lines(markdown_lines(rows), path)
         else:
             write_csv(rows, path)
+        with scratch_dropped_after():
+            further = self._further(rows, city, path)
+            if further is not None:
+                write_further(further, path, (PHONE,) if format == "md" else (PHONE, EMAIL))
         return self._written(rows, path, city)
 
     def conflicts(self, city: str = "all") -> str | None:
@@ -214,7 +232,9 @@ class Workspace:
         rows = self.companies.read(self._wanted(city))
         if rows is None:
             return None
-        path = export_preset(rows, preset, presets[preset], f"{self.root}/export")
+        with scratch_dropped_after():
+            further = self._further(rows, city, f"{self.root}/export/{preset}")
+            path = export_preset(rows, preset, presets[preset], f"{self.root}/export", further=further)
         return self._written(apply_preset(rows, presets[preset].get("filters")), path, city)
 
     def export_everything(self, city: str = "all", presets: dict[str, dict] = PRESETS) -> dict[str, str]:
@@ -222,7 +242,9 @@ class Workspace:
         rows = self.companies.read(self._wanted(city))
         if rows is None:
             return {}
-        done = export_all(rows, f"{self.root}/export", presets)
+        with scratch_dropped_after():
+            further = self._further(rows, city, *(f"{self.root}/export/{name}" for name in ("enriched", *presets)))
+            done = export_all(rows, f"{self.root}/export", presets, further=further)
         for name, path in done.items():
             if not path.startswith("error"):
                 self._written(rows if name not in presets else apply_preset(rows, presets[name].get("filters")), path, city)

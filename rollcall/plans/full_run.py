@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, one_per_page, only_new
-from rollcall.operators.merge import LISTING, PHONE, extend_entities, fact_counts, nest, resolve_entities, unnest
+from rollcall.operators.merge import LISTED, LISTING, PHONE, extend_entities, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.picking import first_per_key
 from rollcall.operators.scoring import score_companies
@@ -24,13 +24,17 @@ from rollcall.sinks.reports import export_all
 
 @dataclass(frozen=True)
 class Rules:
-    """What a run may vary. ``rank_titles`` prefers search hits whose title names the company to the first hit."""
+    """What a run may vary. ``rank_titles`` prefers search hits whose title names the company to the first hit.
+
+    ``listed`` is how many values of a kind stand in a company's row; exports write the others beside their reports.
+    """
 
     scope: tuple[str, ...] = ("city",)
     weights: dict = field(default_factory=lambda: dict(WEIGHTS))
     levels: dict = field(default_factory=lambda: dict(LEVELS))
     network_size: int = NETWORK_SIZE
     rank_titles: bool = False
+    listed: int = LISTED
 
 
 @dataclass(frozen=True)
@@ -39,10 +43,11 @@ class Finished:
 
     scored: DataFrame
     facts: DataFrame
+    listed: int = LISTED
 
     @cached_property
     def companies(self) -> DataFrame:
-        return nest(self.scored, self.facts)
+        return nest(self.scored, self.facts, self.listed)
 
 
 def enrich_companies(companies: DataFrame, pages: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -169,7 +174,7 @@ def run(
     if prior is not None:
         known = _with_counts(_known_companies(companies, prior), facts)
         together = together.unionByName(known)
-    return Finished(keep(finish(together, filled.facts, rules), "scored").df, filled.facts)
+    return Finished(keep(finish(together, filled.facts, rules), "scored").df, filled.facts, rules.listed)
 
 
 def refill(enriched: DataFrame, hits: DataFrame, details: DataFrame, rules: Rules = Rules(), facts: DataFrame | None = None) -> Finished:
@@ -182,7 +187,7 @@ def refill(enriched: DataFrame, hits: DataFrame, details: DataFrame, rules: Rule
     open_companies = missing_contacts(counted)
     chosen = best_hits(open_companies, hits, rank_titles=True)
     filled = fill_gaps(counted, facts, chosen.join(one_per_page(details), "url"))
-    return Finished(keep(finish(filled.companies, filled.facts, rules), "scored").df, filled.facts)
+    return Finished(keep(finish(filled.companies, filled.facts, rules), "scored").df, filled.facts, rules.listed)
 
 
 def publish(scored: DataFrame, folder: str, presets: dict | None = None) -> dict[str, str]:

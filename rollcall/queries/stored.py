@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rollcall.operators.merge import EMAIL, PHONE
 from rollcall.operators.merge import LISTING as LISTED_ID
 from rollcall.operators.merge import further_values, nest, resolve_entities
 from rollcall.operators.scoring import segment_histogram
@@ -18,7 +19,7 @@ from rollcall.queries.reporting import SHOP_LISTINGS, WHOLE_RUN
 from rollcall.queries.scoring import NETWORK, SCORED, scored_listings
 from rollcall.schema import LISTING
 from rollcall.scratch import keep, scratch_path
-from rollcall.sinks.reports import TOTAL_LINE, markdown_lines, read_csv, write_csv
+from rollcall.sinks.reports import TOTAL_LINE, further_rows, markdown_lines, read_csv, read_further, write_csv, write_further
 from rollcall.sinks.tables import append_listings, read_scope
 from rollcall.sources import derived_pages
 from rollcall.sources.driver_tables import listings, sites
@@ -89,6 +90,39 @@ def _(spark, folder):
     return joined.na.fill(0, ["further"]).withColumns(totals)
 
 
+@register(
+    "whole_lists",
+    listing_sql(
+        """
+, entity AS (SELECT id, CASE WHEN id % 3 = 0 THEN (SELECT min(id) FROM listings WHERE id % 3 = 0) ELSE id END AS entity FROM listings),
+found AS (
+    SELECT entity AS id, 'phone' AS kind, phone AS value, min((p.id, pos)) AS seen FROM phone p JOIN entity USING (id) GROUP BY ALL
+    UNION ALL SELECT entity, 'email', email, min((e.id, pos)) FROM email e JOIN entity USING (id) GROUP BY ALL
+),
+placed AS (SELECT id, kind, value, row_number() OVER (PARTITION BY id, kind ORDER BY seen, value) AS place FROM found)
+SELECT id, kind, place, value, place > 50 AS beside FROM placed"""
+    ),
+)
+def _(spark, folder):
+    """A third of all listings on one host: every phone and e-mail of a company, read back from a CSV report of 50 a row and the files beside it."""
+    hosts = F.when(F.col("id") % 3 == 0, F.concat(F.lit("https://portal.example.ru/"), F.col("id").cast("string")))
+    resolved = resolve_entities(listings(spark, folder).withColumns({"website": hosts, "city": F.lit("all")}), keys=("site",))
+    blank = F.lit(None).cast("string")
+    shown = {"name": F.col("name_best"), "address_raw": F.col("address"), "segment": blank, "cms": blank}
+    plain = {"crm_score": F.lit(0), "is_network": F.lit(False), "has_marquiz": F.lit(False)}
+    scored = keep(nest(resolved.companies, resolved.facts, limit=50).withColumns(shown | plain), "scored").df
+    path = scratch_path(spark, "whole")
+    write_csv(scored, path)
+    write_further(further_rows(scored, resolved.facts, limit=50), path, (PHONE, EMAIL))
+    rows = read_csv(spark, path).withColumn("id", F.col("id").cast("long"))
+    kinds = [
+        rows.where(f"{column} != ''").select("id", F.lit(kind).alias("kind"), F.posexplode(F.split(column, "; ")).alias("at", "value"))
+        for kind, column in ((PHONE, "phones"), (EMAIL, "emails"))
+    ]
+    listed = kinds[0].unionByName(kinds[1]).select("id", "kind", (F.col("at") + 1).cast("long").alias("place"), "value", F.lit(False).alias("beside"))
+    return listed.unionByName(read_further(spark, path).select("id", "kind", "place", "value", F.lit(True).alias("beside")))
+
+
 TITLES = """('  "' || name || '", ' || id || ' ') AS title, CASE WHEN id % 2 = 0 THEN '東京' ELSE '大阪' END AS town"""
 
 

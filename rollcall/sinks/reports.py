@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.texts import escape_markdown, variant_label
 from rollcall.operators.linkage import SCOPE
+from rollcall.operators.merge import EMAIL, LISTED, PHONE, further_values
 from rollcall.operators.picking import numbered
 from rollcall.operators.presets import apply_preset
+from rollcall.scratch import keep
 from rollcall.settings import PRESETS
 
 log = logging.getLogger(__name__)
@@ -234,33 +236,74 @@ def conflicts_report(labelled: DataFrame, companies: DataFrame, path: str, scope
     return path
 
 
-def export_preset(scored: DataFrame, name: str, preset: dict, folder: str, literal: bool = False) -> str:
+#: What the folder of the values that a report's rows do not hold is called after the report.
+FURTHER = "_further"
+FURTHER_COLUMNS = ("id", "kind", "place", "value")
+
+
+def further_rows(companies: DataFrame, facts: DataFrame, limit: int = LISTED, scope: str = "city") -> DataFrame:
+    """(city, id, kind, place, value): values of companies after the first ``limit`` of a kind, which their lists end at."""
+    own = facts.select("id", "kind", "value", "first_id", "pos")
+    return further_values(own, limit).join(companies.select("id", scope), "id").select(scope, *FURTHER_COLUMNS)
+
+
+def write_further(rows: DataFrame, path: str, kinds: tuple[str, ...] | None = None, scope: str = "city") -> None:
+    """Writes what a report's rows do not hold beside it: one folder per city, in the order of company, kind and place.
+
+    A long list is dealt by ranges of its places over several files. With ``kinds`` other kinds of values stay out.
+    """
+    wanted = rows if kinds is None else rows.where(F.col("kind").isin(*kinds))
+    _by_city(wanted, scope, ["id", "kind", "place"]).option("escape", '"').csv(path + FURTHER, header=True)
+
+
+def read_further(spark: SparkSession, path: str, scope: str = "city") -> DataFrame:
+    """What ``write_further`` wrote beside the report at ``path``."""
+    schema = f"id long, kind string, place long, value string, {scope} string"
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path + FURTHER)
+
+
+def export_preset(scored: DataFrame, name: str, preset: dict, folder: str, literal: bool = False, further: DataFrame | None = None) -> str:
     """Writes the companies of one preset in its format and returns the path.
 
-    ``literal`` writes everything but Markdown as CSV.
+    ``literal`` writes everything but Markdown as CSV. ``further`` (see ``further_rows``) are the values that do not fit into the
+    lists of the companies; those a report of its format would show are written beside it.
     """
     chosen = apply_preset(scored, preset.get("filters"), literal)
     kind = preset.get("format", "csv")
     path = f"{folder}/{name}"
+    shown: tuple[str, ...] | None = (PHONE, EMAIL)
     if kind in ("markdown", "md"):
+        shown = (PHONE,)
         write_lines(markdown_lines(chosen, preset=name, description=preset.get("description")), path)
     elif kind == "json" and not literal:
+        shown = None
         write_json(chosen, path)
     else:
         write_csv(chosen, path)
+    if further is not None:
+        write_further(further.join(chosen.select("id"), "id", "left_semi"), path, shown)
     return path
 
 
-def export_all(scored: DataFrame, folder: str, presets: dict[str, dict] = PRESETS, literal: bool = False) -> dict[str, str]:
+def export_all(
+    scored: DataFrame, folder: str, presets: dict[str, dict] = PRESETS, literal: bool = False, further: DataFrame | None = None
+) -> dict[str, str]:
     """Writes all companies and every preset. A preset that fails is logged and the others go on.
 
     Returns the path, or the error text, of each export. ``scored`` should be a stored table: it is read once
-    per export.
+    per export. ``further`` is as in ``export_preset``.
     """
     done: dict[str, str] = {}
-    jobs = {"enriched": lambda: write_csv(scored, f"{folder}/enriched")}
+    more = None if further is None else keep(further, "further")
+
+    def everything() -> None:
+        write_csv(scored, f"{folder}/enriched")
+        if more is not None:
+            write_further(more.df, f"{folder}/enriched", (PHONE, EMAIL))
+
+    jobs = {"enriched": everything}
     for name, preset in presets.items():
-        jobs[name] = lambda name=name, preset=preset: export_preset(scored, name, preset, folder, literal)
+        jobs[name] = lambda name=name, preset=preset: export_preset(scored, name, preset, folder, literal, None if more is None else more.df)
     for name, job in jobs.items():
         try:
             job()
@@ -268,4 +311,6 @@ def export_all(scored: DataFrame, folder: str, presets: dict[str, dict] = PRESET
         except Exception as error:
             log.exception("export %s failed", name)
             done[name] = f"error: {error}"
+    if more is not None:
+        more.drop()
     return done

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.plans.commands import INPUTS, Workspace
 from rollcall.plans.full_run import Rules, run
 from rollcall.settings import LEVELS, WEIGHTS
-from rollcall.sinks.reports import read_csv
+from rollcall.sinks.reports import read_csv, read_further
 from tests.test_grouping import listing, roots_by_union_find
 from tests.test_grouping import table as listing_table
 
@@ -242,3 +242,27 @@ def test_workspace(spark, tmp_path):
 
     work.clear("c0")
     assert work.companies.scopes() == ["c1", "c2"] and work.raw.scopes() == ["c1", "c2"]
+
+
+def test_exports_hold_every_value_of_a_company(spark, tmp_path):
+    root = str(tmp_path / "w")
+    many = [f"8903{i:07d}" for i in range(7)]
+    rows = [listing(1, "Много", many[:4], city="A"), listing(2, "Много", many[3:], city="A"), listing(3, "Мало", ["89990000000"], city="B")]
+    stamped = listing_table(spark, rows).withColumns({"source_url": F.col("id").cast("string"), "scraped_at": F.timestamp_seconds(F.lit(1_700_000_000))})
+    stamped.write.parquet(f"{root}/incoming")
+    work = Workspace(spark, root, Rules(listed=2))
+    work.run(export=True)
+    phones = [f"7903{i:07d}" for i in range(7)]
+
+    def beside(name):
+        return [(r.city, r.id, r.kind, r.place, r.value) for r in read_further(spark, f"{root}/export/{name}").orderBy("kind", "place").collect()]
+
+    expected = [("A", 1, "phone", n, phones[n - 1]) for n in range(3, 8)]
+    assert {r.id: r.phones for r in read_csv(spark, f"{root}/export/enriched").collect()} == {"1": "; ".join(phones[:2]), "3": "79990000000"}
+    assert beside("enriched") == expected and beside("manual_search") == expected and beside("full_dump") == expected
+    assert beside("with_telegram") == []
+    wide = Workspace(spark, root, Rules(listed=9))
+    wide.run(force=True, no_scrape=True)
+    wide.export()
+    assert beside("enriched") == [] and beside("manual_search") == expected
+    assert read_csv(spark, f"{root}/export/enriched").where("id = '1'").first().phones == "; ".join(phones)
