@@ -67,7 +67,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PIECE = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _RARE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e]")
 # White space to Python but not to the tokenizer, and the start of the strings of special tokens.
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def default_tokenizer() -> str:
@@ -131,7 +131,7 @@ class Encoder:
 
     def _parts(self, texts: list[str]) -> list[bytes]:
         """Ids of texts of bounded length; what is new in all of them is learnt at once."""
-        split = [None if not self.marked or _WHOLE.search(t) else t.split() for t in texts]
+        split = [None if not self.marked or any(w in t for w in _WHOLE) else t.split() for t in texts]
         new = set().union(*(c for c in split if c)) - self.chunks.keys()
         if len(self.chunks) + len(new) > CACHED:
             self.chunks.clear()
