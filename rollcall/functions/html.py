@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -184,3 +186,24 @@ def tag_words(text: Column, words: tuple[str, ...]) -> Column:
     lowered = F.lower(text)
     hits = [F.when(F.contains(lowered, F.lit(word.lower())), F.lit(word)) for word in words]
     return F.array_compact(F.array(*hits))
+
+
+def words_by_tag(text: Column, tags: dict[str, tuple[str, ...]]) -> Column:
+    """A map from each tag to its words that a text holds anywhere, in list order, without regard to case.
+
+    All words of all tags are looked for in one pass: at every place the longest word that stands there is taken, and
+    a found word stands for those that it begins with.
+    """
+    words = sorted({word.lower() for listed in tags.values() for word in listed}, key=lambda w: (-len(w), w))
+    begins = "".join(sorted({re.escape(word[0]) for word in words}))
+    pattern = f"(?=[{begins}])(?=({'|'.join(map(re.escape, words))}))"
+
+    def all_tags(found: Column) -> Column:
+        def held(word: str) -> Column:
+            longer = [w for w in words if w.startswith(word.lower())]
+            return F.arrays_overlap(found, F.array(*map(F.lit, longer)))
+
+        lists = [F.array_compact(F.array(*[F.when(held(word), F.lit(word)) for word in listed])) for listed in tags.values()]
+        return F.map_from_arrays(F.array(*map(F.lit, tags)), F.array(*lists))
+
+    return let(F.array_distinct(every(F.lower(text), pattern)), all_tags)

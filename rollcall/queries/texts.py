@@ -12,7 +12,7 @@ from rollcall.functions.texts import escape_markdown, file_name, longest, slugif
 from rollcall.operators.name_pairs import name_groups, same_name_edges, similar_name_pairs
 from rollcall.queries import register
 from rollcall.queries.base import BLANK_SQL, joined, listing_sql
-from rollcall.settings import NAME_SIMILARITY
+from rollcall.settings import NAME_SIMILARITY, TAG_WORDS
 from rollcall.sources.driver_tables import listings, table
 
 TRANSLIT_SQL = (
@@ -280,3 +280,23 @@ def _tag_sql(tag: str, words: tuple[str, ...]) -> str:
 def _(spark, folder):
     tags = [joined(pages_html.tag_words(F.col("text"), words)).alias(tag) for tag, words in LANGUAGE_TAGS.items()]
     return table(spark, folder, "documents").select("doc_id", *tags)
+
+
+EVERY_WORD = [word for words in TAG_WORDS.values() for word in words]
+_WORD_ROWS = ", ".join(f"({n}, '{tag}', '{word}')" for n, (tag, word) in enumerate((t, w) for t, words in TAG_WORDS.items() for w in words))
+
+
+@register(
+    "configured_tags",
+    f"""
+WITH words (n, tag, word) AS (VALUES {_WORD_ROWS}),
+shown AS (SELECT doc_id, lower(text || ' ' || upper(word) || 'x') AS text FROM documents JOIN words ON doc_id % {len(EVERY_WORD) + 1} = n
+          UNION ALL SELECT doc_id, lower(text) FROM documents WHERE doc_id % {len(EVERY_WORD) + 1} = {len(EVERY_WORD)})
+SELECT doc_id, tag, string_agg(word, ';' ORDER BY n) AS words FROM shown JOIN words ON contains(text, lower(word)) GROUP BY ALL""",
+)
+def _(spark, folder):
+    """The tags of the settings in documents of which all but one in so many name one of their words in capitals."""
+    word = F.get(F.array(*map(F.lit, EVERY_WORD)), F.pmod("doc_id", F.lit(len(EVERY_WORD) + 1)).cast("int"))
+    shown = F.concat("text", F.coalesce(F.concat(F.lit(" "), F.upper(word), F.lit("x")), F.lit("")))
+    found = table(spark, folder, "documents").select("doc_id", F.explode(pages_html.words_by_tag(shown, TAG_WORDS)).alias("tag", "words"))
+    return found.where(F.size("words") > 0).select("doc_id", "tag", joined(F.col("words")).alias("words"))

@@ -14,6 +14,7 @@ from rollcall.functions.html import (
     social_links,
     tag_words,
     whatsapp_link,
+    words_by_tag,
 )
 from rollcall.functions.urls import next_page_url
 from rollcall.settings import RELEVANT_WORDS, TAG_WORDS
@@ -92,6 +93,16 @@ def test_quiz_and_tags(value):
     assert value(tag_words(F.lit("Новый станок с чпу, cnc"), TAG_WORDS["equipment"])) == ["ЧПУ", "CNC", "станок с ЧПУ"]
 
 
+def test_words_of_all_tags_in_one_pass(value):
+    text = "Лазерный станок с чпу и TILDAWEB; ретушь фото на памятник"
+    by_tag = {tag: [w for w in words if w.lower() in text.lower()] for tag, words in TAG_WORDS.items()}
+    assert value(words_by_tag(F.lit(text), TAG_WORDS)) == by_tag
+    assert by_tag["site_constructor"] == ["tilda", "tildaweb"] and by_tag["portrait"] == ["ретушь фото", "фото на памятник"]
+    assert value(words_by_tag(F.lit(None).cast("string"), TAG_WORDS)) == {tag: [] for tag in TAG_WORDS}
+    nested = {"a": ("ab", "abc", "bca", "c.a"), "b": ("cab",)}
+    assert value(words_by_tag(F.lit("xABCABcxa"), nested)) == {"a": ["ab", "abc", "bca"], "b": ["cab"]}
+
+
 def test_profile(value):
     full = (
         '<img class="tgme_page_photo_image"><div class="tgme_page_description">Памятники</div>'
