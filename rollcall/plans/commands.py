@@ -19,7 +19,7 @@ from rollcall.settings import PRESETS
 from rollcall.sinks.reports import FURTHER, conflicts_report, export_all, export_preset, further_rows, markdown_lines, write_csv, write_further, write_lines
 from rollcall.sinks.tables import ScopedTable, drop_other_scopes, stored_columns, write_batch
 from rollcall.sources.registry import READERS, collect_sources
-from rollcall.streaming.ingest import ingest, listing_stream, new_rows
+from rollcall.streaming.ingest import ingest, listing_stream, new_rows, of_same_scopes
 
 INPUTS = {
     "pages": "url string, status int, html string",
@@ -107,7 +107,7 @@ class Workspace:
         stored = self.raw.read()
         highest = None if stored is None else stored.where(F.col("id") < COPY_IDS).agg(F.max("id")).first()[0]
         start = 0 if highest is None else highest + 1
-        fresh = keep(new_rows(rows, stored), "collected").df
+        fresh = keep(new_rows(rows, stored if stored is None else of_same_scopes(stored, rows)), "collected").df
         write_batch(with_dense_ids(fresh, start=start), self.raw.path, f"a{start}")
 
     def _store(self, finished: Finished, cities: list[str]) -> None:

@@ -19,6 +19,16 @@ def listing_key() -> Column:
     return F.coalesce(F.nullif(F.col("source_url"), F.lit("")), F.concat(F.lit("#"), F.col("id").cast("string")))
 
 
+def of_same_scopes(stored: DataFrame, rows: DataFrame, scope: str = "city") -> DataFrame:
+    """The stored rows of the cities that occur in ``rows``; folders of other cities are not read.
+
+    Cities are a dimension, few next to the listings. Having none counts as a city.
+    """
+    present = [r[0] for r in rows.select(scope).distinct().collect()]
+    named = F.col(scope).isin([c for c in present if c is not None])
+    return stored.where(named | F.col(scope).isNull() if None in present else named)
+
+
 def new_listings(rows: DataFrame, stored: DataFrame | None, scope: str = "city") -> DataFrame:
     """The first row of each address of a city by time and id, without the addresses that are ``stored``."""
     keyed = rows.withColumn("listing_key", listing_key())
@@ -49,7 +59,7 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, scope: str = "city") -
     def take(rows: DataFrame, number: int) -> None:
         batch = f"s{number}"
         stored = stored_columns(rows.sparkSession, path, f"{scope} string, batch string, id long, source_url string")
-        others = None if stored is None else stored.where(F.col("batch") != batch)
+        others = None if stored is None else of_same_scopes(stored.where(F.col("batch") != batch), rows, scope)
         write_batch(new_listings(rows, others, scope), path, batch, scope)
 
     query = (

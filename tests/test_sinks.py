@@ -7,7 +7,7 @@ from rollcall.operators.merge import resolve_entities
 from rollcall.sinks.reports import conflict_lines, conflicts_report, export_all, read_csv, write_csv
 from rollcall.scratch import keep, scratch_dropped_after, scratch_path
 from rollcall.sinks.tables import ScopedTable, Snapshots, append_listings, read_scope, upsert
-from rollcall.streaming.ingest import ingest, listing_stream
+from rollcall.streaming.ingest import ingest, listing_stream, new_listings, of_same_scopes
 from tests.test_companies import company, table
 from tests.test_grouping import listing
 from tests.test_grouping import table as listing_table
@@ -134,6 +134,22 @@ def test_stream_takes_each_address_once(spark, tmp_path):
     assert {r.id for r in got.where("source_url = ''").collect()} == {3, 13}
 
 
+def test_a_batch_reads_the_addresses_of_its_cities_only(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    cities = ["T", "U", "Орёл / 1", None]
+    rows = [(i, cities[i % 4], f"https://u/{i}") for i in range(40)]
+    spark.createDataFrame(rows, "id long, city string, source_url string").write.partitionBy("city").parquet(path)
+    stored = spark.read.schema("city string, id long, source_url string").parquet(path)
+    batch = listing_table(spark, [listing(100 + i, city=c) for i, c in enumerate([None, "Орёл / 1", "Орёл / 1", "New"])])
+    batch = batch.withColumn("source_url", F.when(F.col("id") == 101, "https://u/2").otherwise(F.concat(F.lit("https://n/"), "id")))
+    pruned = of_same_scopes(stored, batch)
+    assert {r.city for r in pruned.collect()} == {"Орёл / 1", None}
+    assert {r.city for r in of_same_scopes(stored, batch.where("city IS NOT NULL")).collect()} == {"Орёл / 1"}
+    assert "PartitionFilters: [(city" in pruned._jdf.queryExecution().toString()
+    assert sum("city=T" in f or "city=U" in f for f in (r[0] for r in pruned.select("_metadata.file_path").distinct().collect())) == 0
+    assert {r.id for r in new_listings(batch, pruned).collect()} == {r.id for r in new_listings(batch, stored).collect()} == {100, 102, 103}
+
+
 def test_scoped_table_rewrites_only_touched_cities(spark, tmp_path):
     store = ScopedTable(spark, str(tmp_path / "scoped"))
     assert store.read() is None and store.scopes() == []
