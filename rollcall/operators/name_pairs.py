@@ -6,20 +6,31 @@ the rarest pairs of each is a rare one of the other: as many of the rarest, and
 filtering, Chaudhuri et al., ICDE 2006). Texts meet in an equi-join on (scope, block, lengths, letter pair). What nearly all names
 of a block share is never a join key unless the rest of a name is shorter than the edits allowed. The filter
 loses no pair; what it lets through is checked by letter counts and a bounded Levenshtein test, both in machine words, which leave
-the distance between two bounds. Only where the bounds differ is it measured, between the ends the texts share.
+the distance between two bounds. Only where the bounds differ is it measured, for all pairs of a batch at a time.
+
+Two names that have several rare pairs in common meet in each, and count in the rarest: every row carries the rarer pairs of its
+name. So pairs are listed as they are found, without a shuffle of what is found, and only the rows that meet are ever on disk.
 
 ``name_groups`` gives the groups that similar names form without listing their pairs. Names that meet in a key are compared with
 one of them, links are contracted, and a key whose names are in one group by then is done with. Where that
-finds nothing more, names of different groups that still meet are compared, so the groups are those of all pairs.
+finds nothing more, names of different groups that still meet are compared, so the groups are those of all pairs. Only hashes of keys and
+ids are shuffled and kept from round to round; texts are fetched for what is compared. A hash that two keys share costs a comparison and
+links nothing, as scope and block are compared as well. No table of a round goes through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.functions.binding import let, rows_with
-from rollcall.functions.similarity import first_letter_block, indel_distance, least_distance, letter_bits, sorted_tokens
+from rollcall.functions.similarity import first_letter_block, least_distance, letter_bits, sorted_tokens
 from rollcall.operators.linkage import SCOPE, connected_components
 from rollcall.scratch import keep
 from rollcall.settings import NAME_SIMILARITY
@@ -43,7 +54,7 @@ def same_name_edges(listings: DataFrame, scope: tuple[str, ...] = SCOPE, block:
     letter = first_letter_block(text if block == "sorted" else F.col("name"))
     named = listings.select(*scope, letter.alias("block"), text.alias("text"), "id").where("block is not null")
     lowest = named.groupBy(*scope, "block", "text").agg(F.min("id").alias("lo"))
-    return named.join(lowest, [*scope, "block", "text"]).where("id > lo").select(F.col("id").alias("hi"), "lo")
+    return named.join(lowest.hint("merge"), [*scope, "block", "text"]).where("id > lo").select(F.col("id").alias("hi"), "lo")
 
 
 def _edits(total: Column, threshold: int) -> Column:
@@ -51,39 +62,49 @@ def _edits(total: Column, threshold: int) -> Column:
 
 
 def _marked_pairs(text: Column) -> Column:
-    """Pairs of neighbouring letters with their running number among equal ones; the first letter has a mark before it."""
+    """Pairs of neighbouring letters with their running number among equal ones, each as one long; the first letter has a mark before it."""
     marked = F.concat(F.lit("^"), text)
-    pairs = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(marked, i, F.lit(2)))
+    letter = lambda i: F.ascii(F.substring(marked, i, F.lit(1))).cast("long")
+    pairs = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.call_function("shiftleft", letter(i), F.lit(42)) + F.call_function("shiftleft", letter(i + 1), F.lit(21)))
 
     def numbered(all_pairs: Column) -> Column:
-        return F.transform(all_pairs, lambda g, i: F.concat(g, F.size(F.filter(F.slice(all_pairs, F.lit(1), i), lambda x: x == g)).cast("string")))
+        return F.transform(all_pairs, lambda g, i: g + F.size(F.filter(F.slice(all_pairs, F.lit(1), i), lambda x: x == g)))
 
     return let(pairs, numbered)
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks for rows that are few bytes and much work; left to their size they would fill one task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def _rare_pairs(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """(keys, long, short, pair, text, id, bits): the join keys of a name for every length a similar name may have."""
+    """(keys, long, short, pair, rarer, text, id): the join keys of a name for every length a similar name of its block has.
+
+    ``rarer`` are the name's join keys of these lengths before this one, in the order all names of the block have them in.
+    """
     size = F.length("text")
-    pairs = names.select(*keys, "text", "id", F.explode(_marked_pairs(F.col("text"))).alias("pair"))
+    spread = names.repartition(_tasks(names.sparkSession), "id")
+    pairs = spread.select(*keys, "text", "id", F.explode(_marked_pairs(F.col("text"))).alias("pair"))
     counts = pairs.groupBy(*keys, "pair").agg(F.count(F.lit(1)).alias("n"))
     ranked = (
-        pairs.join(counts, [*keys, "pair"])
+        pairs.join(counts.hint("merge"), [*keys, "pair"])
         .groupBy(*keys, "text", "id")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "pair"))), lambda e: e["pair"]).alias("ranked"))
     )
-    other = F.explode(F.sequence(F.ceil(size * threshold / (200 - threshold)).cast("int"), F.floor(size * (200 - threshold) / threshold).cast("int")))
+    lengths = names.select(*keys, size.alias("other")).distinct()
     allowed = _edits(size + F.col("other"), threshold)
     deleted = F.floor((allowed + size - F.col("other")) / 2).cast("int")
     inserted = F.floor((allowed - size + F.col("other")) / 2).cast("int")
     spoilt = 2 * deleted + inserted
-    counted = ranked.withColumn("bits", letter_bits(F.col("text")))
-    each = counted.withColumn("other", other).where(F.abs(size - F.col("other")) <= allowed).withColumn("rare", F.slice("ranked", F.lit(1), spoilt + 1))
-    return each.select(*keys, F.greatest(size, "other").alias("long"), F.least(size, "other").alias("short"), F.explode("rare").alias("pair"), "text", "id", "bits")
+    each = ranked.join(lengths.hint("merge"), keys).where(F.abs(size - F.col("other")) <= allowed).withColumn("rare", F.slice("ranked", F.lit(1), F.greatest(spoilt + 1, F.lit(0))))
+    met = each.select(*keys, F.greatest(size, "other").alias("long"), F.least(size, "other").alias("short"), "rare", F.posexplode("rare").alias("place", "pair"), "text", "id")
+    return met.withColumn("rarer", F.slice("rare", F.lit(1), F.col("place"))).drop("rare", "place")
 
 
 def _sides(rare: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """The names of each join key that may be the longer one of a pair, and those that may be the shorter one."""
-    of = lambda length, x: rare.where(F.length("text") == F.col(length)).select(*keys, F.col("text").alias(f"text_{x}"), F.col("id").alias(f"id_{x}"), F.col("bits").alias(f"bits_{x}"))
+    of = lambda length, x: rare.where(F.length("text") == F.col(length)).select(*keys, *[F.col(c).alias(f"{c}_{x}") for c in ("text", "id", "bits", "rarer")])
     return of("long", "a"), of("short", "b")
 
 
@@ -96,11 +117,16 @@ def _checked_threshold(threshold: int) -> int:
 def candidate_pairs(listings: DataFrame, threshold: int, scope: tuple[str, ...] = SCOPE, block: str = "first") -> DataFrame:
     """(scope, text_a, id_a, bits_a, text_b, id_b, bits_b): the pairs of names that are looked at, each once, the longer one first."""
     keys = [*scope, "block"]
-    rare = keep(_rare_pairs(distinct_names(listings, scope, block), keys, _checked_threshold(threshold)), "rare-pairs").df
+    names = distinct_names(listings, scope, block)
+    # The bits of a name go to its rows by a join, as every row would compute them again.
+    rare = keep(_rare_pairs(names, keys, _checked_threshold(threshold)), "rare-pairs").df
+    bits = keep(names.repartition(_tasks(names.sparkSession), "id").select("id", letter_bits(F.col("text")).alias("bits")), "name-bits").df
     join_keys = [*keys, "long", "short", "pair"]
-    longer, shorter = _sides(rare, join_keys)
-    met = longer.join(shorter, join_keys).where((F.col("long") > F.col("short")) | (F.col("text_a") > F.col("text_b")))
-    return met.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).select(*scope, "text_a", "id_a", "bits_a", "text_b", "id_b", "bits_b").distinct()
+    marked = rare.join(bits.hint("merge"), "id")
+    longer, shorter = (side.repartition(_tasks(names.sparkSession), *join_keys) for side in _sides(marked, join_keys))
+    met = longer.join(shorter.hint("merge"), join_keys).where((F.col("long") > F.col("short")) | (F.col("text_a") > F.col("text_b")))
+    near = met.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).where(~F.arrays_overlap("rarer_a", "rarer_b"))
+    return near.select(*scope, "text_a", "id_a", "bits_a", "text_b", "id_b", "bits_b")
 
 
 def _allowed(threshold: int) -> Column:
@@ -111,7 +137,7 @@ def _bounded_distance(threshold: int, exact: bool = True) -> Column:
     """The distance of text_a and text_b, null beyond what is allowed. Without ``exact`` it may be an upper bound that is allowed.
 
     Each substitution counts as a deletion and an insertion, so the Levenshtein distance bounds it from above, as letter counts
-    do from below.
+    do from below. -1 stands for a distance that has to be measured.
     """
     allowed, apart = _allowed(threshold), F.abs(F.length("text_a") - F.length("text_b"))
     least = F.greatest(least_distance("bits_a", "bits_b"), apart)
@@ -119,12 +145,70 @@ def _bounded_distance(threshold: int, exact: bool = True) -> Column:
     def within(edits: Column) -> Column:
         most = 2 * edits - apart
         known = (least >= most) if exact else (most <= allowed)
-        measured = let(indel_distance(F.col("text_a"), F.col("text_b")), lambda d: F.when(d <= allowed, d))
-        return F.when((edits < 0) | (least > allowed), None).when(known, F.when(most <= allowed, most)).otherwise(measured)
+        return F.when((edits < 0) | (least > allowed), None).when(known, F.when(most <= allowed, most)).otherwise(F.lit(-1))
 
     return let(F.call_function("levenshtein", F.col("text_a"), F.col("text_b"), allowed), within).cast("int")
 
 
+#: Cells of a batch of pairs that are worked on at a time.
+_CELLS = 1 << 18
+
+
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all texts in one array, where each text starts, and how long it is."""
+    sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), "<i4")
+    return codes, np.cumsum(sizes) - sizes, sizes
+
+
+def _rows(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, filler: int) -> np.ndarray:
+    """One column for each text, filled up to the longest with what no text holds."""
+    at = np.arange(sizes.max(initial=0))[:, None]
+    inside = at < sizes
+    return np.where(inside, codes[np.where(inside, starts + at, 0)], filler) if len(codes) else np.full(inside.shape, filler)
+
+
+def indel_distances(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Letters to delete and insert to turn each text of ``left`` into that of ``right``.
+
+    The rows of the table of longest common subsequences, for many pairs in one step.
+    """
+    a, a_starts, a_sizes = _letters(left)
+    b, b_starts, b_sizes = _letters(right)
+    common = np.zeros(len(a_sizes), np.int64)
+    order = np.argsort(b_sizes, kind="stable")
+    low = 0
+    while low < len(order):
+        high = len(order)
+        while high - low > 1 and (high - low) * (b_sizes[order[high - 1]] + 1) > _CELLS:
+            high = low + (high - low) // 2
+        part = order[low:high]
+        rows, columns = _rows(a, a_starts[part], a_sizes[part], -1), _rows(b, b_starts[part], b_sizes[part], -2)
+        table = np.zeros((len(columns) + 1, len(part)), np.int16 if len(columns) < 1 << 15 else np.int32)
+        for row in rows:
+            np.maximum.accumulate(np.maximum(table[1:], table[:-1] + (columns == row)), axis=0, out=table[1:])
+        common[part] = table[-1]
+        low = high
+    return a_sizes + b_sizes - 2 * common
+
+
+def _measured(pairs: DataFrame, threshold: int) -> DataFrame:
+    """Those of ``pairs`` (text_a, text_b, distance, ..) that are as alike as asked, with the distances that were -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            distance = table["distance"].to_numpy().copy()
+            unknown = np.flatnonzero(distance < 0)
+            left, right = (table[c].take(pa.array(unknown)).combine_chunks() for c in ("text_a", "text_b"))
+            distance[unknown] = indel_distances(left, right)
+            sizes = (pc.utf8_length(table["text_a"]).to_numpy() + pc.utf8_length(table["text_b"]).to_numpy()).astype(np.int64)
+            table = table.set_column(table.column_names.index("distance"), "distance", pa.array(distance, pa.int32()))
+            yield from table.filter(pa.array(100 * distance <= (100 - threshold) * sizes)).combine_chunks().to_batches()
+
+    return pairs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in pairs.schema]))
+
+
 def similar_name_pairs(
     listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
 ) -> DataFrame:
@@ -135,29 +219,27 @@ def similar_name_pairs(
     insertions, relative to the summed lengths.
     """
     pairs = candidate_pairs(listings, threshold, scope, block)
+    bounded = pairs.select(*scope, "id_a", "id_b", "text_a", "text_b", rows_with(_bounded_distance(threshold)).alias("distance"))
     a_first = F.col("id_a") < F.col("id_b")
-    return (
-        pairs.select("*", rows_with(_bounded_distance(threshold)).alias("distance"))
-        .select(
-            *scope,
-            F.least("id_a", "id_b").alias("lo"),
-            F.greatest("id_a", "id_b").alias("hi"),
-            F.when(a_first, F.col("text_a")).otherwise(F.col("text_b")).alias("text_lo"),
-            F.when(a_first, F.col("text_b")).otherwise(F.col("text_a")).alias("text_hi"),
-            "distance",
-        )
+    return _measured(bounded, threshold).select(
+        *scope,
+        F.least("id_a", "id_b").alias("lo"),
+        F.greatest("id_a", "id_b").alias("hi"),
+        F.when(a_first, F.col("text_a")).otherwise(F.col("text_b")).alias("text_lo"),
+        F.when(a_first, F.col("text_b")).otherwise(F.col("text_a")).alias("text_hi"),
+        "distance",
     )
 
 
 def _linked(pairs: DataFrame, threshold: int) -> DataFrame:
     """(hi, lo): the groups, by their roots, that pairs of similar names put together."""
-    near = pairs.select("root_a", "root_b", rows_with(_bounded_distance(threshold, exact=False)).alias("distance"))
-    return near.select(F.greatest("root_a", "root_b").alias("hi"), F.least("root_a", "root_b").alias("lo")).distinct()
+    near = pairs.select("text_a", "text_b", "root_a", "root_b", rows_with(_bounded_distance(threshold, exact=False)).alias("distance"))
+    return _measured(near, threshold).select(F.greatest("root_a", "root_b").alias("hi"), F.least("root_a", "root_b").alias("lo")).distinct()
 
 
 def _regrouped(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` (id, root) after links between roots."""
-    moved = connected_components(links).df.select(F.col("id").alias("root"), F.col("root").alias("to"))
+    moved = connected_components(links).df.select(F.col("id").alias("root"), F.col("root").alias("to")).hint("merge")
     return keep(roots.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "name-roots").df
 
 
@@ -170,34 +252,47 @@ def name_groups(
     """
     keys = [*scope, "block"]
     names = keep(distinct_names(listings, scope, block), "names").df
-    rare = keep(_rare_pairs(names, keys, _checked_threshold(threshold)), "rare-pairs").df
-    join_keys = [*keys, "long", "short", "pair"]
+    rare = _rare_pairs(names, keys, _checked_threshold(threshold))
+    is_long, is_short = F.length("text") == F.col("long"), F.length("text") == F.col("short")
+    rare = keep(rare.select(F.xxhash64(*keys, "long", "short", "pair").alias("key"), is_long.alias("longer"), is_short.alias("shorter"), "id"), "rare-pairs").df
+    known = keep(names.repartition(_tasks(names.sparkSession), "id").select(*keys, "id", "text", letter_bits(F.col("text")).alias("bits")), "name-bits").df
+
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        """``pairs`` (id_a, root_a, id_b, root_b) of one scope and block, with texts and bits."""
+        for x in "ab":
+            pairs = pairs.join(known.select(*[F.col(c).alias(f"{c}_{x}") for c in known.columns]).hint("merge"), f"id_{x}")
+        same = " AND ".join(f"{k}_a = {k}_b" for k in keys)
+        return pairs.where(same)
+
     roots = keep(names.select("id", F.col("id").alias("root")), "name-roots").df
     turn = 0
     while True:
         order = F.xxhash64("id", F.lit(turn))
-        labelled = rare.join(roots, "id").withColumns({"order": order, "one": F.struct("id", "text", "bits", "root")})
-        first = lambda length: F.expr(f"min_by(one, order) FILTER (WHERE length(text) = {length})")
-        several = labelled.groupBy(*join_keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), first("long").alias("a"), first("short").alias("b"))
-        open_keys = several.where("low < high AND a IS NOT NULL AND b IS NOT NULL").select(*join_keys, "a", "b")
-        unsettled = keep(labelled.join(open_keys, join_keys), "name-open").df
+        labelled = rare.join(roots.hint("merge"), "id").withColumns({"order": order, "one": F.struct("id", "root")})
+        first = lambda side: F.expr(f"min_by(one, order) FILTER (WHERE {side})")
+        several = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), first("longer").alias("a"), first("shorter").alias("b"))
+        open_keys = several.where("low < high AND a IS NOT NULL AND b IS NOT NULL").select("key", "a", "b")
+        unsettled = keep(labelled.join(open_keys.hint("merge"), "key").select("key", "longer", "shorter", "id", "root", "a", "b"), "name-open").df
         if unsettled.isEmpty():
             break
-        as_pair = lambda a, b: [F.col(f"{x}.{c}").alias(f"{c}_{side}") for x, side in ((a, "a"), (b, "b")) for c in ("id", "text", "bits", "root")]
-        longer = unsettled.where((F.length("text") == F.col("long")) & (F.col("root") != F.col("b.root")))
-        shorter = unsettled.where((F.length("text") == F.col("short")) & (F.col("root") != F.col("a.root")))
-        one_each = lambda rows, other: rows.groupBy("id").agg(F.first("one").alias("one"), F.min_by(other, F.xxhash64("pair", "long", "short", F.lit(turn))).alias("met"))
+        # A key whose names are in one group stays so, and is not looked at again.
+        rare = unsettled.select("key", "longer", "shorter", "id")
+        as_pair = lambda a, b: [F.col(f"{x}.{c}").alias(f"{c}_{side}") for x, side in ((a, "a"), (b, "b")) for c in ("id", "root")]
+        with_one = unsettled.withColumn("one", F.struct("id", "root"))
+        longer = with_one.where(F.col("longer") & (F.col("root") != F.col("b.root")))
+        shorter = with_one.where(F.col("shorter") & (F.col("root") != F.col("a.root")))
+        one_each = lambda rows, other: rows.groupBy("id").agg(F.first("one").alias("one"), F.min_by(other, F.xxhash64("key", F.lit(turn))).alias("met"))
         pairs = one_each(longer, "b").select(*as_pair("one", "met")).unionByName(one_each(shorter, "a").select(*as_pair("met", "one")))
-        links = keep(_linked(pairs, threshold), "name-links").df
+        links = keep(_linked(with_texts(pairs), threshold), "name-links").df
         if links.isEmpty():
-            sides = [unsettled.where(F.length("text") == F.col(length)).select(*join_keys, F.col("one").alias(x)) for length, x in (("long", "l"), ("short", "s"))]
-            rest = sides[0].join(sides[1], join_keys).where("l.root <> s.root").select(*as_pair("l", "s"))
-            rest = rest.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).distinct()
+            sides = [with_one.where(side).select("key", F.col("one").alias(x)) for side, x in (("longer", "l"), ("shorter", "s"))]
+            rest = sides[0].join(sides[1].hint("merge"), "key").where("l.root <> s.root").select(*as_pair("l", "s")).distinct()
+            rest = with_texts(rest).where(least_distance("bits_a", "bits_b") <= _allowed(threshold))
             roots = _regrouped(roots, keep(_linked(rest, threshold), "name-links").df)
             break
         roots = _regrouped(roots, links)
         turn += 1
-    again = same_name_edges(listings, scope, block).select(F.col("hi").alias("id"), "lo").join(roots.withColumnRenamed("id", "lo"), "lo")
+    again = same_name_edges(listings, scope, block).select(F.col("hi").alias("id"), "lo").join(roots.withColumnRenamed("id", "lo").hint("merge"), "lo")
     return roots.unionByName(again.select("id", "root"))
 
 

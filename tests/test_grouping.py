@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import common_length, least_distance, letter_bits
@@ -296,3 +298,38 @@ def test_dense_ids_depend_on_the_rows_only(spark):
     two = with_dense_ids(spark.createDataFrame(random.sample(rows, len(rows)), df.schema).repartition(5), start=7, buckets=16).collect()
     assert sorted(r.id for r in one) == list(range(7, 357))
     assert {(r.id, r.name, str(r.phones)) for r in one} == {(r.id, r.name, str(r.phones)) for r in two}
+
+
+def test_similar_pairs_are_listed_without_a_shuffle_of_pairs(spark):
+    """Between the check of the pairs and the join that finds them lies no exchange, so what is on disk does not grow with the pairs."""
+    df = spark.createDataFrame([(i, "A", f"granite workshop number {i:03d}") for i in range(60)], "id long, city string, name string")
+    pairs = similar_name_pairs(df, 88)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join Inner, (((")]
+    assert "MapInArrow" in above and "Aggregate" not in above and "Repartition" not in above
+    found = pairs.collect()
+    assert len(found) == len({(r.lo, r.hi) for r in found}) > 60
+
+
+def test_rounds_over_names_broadcast_nothing(spark):
+    """What a round joins grows with the names; none of it may go through the driver."""
+    written, kept = [], name_pairs.keep
+
+    def watched(df, label):
+        if label in ("name-open", "name-links"):
+            written.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df, label)
+
+    df = spark.createDataFrame([(i, "A", f"granite workshop number {i:03d}") for i in range(60)], "id long, city string, name string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(name_pairs, "keep", watched)
+        assert {r.root for r in name_groups(df, 88).collect()} == {0}
+    assert written and not any("Broadcast" in plan for plan in written)
+
+
+def test_distances_of_a_batch(spark):
+    random.seed(9)
+    texts = ["", "a", "Ж😀x", *["".join(random.choices("abcé 1", k=random.randint(0, 90))) for _ in range(40)]]
+    pairs = [(a, b) for a in texts for b in texts]
+    got = name_pairs.indel_distances(pa.array([a for a, _ in pairs]), pa.array([b for _, b in pairs]))
+    assert got.tolist() == [len(a) + len(b) - 2 * common(a, b) for a, b in pairs]
