@@ -13,7 +13,7 @@ name. So pairs are listed as they are found, without a shuffle of what is found,
 
 ``name_groups`` gives the groups that similar names form without listing their pairs. Names that meet in a key are compared with
 one of them, links are contracted, and a key whose names are in one group by then is done with. Where that
-finds nothing more, names of different groups that still meet are compared, so the groups are those of all pairs. Only hashes of keys and
+finds nothing more, or no more pairs are left than there are names, names of different groups that still meet are compared, so the groups are those of all pairs. Only hashes of keys and
 ids are shuffled and kept from round to round; texts are fetched for what is compared. A hash that two keys share costs a comparison and
 links nothing, as scope and block are compared as well. No table of a round goes through the driver.
 """
@@ -265,7 +265,7 @@ def name_groups(
         return pairs.where(same)
 
     roots = keep(names.select("id", F.col("id").alias("root")), "name-roots").df
-    turn = 0
+    count, turn = names.count(), 0
     while True:
         order = F.xxhash64("id", F.lit(turn))
         labelled = rare.join(roots.hint("merge"), "id").withColumns({"order": order, "one": F.struct("id", "root")})
@@ -283,8 +283,10 @@ def name_groups(
         shorter = with_one.where(F.col("shorter") & (F.col("root") != F.col("a.root")))
         one_each = lambda rows, other: rows.groupBy("id").agg(F.first("one").alias("one"), F.min_by(other, F.xxhash64("key", F.lit(turn))).alias("met"))
         pairs = one_each(longer, "b").select(*as_pair("one", "met")).unionByName(one_each(shorter, "a").select(*as_pair("met", "one")))
-        links = keep(_linked(with_texts(pairs), threshold), "name-links").df
-        if links.isEmpty():
+        sides_of = unsettled.groupBy("key").agg(F.count_if("longer").alias("longer"), F.count_if("shorter").alias("shorter"))
+        few = sides_of.agg(F.sum(F.col("longer") * F.col("shorter"))).first()[0] <= count
+        links = None if few else keep(_linked(with_texts(pairs), threshold), "name-links").df
+        if links is None or links.isEmpty():
             sides = [with_one.where(side).select("key", F.col("one").alias(x)) for side, x in (("longer", "l"), ("shorter", "s"))]
             rest = sides[0].join(sides[1].hint("merge"), "key").where("l.root <> s.root").select(*as_pair("l", "s")).distinct()
             rest = with_texts(rest).where(least_distance("bits_a", "bits_b") <= _allowed(threshold))
