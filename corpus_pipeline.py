@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies."""
+    """The document with the smallest id of every group of near copies, by SimHash candidates and an exact filter for the rest."""
     return without_near_copies(docs)
 
 

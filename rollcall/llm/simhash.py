@@ -14,9 +14,10 @@ a larger even radius r the points are those up to r / 2 bits away.
 
 Components of the links come from contraction over written tables.
 
-The pipeline's stage, ``without_near_copies``, goes by shingles of five words and a similarity of 0.8. SimHash cannot reach that: at 0.8
-the expected distance is near 10 of 64 bits (the angle of a cosine of 0.89), and masks that cover
-a radius of r number 2^(r + 1) - 1. Its candidates are sets that share a MinHash band, and all of them are verified exactly.
+The pipeline's stage, ``without_near_copies``, goes by shingles of five words and a similarity of 0.8. Fingerprints of these shingles
+within the radius, found by the same masks, are compared first, exactly. They cannot reach all such pairs: at 0.8 the expected distance is
+near 10 of 64 bits (the angle of a cosine of 0.89), and masks that cover a radius of r number 2^(r + 1) - 1. So an exact prefix
+filter then finds the pairs that are still apart; no pair is lost, and none is linked without its sets being compared.
 
 Defined results: null and empty texts, and texts of white space, have fingerprint zero and are linked like any others; texts of
 fewer words than a shingle hash as a whole; rows of equal ids each get a row; a null id is never the smallest one
@@ -25,7 +26,7 @@ unless its component has no other; an empty table gives no rows. Only ``doc_id``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,34 +43,47 @@ RADIUS = 2
 #: What the pipeline's stage calls near copies: shingles of five words, a Jaccard similarity of 0.8 and more.
 STAGE_SHINGLE = 5
 SIMILARITY = 0.8
-#: MinHash bands of the stage. A pair of similarity 0.8 shares none with a probability of (1 - 0.8^6)^32 < 0.0001.
-BANDS, ROWS = 32, 6
-#: Rounds of one check a set, before rare shingles settle what is left.
+#: Shingles that more sets hold come last in the filter's order.
+COMMON = 16
+#: Shingles below this hash, 30 % of all, come before others. A set's prefix is a fifth of it, so most prefixes lie among them.
+LOW = 3 * (1 << 64) // 10
+#: Rounds of one check a set, before common shingles are joined.
 ROUNDS = 4
 #: Buckets up to this size are paired directly.
 SMALL = 16
 _BLOCK = 1 << 14
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of UTF-8 text. Bytes lower-case and split by the ASCII rules."""
+def _hashes(text: bytes | None, shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's word shingles, repeats included, in blocks."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[: n - 1]]).tolist()
     stops = (ends[len(words) - n :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
     for low in range(0, n, _BLOCK):
-        block = np.array([digest(joined[a:b], 42) for a, b in zip(starts[low : low + _BLOCK], stops[low : low + _BLOCK])], np.uint64)
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(starts[low : low + _BLOCK], stops[low : low + _BLOCK])], np.uint64)
+
+
+def _majority(blocks: Iterable[np.ndarray]) -> int:
+    """The bits that are set in over half of the hashes."""
+    ones, n = np.zeros(64, np.int64), 0
+    for block in blocks:
         bits = np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(block)
     return int(np.packbits((2 * ones > n).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of UTF-8 text. Bytes lower-case and split by the ASCII rules."""
+    return _majority(_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, bits) with the fingerprint as a signed long."""
 
@@ -143,44 +157,33 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     return marked.join(named, F.col("bits") == F.col("of")).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def shingle_set(text: bytes | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
-    """The distinct hashes of a text's word shingles, sorted; words as in ``fingerprint``."""
-    words = (text or b"").lower().split()
-    digest = xxhash.xxh64_intdigest
-    n = max(1, len(words) - shingle + 1) if words else 0
-    return np.unique(np.fromiter((digest(b" ".join(words[i : i + shingle]), 42) for i in range(n)), np.uint64, n))
+def _set(blocks: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, np.uint64)
 
 
-_DRAWN = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
-_SALT, _FACTOR = _DRAWN[0], _DRAWN[1] * np.uint64(2) + np.uint64(1)
-
-
-def bands(found: np.ndarray) -> list[int]:
-    """A signed hash for each band of the MinHash of a set; none for an empty set."""
-    if not len(found):
-        return []
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for low in range(0, len(found), 256):
-        np.minimum(least, ((found[low : low + 256, None] ^ _SALT) * _FACTOR).min(axis=0), out=least)
-    parts = least.reshape(BANDS, ROWS)
-    return [_long(xxhash.xxh64_intdigest(parts[b].tobytes(), b)) for b in range(BANDS)]
+def shingle_set(text: bytes | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, sorted; words as in ``fingerprint``."""
+    return _set(list(_hashes(text, shingle)))
 
 
 def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """(row, code, size, bands): ``code`` is equal for equal sets of shingles."""
+    """(row, code, size, bits, low): ``code`` is equal for equal sets of shingles, ``bits`` the fingerprint, ``low`` the set's hashes below ``LOW``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, sizes, keys = [], [], []
+            codes, sizes, prints, lows = [], [], [], []
             for text in batch.column(1).to_pylist():
-                found = shingle_set(text, shingle)
+                blocks = list(_hashes(text, shingle))
+                found = _set(blocks)
                 codes.append(_long(xxhash.xxh64_intdigest(found.tobytes(), 1)))
                 sizes.append(len(found))
-                keys.append(bands(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["row", "code", "size", "bands"])
+                prints.append(_long(_majority(blocks)))
+                lows.append(found[: np.searchsorted(found, np.uint64(LOW))].view(np.int64))
+            columns = [pa.array(c, pa.int64()) for c in (codes, sizes, prints)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(lows, pa.list_(pa.int64()))], names=["row", "code", "size", "bits", "low"])
 
     given = rows.select("row", F.col("text").cast("binary").alias("text"))
-    return to_python(given).mapInArrow(run, "row long, code long, size long, bands array<long>")
+    return to_python(given).mapInArrow(run, "row long, code long, size long, bits long, low array<long>")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -209,13 +212,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return stored(to_python(given).mapInArrow(run, "hi long, lo long"), "near-links")
 
 
-def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(node, other) of (node, size, root): each node with those of other components that it shares one of its rarest shingles with.
+def _prefix(size: Column, similarity: float) -> Column:
+    """Of how many first shingles, in any order that all sets share, a set as similar as asked must hold one among its own first."""
+    return size - F.ceil(size * F.lit(round(1000 * similarity)) / 1000) + 1
 
-    Of n shingles a set as similar as asked lacks at most n less ``similarity`` times n, so the rarest of that number and one more hold one
-    that stands among the rarest of the other set too (prefix filtering, Chaudhuri et al., ICDE 2006). No pair is lost, and what many texts
-    share brings two together only where neither has enough of its own.
-    """
+
+def _whole_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, h) for every shingle of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,53 +226,129 @@ def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int,
                 found = shingle_set(text, shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node, np.int64)), pa.array(found)], names=["node", "h"])
 
-    open_texts = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
-    sets = stored(to_python(open_texts).mapInArrow(run, "node long, h long"), "near-shingles")
-    counts = sets.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    spare = F.col("size") - F.ceil(F.col("size") * F.lit(round(1000 * similarity)) / 1000) + 1
-    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "h"))
-    rare = sets.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("place", place).join(nodes, "node").where((F.col("place") <= spare) & (F.col("n") > 1))
-    rare = stored(rare.select("h", "node", "size", "root"), "near-rare")
-    other = rare.select("h", F.struct("node", "size", "root").alias("other"))
-    fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * round(1000 * similarity)
-    return rare.join(other, "h").where((F.col("root") != F.col("other.root")) & fits & (F.col("node") > F.col("other.node"))).select("node", F.col("other.node").alias("other")).distinct()
+    return to_python(texts.select("node", "text")).mapInArrow(run, "node long, h long")
+
+
+def _placed(sets: DataFrame, similarity: float) -> DataFrame:
+    """(h, node, size, place, common) of whole sets (h, node, size, n): the prefix of each, without what no other set holds.
+
+    The order is: rare shingles below ``LOW``, other rare ones, common ones.
+    """
+    common = F.col("n") > COMMON
+    place = F.row_number().over(Window.partitionBy("node").orderBy(common, (F.col("h") < 0) | (F.col("h") >= LOW), "h"))
+    return sets.withColumn("place", place.cast("long")).where((F.col("place") <= _prefix(F.col("size"), similarity)) & (F.col("n") > 1)).select("h", "node", "size", "place", common.alias("common"))
+
+
+def _prefixes(nodes: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(h, node, size, place, common): for each of (node, size, low) its first shingles that other sets hold too.
+
+    Rare shingles below ``LOW`` come first, so a set with enough of them needs no others. The other sets, short or made of common
+    shingles, are ordered whole; only among these are shingles from ``LOW`` on counted, as they stand in no other prefix.
+    """
+    low = nodes.select("node", "size", F.size("low").alias("m"), F.posexplode("low").alias("i", "h"))
+    shared = stored(low.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1"), "near-shared")
+    common = (F.col("n") > COMMON).cast("long")
+    counts = shared.groupBy("node").agg(F.sum(common).alias("gone"))
+    needed = _prefix(F.col("size"), similarity)
+    short = nodes.select("node", "size", F.size("low").alias("m")).join(counts, "node", "left").where(F.col("m") - F.coalesce("gone", F.lit(0)) < needed)
+    short = stored(short.select("node", "size"), "near-short")
+    before = F.sum(common).over(Window.partitionBy("node").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    place = F.col("i") + 1 - F.col("before")
+    rare = shared.join(short.select("node"), "node", "left_anti").withColumn("before", before).where((F.col("n") <= COMMON) & (place <= needed))
+    rare = rare.select("h", "node", "size", place.alias("place"), F.lit(False).alias("common"))
+    texts = rows.join(short.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text"))
+    whole = stored(_whole_sets(texts, shingle), "near-whole").join(short, "node")
+    upper = (F.col("h") < 0) | (F.col("h") >= LOW)
+    of_upper = whole.where(upper).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h")))
+    of_low = whole.where(~upper).join(shared.select("node", "h", "n"), ["node", "h"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    sets = of_upper.select("h", "node", "size", "n").unionByName(of_low.select("h", "node", "size", "n"))
+    return stored(rare.unionByName(_placed(sets, similarity)), "near-prefixes")
+
+
+def _may_pair(similarity: float) -> Column:
+    """Whether a row and ``other``, in the first shingle they share, can be as similar as asked by their sizes and places (Xiao et al., WWW 2008)."""
+    least = round(1000 * similarity)
+    fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * least
+    ahead = F.least(F.col("size") - F.col("place"), F.col("other.size") - F.col("other.place")) + 1
+    return (F.col("root") != F.col("other.root")) & fits & (ahead * (1000 + least) >= (F.col("size") + F.col("other.size")) * least)
+
+
+def _meeting(placed: DataFrame, similarity: float) -> DataFrame:
+    """(node, other) of (h, node, size, place, root): sets of different components that share a shingle of their prefixes and may be similar.
+
+    Of n shingles a set as similar as asked lacks at most n less ``similarity`` times n, so of its first ones of that number and one more one
+    stands among the first of the other set too (prefix filtering, Chaudhuri et al., ICDE 2006). No pair is lost.
+    """
+    other = placed.select("h", F.struct("node", "size", "place", "root").alias("other"))
+    return placed.join(other, "h").where(_may_pair(similarity) & (F.col("node") > F.col("other.node"))).select("node", F.col("other.node").alias("other")).distinct()
+
+
+def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(node, other) of (node, size, root) with whole texts (node, text)."""
+    sets = _whole_sets(texts, shingle).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).join(nodes, "node")
+    placed = stored(_placed(sets.select("h", "node", "size", "n"), similarity), "near-rare").join(nodes.select("node", "root"), "node")
+    return _meeting(placed, similarity)
+
+
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """(node, other): candidates by SimHash, sets of one fingerprint and sets whose fingerprints are within the radius, as stars."""
+    prints = stored(nodes.groupBy("bits").agg(F.min("node").alias("first")), "near-prints")
+    links = fingerprint_links(prints.select("bits")).join(prints.select(F.col("bits").alias("hi"), F.col("first").alias("node")), "hi").join(prints.select(F.col("bits").alias("lo"), F.col("first").alias("other")), "lo")
+    equal = nodes.join(prints, "bits").where("node != first").select("node", F.col("first").alias("other"))
+    return links.select("node", "other").unionByName(equal)
 
 
 def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(row, root) for every row of (row, text): the components of all pairs at least that similar.
 
-    Equal sets count once. Sets that share a band are candidates. Rounds check each set with one other of its bands, by drawn
-    centres, and bands that lie in one component by then are settled. Sets of the bands that are open after the rounds are checked where
-    they share a rare shingle across components. So no candidate is passed over, and a large group costs a few checks a set.
+    Equal sets count once. Sets whose fingerprints are within the radius are compared first. Then those that share a shingle of their
+    prefixes across components are: all of them where the shingle is rare, and where it is common, first in rounds, each set with one
+    drawn centre of its shingles, and then all that are still apart. So a large group costs a few checks a set.
     """
     sketches = stored(_sketches(rows, shingle), "near-sketches")
-    nodes = stored(sketches.groupBy("code").agg(F.min("row").alias("node")), "near-nodes")
-    placed = sketches.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", F.explode("bands").alias("key"))
-    crowds = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    shared = stored(placed.join(crowds, "key"), "near-bands")
-    texts = rows.join(shared.select(F.col("node").alias("row")).distinct(), "row", "left_semi")
+    named = stored(sketches.groupBy("code").agg(F.min("row").alias("node")), "near-nodes")
+    nodes = sketches.join(named.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    prefixes = _prefixes(nodes.select("node", "size", "low"), rows, shingle, similarity)
+    open_nodes = stored(prefixes.select("node").distinct(), "near-open")
+    texts = rows.join(open_nodes.select(F.col("node").alias("row")), "row", "left_semi")
     texts = stored(texts.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text")), "near-texts")
     links = stored(rows.sparkSession.createDataFrame([], "hi long, lo long"), "near-links")
     tried, roots = links, connected_components(links).df
-    for turn in range(ROUNDS + 1):
-        labels = shared.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = labels.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("node", "root", "size"), F.xxhash64("node", F.lit(turn))).alias("centre"))
-        unsettled = stored(labels.join(several.where("low < high").select("key", "centre"), "key"), "near-open")
-        if unsettled.isEmpty():
-            break
-        fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * round(1000 * similarity)
-        across = F.col("root") != F.col("other.root")
-        if turn < ROUNDS:
-            met = unsettled.withColumn("other", F.col("centre")).where(across & fits).groupBy("node").agg(F.min_by("other.node", F.xxhash64("key", F.lit(turn))).alias("other"))
-        else:
-            met = _meeting_by_rare_shingles(unsettled.select("node", "size", "root").distinct(), texts, shingle, similarity)
+
+    def compared(met: DataFrame) -> bool:
+        """Links the similar ones of these pairs; whether any of them is."""
+        nonlocal tried, links, roots
         pairs = met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct()
         pairs = stored(pairs.join(tried, ["hi", "lo"], "left_anti"), "near-pairs")
         found = _similar(pairs, texts, shingle, similarity)
-        tried, links = tried.unionByName(pairs), links.unionByName(found)
+        tried = tried.unionByName(pairs)
+        if found.isEmpty():
+            return False
+        links = links.unionByName(found)
         roots = connected_components(links).df
-    named = nodes.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").select("code", F.coalesce("root", "node").alias("root"))
-    return sketches.select("row", "code").join(named, "code").select("row", "root")
+        return True
+
+    def labelled(placed: DataFrame) -> DataFrame:
+        return placed.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # A set that shares no shingle of its prefix is similar to none.
+    met = _by_fingerprint(nodes.select("node", "bits"))
+    compared(met.join(open_nodes, "node", "left_semi").join(open_nodes.withColumnRenamed("node", "other"), "other", "left_semi"))
+    compared(_meeting(labelled(prefixes.where("NOT common")), similarity))
+    linked = True
+    for turn in range(ROUNDS + 1):
+        labels = labelled(prefixes.where("common"))
+        several = labels.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("node", "size", "place", "root"), F.xxhash64("node", F.lit(turn))).alias("other"))
+        unsettled = stored(labels.join(several.where("low < high").select("h", "other"), "h"), "near-unsettled")
+        if unsettled.isEmpty():
+            break
+        if turn < ROUNDS and linked:
+            linked = compared(unsettled.where(_may_pair(similarity)).groupBy("node").agg(F.min_by("other.node", F.xxhash64("h", F.lit(turn))).alias("other")))
+        else:
+            compared(_meeting(unsettled.drop("other"), similarity))
+            break
+    grouped = named.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").select("code", F.coalesce("root", "node").alias("root"))
+    return sketches.select("row", "code").join(grouped, "code").select("row", "root")
 
 
 def without_near_copies(docs: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:

@@ -129,3 +129,52 @@ def test_texts_that_share_much_are_not_paired(spark):
     frame = spark.createDataFrame(rows, "node long, text binary, size long")
     met = _meeting_by_rare_shingles(frame.select("node", "size", frame.node.alias("root")), frame, 5, 0.8).collect()
     assert {(r["node"], r["other"]) for r in met} >= {(60 + i, i) for i in range(5)} and len(met) < 60
+
+
+def test_candidates_by_fingerprint_are_the_pairs_within_the_radius(spark):
+    """The stage's first step: stars over equal and near fingerprints join what all pairs within 2 bits join."""
+    from rollcall.llm.simhash import _by_fingerprint
+
+    draw = random.Random(11)
+    centres = [draw.getrandbits(64) for _ in range(30)]
+    prints = [draw.choice(centres) ^ sum(1 << b for b in draw.sample(range(64), draw.randint(0, 3))) for _ in range(200)]
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    low = list(range(len(prints)))
+    pairs = [(r["node"], r["other"]) for r in _by_fingerprint(spark.createDataFrame(rows, "node long, bits long")).collect()]
+    assert all(bin(prints[a] ^ prints[b]).count("1") <= 2 for a, b in pairs)
+    for _ in rows:
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    assert low == components(list(range(len(prints))), prints)
+
+
+def test_near_copies_below_the_similarity_are_not_paired(spark):
+    """Texts of one size that share 85 % of their shingles are at most 0.74 similar: places in the order tell, no pair is listed."""
+    from rollcall.llm.simhash import _meeting_by_rare_shingles
+
+    shared = [f"s{i}" for i in range(170)]
+    texts = [shared + [f"t{k}-{i}" for i in range(30)] for k in range(80)]
+    frame = spark.createDataFrame([(i, " ".join(t).encode(), 196) for i, t in enumerate(texts)], "node long, text binary, size long")
+    assert _meeting_by_rare_shingles(frame.select("node", "size", frame.node.alias("root")), frame, 5, 0.8).collect() == []
+
+
+def test_groups_equal_brute_force_in_any_order_of_shingles(spark):
+    """Short texts, texts of common shingles, sizes that differ: the groups are those of all pairs."""
+    from rollcall.llm.simhash import near_copy_groups
+
+    draw = random.Random(13)
+    lines = [" ".join(f"w{draw.randrange(400)}" for _ in range(12)) for _ in range(25)]
+    texts = [" ".join(draw.choices(lines, k=draw.randint(1, 6))) for _ in range(150)]
+    texts += [" ".join(t.split()[: draw.randint(4, 60)]) for t in draw.choices(texts, k=150)]
+    base = lines[:5]
+    texts += [" ".join(base[:k] + [draw.choice(lines)] + base[k:]) for k in draw.choices(range(6), k=60)] + ["", None, "one"]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").split()) else set() for t in texts]
+    low = list(range(len(sets)))
+    for _ in range(8):
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 10 * len(a & sets[j]) >= 8 * len(a | sets[j]):
+                    low[i] = low[j] = min(low[i], low[j])
+    got = {r["row"]: r["root"] for r in near_copy_groups(spark.createDataFrame(list(enumerate(texts)), "row long, text string")).collect()}
+    groups = lambda of: sorted(sorted(i for i in range(len(sets)) if of[i] == g) for g in set(of[i] for i in range(len(sets))))
+    assert groups(got) == groups(low)
