@@ -37,6 +37,7 @@ from pyspark.sql.window import Window
 
 from rollcall.llm.common import stored, to_python
 from rollcall.operators.linkage import connected_components
+from rollcall.scratch import keep
 
 SHINGLE = 3
 RADIUS = 2
@@ -47,6 +48,8 @@ SIMILARITY = 0.8
 COMMON = 16
 #: Shingles below this hash, 30 % of all, come before others. A set's prefix is a fifth of it, so most prefixes lie among them.
 LOW = 3 * (1 << 64) // 10
+#: 64-bit words of a set's map, in which every shingle flips one bit. Where maps differ the sets do, so maps bound how similar sets can be.
+MAP = 16
 #: Rounds of one check a set, before common shingles are joined.
 ROUNDS = 4
 #: Buckets up to this size are paired directly.
@@ -166,24 +169,30 @@ def shingle_set(text: bytes | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
     return _set(list(_hashes(text, shingle)))
 
 
+def _map(found: np.ndarray) -> np.ndarray:
+    odd = (np.bincount((found >> np.uint64(20)).astype(np.int64) % (64 * MAP), minlength=64 * MAP) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """(row, code, size, bits, low): ``code`` is equal for equal sets of shingles, ``bits`` the fingerprint, ``low`` the set's hashes below ``LOW``."""
+    """(row, code, size, bits, map, low): ``code`` is equal for equal sets of shingles, ``bits`` the fingerprint, ``low`` the set's hashes below ``LOW``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, sizes, prints, lows = [], [], [], []
+            codes, sizes, prints, maps, lows = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 blocks = list(_hashes(text, shingle))
                 found = _set(blocks)
                 codes.append(_long(xxhash.xxh64_intdigest(found.tobytes(), 1)))
                 sizes.append(len(found))
                 prints.append(_long(_majority(blocks)))
+                maps.append(_map(found))
                 lows.append(found[: np.searchsorted(found, np.uint64(LOW))].view(np.int64))
             columns = [pa.array(c, pa.int64()) for c in (codes, sizes, prints)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(lows, pa.list_(pa.int64()))], names=["row", "code", "size", "bits", "low"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(maps, pa.list_(pa.int64())), pa.array(lows, pa.list_(pa.int64()))], names=["row", "code", "size", "bits", "map", "low"])
 
     given = rows.select("row", F.col("text").cast("binary").alias("text"))
-    return to_python(given).mapInArrow(run, "row long, code long, size long, bits long, low array<long>")
+    return to_python(given).mapInArrow(run, "row long, code long, size long, bits long, map array<long>, low array<long>")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -245,17 +254,18 @@ def _prefixes(nodes: DataFrame, rows: DataFrame, shingle: int, similarity: float
     Rare shingles below ``LOW`` come first, so a set with enough of them needs no others. The other sets, short or made of common
     shingles, are ordered whole; only among these are shingles from ``LOW`` on counted, as they stand in no other prefix.
     """
-    low = nodes.select("node", "size", F.size("low").alias("m"), F.posexplode("low").alias("i", "h"))
+    low = nodes.select("node", F.posexplode("low").alias("i", "h"))
     shared = stored(low.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1"), "near-shared")
+    sizes = stored(nodes.select("node", "size", F.size("low").alias("m")), "near-sizes")
     common = (F.col("n") > COMMON).cast("long")
     counts = shared.groupBy("node").agg(F.sum(common).alias("gone"))
     needed = _prefix(F.col("size"), similarity)
-    short = nodes.select("node", "size", F.size("low").alias("m")).join(counts, "node", "left").where(F.col("m") - F.coalesce("gone", F.lit(0)) < needed)
+    short = sizes.join(counts, "node", "left").where(F.col("m") - F.coalesce("gone", F.lit(0)) < needed)
     short = stored(short.select("node", "size"), "near-short")
     before = F.sum(common).over(Window.partitionBy("node").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     place = F.col("i") + 1 - F.col("before")
-    rare = shared.join(short.select("node"), "node", "left_anti").withColumn("before", before).where((F.col("n") <= COMMON) & (place <= needed))
-    rare = rare.select("h", "node", "size", place.alias("place"), F.lit(False).alias("common"))
+    rare = shared.join(short.select("node"), "node", "left_anti").withColumn("before", before).where(F.col("n") <= COMMON)
+    rare = rare.join(sizes, "node").where(place <= needed).select("h", "node", "size", place.alias("place"), F.lit(False).alias("common"))
     texts = rows.join(short.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text"))
     whole = stored(_whole_sets(texts, shingle), "near-whole").join(short, "node")
     upper = (F.col("h") < 0) | (F.col("h") >= LOW)
@@ -298,6 +308,15 @@ def _by_fingerprint(nodes: DataFrame) -> DataFrame:
     return links.select("node", "other").unionByName(equal)
 
 
+def _bounded(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The (hi, lo) of ``pairs`` that the maps of (node, size, map) do not tell apart: sets differ in no fewer shingles than maps do in bits."""
+    least = round(1000 * similarity)
+    maps = nodes.select("node", F.struct("size", "map").alias("of"))
+    both = pairs.join(maps.withColumnRenamed("node", "hi").withColumnRenamed("of", "high"), "hi").join(maps.withColumnRenamed("node", "lo").withColumnRenamed("of", "low"), "lo")
+    differ = F.aggregate(F.zip_with("high.map", "low.map", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return both.where(differ * (1000 + least) <= (F.col("high.size") + F.col("low.size")) * (1000 - least)).select("hi", "lo")
+
+
 def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(row, root) for every row of (row, text): the components of all pairs at least that similar.
 
@@ -305,13 +324,15 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
     prefixes across components are: all of them where the shingle is rare, and where it is common, first in rounds, each set with one
     drawn centre of its shingles, and then all that are still apart. So a large group costs a few checks a set.
     """
-    sketches = stored(_sketches(rows, shingle), "near-sketches")
+    whole = keep(_sketches(rows, shingle), "near-sketches")
+    sketches = stored(whole.df.select("row", "code"), "near-codes")
     named = stored(sketches.groupBy("code").agg(F.min("row").alias("node")), "near-nodes")
-    nodes = sketches.join(named.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    nodes = whole.df.join(named.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     prefixes = _prefixes(nodes.select("node", "size", "low"), rows, shingle, similarity)
+    nodes = stored(nodes.select("node", "size", "bits", "map"), "near-maps")
+    whole.drop()
     open_nodes = stored(prefixes.select("node").distinct(), "near-open")
-    texts = rows.join(open_nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    texts = stored(texts.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text")), "near-texts")
+    texts = rows.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text"))
     links = stored(rows.sparkSession.createDataFrame([], "hi long, lo long"), "near-links")
     tried, roots = links, connected_components(links).df
 
@@ -319,7 +340,7 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
         """Links the similar ones of these pairs; whether any of them is."""
         nonlocal tried, links, roots
         pairs = met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct()
-        pairs = stored(pairs.join(tried, ["hi", "lo"], "left_anti"), "near-pairs")
+        pairs = stored(_bounded(pairs.join(tried, ["hi", "lo"], "left_anti"), nodes, similarity), "near-pairs")
         found = _similar(pairs, texts, shingle, similarity)
         tried = tried.unionByName(pairs)
         if found.isEmpty():

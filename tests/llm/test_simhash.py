@@ -178,3 +178,18 @@ def test_groups_equal_brute_force_in_any_order_of_shingles(spark):
     got = {r["row"]: r["root"] for r in near_copy_groups(spark.createDataFrame(list(enumerate(texts)), "row long, text string")).collect()}
     groups = lambda of: sorted(sorted(i for i in range(len(sets)) if of[i] == g) for g in set(of[i] for i in range(len(sets))))
     assert groups(got) == groups(low)
+
+
+def test_maps_bound_the_difference(spark):
+    """Pairs that the maps rule out are below the similarity; texts that share little are ruled out."""
+    from rollcall.llm.simhash import _bounded, _sketches
+
+    draw = random.Random(14)
+    base = [f"w{draw.randrange(3000)}" for _ in range(400)]
+    texts = [" ".join(base[:k] + [f"v{k}-{i}" for i in range(400 - k)]) for k in range(0, 401, 8)]
+    frame = _sketches(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), 5).withColumnRenamed("row", "node").cache()
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    left = {(r["hi"], r["lo"]) for r in _bounded(spark.createDataFrame(pairs, "hi long, lo long"), frame, 0.8).collect()}
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    similar = {(i, j) for i, j in pairs if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    assert similar and similar <= left and len(left) < 2 * len(similar)
