@@ -317,6 +317,15 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame
     return both.where(differ * (1000 + least) <= (F.col("high.size") + F.col("low.size")) * (1000 - least)).select("hi", "lo")
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, root) with the components of ``roots`` that ``links`` join. Only links between components are contracted, each as one of their roots."""
+    of = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+    between = links.join(of("hi"), "hi", "left").join(of("lo"), "lo", "left").select(F.coalesce("hi_root", "hi").alias("hi"), F.coalesce("lo_root", "lo").alias("lo"))
+    moved = connected_components(between).df
+    to = moved.select(F.col("id").alias("root"), F.col("root").alias("to"))
+    return stored(roots.join(to, "root", "left").select("id", F.coalesce("to", "root").alias("root")).unionByName(moved), "near-roots")
+
+
 def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(row, root) for every row of (row, text): the components of all pairs at least that similar.
 
@@ -333,20 +342,21 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
     whole.drop()
     open_nodes = stored(prefixes.select("node").distinct(), "near-open")
     texts = rows.select(F.col("row").alias("node"), F.col("text").cast("binary").alias("text"))
-    links = stored(rows.sparkSession.createDataFrame([], "hi long, lo long"), "near-links")
-    tried, roots = links, connected_components(links).df
+    tried: DataFrame | None = None
+    roots = stored(rows.sparkSession.createDataFrame([], "id long, root long"), "near-roots")
 
     def compared(met: DataFrame) -> bool:
         """Links the similar ones of these pairs; whether any of them is."""
-        nonlocal tried, links, roots
+        nonlocal tried, roots
         pairs = met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo")).distinct()
-        pairs = stored(_bounded(pairs.join(tried, ["hi", "lo"], "left_anti"), nodes, similarity), "near-pairs")
+        if tried is not None:
+            pairs = pairs.join(tried, ["hi", "lo"], "left_anti")
+        pairs = stored(_bounded(pairs, nodes, similarity), "near-pairs")
         found = _similar(pairs, texts, shingle, similarity)
-        tried = tried.unionByName(pairs)
+        tried = pairs if tried is None else tried.unionByName(pairs)
         if found.isEmpty():
             return False
-        links = links.unionByName(found)
-        roots = connected_components(links).df
+        roots = _joined(roots, found)
         return True
 
     def labelled(placed: DataFrame) -> DataFrame:

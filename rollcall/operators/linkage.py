@@ -62,26 +62,25 @@ def star_edges(links: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
 
 
 def _parents(edges: DataFrame) -> DataFrame:
-    return edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("parent"), F.count(F.lit(1)).alias("degree"))
+    return edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("parent"))
 
 
 def _is_settled(edges: DataFrame) -> bool:
     """Stars only: every node hangs on one lower node, which hangs on nothing."""
-    parents = _parents(edges)
-    branching = parents.where("degree > 1").select("node")
-    chained = edges.join(parents, F.col("lo") == F.col("node"), "left_semi").select("lo")
-    return branching.union(chained).agg(F.count(F.lit(1))).first()[0] == 0
+    ends = F.array(F.struct(F.col("hi").alias("node"), F.lit(1).alias("above"), F.lit(0).alias("below")), F.struct(F.col("lo").alias("node"), F.lit(0).alias("above"), F.lit(1).alias("below")))
+    placed = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("above").alias("above"), F.max("below").alias("below"))
+    return placed.where("above > 1 OR above = 1 AND below = 1").agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def _contract(edges: DataFrame) -> DataFrame:
     """One round: hang each node on its neighbours' lowest neighbour, then on its own lowest one."""
-    parents = _parents(edges).drop("degree")
+    parents = _parents(edges)
     lifted = (
         edges.join(parents, F.col("lo") == F.col("node"), "left")
         .select("hi", F.coalesce("parent", "lo").alias("lo"))
         .distinct()
     )
-    lowest = _parents(lifted).drop("degree")
+    lowest = _parents(lifted)
     moved = F.when(F.col("lo") == F.col("parent"), F.col("hi")).otherwise(F.col("lo"))
     return (
         lifted.join(lowest, F.col("hi") == F.col("node"))

@@ -193,3 +193,42 @@ def test_maps_bound_the_difference(spark):
     sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
     similar = {(i, j) for i, j in pairs if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
     assert similar and similar <= left and len(left) < 2 * len(similar)
+
+
+def test_each_link_is_contracted_once(spark, monkeypatch):
+    from rollcall.llm import simhash
+
+    rng, given = random.Random(9), []
+    contract = simhash.connected_components
+
+    def counted(edges):
+        given.append(edges.count())
+        return contract(edges)
+
+    monkeypatch.setattr(simhash, "connected_components", counted)
+    words = [f"w{i}" for i in range(4000)]
+    texts = []
+    for group in range(30):
+        base = rng.sample(words, 60)
+        for copy in range(1 + group % 4):
+            changed = list(base)
+            changed[copy] = f"c{copy}"
+            texts.append(" ".join(changed))
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    groups = simhash.near_copy_groups(rows).groupBy("root").count().collect()
+    assert len(groups) == 30
+    assert sum(given) <= len(texts)
+
+
+def test_components_joined_by_new_links_equal_those_of_all_links(spark):
+    from rollcall.llm.simhash import _joined
+
+    rng = random.Random(4)
+    roots, of = spark.createDataFrame([], "id long, root long"), {i: {i} for i in range(60)}
+    for _ in range(4):
+        links = [tuple(sorted(rng.sample(range(60), 2), reverse=True)) for _ in range(9)]
+        for hi, lo in links:
+            both = of[hi] | of[lo]
+            of.update({i: both for i in both})
+        roots = _joined(roots, spark.createDataFrame(links, "hi long, lo long"))
+        assert {r["id"]: r["root"] for r in roots.collect()} == {i: min(of[i]) for i in of if min(of[i]) != i}
