@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.sources.driver_tables import dealt
+
 CMS_SNIPPETS = (
     "<p>plain</p>",
     '<link href="/wp-content/a.css">',
@@ -36,7 +38,7 @@ def shop_site(key: Column) -> Column:
 
 def shop_pages(listings: DataFrame) -> DataFrame:
     """(url, status, html): home, contact and further pages of every shop."""
-    shops = listings.select(F.floor(F.col("id") / 2).alias("s")).distinct().withColumn("t", F.col("s").cast("string"))
+    shops = dealt(listings.select(F.floor(F.col("id") / 2).alias("s")), "s").distinct().withColumn("t", F.col("s").cast("string"))
     s, t = F.col("s"), F.col("t")
     root = _text("https://shop", t, ".example.ru")
     snippets = F.array(*[F.lit(x) for x in CMS_SNIPPETS])

@@ -58,3 +58,12 @@ def test_scans_read_only_what_a_query_needs(spark):
     pushed = contract.queries()["only_new"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderstatus,P)" in pushed
     assert table(spark, FOLDER, "orders").columns[0] == "o_orderkey"
+
+
+def test_what_is_derived_from_a_small_table_runs_on_all_cores(spark):
+    from rollcall.sources import derived_pages, driver_tables
+
+    rows = driver_tables.listings(spark, FOLDER)
+    cores = spark.sparkContext.defaultParallelism
+    assert rows.rdd.getNumPartitions() >= cores
+    assert derived_pages.shop_pages(rows).rdd.getNumPartitions() >= cores
