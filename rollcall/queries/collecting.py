@@ -14,7 +14,7 @@ from rollcall.scratch import keep, scratch_path
 from rollcall.sinks.tables import append_listings
 from rollcall.sources import derived_pages
 from rollcall.sources.cards import COMPANY_PAGE, DIRECTORY_FIRMS, DIRECTORY_MAP, DIRECTORY_PAGES, cards_of, company_page_links, union_sources
-from rollcall.sources.driver_tables import listings, shape_listings, table
+from rollcall.sources.driver_tables import dealt_listings, listings, shape_listings, table
 from rollcall.sources.jsonld import declared_totals, listed_businesses, local_listings
 from rollcall.sources.registry import collect_sources
 from rollcall.sources.search import detail_rows, recover_json, search_listings, search_queries, with_details
@@ -313,7 +313,7 @@ SELECT city, source, name, count(*) AS listings, 'firmsru;jsprav_playwright' AS
 )
 def _(spark, folder):
     """All sources but one that is off, one whose input is missing, and one that fails while it runs."""
-    rows = listings(spark, folder)
+    rows = dealt_listings(spark, folder)
     broken = derived_pages.card_pages(rows, "firms").withColumn("html", F.when(F.raise_error(F.lit("page lost")).isNull(), F.col("html")))
     inputs = {
         "jsprav": derived_pages.directory_pages(rows),

@@ -17,7 +17,7 @@ from rollcall.scratch import scratch_path
 from rollcall.sinks.reports import csv_rows, markdown_lines, read_csv
 from rollcall.sinks.tables import ScopedTable, Snapshots, upsert, without_scopes
 from rollcall.sources import derived_pages
-from rollcall.sources.driver_tables import enriched_listings, listings, sites
+from rollcall.sources.driver_tables import dealt_listings, enriched_listings, listings, sites
 from rollcall.sources.search import search_results
 
 
@@ -268,7 +268,7 @@ FROM valued""",
 )
 def _(spark, folder):
     """Listings to scored companies: grouping, site scan, profiles, search hits, gap filling, networks, scores."""
-    base = listings(spark, folder)
+    base = dealt_listings(spark, folder)
     shop = F.concat(derived_pages.shop_site(F.col("id")), F.lit("/"))
     rows = base.withColumn("website", F.when(F.col("id") % 3 == 1, shop).otherwise(F.col("website")))
     hits = search_results(derived_pages.search_answers(rows), 3).withColumnRenamed("name", "query_name")

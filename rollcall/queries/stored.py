@@ -22,7 +22,7 @@ from rollcall.scratch import keep, scratch_path
 from rollcall.sinks.reports import TOTAL_LINE, further_rows, markdown_lines, read_csv, read_further, write_csv, write_further
 from rollcall.sinks.tables import append_listings, read_scope
 from rollcall.sources import derived_pages
-from rollcall.sources.driver_tables import listings, sites
+from rollcall.sources.driver_tables import dealt_listings, listings, sites
 from rollcall.sources.search import search_results
 from rollcall.streaming.ingest import ingest, listing_stream
 
@@ -171,7 +171,7 @@ SELECT id, city, name, replace(phones, ';', '; ') AS phones, coalesce(website, '
 def _(spark, folder):
     """Listing files and stored inputs to exported reports, through the commands; the files are read back."""
     root = scratch_path(spark, "workspace")
-    base = listings(spark, folder)
+    base = dealt_listings(spark, folder)
     shop = F.concat(derived_pages.shop_site(F.col("id")), F.lit("/"))
     rows = base.withColumn("website", F.when(F.col("id") % 3 == 1, shop).otherwise(F.col("website")))
     unique = rows.withColumn("source_url", F.concat(F.lit("https://u/"), F.col("id").cast("string")))

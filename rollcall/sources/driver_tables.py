@@ -75,6 +75,11 @@ def dealt(rows: DataFrame, key: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
+    return shape_listings(table(spark, folder, "customer"), table(spark, folder, "nation"), table(spark, folder, "region"))
+
+
+def dealt_listings(spark: SparkSession, folder: str) -> DataFrame:
+    """``listings`` for work that costs much per row before its first shuffle, such as reading answers and page texts."""
     return shape_listings(dealt(table(spark, folder, "customer"), "c_custkey"), table(spark, folder, "nation"), table(spark, folder, "region"))
 
 

@@ -63,7 +63,6 @@ def test_scans_read_only_what_a_query_needs(spark):
 def test_what_is_derived_from_a_small_table_runs_on_all_cores(spark):
     from rollcall.sources import derived_pages, driver_tables
 
-    rows = driver_tables.listings(spark, FOLDER)
     cores = spark.sparkContext.defaultParallelism
-    assert rows.rdd.getNumPartitions() >= cores
-    assert derived_pages.shop_pages(rows).rdd.getNumPartitions() >= cores
+    assert driver_tables.dealt_listings(spark, FOLDER).rdd.getNumPartitions() >= cores
+    assert derived_pages.shop_pages(driver_tables.listings(spark, FOLDER)).rdd.getNumPartitions() >= cores
