@@ -300,6 +300,23 @@ def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int,
     return _meeting(placed, similarity)
 
 
+def _meeting_in_crowds(placed: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """As ``_meeting``, for shingles that many sets hold: maps of (node, map) travel along, so a pair they tell apart gives no row, any other
+    one row, in the first shingle of ``placed`` that both hold.
+    """
+    least = round(1000 * similarity)
+    order = Window.partitionBy("node").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    words = [F.col("map")[i].alias(f"m{i}") for i in range(MAP)]
+    wide = placed.withColumn("before", F.collect_list("h").over(order)).join(nodes.select("node", F.struct(*words).alias("map")), "node")
+    other = wide.select("h", F.struct("node", "size", "place", "root", "before", "map").alias("other"))
+    differ = F.lit(0)
+    for i in range(MAP):
+        differ = differ + F.bit_count(F.col(f"map.m{i}").bitwiseXOR(F.col(f"other.map.m{i}")))
+    near = differ * (1000 + least) <= (F.col("size") + F.col("other.size")) * (1000 - least)
+    first = ~F.arrays_overlap("before", "other.before")
+    return wide.join(other, "h").where((F.col("node") > F.col("other.node")) & _may_pair(similarity) & near & first).select("node", F.col("other.node").alias("other"))
+
+
 def _by_fingerprint(nodes: DataFrame) -> DataFrame:
     """(node, other): candidates by SimHash, sets of one fingerprint and sets whose fingerprints are within the radius, as stars."""
     prints = stored(nodes.groupBy("bits").agg(F.min("node").alias("first")), "near-prints")
@@ -331,7 +348,8 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
 
     Equal sets count once. Sets whose fingerprints are within the radius are compared first. Then those that share a shingle of their
     prefixes across components are: all of them where the shingle is rare, and where it is common, first in rounds, each set with one
-    drawn centre of its shingles, and then all that are still apart. So a large group costs a few checks a set.
+    drawn centre of its shingles, and then all that are still apart and that maps of the sets do not tell apart. The join on a common
+    shingle lists these pairs only; it still looks at every two sets of the shingle.
     """
     whole = keep(_sketches(rows, shingle), "near-sketches")
     sketches = stored(whole.df.select("row", "code"), "near-codes")
@@ -376,7 +394,7 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
         if turn < ROUNDS and linked:
             linked = compared(unsettled.where(_may_pair(similarity)).groupBy("node").agg(F.min_by("other.node", F.xxhash64("h", F.lit(turn))).alias("other")))
         else:
-            compared(_meeting(unsettled.drop("other"), similarity))
+            compared(_meeting_in_crowds(unsettled.drop("other"), nodes, similarity))
             break
     grouped = named.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").select("code", F.coalesce("root", "node").alias("root"))
     return sketches.select("row", "code").join(grouped, "code").select("row", "root")

@@ -232,3 +232,53 @@ def test_components_joined_by_new_links_equal_those_of_all_links(spark):
             of.update({i: both for i in both})
         roots = _joined(roots, spark.createDataFrame(links, "hi long, lo long"))
         assert {r["id"]: r["root"] for r in roots.collect()} == {i: min(of[i]) for i in of if min(of[i]) != i}
+
+
+def test_pairs_of_a_crowd_are_listed_once_and_only_where_maps_allow(spark, monkeypatch):
+    """A large group of near copies with 2 to 5 changed words: few pairs are listed, and the groups are those of all pairs."""
+    from rollcall.llm import simhash
+
+    draw, listed = random.Random(21), []
+    bounded = simhash._bounded
+
+    def counted(pairs, nodes, similarity):
+        listed.append(pairs.count())
+        return bounded(pairs, nodes, similarity)
+
+    monkeypatch.setattr(simhash, "_bounded", counted)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for copy in range(240):
+        changed = list(base)
+        for at in draw.sample(range(5, 145), draw.randint(2, 5)):
+            changed[at] = f"c{copy}-{at}"
+        texts.append(" ".join(changed))
+    got = {r["row"]: r["root"] for r in simhash.near_copy_groups(spark.createDataFrame(list(enumerate(texts)), "row long, text string")).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    similar = [(i, j) for i in range(len(sets)) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    low = list(range(len(sets)))
+    for _ in sets:
+        for i, j in similar:
+            low[i] = low[j] = min(low[i], low[j])
+    groups = lambda of: sorted(sorted(i for i in range(len(sets)) if of[i] == g) for g in set(of[i] for i in range(len(sets))))
+    assert groups(got) == groups(low)
+    assert sum(listed) <= 4 * len(texts) + len(similar)
+
+
+def test_crowds_meet_as_without_maps(spark):
+    """Shingles that many sets hold list the pairs that ``_meeting`` lists and maps leave, each in one row."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+
+    from rollcall.llm.simhash import _bounded, _meeting, _meeting_in_crowds, _sketches, _whole_sets
+
+    draw = random.Random(22)
+    lines = [" ".join(f"w{draw.randrange(300)}" for _ in range(15)) for _ in range(12)]
+    texts = [" ".join(draw.choices(lines, k=draw.randint(2, 5))) for _ in range(90)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    nodes = _sketches(rows, 5).withColumnRenamed("row", "node").cache()
+    whole = _whole_sets(rows.selectExpr("row as node", "cast(text as binary) as text"), 5).join(nodes.select("node", "size"), "node")
+    placed = whole.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("h")).cast("long")).where("place <= size - ceil(size * 0.8) + 1").withColumn("root", F.col("node")).cache()
+    pairs = lambda met: met.select(F.greatest("node", "other").alias("hi"), F.least("node", "other").alias("lo"))
+    left = sorted(map(tuple, _bounded(pairs(_meeting(placed, 0.8)), nodes, 0.8).collect()))
+    assert left and sorted(map(tuple, pairs(_meeting_in_crowds(placed, nodes, 0.8)).collect())) == left
