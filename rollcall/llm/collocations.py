@@ -8,13 +8,14 @@
    the count; a phrase keeps its interval in both transforms, so it can be extended to either side.
 3. Phrases grow by a word a round: words to the right, then pairs to the left, then triples to the right. Every shard finds the
    intervals of its frequent phrases by backward search and extends them by all words that stand there; a longer phrase can be frequent
-   only if both its parts without an end word are, and the interval it lies in tells whether the other part is. Counts of the shards
-   are added up, those below ``min_count`` go.
+   only if both its parts without an end word are, and the interval it lies in tells whether the other part is. A task goes through up to ``GROUP``
+   shards of a language one after another and adds up their counts, so a phrase is one row of the group. Counts of the groups are added
+   up, those below ``min_count`` go.
 4. Scores, and the best extension to the left and right of each candidate, are joins of the phrases found. A longer candidate that
    holds a phrase holds one a word longer than it that is at least as frequent, so extensions by one word decide what goes.
 
-Shards have a bounded number of words (a piece is never cut, so one piece may exceed it), whatever a language holds; a frequent phrase is one row a
-shard, and only counts meet. Index files have names of their own attempt and are read by the names in tables.
+Shards have a bounded number of words (a piece is never cut, so one piece may exceed it), whatever a language holds; a phrase is one row a
+group of shards, and only counts meet. Index files have names of their own attempt and are read by the names in tables.
 
 Defined results: null texts count as empty, null languages as ``und``; empty texts and empty tables give no phrases; equal rows count each; fewer
 candidates than ``top`` are all returned. Only ``text`` and ``lang`` are read, so further columns may have any name.
@@ -45,6 +46,12 @@ TOP = 2000
 SCALE = 2_000_000
 COVERED = 80
 SHARD_WORDS = 3_000_000
+#: Most shards whose counts a task adds up.
+GROUP = 4
+#: Groups for each core, while there are as many shards.
+TURNS = 3
+#: Rows of a batch that leaves Python.
+_ROWS = 1 << 16
 _HALF = 0xFFFFFFFF
 
 #: A-Z become a-z, ends of pieces line feeds, tabs blanks; all other bytes stay.
@@ -197,10 +204,12 @@ class WordIndex:
         return self.ids, low, low, n
 
     def find(self, words: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """(low, back, n) of phrases, given as the ids of their first words, of their second words, and so on."""
-        symbols = [np.searchsorted(self.ids, w) + 1 for w in words]
+        """(low, back, n) of phrases, given as the ids of their first words, of their second words, and so on. n is 0 for those with a word the shard lacks."""
+        at = [np.searchsorted(self.ids, w) for w in words]
+        known = np.logical_and.reduce([self.ids[np.minimum(a, len(self.ids) - 1)] == w for a, w in zip(at, words)])
+        symbols = [a + 1 for a in at]
         low, n = self.forward.find(symbols[::-1])
-        return low, self.backward.find(symbols)[0], n
+        return low, self.backward.find(symbols)[0], np.where(known, n, 0)
 
     def left(self, low: np.ndarray, back: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """(phrase, word id, low, back, n) of all phrases with one more word before."""
@@ -233,9 +242,26 @@ def _inside(at: np.ndarray, low: np.ndarray, n: np.ndarray) -> np.ndarray:
 _PHRASES = "shard long, k1 long, k2 long, n long"
 
 
-def _phrase_table(shard: int, *columns: np.ndarray) -> pa.RecordBatch:
-    arrays = [pa.array(np.full(len(columns[0]), shard, np.int64)), *(pa.array(c.astype(np.int64)) for c in columns)]
-    return pa.RecordBatch.from_arrays(arrays, names=["shard", "k1", "k2", "n"])
+def _phrase_table(shard: int, *columns: np.ndarray) -> pa.Table:
+    arrays = [pa.array(np.full(len(columns[0]), shard, np.int64)), *(pa.array(c.astype(np.int64, copy=False)) for c in columns)]
+    table = pa.table(arrays, names=["shard", "k1", "k2", "n"])
+    return pa.Table.from_batches(table.to_batches(_ROWS), table.schema)
+
+
+def _added(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """(*keys, n) in the order of the keys: counts of equal phrases added up."""
+    keys = [np.concatenate(c) for c in zip(one[:-1], other[:-1])]
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    for i, key in enumerate(keys):
+        keys[i] = key[order]
+    new = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])[: len(order)])
+    n = np.concatenate([one[-1], other[-1]])[order]
+    del order
+    return *(k[new] for k in keys), np.add.reduceat(n, new) if len(new) else n
+
+
+def _no_phrases(keys: int) -> tuple[np.ndarray, ...]:
+    return *(np.zeros(0, np.int64) for _ in range(keys)), np.zeros(0, np.int32)
 
 
 def _by_shard(df: DataFrame, shards: int) -> DataFrame:
@@ -255,7 +281,7 @@ def frequent_words(shards: DataFrame, min_count: int, shard_words: int) -> DataF
 
 
 def build_indexes(frequent: DataFrame, words: DataFrame, path: str, to: str, shards: int, depth: int = LONGEST) -> DataFrame:
-    """(shard): an index for each ``of``, from the ids of its shards and the ids of their frequent words, by a new number of its own."""
+    """(index, of): an index for each ``of``, from the ids of its shards and the ids of their frequent words, by a new number of its own."""
     named = frequent.join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("of").alias("shard"), F.col("shard").alias("part"), "local", F.col("id").cast("int").alias("id"))
 
     def build(group: pa.Table) -> pa.Table:
@@ -268,44 +294,71 @@ def build_indexes(frequent: DataFrame, words: DataFrame, path: str, to: str, sha
             symbols.append(own[ids])
         number = _number()
         WordIndex.of(np.concatenate(symbols), known, depth).save(to, _file(number))
-        return pa.table({"shard": pa.array([number], pa.int64())})
+        return pa.table({"index": pa.array([number], pa.int64()), "of": pa.array([group["shard"][0].as_py()], pa.int64())})
 
-    return _by_shard(named, shards).groupBy("shard").applyInArrow(build, "shard long")
+    return _by_shard(named, shards).groupBy("shard").applyInArrow(build, "index long, of long")
 
 
-def first_pairs(indexes: DataFrame, path: str) -> DataFrame:
-    """Two-word phrases of every shard with their counts there."""
+def grouped(indexes: DataFrame, shards: DataFrame, group: int = GROUP, turns: int = TURNS) -> DataFrame:
+    """(shard, index): indexes of a language put together, up to ``group`` under one number, fewer while a core has no ``turns`` of them."""
+    n = indexes.count()
+    groups = max(-(-n // group), min(n, turns * indexes.sparkSession.sparkContext.defaultParallelism), 1)
+    place = F.row_number().over(Window.orderBy("lang", "of")).cast("long") - 1
+    listed = indexes.join(shards.select(F.col("shard").alias("of"), "lang"), "of")
+    return listed.select(F.call_function("div", place * groups, F.lit(max(n, 1))).alias("shard"), "index")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                index = WordIndex.load(path, _file(shard))
-                first, low, back, n = index.words()
-                of, after, _, _, n = index.right(low, back, n)
-                yield _phrase_table(shard, first[of] << 32 | after, np.zeros(len(of)), n)
 
-    return _by_shard(indexes, indexes.count()).mapInArrow(run, _PHRASES)
+def first_pairs(indexes: DataFrame, shards: int, path: str) -> DataFrame:
+    """Two-word phrases of the indexes (shard, index) put together under each shard, with their counts there."""
+
+    def run(group: pa.Table) -> pa.Table:
+        found = _no_phrases(1)
+        for number in group["index"].to_pylist():
+            index = WordIndex.load(path, _file(number))
+            first, low, back, n = index.words()
+            of, after, _, _, n = index.right(low, back, n)
+            del index, low, back
+            found = _added(found, (first[of] << 32 | after, n.astype(np.int32)))
+        k1, n = found
+        return _phrase_table(group["shard"][0].as_py(), k1, np.zeros(len(k1), np.int64), n)
+
+    return _by_shard(indexes, shards).groupBy("shard").applyInArrow(run, _PHRASES)
 
 
-def longer_phrases(phrases: DataFrame, shards: int, path: str, words: int) -> DataFrame:
-    """Phrases of ``words`` words of every shard, from its frequent phrases of one word less."""
+def longer_phrases(phrases: DataFrame, shards: int, path: str, words: int, indexes: DataFrame | None = None) -> DataFrame:
+    """Phrases of ``words`` words of every shard, from its frequent phrases of one word less.
+
+    ``indexes`` has (shard, index), those put together under each shard; without it each shard's number is that of its index.
+    """
     to_left = words % 2 == 1
+    alone = indexes is None
+    given = phrases.select("shard", "k1", "k2", F.lit(None).cast("long").alias("index"))
+    if not alone:
+        nothing = F.lit(0).cast("long")
+        given = given.unionByName(indexes.select("shard", nothing.alias("k1"), nothing.alias("k2"), "index"))
 
     def run(group: pa.Table) -> pa.Table:
-        shard = group["shard"][0].as_py()
-        index = WordIndex.load(path, _file(shard))
-        k1, k2 = (group[c].to_numpy() for c in ("k1", "k2"))
-        low, back, n = index.find([k1 >> 32, k1 & _HALF, k2 >> 32][: words - 1])
-        of, word, new_low, new_back, count = (index.left if to_left else index.right)(low, back, n)
-        if to_left:
-            fits = _inside(new_low, low, n)
-            a, b = word << 32 | k1[of] >> 32, (k1[of] & _HALF) << 32 | k2[of] >> 32
-        else:
-            fits = _inside(new_back, back, n)
-            a, b = k1[of], k2[of] | word
-        return pa.Table.from_batches([_phrase_table(shard, *(c[fits] for c in (a, b, count)))])
-
-    return _by_shard(phrases.select("shard", "k1", "k2"), shards).groupBy("shard").applyInArrow(run, _PHRASES)
+        shard, of_index = group["shard"][0].as_py(), group["index"].is_valid().to_numpy()
+        known = group.select(["k1", "k2"]).filter(pa.array(~of_index))
+        k1, k2 = (known[c].to_numpy() for c in ("k1", "k2"))
+        found = _no_phrases(2)
+        for number in [shard] if alone else group["index"].drop_null().to_pylist():
+            index = WordIndex.load(path, _file(number))
+            low, back, n = index.find([k1 >> 32, k1 & _HALF, k2 >> 32][: words - 1])
+            here = n > 0
+            low, back, n, h1, h2 = low[here], back[here], n[here], k1[here], k2[here]
+            of, word, new_low, new_back, count = (index.left if to_left else index.right)(low, back, n)
+            if to_left:
+                fits = _inside(new_low, low, n)
+                a, b = word << 32 | h1[of] >> 32, (h1[of] & _HALF) << 32 | h2[of] >> 32
+            else:
+                fits = _inside(new_back, back, n)
+                a, b = h1[of], h2[of] | word
+            del index, new_low, new_back, word
+            found = _added(found, (a[fits], b[fits], count[fits].astype(np.int32)))
+        return _phrase_table(shard, *found)
+
+    return _by_shard(given, shards).groupBy("shard").applyInArrow(run, _PHRASES)
 
 
 def _frequent(phrases: DataFrame, min_count: int) -> DataFrame:
@@ -336,11 +389,12 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     words = stored(with_dense_ids(frequent.select("lang", "word", "f").distinct(), start=1), "phrase-words")
     if (words.agg(F.max("id")).first()[0] or 0) >= 1 << 31:
         raise ValueError("more frequent words than ids of 31 bits")
-    indexes = stored(build_indexes(frequent, words, ids, path, shards.count(), longest), "phrase-indexes")
+    built = stored(build_indexes(frequent, words, ids, path, shards.count(), longest), "phrase-indexes")
     _drop(spark, ids)
-    found = []
+    indexes = stored(grouped(built, shards), "phrase-groups")
+    groups, found = (indexes.agg(F.max("shard")).first()[0] or 0) + 1, []
     for size in range(2, longest + 1):
-        grown = first_pairs(indexes, path) if size == 2 else longer_phrases(found[-1], indexes.count(), path, size)
+        grown = first_pairs(indexes, groups, path) if size == 2 else longer_phrases(found[-1], groups, path, size, indexes)
         found.append(stored(_frequent(grown, min_count), f"phrases-{size}"))
     summed = [p.groupBy("k1", "k2").agg(F.first("f").alias("f")).select(F.lit(size).alias("size"), "k1", "k2", "f") for size, p in enumerate(found, 2)]
     phrases = summed[0]

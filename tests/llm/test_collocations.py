@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from rollcall.llm import collocations as module
 from rollcall.llm.collocations import WordIndex, collocations, longer_phrases, phrase_report, tokens
 
 SCHEMA = "doc_id long, text string, lang string, n long, word string, shard long"
@@ -105,3 +106,28 @@ def test_shards_are_not_dealt_twice(spark):
     phrases = spark.createDataFrame([(1, 0, 0, 0)], "shard long, k1 long, k2 long, n long")
     plan = longer_phrases(phrases, 2, "", 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Exchange rangepartitioning(shard" in plan
+
+
+def test_a_phrase_is_one_row_of_a_group_of_shards(spark, corpus, monkeypatch):
+    """Many small shards: rows are those of few groups, and the report is the same, also where a shard lacks words of its group."""
+    made, frequent, built, build = [], module._frequent, [], module.build_indexes
+
+    def counted(phrases, min_count):
+        made.append([tuple(r) for r in phrases.select("shard", "k1", "k2", "n").collect()])
+        return frequent(phrases, min_count)
+
+    def noted(*given):
+        built.append(given[4])
+        return build(*given)
+
+    monkeypatch.setattr(module, "_frequent", counted)
+    monkeypatch.setattr(module, "build_indexes", noted)
+    assert rows_of(spark, corpus, min_count=5, shard_words=30) == report(corpus, 5)
+    for rows in made:
+        assert len({r[:3] for r in rows}) == len(rows) and all(r[3] > 0 for r in rows)
+        assert 8 < len({r[0] for r in rows}) <= built[0] / 2
+
+
+def test_a_word_that_a_shard_lacks_is_not_found():
+    index = WordIndex.of(np.array([1, 2, 0, 1, 2]), np.array([5, 9]))
+    assert index.find([np.array([5, 5, 4, 9, 99]), np.array([9, 7, 9, 99, 99])])[2].tolist() == [2, 0, 0, 0, 0]
