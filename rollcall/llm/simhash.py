@@ -26,7 +26,9 @@ unless its component has no other; an empty table gives no rows. Only ``doc_id``
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,8 @@ LOW = 3 * (1 << 64) // 10
 MAP = 16
 #: Rounds of one check a set, before common shingles are joined.
 ROUNDS = 4
+#: Centres drawn for a shingle in a round.
+DRAWS = 8
 #: Buckets up to this size are paired directly.
 SMALL = 16
 _BLOCK = 1 << 14
@@ -275,12 +279,12 @@ def _prefixes(nodes: DataFrame, rows: DataFrame, shingle: int, similarity: float
     return stored(rare.unionByName(_placed(sets, similarity)), "near-prefixes")
 
 
-def _may_pair(similarity: float) -> Column:
+def _may_pair(similarity: float, other: str = "other") -> Column:
     """Whether a row and ``other``, in the first shingle they share, can be as similar as asked by their sizes and places (Xiao et al., WWW 2008)."""
     least = round(1000 * similarity)
-    fits = F.least("size", "other.size") * 1000 >= F.greatest("size", "other.size") * least
-    ahead = F.least(F.col("size") - F.col("place"), F.col("other.size") - F.col("other.place")) + 1
-    return (F.col("root") != F.col("other.root")) & fits & (ahead * (1000 + least) >= (F.col("size") + F.col("other.size")) * least)
+    fits = F.least("size", f"{other}.size") * 1000 >= F.greatest("size", f"{other}.size") * least
+    ahead = F.least(F.col("size") - F.col("place"), F.col(f"{other}.size") - F.col(f"{other}.place")) + 1
+    return (F.col("root") != F.col(f"{other}.root")) & fits & (ahead * (1000 + least) >= (F.col("size") + F.col(f"{other}.size")) * least)
 
 
 def _meeting(placed: DataFrame, similarity: float) -> DataFrame:
@@ -300,19 +304,37 @@ def _meeting_by_rare_shingles(nodes: DataFrame, texts: DataFrame, shingle: int,
     return _meeting(placed, similarity)
 
 
+def _unpacked(nodes: DataFrame) -> DataFrame:
+    """(node, map) with the map as a row of ``MAP`` longs."""
+    return nodes.select("node", F.struct(*[F.col("map")[i].alias(f"m{i}") for i in range(MAP)]).alias("map"))
+
+
+def _differ(other: str) -> Column:
+    """In how many bits the maps of a row and ``other`` differ."""
+    bits = [F.bit_count(F.col(f"map.m{i}").bitwiseXOR(F.col(f"{other}.map.m{i}"))) for i in range(MAP)]
+    return reduce(operator.add, bits)
+
+
+def _centres(labels: DataFrame, nodes: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """(h, node, size, place, common, root, other): rows whose shingle several components hold, with the nearest by maps of ``DRAWS`` drawn holders
+    that may pair, as (bits, node), or null."""
+    wide = labels.join(_unpacked(nodes), "node")
+    holder = F.struct("node", "size", "place", "root", "map")
+    drawn = [F.min_by(holder, F.xxhash64("node", F.lit(turn * DRAWS + k))).alias(f"c{k}") for k in range(DRAWS)]
+    several = wide.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), *drawn).where("low < high").drop("low", "high")
+    found = [F.when(_may_pair(similarity, f"c{k}"), F.struct(_differ(f"c{k}").alias("bits"), F.col(f"c{k}.node").alias("node"))) for k in range(DRAWS)]
+    return wide.join(several, "h").select(*labels.columns, F.least(*found).alias("other"))
+
+
 def _meeting_in_crowds(placed: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """As ``_meeting``, for shingles that many sets hold: maps of (node, map) travel along, so a pair they tell apart gives no row, any other
     one row, in the first shingle of ``placed`` that both hold.
     """
-    least = round(1000 * similarity)
     order = Window.partitionBy("node").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    words = [F.col("map")[i].alias(f"m{i}") for i in range(MAP)]
-    wide = placed.withColumn("before", F.collect_list("h").over(order)).join(nodes.select("node", F.struct(*words).alias("map")), "node")
+    wide = placed.withColumn("before", F.collect_list("h").over(order)).join(_unpacked(nodes), "node")
     other = wide.select("h", F.struct("node", "size", "place", "root", "before", "map").alias("other"))
-    differ = F.lit(0)
-    for i in range(MAP):
-        differ = differ + F.bit_count(F.col(f"map.m{i}").bitwiseXOR(F.col(f"other.map.m{i}")))
-    near = differ * (1000 + least) <= (F.col("size") + F.col("other.size")) * (1000 - least)
+    least = round(1000 * similarity)
+    near = _differ("other") * (1000 + least) <= (F.col("size") + F.col("other.size")) * (1000 - least)
     first = ~F.arrays_overlap("before", "other.before")
     return wide.join(other, "h").where((F.col("node") > F.col("other.node")) & _may_pair(similarity) & near & first).select("node", F.col("other.node").alias("other"))
 
@@ -347,8 +369,8 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
     """(row, root) for every row of (row, text): the components of all pairs at least that similar.
 
     Equal sets count once. Sets whose fingerprints are within the radius are compared first. Then those that share a shingle of their
-    prefixes across components are: all of them where the shingle is rare, and where it is common, first in rounds, each set with one
-    drawn centre of its shingles, and then all that are still apart and that maps of the sets do not tell apart. The join on a common
+    prefixes across components are: all of them where the shingle is rare, and where it is common, first in rounds, each set with the nearest by maps
+    of the centres drawn for its shingles, and then all that are still apart and that maps of the sets do not tell apart. The join on a common
     shingle lists these pairs only; it still looks at every two sets of the shingle.
     """
     whole = keep(_sketches(rows, shingle), "near-sketches")
@@ -387,12 +409,11 @@ def near_copy_groups(rows: DataFrame, shingle: int = STAGE_SHINGLE, similarity:
     linked = True
     for turn in range(ROUNDS + 1):
         labels = labelled(prefixes.where("common"))
-        several = labels.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("node", "size", "place", "root"), F.xxhash64("node", F.lit(turn))).alias("other"))
-        unsettled = stored(labels.join(several.where("low < high").select("h", "other"), "h"), "near-unsettled")
+        unsettled = stored(_centres(labels, nodes, turn, similarity), "near-unsettled")
         if unsettled.isEmpty():
             break
         if turn < ROUNDS and linked:
-            linked = compared(unsettled.where(_may_pair(similarity)).groupBy("node").agg(F.min_by("other.node", F.xxhash64("h", F.lit(turn))).alias("other")))
+            linked = compared(unsettled.where("other IS NOT NULL").groupBy("node").agg(F.min("other").alias("other")).select("node", F.col("other.node").alias("other")))
         else:
             compared(_meeting_in_crowds(unsettled.drop("other"), nodes, similarity))
             break
