@@ -3,7 +3,7 @@
 A group may hold any share of the data (every shop on one portal host), so a company
 is kept as a row of plain values plus long tables of its phones, e-mails and listing
 ids. Plain values come from aggregates with constant-size buffers. ``nest`` builds
-one row per company for reports, with lists of bounded size.
+one row per company, with lists of all values: long ones are sorted in pieces by many tasks.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ STREET_CONFLICT = "same_name_diff_address"
 
 PHONE, EMAIL, LISTING = "phone", "email", "listing"
 
-#: Most values of a kind in the row of a company; all of them are in its facts.
-LISTED = 10_000
+#: Values of a kind that are sorted at once for the row of a company; longer lists are put together from sorted pieces.
+PIECE = 10_000
 
 
 @dataclass(frozen=True)
@@ -260,8 +260,8 @@ def _placed(facts: DataFrame, kinds: DataFrame) -> DataFrame:
     return numbered(facts.join(kinds, ["id", "kind"], "left_semi"), ["id", "kind"], ["first_id", "pos", "value"], "place")
 
 
-def first_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
-    """The facts that fit into the lists of a company's row: the first ``limit`` of each kind.
+def first_values(facts: DataFrame, limit: int) -> DataFrame:
+    """The facts that fit into lists of ``limit`` values: the first ones of each kind.
 
     Only kinds of a company with more values are put in order; the others are taken as they are.
     """
@@ -270,23 +270,43 @@ def first_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
     return facts.join(sizes, ["id", "kind"], "left_anti").unionByName(large.where(F.col("place") <= limit).drop("place"))
 
 
-def further_values(facts: DataFrame, limit: int = LISTED) -> DataFrame:
-    """The facts that do not, with their ``place``: values of a kind after the first ``limit`` of a company."""
+def further_values(facts: DataFrame, limit: int | None = None) -> DataFrame:
+    """The facts that do not, with their ``place``: values of a kind after the first ``limit`` of a company. None without a limit."""
+    if limit is None:
+        return facts.where(F.lit(False)).withColumn("place", F.lit(0).cast("long"))
     return _placed(facts, _long_kinds(facts, limit)).where(F.col("place") > limit)
 
 
-def nest(companies: DataFrame, facts: DataFrame, limit: int = LISTED) -> DataFrame:
+def _pieces(facts: DataFrame, size: int) -> DataFrame:
+    """(id, kind, piece): the facts as pieces (first_id, pos, values) that give, in order, all values of a kind in first-seen order.
+
+    Kinds with up to ``size`` values have a piece for each; of the others each piece holds ``size`` values, sorted in a task of its own.
+    """
+    sizes = _long_kinds(facts, size)
+    single = F.struct("first_id", "pos", F.array("value").alias("values"))
+    short = facts.join(sizes, ["id", "kind"], "left_anti").select("id", "kind", single.alias("piece"))
+    number = F.call_function("div", F.col("place") - 1, F.lit(size))
+    ordered = (
+        _placed(facts, sizes)
+        .groupBy("id", "kind", number.alias("number"))
+        .agg(F.array_sort(F.collect_list(F.struct("first_id", "pos", "value"))).alias("entries"))
+    )
+    whole = F.struct(F.col("entries")[0]["first_id"].alias("first_id"), F.col("entries")[0]["pos"].alias("pos"), F.col("entries")["value"].alias("values"))
+    return short.unionByName(ordered.select("id", "kind", whole.alias("piece")))
+
+
+def nest(companies: DataFrame, facts: DataFrame, limit: int | None = None) -> DataFrame:
     """Companies with lists: ``phones``, ``emails`` and ``merged_from`` in first-seen order, one row per company.
 
-    The counts ``n_phones``, ``n_emails`` and ``n_listings`` are those of all values. The lists hold the first ``limit`` of each
-    kind, so that no row is unbounded; ``further_values`` has the rest, and ``facts`` all of them.
+    The lists hold all values. With a ``limit`` they hold the first so many of each kind, and ``further_values`` has the rest;
+    ``n_phones``, ``n_emails`` and ``n_listings`` count all values either way.
     """
 
     def listed(kind: str) -> Column:
-        entry = F.when(F.col("kind") == kind, F.struct("first_id", "pos", "value"))
-        return F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["value"])
+        pieces = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("piece"))))
+        return F.flatten(F.transform(pieces, lambda p: p["values"]))
 
-    lists = first_values(facts, limit).groupBy("id").agg(
+    lists = _pieces(facts if limit is None else first_values(facts, limit), PIECE).groupBy("id").agg(
         listed(PHONE).alias("phones"),
         listed(EMAIL).alias("emails"),
         F.transform(listed(LISTING), lambda v: v.cast("long")).alias("merged_from"),

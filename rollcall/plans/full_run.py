@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.html import add_missing_keys
 from rollcall.functions.urls import clean_website, site_root
 from rollcall.operators.gaps import best_hits, fill_gaps, missing_contacts, one_per_page, only_new
-from rollcall.operators.merge import LISTED, LISTING, PHONE, extend_entities, fact_counts, nest, resolve_entities, unnest
+from rollcall.operators.merge import LISTING, PHONE, extend_entities, fact_counts, nest, resolve_entities, unnest
 from rollcall.operators.network import flag_networks
 from rollcall.operators.picking import first_per_key
 from rollcall.operators.scoring import score_companies
@@ -26,7 +26,7 @@ from rollcall.sinks.reports import export_all
 class Rules:
     """What a run may vary. ``rank_titles`` prefers search hits whose title names the company to the first hit.
 
-    ``listed`` is how many values of a kind stand in a company's row; exports write the others beside their reports.
+    ``listed`` is how many values of a kind stand in a company's row, by default all; exports write the others beside their reports.
     """
 
     scope: tuple[str, ...] = ("city",)
@@ -34,7 +34,7 @@ class Rules:
     levels: dict = field(default_factory=lambda: dict(LEVELS))
     network_size: int = NETWORK_SIZE
     rank_titles: bool = False
-    listed: int = LISTED
+    listed: int | None = None
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class Finished:
 
     scored: DataFrame
     facts: DataFrame
-    listed: int = LISTED
+    listed: int | None = None
 
     @cached_property
     def companies(self) -> DataFrame:

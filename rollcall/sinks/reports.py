@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.texts import escape_markdown, variant_label
 from rollcall.operators.linkage import SCOPE
-from rollcall.operators.merge import EMAIL, LISTED, PHONE, further_values
+from rollcall.operators.merge import EMAIL, PHONE, further_values
 from rollcall.operators.picking import numbered
 from rollcall.operators.presets import apply_preset
 from rollcall.scratch import keep
@@ -241,8 +241,8 @@ FURTHER = "_further"
 FURTHER_COLUMNS = ("id", "kind", "place", "value")
 
 
-def further_rows(companies: DataFrame, facts: DataFrame, limit: int = LISTED, scope: str = "city") -> DataFrame:
-    """(city, id, kind, place, value): values of companies after the first ``limit`` of a kind, which their lists end at."""
+def further_rows(companies: DataFrame, facts: DataFrame, limit: int | None = None, scope: str = "city") -> DataFrame:
+    """(city, id, kind, place, value): values of companies after the first ``limit`` of a kind, which their lists end at. None without a limit."""
     own = facts.select("id", "kind", "value", "first_id", "pos")
     return further_values(own, limit).join(companies.select("id", scope), "id").select(scope, *FURTHER_COLUMNS)
 

@@ -266,3 +266,14 @@ def test_exports_hold_every_value_of_a_company(spark, tmp_path):
     wide.export()
     assert beside("enriched") == [] and beside("manual_search") == expected
     assert read_csv(spark, f"{root}/export/enriched").where("id = '1'").first().phones == "; ".join(phones)
+
+
+def test_a_run_lists_every_value_of_a_large_company(spark):
+    n = 10_050
+    rows = spark.range(n).selectExpr("id", "array('89031234567', concat('8904', lpad(CAST(id AS string), 7, '0'))) AS phones", "'Много' AS name", "'A' AS city")
+    listings = listing_table(spark, []).unionByName(rows, allowMissingColumns=True)
+    inputs = {name: spark.createDataFrame([], schema) for name, schema in INPUTS.items() if name != "fetched"}
+    inputs["hits"] = inputs["hits"].select("city", "query_name", "pos", "url", "title")
+    (row,) = run(listings, **inputs).companies.select("id", "phones", "merged_from", "n_phones").collect()
+    assert row.merged_from == list(range(n)) and row.n_phones == n + 1
+    assert row.phones == ["79031234567"] + [f"7904{i:07d}" for i in range(n)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import common_length, least_distance, letter_bits
 from rollcall.operators.linkage import clean_contacts, clusters_by_key, connected_components, phone_links, shared_domains, site_links, star_edges
-from rollcall.operators.merge import EMAIL, LISTING, PHONE, extend_entities, extended_links, further_values, nest, resolve_entities
+from rollcall.operators.merge import EMAIL, LISTING, PHONE, PIECE, extend_entities, extended_links, further_values, nest, resolve_entities
 from rollcall.operators import name_pairs
 from rollcall.operators.name_pairs import candidate_pairs, name_edges, name_groups, similar_name_pairs
 from rollcall.operators.picking import first_per_key, numbered, with_dense_ids
@@ -178,6 +178,20 @@ def test_a_group_that_holds_most_rows_is_kept_whole(spark):
     assert kinds == {PHONE: 700, LISTING: 750} and EMAIL not in kinds
 
 
+def test_lists_hold_all_values_however_many(spark):
+    """More values than are sorted in one piece: the row of the company has all of them in first-seen order, also by default."""
+    n = 2 * PIECE + 7
+    facts = spark.range(n).selectExpr("1L AS id", "'phone' AS kind", "concat('79', lpad(id * 7919 % 1000003, 9, '0')) AS value", "id AS first_id", "0 AS pos")
+    members = spark.range(n).selectExpr("1L AS id", "'listing' AS kind", "CAST(id AS string) AS value", "id AS first_id", "0 AS pos")
+    few = spark.createDataFrame([(1, "email", "b@x.ru", 4, 0), (1, "email", "a@x.ru", 4, 1), (2, "phone", "7", 9, 0)], "id long, kind string, value string, first_id long, pos int")
+    rows = {r.id: r for r in nest(spark.range(1, 4).toDF("id"), facts.unionByName(members).unionByName(few)).collect()}
+    assert rows[1].phones == [f"79{i * 7919 % 1000003:09d}" for i in range(n)]
+    assert rows[1].merged_from == list(range(n)) and rows[1].emails == ["b@x.ru", "a@x.ru"]
+    assert (rows[2].phones, rows[2].emails, rows[2].merged_from) == (["7"], [], [])
+    assert (rows[3].phones, rows[3].emails) == ([], [])
+    assert further_values(facts).collect() == []
+
+
 def test_shared_hosts_can_be_set_aside(spark):
     df = table(spark, [listing(1, website="vk.com/a"), listing(2, website="vk.com/b")])
     assert resolve_entities(df).companies.count() == 1
