@@ -5,11 +5,12 @@ two such pairs and an insertion one, so two texts as alike as asked have most pa
 the rarest pairs of each is a rare one of the other: as many of the rarest, and one more, as edits could spoil (prefix
 filtering, Chaudhuri et al., ICDE 2006). Texts meet in an equi-join on (scope, block, lengths, letter pair). What nearly all names
 of a block share is never a join key unless the rest of a name is shorter than the edits allowed. The filter
-loses no pair; what it lets through is checked by letter counts and a bounded Levenshtein test, both in machine words, which leave
-the distance between two bounds. Only where the bounds differ is it measured, for all pairs of a batch at a time.
+loses no pair. The names of a join key are joined in chunks, so a joined row stands for thousands of pairs. These are checked in Arrow batches,
+all pairs of some rows in one step each: by letter counts in machine words, then by their distance, with the places of the shorter name in
+the bits of one word and without the letters that all names of a row share at their ends.
 
-Two names that have several rare pairs in common meet in each, and count in the rarest: every row carries the rarer pairs of its
-name. So pairs are listed as they are found, without a shuffle of what is found, and only the rows that meet are ever on disk.
+Two names that have several rare pairs in common meet in each, and count in the rarest: every name carries its rarer pairs.
+So pairs are listed as they are found, without a shuffle of what is found, and only the rows that meet are ever on disk.
 
 ``name_groups`` gives the groups that similar names form without listing their pairs. Names that meet in a key are compared with
 one of them, links are contracted, and a key whose names are in one group by then is done with. Where that
@@ -102,10 +103,30 @@ def _rare_pairs(names: DataFrame, keys: list[str], threshold: int) -> DataFrame:
     return met.withColumn("rarer", F.slice("rare", F.lit(1), F.col("place"))).drop("rare", "place")
 
 
-def _sides(rare: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The names of each join key that may be the longer one of a pair, and those that may be the shorter one."""
-    of = lambda length, x: rare.where(F.length("text") == F.col(length)).select(*keys, *[F.col(c).alias(f"{c}_{x}") for c in ("text", "id", "bits", "rarer")])
-    return of("long", "a"), of("short", "b")
+#: Names that are joined in one row, and how many rows of the longer names of a key one task has at a time.
+_CHUNK, _TOGETHER = 128, 16
+
+
+def _met_chunks(rare: DataFrame, scope: tuple[str, ...], keys: list[str]) -> DataFrame:
+    """(scope, same, names_a, names_b): chunks (id, text, rarer) of the names of each join key, those that may be the longer one of a pair first.
+
+    ``same`` is whether both have one length, so that each name stands on both sides. A key with many names is dealt over several tasks.
+    """
+    is_long, is_short = F.length("text") == F.col("long"), F.length("text") == F.col("short")
+    sizes = rare.groupBy(*keys).agg(F.count_if(is_long).alias("n_a"), F.count_if(is_short).alias("n_b"))
+    met = sizes.where("n_a > 0 AND n_b > 0 AND (long > short OR n_a > 1)")
+    sides = F.array_compact(F.array(F.when(is_long, F.lit("a")), F.when(is_short, F.lit("b"))))
+    sided = rare.join(met.hint("merge"), keys).withColumn("side", F.explode(sides))
+    pieces = lambda n: F.ceil(n / _CHUNK)
+    chunk = F.pmod(F.xxhash64("id"), pieces(F.when(F.col("side") == "a", F.col("n_a")).otherwise(F.col("n_b"))))
+    named = F.collect_list(F.struct("id", "text", "rarer")).alias("names")
+    cut = sided.groupBy(*keys, "side", chunk.alias("chunk")).agg(named, F.ceil(pieces(F.first("n_a")) / _TOGETHER).alias("parts"))
+    chunks = keep(cut, "name-chunks").df
+    longer = chunks.where("side = 'a'").select(*keys, F.call_function("div", "chunk", F.lit(_TOGETHER)).alias("part"), F.col("names").alias("names_a"))
+    shorter = chunks.where("side = 'b'").select(*keys, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("names").alias("names_b"))
+    join_keys = [*keys, "part"]
+    longer, shorter = (side.repartition(_tasks(rare.sparkSession), *join_keys) for side in (longer, shorter))
+    return longer.join(shorter.hint("merge"), join_keys).select(*scope, (F.col("long") == F.col("short")).alias("same"), "names_a", "names_b")
 
 
 def _checked_threshold(threshold: int) -> int:
@@ -115,18 +136,15 @@ def _checked_threshold(threshold: int) -> int:
 
 
 def candidate_pairs(listings: DataFrame, threshold: int, scope: tuple[str, ...] = SCOPE, block: str = "first") -> DataFrame:
-    """(scope, text_a, id_a, bits_a, text_b, id_b, bits_b): the pairs of names that are looked at, each once, the longer one first."""
+    """(scope, lo, hi, text_lo, text_hi, distance): the pairs of names whose distance is measured, each once, with that distance."""
+    return _compared(_met(listings, threshold, scope, block), threshold, scope, every=True)
+
+
+def _met(listings: DataFrame, threshold: int, scope: tuple[str, ...], block: str) -> DataFrame:
     keys = [*scope, "block"]
     names = distinct_names(listings, scope, block)
-    # The bits of a name go to its rows by a join, as every row would compute them again.
     rare = keep(_rare_pairs(names, keys, _checked_threshold(threshold)), "rare-pairs").df
-    bits = keep(names.repartition(_tasks(names.sparkSession), "id").select("id", letter_bits(F.col("text")).alias("bits")), "name-bits").df
-    join_keys = [*keys, "long", "short", "pair"]
-    marked = rare.join(bits.hint("merge"), "id")
-    longer, shorter = (side.repartition(_tasks(names.sparkSession), *join_keys) for side in _sides(marked, join_keys))
-    met = longer.join(shorter.hint("merge"), join_keys).where((F.col("long") > F.col("short")) | (F.col("text_a") > F.col("text_b")))
-    near = met.where(least_distance("bits_a", "bits_b") <= _allowed(threshold)).where(~F.arrays_overlap("rarer_a", "rarer_b"))
-    return near.select(*scope, "text_a", "id_a", "bits_a", "text_b", "id_b", "bits_b")
+    return _met_chunks(rare, scope, [*keys, "long", "short", "pair"])
 
 
 def _allowed(threshold: int) -> Column:
@@ -209,6 +227,181 @@ def _measured(pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in pairs.schema]))
 
 
+#: Letters that the bits of one word have a place for.
+_PLACES = 64
+#: Pairs and names that are worked on at a time, unless one row has more.
+_PAIRS, _NAMES = 1 << 17, 1 << 13
+
+
+class _Names:
+    """The names of one side of some joined rows: ids, texts, letters, what is counted of them, and the rarer pairs of each."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.many = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        self.first = np.cumsum(self.many) - self.many
+        ids, self.texts, rarer = lists.flatten().flatten()
+        self.ids = ids.to_numpy()
+        self.codes, self.starts, self.sizes = _letters(self.texts)
+        self.n_rarer = pc.list_value_length(rarer).to_numpy().astype(np.int64)
+        self.rarer = rarer.flatten().to_numpy()
+
+    def of_rows(self, found: np.ufunc, values: np.ndarray) -> np.ndarray:
+        return found.reduceat(values, self.first)
+
+    def letter_words(self) -> list[np.ndarray]:
+        """Words with a bit for each of the first letters of a cell, as ``letter_bits`` has it."""
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        counts = np.bincount(owner * 64 + self.codes % 64, minlength=64 * len(self.sizes)).reshape(-1, 64)
+        return [np.packbits(counts > nth, axis=1).view(np.uint64)[:, 0] for nth in range(4)]
+
+    def rarer_words(self, numbers: np.ndarray) -> list[np.ndarray]:
+        """Four words with the bits of the ``numbers``, modulo 256, of a name's rarer pairs."""
+        held = np.zeros((len(self.sizes), 256), bool)
+        held[np.repeat(np.arange(len(self.sizes)), self.n_rarer), numbers % 256] = True
+        return list(np.packbits(held, axis=1).view(np.uint64).T.copy())
+
+
+def _shared(a: _Names, b: _Names, most: np.ndarray, at_end: bool) -> np.ndarray:
+    """How many letters, up to ``most``, all names of a row have in common at their start or end."""
+    shared, alike, k = np.zeros(len(most), np.int64), most > 0, 0
+    while alike.any():
+        letters = [x.codes[np.clip(x.starts + (x.sizes - 1 - k if at_end else k), 0, len(x.codes) - 1)] for x in (a, b)]
+        low = np.minimum(a.of_rows(np.minimum, letters[0]), b.of_rows(np.minimum, letters[1]))
+        high = np.maximum(a.of_rows(np.maximum, letters[0]), b.of_rows(np.maximum, letters[1]))
+        alike &= low == high
+        shared += alike
+        k += 1
+        alike &= most > k
+    return shared
+
+
+class _Inner:
+    """Distances of names of joined rows: only what is between the letters that all names of a row share is compared."""
+
+    def __init__(self, a: _Names, b: _Names):
+        least = np.minimum(a.of_rows(np.minimum, a.sizes), b.of_rows(np.minimum, b.sizes))
+        start = _shared(a, b, least, False)
+        end = _shared(a, b, least - start, True)
+        self.a, self.b = a, b
+        (self.a_from, self.a_size), (self.b_from, self.b_size) = (
+            (x.starts + np.repeat(start, x.many), x.sizes - np.repeat(start + end, x.many)) for x in (a, b)
+        )
+        known = np.zeros(max(x.codes.max(initial=0) for x in (a, b)) + 2, bool)
+        for x in (a, b):
+            known[x.codes] = True
+        number = np.cumsum(known) - 1
+        self.letters = int(known.sum()) + 1  # and one that no name has
+        at = np.arange(self.a_size.max(initial=0))[:, None]
+        inside = at < self.a_size
+        self.columns = np.where(inside, number[a.codes[np.where(inside, self.a_from + at, 0)]], self.letters - 1)
+        fits = np.where(self.b_size <= _PLACES, self.b_size, 0)
+        owner = np.repeat(np.arange(len(fits)), fits)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(fits) - fits, fits)
+        self.places = np.zeros(len(fits) * self.letters, np.uint64)
+        np.add.at(self.places, owner * self.letters + number[b.codes[self.b_from[owner] + place]], np.left_shift(np.uint64(1), place.astype(np.uint64)))
+
+    def distances(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Letters to delete and insert to turn name i of the one side into name j of the other.
+
+        One word has the places of j's letters that no common subsequence ends at yet, and each letter of i is one step for all pairs.
+        """
+        distance = np.empty(len(i), np.int64)
+        long = self.b_size[j] > _PLACES
+        if long.any():
+            distance[long] = indel_distances(self.a.texts.take(pa.array(i[long])), self.b.texts.take(pa.array(j[long])))
+        short = np.flatnonzero(~long)
+        short = short[np.argsort(-self.a_size[i[short]], kind="stable")]
+        for low in range(0, len(short), 1 << 15):
+            part = short[low : low + (1 << 15)]
+            of_a, row = i[part], j[part] * self.letters
+            size = self.a_size[of_a]
+            steps = len(part) - np.searchsorted(size[::-1], np.arange(size[0]), side="right") if len(size) else ()
+            unmet = np.full(len(part), ~np.uint64(0))
+            for k, n in enumerate(steps):
+                here = unmet[:n]
+                hit = self.places[row[:n] + self.columns[k][of_a[:n]]] & here
+                unmet[:n] = (here + hit) | (here - hit)
+            common = np.bitwise_count(~unmet).astype(np.int64)
+            distance[part] = size + self.b_size[j[part]] - 2 * common
+        return distance
+
+
+def _differ(a: list[np.ndarray], i: np.ndarray, b: list[np.ndarray], j: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(i), np.uint8)
+    for x, y in zip(a, b, strict=True):
+        total = total + np.bitwise_count(x[i] ^ y[j]).astype(np.int64)
+    return total
+
+
+def _first_met(a: _Names, i: np.ndarray, b: _Names, j: np.ndarray) -> np.ndarray:
+    """Whether names i and j have no rarer pair in common than the one they meet in here."""
+    distinct, numbers = np.unique(np.concatenate([a.rarer, b.rarer]), return_inverse=True)
+    numbers_a, numbers_b = numbers[: len(a.rarer)], numbers[len(a.rarer) :]
+    overlap = np.zeros(len(i), bool)
+    for x, y in zip(a.rarer_words(numbers_a), b.rarer_words(numbers_b), strict=True):
+        overlap |= (x[i] & y[j]) != 0
+    if len(distinct) > 256:
+        # Different pairs may share a bit, so what overlaps is looked up.
+        perhaps = np.flatnonzero(overlap)
+        really = np.zeros(len(perhaps), bool)
+        matrix = lambda x, numbers, filler: _rows(numbers, np.cumsum(x.n_rarer) - x.n_rarer, x.n_rarer, filler)
+        columns_b = [row[j[perhaps]] for row in matrix(b, numbers_b, -2)]
+        for row in matrix(a, numbers_a, -1):
+            of_a = row[i[perhaps]]
+            for of_b in columns_b:
+                really |= of_a == of_b
+        overlap[perhaps] = really
+    return ~overlap
+
+
+def _similar(rows: pa.RecordBatch, threshold: int, every: bool) -> pa.RecordBatch:
+    """The similar pairs of names that some joined rows stand for, or with ``every`` all that are measured."""
+    n_scope = rows.num_columns - 3
+    a, b = _Names(rows.column(n_scope + 1)), _Names(rows.column(n_scope + 2))
+    same = rows.column(n_scope).to_numpy(zero_copy_only=False)
+    counts = a.many * b.many
+    row = np.repeat(np.arange(len(counts)), counts)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    of_a = within // b.many[row]
+    i, j = a.first[row] + of_a, b.first[row] + within - of_a * b.many[row]
+    once = np.flatnonzero(~same[row] | (a.ids[i] < b.ids[j]))
+    row, i, j = row[once], i[once], j[once]
+    limit = lambda: (100 - threshold) * (a.sizes[i] + b.sizes[j])
+    near = np.flatnonzero(100 * _differ(a.letter_words(), i, b.letter_words(), j) <= limit())
+    row, i, j = row[near], i[near], j[near]
+    new = np.flatnonzero(_first_met(a, i, b, j))
+    row, i, j = row[new], i[new], j[new]
+    distance = _Inner(a, b).distances(i, j)
+    if not every:
+        alike = np.flatnonzero(100 * distance <= limit())
+        row, i, j, distance = row[alike], i[alike], j[alike], distance[alike]
+    texts = pa.concat_arrays([a.texts, b.texts])
+    id_a, id_b, j = a.ids[i], b.ids[j], j + len(a.ids)
+    first, last = np.where(id_a < id_b, i, j), np.where(id_a < id_b, j, i)
+    columns = [rows.column(c).take(pa.array(row)) for c in range(n_scope)]
+    columns += [pa.array(np.minimum(id_a, id_b)), pa.array(np.maximum(id_a, id_b)), texts.take(pa.array(first)), texts.take(pa.array(last)), pa.array(distance.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=[*rows.schema.names[:n_scope], "lo", "hi", "text_lo", "text_hi", "distance"])
+
+
+def _compared(met: DataFrame, threshold: int, scope: tuple[str, ...], every: bool = False) -> DataFrame:
+    """(scope, lo, hi, text_lo, text_hi, distance) of the pairs in joined chunks of names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [pc.list_value_length(batch.column(len(scope) + c)).to_numpy().astype(np.int64) for c in (1, 2)]
+            pairs, names = np.cumsum(sizes[0] * sizes[1]), np.cumsum(sizes[0] + sizes[1])
+            low = 0
+            while low < batch.num_rows:
+                before = (pairs[low - 1], names[low - 1]) if low else (0, 0)
+                fits = np.searchsorted(pairs, before[0] + _PAIRS, side="right"), np.searchsorted(names, before[1] + _NAMES, side="right")
+                high = max(min(fits), low + 1)
+                yield _similar(batch.slice(low, high - low), threshold, every)
+                low = high
+
+    found = [T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()), T.StructField("text_lo", T.StringType()), T.StructField("text_hi", T.StringType()), T.StructField("distance", T.IntegerType())]
+    return met.mapInArrow(run, T.StructType([*[met.schema[c] for c in scope], *found]))
+
+
 def similar_name_pairs(
     listings: DataFrame, threshold: int = NAME_SIMILARITY, scope: tuple[str, ...] = SCOPE, block: str = "first"
 ) -> DataFrame:
@@ -218,17 +411,7 @@ def similar_name_pairs(
     ``same_name_edges`` they connect the same listings as all pairs would. The distance counts deletions and
     insertions, relative to the summed lengths.
     """
-    pairs = candidate_pairs(listings, threshold, scope, block)
-    bounded = pairs.select(*scope, "id_a", "id_b", "text_a", "text_b", rows_with(_bounded_distance(threshold)).alias("distance"))
-    a_first = F.col("id_a") < F.col("id_b")
-    return _measured(bounded, threshold).select(
-        *scope,
-        F.least("id_a", "id_b").alias("lo"),
-        F.greatest("id_a", "id_b").alias("hi"),
-        F.when(a_first, F.col("text_a")).otherwise(F.col("text_b")).alias("text_lo"),
-        F.when(a_first, F.col("text_b")).otherwise(F.col("text_a")).alias("text_hi"),
-        "distance",
-    )
+    return _compared(_met(listings, threshold, scope, block), threshold, scope)
 
 
 def _linked(pairs: DataFrame, threshold: int) -> DataFrame:

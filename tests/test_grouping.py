@@ -325,6 +325,31 @@ def test_similar_pairs_are_listed_without_a_shuffle_of_pairs(spark):
     assert len(found) == len({(r.lo, r.hi) for r in found}) > 60
 
 
+def test_names_meet_in_chunks(spark, monkeypatch):
+    """What is joined are chunks of names, not names: alike names give far fewer joined rows than pairs, and each pair still once."""
+    random.seed(12)
+    texts = {f"granite workshop number {i:03d}" for i in range(300)}
+    for n in (30, 80, 130):
+        for _ in range(6):
+            base = [chr(0x4E00 + random.randrange(300)) for _ in range(n)]
+            for _ in range(4):
+                places = random.sample(range(1, n), 2)
+                texts.add("g" + "".join(random.choice("Ж😀b") if k in places else c for k, c in enumerate(base)))
+    names = sorted(texts)
+    df = spark.createDataFrame([(i, "A", t) for i, t in enumerate(names)], "id long, city string, name string")
+    stored = [" ".join(sorted(t.lower().split())) for t in names]
+    left, right = zip(*[(i, j) for i in range(len(names)) for j in range(i + 1, len(names))])
+    distances = name_pairs.indel_distances(pa.array([stored[i] for i in left]), pa.array([stored[j] for j in right]))
+    expected = {(i, j, d) for i, j, d in zip(left, right, distances.tolist()) if 100 * d <= 12 * (len(stored[i]) + len(stored[j]))}
+    assert name_pairs._met(df, 88, ("city",), "first").count() < len(expected) / 20
+    for chunk, together in ((128, 16), (7, 2)):
+        monkeypatch.setattr(name_pairs, "_CHUNK", chunk)
+        monkeypatch.setattr(name_pairs, "_TOGETHER", together)
+        got = similar_name_pairs(df, 88).collect()
+        assert {(r.lo, r.hi, r.distance) for r in got} == expected and len(got) == len(expected)
+        assert all((r.text_lo, r.text_hi) == (stored[r.lo], stored[r.hi]) for r in got)
+
+
 def test_rounds_over_names_broadcast_nothing(spark):
     """What a round joins grows with the names; none of it may go through the driver."""
     written, kept = [], name_pairs.keep
